@@ -30,7 +30,7 @@ def cast_value(c: Column, source: T.DataType, data_type: str) -> Column:
     elif data_type in INT_NAMES:
         result = to_int(c, kind)
     elif data_type in STRING_NAMES:
-        result = to_text(c, kind)
+        result = to_text(c, kind, source)
     elif data_type in BOOL_NAMES:
         result = to_bool(c, kind)
     else:
@@ -59,9 +59,9 @@ def to_int(c: Column, kind: str) -> Column:
     return zero
 
 
-def to_text(c: Column, kind: str) -> Column:
+def to_text(c: Column, kind: str, source: T.DataType) -> Column:
     if kind == "float":
-        return plain_decimal(c)
+        return plain_decimal(c, source)
     if kind == "time":
         return F.lit("")
     return c.cast("string")

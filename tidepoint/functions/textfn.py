@@ -9,39 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def plain_decimal(x: Column) -> Column:
-    """A float as plain decimal text, never with an exponent: 85, 0.1, 10000000.
-
-    The digits are those of Spark's own text for the value, which reads back as the same
-    value; only an exponent is spelled out.
-    """
-    text = x.cast("string")
-    positive = F.regexp_replace(text, "^-", "")
-    sign = F.when(text.startswith("-"), "-").otherwise("")
-    mantissa = F.substring_index(positive, "E", 1)
-    exponent = F.substring_index(positive, "E", -1).try_cast("int")
-    whole = F.substring_index(mantissa, ".", 1)
-    fraction = F.regexp_replace(F.substring_index(mantissa, ".", -1), "0+$", "")
-    # d.ffffE+n: move the point n places to the right.
-    right = F.when(
-        exponent >= F.length(fraction),
-        F.concat(whole, fraction, F.repeat(F.lit("0"), exponent - F.length(fraction))),
-    ).otherwise(
-        F.concat(
-            whole,
-            F.substring(fraction, F.lit(1), exponent),
-            F.lit("."),
-            F.substring(fraction, exponent + 1, F.length(fraction)),
-        )
-    )
-    left = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), whole, fraction)
-    spelled = F.concat(sign, F.when(exponent >= 0, right).otherwise(left))
+# As many fraction digits as the formatter has: it prints the shortest digits that read back
+# as the same value, so a pattern this long cuts nothing off.
+_ALL_DIGITS = "0." + "#" * 340
+
+
+def plain_decimal(x: Column, kind: T.DataType | None = None) -> Column:
+    """A float as plain decimal text, never with an exponent: 85, 0.1, 10000000."""
+    if isinstance(kind, T.FloatType):
+        # By way of text, as widening 99.9 alone would show the digits of the double.
+        x = x.cast("string").cast("double")
+    infinity = float("inf")
     return (
-        F.when(F.isnan(x), "NaN")
-        .when(x == F.lit(float("inf")), "+Inf")
-        .when(x == F.lit(float("-inf")), "-Inf")
-        .when(text.contains("E"), spelled)
-        .otherwise(F.regexp_replace(text, r"\.0$", ""))
+        F.when(x == F.lit(infinity), "+Inf")
+        .when(x == F.lit(-infinity), "-Inf")
+        .otherwise(F.call_function("format_number", x, F.lit(_ALL_DIGITS)))
     )
 
 
@@ -68,7 +50,7 @@ def escape_string(c: Column) -> Column:
 def field_text(c: Column, kind: T.DataType) -> Column:
     """Line-protocol text of a field value, by column type."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return plain_decimal(c)
+        return plain_decimal(c, kind)
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return F.concat(c.cast("string"), F.lit("i"))
     if isinstance(kind, T.StringType):

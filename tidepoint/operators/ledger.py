@@ -158,12 +158,36 @@ class Ledger:
             known = self.load(task_id, source_table)
         return known
 
+    def begin(
+        self,
+        task_id: str,
+        source_table: str,
+        task_name: str = "",
+        target_meas: str = "",
+        mapping_config: str = "",
+    ) -> Row | None:
+        """Mark a task in progress, adding it if unknown; returns what was known before."""
+        known = self.load(task_id, source_table)
+        changes = {"status": IN_PROGRESS, "error_message": None}
+        if known is None:
+            changes.update(
+                task_name=task_name,
+                target_meas=target_meas,
+                mapping_config=mapping_config,
+                processed_rows=0,
+            )
+        self._write_task(task_id, source_table, known, changes)
+        return known
+
     def save(self, task_id: str, source_table: str, **changes) -> None:
         """Insert a task row or change the named columns of the present one."""
-        known = self.load(task_id, source_table)
+        self._write_task(task_id, source_table, self.load(task_id, source_table), changes)
+
+    def _write_task(
+        self, task_id: str, source_table: str, known: Row | None, changes: dict
+    ) -> None:
         values = known.asDict() if known else {"created_at": datetime.now(timezone.utc)}
         values.update(task_id=task_id, source_table=source_table, deleted=False, **changes)
-        values.pop("updated_at", None), values.pop("seq", None)
         wanted = self.spark.createDataFrame([], TASK_SCHEMA).schema
         row = tuple(values.get(name) for name in wanted.names)
         self._save(self._tasks, self.spark.createDataFrame([row], wanted), TASK_SCHEMA)

@@ -17,6 +17,7 @@ from tidepoint.operators.ledger import COMPLETED, Ledger, without_completed, wit
 from tidepoint.operators.numbering import series_batches
 from tidepoint.operators.windows import assign_intervals, clipped, overlapping, split_windows
 from tidepoint.points import PointsSchema, check_window
+from tidepoint.session import pin
 
 UNIT = ["task_id", "shard_group_id", "window_start", "window_end"]
 
@@ -105,8 +106,6 @@ def run_backfill(
         rest = in_series(in_partial, items, [*UNIT[:3], *schema.series_columns])
         assigned = whole.unionByName(rest)
 
-    sink(assigned.select(*points.columns), schema)
-
     moved = assigned.groupBy(*UNIT).agg(
         F.count(F.lit(1)).alias("_n"), F.max(schema.time_col).alias("last_time_ns")
     )
@@ -124,5 +123,8 @@ def run_backfill(
             F.lit(COMPLETED).alias("status"),
         )
     )
+    # Counted before the move: what a window's row claims is part of what the sink then got.
+    rows = pin(rows)
+    sink(assigned.select(*points.columns), schema)
     ledger.save_windows(rows)
     return ledger.windows().where(F.col("task_id") == task_id)

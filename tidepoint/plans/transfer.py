@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidepoint.functions.timefn import time_literal
 from tidepoint.operators.filters import after_position, drop_absent, tag_filter, time_range
-from tidepoint.operators.ledger import COMPLETED, FAILED, IN_PROGRESS, Ledger, resumable
+from tidepoint.operators.ledger import COMPLETED, FAILED, Ledger, resumable
 from tidepoint.operators.mapping import apply_mapping, mapping_from_json, mapping_to_json
 from tidepoint.points import Mapping, PointsSchema, to_points
 
@@ -45,17 +45,17 @@ def run_mapping(
     """
     table = mapping.source_table
     column = mapping.timestamp_column or time_column
-    known = ledger.create(
+    known = ledger.begin(
         task_id, table, task_name, mapping.target_measurement, mapping_to_json(mapping)
     )
-    if known["last_time_ns"] is not None:
-        rows = after_position(rows, column, last_time=known["last_time_ns"])
+    mark, done = (known["last_time_ns"], known["processed_rows"]) if known else (None, 0)
+    if mark is not None:
+        rows = after_position(rows, column, last_time=mark)
     points, target = mapped_points(rows, schema, mapping, time_column)
     found = points.agg(F.count(F.lit(1)).alias("n"), F.max(target.time_col).alias("mark")).first()
     if not found["n"]:
         ledger.mark(task_id, table, COMPLETED)
         return 0
-    ledger.mark(task_id, table, IN_PROGRESS)
     try:
         if found["mark"] is not None:
             upto = F.col(f"`{column}`") <= time_literal(rows.schema[column].dataType, found["mark"])
@@ -70,7 +70,7 @@ def run_mapping(
         status=COMPLETED,
         error_message=None,
         last_time_ns=found["mark"],
-        processed_rows=(known["processed_rows"] or 0) + found["n"],
+        processed_rows=(done or 0) + found["n"],
     )
     return found["n"]
 

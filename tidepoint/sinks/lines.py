@@ -16,7 +16,7 @@ from tidepoint.functions.textfn import (
 )
 from tidepoint.functions.timefn import time_is_set
 from tidepoint.operators.numbering import chunk_batches
-from tidepoint.points import PointsSchema
+from tidepoint.points import PointsSchema, any_of
 
 
 def _single_line(c: Column, name: str) -> Column:
@@ -28,6 +28,8 @@ def _single_line(c: Column, name: str) -> Column:
 
 def line_column(points: DataFrame, schema: PointsSchema, always_time: bool = False) -> Column:
     """The line of a point, null when the point has no field."""
+    if not schema.fields:
+        raise ValueError("a line needs at least one field")
     tags = [
         F.when(
             tag_is_set(F.col(f"`{t}`")),
@@ -45,13 +47,17 @@ def line_column(points: DataFrame, schema: PointsSchema, always_time: bool = Fal
         for f in schema.fields
     ]
     head = F.concat_ws(",", escape_measurement(F.col(schema.measurement_col)), *tags)
-    body = F.nullif(F.concat_ws(",", *fields), F.lit(""))
+    body = F.concat_ws(",", *fields)
     time = F.col(schema.time_col)
     if always_time:
         tail = F.coalesce(time, F.lit(0).cast("bigint")).cast("string")
     else:
         tail = F.when(time_is_set(time), time.cast("string"))
-    return F.when(body.isNotNull(), F.concat_ws(" ", head, body, tail))
+    return F.when(has_field(schema), F.concat_ws(" ", head, body, tail))
+
+
+def has_field(schema: PointsSchema) -> Column:
+    return any_of([F.col(f"`{f}`").isNotNull() for f in schema.fields])
 
 
 def to_lines(
@@ -61,8 +67,9 @@ def to_lines(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Points with at least one field as ``line``; a projection, so no shuffle."""
+    # Tested on the fields: a test of the line itself would build every line twice.
     line = line_column(points, schema, always_time).alias("line")
-    return points.select(*keep, line).where(F.col("line").isNotNull())
+    return points.where(has_field(schema)).select(*keep, line)
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:

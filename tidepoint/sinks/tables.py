@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 from tidepoint.functions.timefn import ns_to_timestamp, truncate_ns
 from tidepoint.operators.upsert import merge_batches
 from tidepoint.points import Mapping, PointsSchema
+from tidepoint.sinks.files import SharedFiles
 
 MS = 1_000_000
 DAY_NS = 86_400 * 1_000_000_000
@@ -112,7 +112,7 @@ class UpsertTable:
     neither read nor rewritten. A run that dies before the manifest leaves the table as it
     was, and repeating an upsert gives the same table.
 
-    One writer at a time. Folders no manifest names any more may be removed by age.
+    One writer at a time; readers are not disturbed by it.
     """
 
     def __init__(
@@ -125,82 +125,91 @@ class UpsertTable:
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.sequence, self.slice_time = list(keys), list(sequence), slice_time
+        self._files = SharedFiles(spark)
 
-    def _manifest(self) -> list:
-        """Rows (version, slice, data_version, schema) of the newest manifest.
+    def _versions(self) -> list[int]:
+        names = self._files.names(f"{self.path}/manifest")
+        return [int(n.removesuffix(".json")) for n in names if n.endswith(".json")]
 
-        One row per slice: a few thousand days at most, table metadata and not data.
+    def _manifest(self, version: int | None = None) -> dict | None:
+        """``{version, schema, slices: {slice: data version}}``.
+
+        It grows with the number of days in the table, not with its rows.
         """
-        try:
-            manifests = self.spark.read.schema(
-                "slice string, data_version bigint, table_schema string, version bigint"
-            ).json(f"{self.path}/manifest")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        newest = manifests.agg(F.max("version")).first()[0]
-        return manifests.where(F.col("version") == F.lit(newest)).collect()
+        versions = self._versions()
+        if not versions:
+            return None
+        name = f"{max(versions) if version is None else version:010d}.json"
+        return json.loads(self._files.read(f"{self.path}/manifest/{name}"))
 
     def version(self) -> int:
-        rows = self._manifest()
-        return rows[0]["version"] if rows else 0
+        return max(self._versions(), default=0)
 
     def current(self) -> DataFrame | None:
         """The table now, or None when nothing has been written."""
-        rows = self._manifest()
-        return self._read(rows) if rows else None
-
-    def _read(self, rows: list) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(rows[0]["table_schema"]))
-        paths = [
-            f"{self.path}/data/v={r['data_version']}/slice={r['slice']}" for r in rows
-        ]
+        manifest = self._manifest()
+        return self._read(manifest, manifest["slices"]) if manifest else None
+
+    def _read(self, manifest: dict, slices: Sequence[str]) -> DataFrame:
+        paths = [f"{self.path}/data/v={manifest['slices'][s]}/slice={s}" for s in slices]
+        schema = T.StructType.fromJson(manifest["schema"])
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def _slice(self) -> Column:
-        return day_of(F.col(self.slice_time)) if self.slice_time else F.lit("all")
+    def _sliced(self, rows: DataFrame) -> DataFrame:
+        part = day_of(F.col(self.slice_time)) if self.slice_time else F.lit("all")
+        return rows.withColumn("slice", part)
+
+    def _touched(self, incoming: DataFrame) -> set[str]:
+        if self.slice_time:
+            days = self._sliced(incoming).select("slice").distinct()
+            return {row["slice"] for row in days.collect()}
+        return set() if incoming.isEmpty() else {"all"}
 
     def upsert(self, incoming: DataFrame) -> int:
         """Merge ``incoming`` and return the version that holds it."""
         manifest = self._manifest()
-        sliced = incoming.withColumn("slice", self._slice())
-        touched = {r["slice"] for r in sliced.select("slice").distinct().collect()}
+        version = manifest["version"] if manifest else 0
+        touched = self._touched(incoming)
         if not touched:
-            return manifest[0]["version"] if manifest else 0
-        affected = [r for r in manifest if r["slice"] in touched]
-        merged = merge_batches(
-            self._read(affected) if affected else None, incoming, self.keys, self.sequence
-        )
-        known = self._read(manifest[:1]).schema if manifest else T.StructType()
-        schema = T.StructType(
-            [f for f in known.fields]
-            + [
-                T.StructField(f.name, f.dataType, True)
-                for f in merged.schema.fields
-                if f.name not in known.names
-            ]
-        )
-        version = (manifest[0]["version"] if manifest else 0) + 1
-        # Rebalancing lets adaptive execution split a large slice over several files and
-        # merge small ones, in place of one file per task and slice.
-        (
-            merged.withColumn("slice", self._slice())
-            .hint("rebalance", "slice")
-            .write.mode("overwrite")
-            .partitionBy("slice")
-            .parquet(f"{self.path}/data/v={version}")
-        )
-        entries = [(r["slice"], r["data_version"]) for r in manifest if r["slice"] not in touched]
-        entries += [(s, version) for s in sorted(touched)]
-        text = schema.json()
-        (
-            self.spark.createDataFrame(
-                [(s, v, text) for s, v in entries],
-                "slice string, data_version bigint, table_schema string",
-            )
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .json(f"{self.path}/manifest/version={version}")
+            return version
+        slices = manifest["slices"] if manifest else {}
+        affected = sorted(touched & slices.keys())
+        existing = self._read(manifest, affected) if affected else None
+        merged = merge_batches(existing, incoming, self.keys, self.sequence)
+        version += 1
+        rows = self._sliced(merged)
+        if self.slice_time:
+            # Adaptive execution then splits a large slice over several files and merges
+            # small ones, in place of one file per task and slice.
+            rows = rows.hint("rebalance", "slice")
+        rows.write.mode("overwrite").partitionBy("slice").parquet(f"{self.path}/data/v={version}")
+        self._files.create(
+            f"{self.path}/manifest/{version:010d}.json",
+            json.dumps(
+                {
+                    "version": version,
+                    "schema": self._schema_with(manifest, merged).jsonValue(),
+                    "slices": {**slices, **{s: version for s in sorted(touched)}},
+                }
+            ),
         )
         return version
+
+    @staticmethod
+    def _schema_with(manifest: dict | None, merged: DataFrame) -> T.StructType:
+        """Known columns first, then new ones; a column once written is never lost."""
+        known = T.StructType.fromJson(manifest["schema"]).fields if manifest else []
+        names = {f.name for f in known}
+        new = [f for f in merged.schema.fields if f.name not in names]
+        return T.StructType([*known, *[T.StructField(f.name, f.dataType) for f in new]])
+
+    def expire(self, keep: int = 10) -> None:
+        """Remove manifests older than the last ``keep`` and data only those named."""
+        versions = sorted(self._versions())
+        kept = versions[-max(keep, 1) :]
+        used = {v for version in kept for v in self._manifest(version)["slices"].values()}
+        for version in versions:
+            if version not in kept:
+                self._files.remove(f"{self.path}/manifest/{version:010d}.json")
+            if version not in used:
+                self._files.remove(f"{self.path}/data/v={version}")
