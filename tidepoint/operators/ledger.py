@@ -69,6 +69,20 @@ def without_completed(work: DataFrame, ledger: DataFrame, keys: Sequence[str]) -
     return left.join(right, on, "left_anti")
 
 
+def without_covered(windows: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Windows not yet completed up to their end.
+
+    A run over a shorter range clips its last window; completed there, it is still open for
+    a run that reaches further.
+    """
+    done = with_status(ledger, COMPLETED).select(*WINDOW_KEYS, "window_end")
+    left, right = windows.alias("w"), done.alias("d")
+    on = reduce(
+        lambda a, b: a & b, [F.col(f"w.{k}") == F.col(f"d.{k}") for k in WINDOW_KEYS]
+    )
+    return left.join(right, on & (F.col("d.window_end") >= F.col("w.window_end")), "left_anti")
+
+
 def without_done_batches(items: DataFrame, windows: DataFrame) -> DataFrame:
     """Work items left: not in a completed window, and past the last completed batch."""
     done = windows.select(
@@ -228,11 +242,9 @@ class Ledger:
     def save_windows(self, rows: DataFrame) -> None:
         """Save progress of many windows in one step.
 
-        A completed window stays completed whatever is saved later.
+        A completed window stays completed, unless a wider range has moved its end.
         """
-        keys = WINDOW_KEYS
-        done = with_status(self.windows(), COMPLETED).select(*keys)
-        fresh = rows.join(done, keys, "left_anti")
+        fresh = without_covered(rows, self.windows())
         fresh = fresh.withColumn("deleted", F.lit(False))
         if "created_at" not in fresh.columns:
             fresh = fresh.withColumn("created_at", F.lit(datetime.now(timezone.utc)))

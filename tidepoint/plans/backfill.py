@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidepoint.functions.keys import series_key
 from tidepoint.operators.filters import in_series
-from tidepoint.operators.ledger import COMPLETED, Ledger, without_completed, without_done_batches
+from tidepoint.operators.ledger import COMPLETED, Ledger, without_covered, without_done_batches
 from tidepoint.operators.numbering import series_batches
 from tidepoint.operators.windows import assign_intervals, clipped, overlapping, split_windows
 from tidepoint.points import PointsSchema, check_window
@@ -86,33 +86,35 @@ def run_backfill(
     """
     windows = window_plan(shards, task_id, start_ns, end_ns, width_ns)
     known = ledger.windows()
-    open_windows = without_completed(windows, known, UNIT[:3])
+    open_windows = without_covered(windows, known)
     for condition in tag_predicate:
         points = points.where(condition)
     assigned = points_in_windows(points, open_windows, width_ns)
 
+    # Batch numbers hold only for the window they were given in, so its end must agree.
     begun = known.where(
         (F.col("task_id") == task_id)
         & (F.col("status") != COMPLETED)
         & (F.col("last_completed_batch") >= 0)
-    )
+    ).join(open_windows, UNIT, "left_semi")
     if not begun.isEmpty():
-        partial = open_windows.join(begun.select(*UNIT[:3]), UNIT[:3], "left_semi")
+        units = begun.select(*UNIT)
+        partial = open_windows.join(units, UNIT, "left_semi")
         items = remaining_items(
-            work_items(points, schema, partial, width_ns, series_per_query), known
+            work_items(points, schema, partial, width_ns, series_per_query), begun
+        )
+        rest = in_series(
+            assigned.join(units, UNIT, "left_semi"), items, [*UNIT, *schema.series_columns]
         )
-        in_partial = assigned.join(begun.select(*UNIT[:3]), UNIT[:3], "left_semi")
-        whole = assigned.join(begun.select(*UNIT[:3]), UNIT[:3], "left_anti")
-        rest = in_series(in_partial, items, [*UNIT[:3], *schema.series_columns])
-        assigned = whole.unionByName(rest)
+        assigned = assigned.join(units, UNIT, "left_anti").unionByName(rest)
 
     moved = assigned.groupBy(*UNIT).agg(
         F.count(F.lit(1)).alias("_n"), F.max(schema.time_col).alias("last_time_ns")
     )
-    before = known.select(*UNIT[:3], F.col("total_processed_rows").alias("_before"))
+    before = begun.select(*UNIT, F.col("total_processed_rows").alias("_before"))
     rows = (
         open_windows.join(moved, UNIT, "left")
-        .join(before, UNIT[:3], "left")
+        .join(before, UNIT, "left")
         .select(
             *UNIT,
             F.lit(None).cast("int").alias("last_completed_batch"),
