@@ -20,8 +20,14 @@ from tidepoint.operators.reconcile import (
     sample_differences,
     status_totals,
 )
-from tidepoint.operators.report import report_entries, report_totals, status_counts
-from tidepoint.operators.windows import window_start_of
+from tidepoint.operators.report import (
+    report_entries,
+    report_totals,
+    status_counts,
+    write_report,
+)
+from tidepoint.operators.windows import window_start_of, window_summary
+from tidepoint.session import scratch_path
 from tidepoint.sources import discover
 
 _STATUS_SQL = """CASE WHEN value > 80 THEN 'failed' WHEN value > 40 THEN 'in_progress'
@@ -215,6 +221,30 @@ def report_totals_query(spark, sf_dir):
     )
 
 
+@query(
+    "report_json",
+    f"""WITH {LOG_SQL}
+    SELECT task_id, "table", processed_rows, status FROM (
+        SELECT task_id, source_table AS "table", processed_rows, status FROM task
+        UNION ALL SELECT task_id, 'total', CAST(sum(processed_rows) AS BIGINT),
+            CASE WHEN bool_or(status = 'failed') THEN 'failed'
+                 WHEN bool_or(status = 'in_progress') THEN 'in_progress'
+                 WHEN bool_or(status = 'pending') THEN 'pending' ELSE 'completed' END
+        FROM task GROUP BY task_id)""",
+)
+def report_json(spark, sf_dir):
+    """The report written as JSON and read back."""
+    path = scratch_path(spark, "report")
+    write_report(ledger.latest_tasks(task_log(spark, sf_dir)), path)
+    entries = spark.read.json(f"{path}/entries").select(
+        "task_id", "table", "processed_rows", "status"
+    )
+    totals = spark.read.json(f"{path}/totals").select(
+        "task_id", F.lit("total").alias("table"), "total_rows", "status"
+    )
+    return entries.union(totals)
+
+
 @query(
     "report_entries",
     f"""WITH {LOG_SQL}
@@ -234,8 +264,6 @@ def report_entries_query(spark, sf_dir):
     GROUP BY ALL""",
 )
 def progress_mark(spark, sf_dir):
-    from tidepoint.operators.windows import window_summary
-
     return window_summary(event_points(spark, sf_dir), ["event_type", "user_id"])
 
 

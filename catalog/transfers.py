@@ -6,21 +6,26 @@ from catalog import query
 from catalog.views import (
     E_ID_SCHEMA,
     E_SCHEMA,
+    DAY,
     E_SQL,
+    L_SCHEMA,
+    L_SQL,
     ORIGIN,
     WEEK,
     event_points,
     event_rows,
+    line_points,
     table,
 )
 from tidepoint.operators.ledger import Ledger
 from tidepoint.operators.numbering import chunk_batches
-from tidepoint.points import FieldMap, Mapping, TagMap, to_points
-from tidepoint.plans.backfill import run_backfill
-from tidepoint.plans.transfer import mapped_points, run_mapping
+from tidepoint.points import FieldMap, Mapping, PointsSchema, TagMap, to_points
+from tidepoint.plans.backfill import run_backfill, run_windows
+from tidepoint.plans.transfer import mapped_points, resume, run_mapping
 from tidepoint.session import scratch_path
 from tidepoint.sinks.lines import to_lines, write_lines
-from tidepoint.sinks.tables import UpsertTable, upsert_rows
+from tidepoint.sinks.children import route_to_children, write_children
+from tidepoint.sinks.tables import UpsertTable, flat_rows, upsert_rows
 from tidepoint.sources.discover import shard_groups_of_points
 from tidepoint.sources.ingest import (
     infer_response_schema,
@@ -222,8 +227,6 @@ def migrate_lines(spark, sf_dir):
 )
 def lines_written(spark, sf_dir):
     """Orders written as line text and read back."""
-    from tidepoint.points import PointsSchema
-
     schema = PointsSchema(("o_orderpriority",), ("o_custkey", "o_orderkey"))
     path = scratch_path(spark, "lines")
     points = to_points(table(spark, sf_dir, "orders"), schema, "o_orderdate", "orders")
@@ -233,3 +236,106 @@ def lines_written(spark, sf_dir):
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("value")).alias("chars"),
     )
+
+
+@query(
+    "flat_append",
+    """SELECT time_ns, o_orderkey, o_custkey, o_totalprice FROM (
+        SELECT epoch_us(o_orderdate) * 1000 AS time_ns, o_orderkey, o_custkey, o_totalprice,
+               row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey DESC) AS r
+        FROM orders) WHERE r = 1""",
+)
+def flat_append(spark, sf_dir):
+    """Orders in a flat table keyed on time, all loaded and then the dear ones again."""
+    schema = PointsSchema((), ("o_orderkey", "o_custkey", "o_totalprice"))
+    points = to_points(table(spark, sf_dir, "orders"), schema, "o_orderdate", "orders")
+    rows = flat_rows(points, schema, ["o_orderkey"])
+    path = scratch_path(spark, "flat")
+    target = UpsertTable(spark, path, ["time_ns"], ["o_orderkey"], "time_ns", 366 * DAY)
+    target.upsert(rows)
+    target.upsert(rows.where(F.col("o_totalprice") > 300_000))
+    return target.current()
+
+
+@query(
+    "windowed_run",
+    f"""WITH {E_SQL}, w AS (
+        SELECT {ORIGIN} + (time_ns - {ORIGIN}) // {3 * DAY} * {3 * DAY} AS window_start,
+               count(*) AS total_processed_rows, max(time_ns) AS last_time_ns
+        FROM e WHERE ts < TIMESTAMP '2024-01-29 12:00:00' GROUP BY 1)
+    SELECT 'windowed' AS task_id, window_start,
+           least(window_start + {3 * DAY}, {ORIGIN + 28 * DAY + DAY // 2}) AS window_end,
+           last_time_ns, total_processed_rows, 'completed' AS status
+    FROM w""",
+)
+def windowed_run(spark, sf_dir):
+    """The window ledger after a backfill in three-day windows; the last one is clipped."""
+    base = scratch_path(spark, "windowed")
+    points = event_points(spark, sf_dir)
+    known = run_windows(
+        points,
+        E_SCHEMA,
+        "windowed",
+        ORIGIN,
+        ORIGIN + 28 * DAY + DAY // 2,
+        3 * DAY,
+        lambda moved, schema: write_lines(to_lines(moved, schema), f"{base}/lines"),
+        Ledger(spark, f"{base}/ledger"),
+    )
+    return known.select(
+        "task_id", "window_start", "window_end", "last_time_ns", "total_processed_rows", "status"
+    )
+
+
+@query(
+    "resume_run",
+    f"""WITH {E_SQL}
+    SELECT epoch_us(ts) // 1000 * 1000000 AS key_time_ns, event_type AS kind, value AS amount,
+           event_id
+    FROM e WHERE event_type <> 'view'""",
+)
+def resume_run(spark, sf_dir):
+    """A run that was killed after its first increment, taken up by a resume."""
+    base = scratch_path(spark, "resume")
+    rows = event_rows(spark, sf_dir)
+    keys = ["key_time_ns", "kind", "event_id"]
+    target = UpsertTable(spark, f"{base}/table", keys, ["event_id"], "key_time_ns", 30 * DAY)
+    ledger = Ledger(spark, f"{base}/ledger")
+    mapping = Mapping(
+        source_table="events",
+        tags=(TagMap("event_type", "kind"),),
+        fields=(FieldMap("value", "amount", "float"),),
+        tag_filters={"event_type": ["click", "error", "purchase", "signup"]},
+    )
+
+    def sink(points, schema):
+        target.upsert(upsert_rows(points, schema, ["event_id"]))
+
+    early = rows.where(F.col("ts") < F.lit("2024-01-12T00:00:00").cast("timestamp_ntz"))
+    run_mapping(early, E_ID_SCHEMA, mapping, "ts", sink, ledger, "resumed")
+    ledger.mark("resumed", "events", "in_progress")
+    resume(ledger, lambda name: (table_rows(spark, sf_dir, name), E_ID_SCHEMA, "ts"), sink)
+    return target.current()
+
+
+def table_rows(spark, sf_dir, name):
+    return event_rows(spark, sf_dir) if name == "events" else table(spark, sf_dir, name)
+
+
+@query(
+    "children_written",
+    f"""WITH {L_SQL}
+    SELECT 'bulk_' || md5(series_key) AS child_table, l_returnflag, l_linestatus,
+           count(*) AS points, max(time_ns) AS last_time_ns
+    FROM l GROUP BY ALL""",
+)
+def children_written(spark, sf_dir):
+    """Line items in one directory per series, read back."""
+    path = scratch_path(spark, "children")
+    points = line_points(spark, sf_dir)
+    write_children(route_to_children(points, L_SCHEMA, F.lit("bulk")), path)
+    return (
+        spark.read.parquet(path)
+        .groupBy("child_table", "l_returnflag", "l_linestatus")
+        .agg(F.count(F.lit(1)).alias("points"), F.max("time_ns").alias("last_time_ns"))
+    )

@@ -130,3 +130,22 @@ def run_backfill(
     sink(assigned.select(*points.columns), schema)
     ledger.save_windows(rows)
     return ledger.windows().where(F.col("task_id") == task_id)
+
+
+def run_windows(
+    points: DataFrame,
+    schema: PointsSchema,
+    task_id: str,
+    start_ns: int,
+    end_ns: int,
+    width_ns: int,
+    sink: Callable[[DataFrame, PointsSchema], None],
+    ledger: Ledger,
+) -> DataFrame:
+    """Backfill by time windows alone, for sources without shard groups."""
+    whole = points.sparkSession.createDataFrame(
+        [("range", start_ns, end_ns)], "shard_group_id string, start_ns bigint, end_ns bigint"
+    )
+    return run_backfill(
+        points, schema, whole, task_id, start_ns, end_ns, width_ns, sink, ledger
+    )

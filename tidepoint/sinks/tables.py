@@ -97,22 +97,37 @@ def upsert_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str]
     )
 
 
-def day_of(time_ns: Column) -> Column:
-    """Storage slice of a time; rows without one share a slice."""
-    day = F.date_format(ns_to_timestamp(truncate_ns(time_ns, DAY_NS)), "yyyy-MM-dd")
-    return F.coalesce(day, F.lit("none"))
+def flat_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str]) -> DataFrame:
+    """Points as rows of a flat table: time and fields, no tags.
+
+    Rows are upserted on ``time_ns``, so loading the same points again adds nothing.
+    """
+    extra = [s for s in sequence if s not in schema.fields]
+    return points.select(
+        F.col(schema.time_col).alias("time_ns"),
+        *[F.col(f"`{f}`") for f in schema.fields],
+        *[F.col(f"`{s}`") for s in extra],
+    )
+
+
+def slice_of(time_ns: Column, width_ns: int) -> Column:
+    """Storage slice of a time, named by its start; rows without a time share one."""
+    start = ns_to_timestamp(truncate_ns(time_ns, width_ns))
+    pattern = "yyyy-MM-dd" if width_ns % DAY_NS == 0 else "yyyy-MM-dd'T'HH-mm-ss"
+    return F.coalesce(F.date_format(start, pattern), F.lit("none"))
 
 
 class UpsertTable:
     """A Parquet table with insert-or-update on a key.
 
     Parquet has no MERGE and cannot overwrite what is being read, so an upsert writes new
-    files for the slices (days) it touches and then adds a manifest that names, per slice,
+    files for the time slices it touches and then adds a manifest that names, per slice,
     the folder that holds it. Readers follow the newest manifest; untouched slices are
     neither read nor rewritten. A run that dies before the manifest leaves the table as it
     was, and repeating an upsert gives the same table.
 
-    One writer at a time; readers are not disturbed by it.
+    One writer at a time; readers are not disturbed by it. ``slice_ns`` should make a slice a
+    few GB: days for dense data, longer for sparse.
     """
 
     def __init__(
@@ -122,7 +137,9 @@ class UpsertTable:
         keys: Sequence[str],
         sequence: Sequence[str],
         slice_time: str | None = None,
+        slice_ns: int = DAY_NS,
     ):
+        self.slice_ns = slice_ns if slice_time else 0
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.sequence, self.slice_time = list(keys), list(sequence), slice_time
         self._files = SharedFiles(spark)
@@ -132,15 +149,18 @@ class UpsertTable:
         return [int(n.removesuffix(".json")) for n in names if n.endswith(".json")]
 
     def _manifest(self, version: int | None = None) -> dict | None:
-        """``{version, schema, slices: {slice: data version}}``.
+        """``{version, slice_ns, schema, slices: {slice: data version}}``.
 
-        It grows with the number of days in the table, not with its rows.
+        It grows with the number of slices of the table, not with its rows.
         """
         versions = self._versions()
         if not versions:
             return None
         name = f"{max(versions) if version is None else version:010d}.json"
-        return json.loads(self._files.read(f"{self.path}/manifest/{name}"))
+        manifest = json.loads(self._files.read(f"{self.path}/manifest/{name}"))
+        if manifest["slice_ns"] != self.slice_ns:
+            raise ValueError(f"{self.path} is sliced by {manifest['slice_ns']} ns")
+        return manifest
 
     def version(self) -> int:
         return max(self._versions(), default=0)
@@ -156,13 +176,14 @@ class UpsertTable:
         return self.spark.read.schema(schema).parquet(*paths)
 
     def _sliced(self, rows: DataFrame) -> DataFrame:
-        part = day_of(F.col(self.slice_time)) if self.slice_time else F.lit("all")
-        return rows.withColumn("slice", part)
+        if not self.slice_time:
+            return rows.withColumn("slice", F.lit("all"))
+        return rows.withColumn("slice", slice_of(F.col(self.slice_time), self.slice_ns))
 
     def _touched(self, incoming: DataFrame) -> set[str]:
         if self.slice_time:
-            days = self._sliced(incoming).select("slice").distinct()
-            return {row["slice"] for row in days.collect()}
+            slices = self._sliced(incoming).select("slice").distinct()
+            return {row["slice"] for row in slices.collect()}
         return set() if incoming.isEmpty() else {"all"}
 
     def upsert(self, incoming: DataFrame) -> int:
@@ -188,6 +209,7 @@ class UpsertTable:
             json.dumps(
                 {
                     "version": version,
+                    "slice_ns": self.slice_ns,
                     "schema": self._schema_with(manifest, merged).jsonValue(),
                     "slices": {**slices, **{s: version for s in sorted(touched)}},
                 }

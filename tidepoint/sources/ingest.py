@@ -129,14 +129,19 @@ def long_points(
     time: str = "_time",
     field: str = "_field",
     value: str = "_value",
+    fields: Sequence[str] = (),
 ) -> DataFrame:
-    """Long rows as one-field points; ``_measurement`` is kept as a tag."""
+    """Long rows as one-field points; ``_measurement`` is kept as a tag.
+
+    Columns that are neither system nor tag columns are named in ``fields`` and stay fields.
+    """
     return rows.select(
         F.col("_measurement").alias("measurement"),
         F.col("_measurement"),
         *[F.nullif(F.col(f"`{t}`"), F.lit("")).alias(t) for t in tags],
         F.col(field).alias("field_name"),
         F.col(value).alias("field_value"),
+        *[F.col(f"`{f}`") for f in fields],
         parse_time_ns(F.col(time)).alias("time_ns"),
     )
 
