@@ -43,6 +43,18 @@ def tag_filter(df: DataFrame, filters: MappingType[str, Sequence[str]]) -> DataF
     return df.where(tag_predicate(filters))
 
 
+def source_tag_filter(rows: DataFrame, filters: MappingType[str, Sequence[str]]) -> DataFrame:
+    """The same filter on source rows, before they become points.
+
+    There a text tag is still the raw column, so the filter reaches the file reader.
+    """
+    for tag, values in filters.items():
+        if values:
+            wanted = [v for v in values if v != ""]
+            rows = rows.where(F.col(f"`{tag}`").cast("string").isin(wanted))
+    return rows
+
+
 def series_predicate(series: Sequence[MappingType[str, str]]) -> Column:
     """An OR of ANDs for a short list of series given as tag maps.
 

@@ -6,9 +6,11 @@ import json
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidepoint.functions.casts import cast_value
 from tidepoint.functions.keys import series_tags, tag_is_set
@@ -146,18 +148,23 @@ def mappings_frame(spark: SparkSession, mappings: Sequence[Mapping]) -> DataFram
         )
         for i, m in enumerate(mappings)
     ]
-    return spark.createDataFrame(rows, MAPPING_TYPE)
+    # By way of Arrow, so that the plan knows how small the list is.
+    names = MAPPING_TYPE.names
+    listed = pa.Table.from_pylist(
+        [dict(zip(names, row)) for row in rows], to_arrow_schema(MAPPING_TYPE)
+    )
+    return spark.createDataFrame(listed, MAPPING_TYPE)
 
 
 def expand_mappings(series: DataFrame, mappings: DataFrame) -> DataFrame:
     """One row per (mapping, table, series) that the mapping takes.
 
-    ``series`` has ``source_table, series_key``. The wildcard becomes an equality: each
+    ``series`` has ``source_table, series_key``, each series once. The wildcard becomes an equality: each
     series row is looked up once under its table's name and once under ``*``, so this is a
     plain hash join and not an inequality join.
     """
     several = series.groupBy("source_table").agg(
-        (F.min("series_key") != F.max("series_key")).alias("has_several")
+        (F.count(F.lit(1)) > 1).alias("has_several")
     )
     keyed = series.join(several, "source_table").withColumn(
         "match_table", F.explode(F.array_distinct(F.array("source_table", F.lit("*"))))

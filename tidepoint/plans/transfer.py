@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepoint.functions.timefn import time_literal
-from tidepoint.operators.filters import after_position, drop_absent, tag_filter, time_range
+from tidepoint.operators.filters import after_position, source_tag_filter, time_range
 from tidepoint.operators.ledger import COMPLETED, FAILED, Ledger, resumable
 from tidepoint.operators.mapping import apply_mapping, mapping_from_json, mapping_to_json
 from tidepoint.points import Mapping, PointsSchema, to_points
@@ -19,11 +19,11 @@ Sink = Callable[[DataFrame, PointsSchema], None]
 def mapped_points(
     rows: DataFrame, schema: PointsSchema, mapping: Mapping, time_column: str
 ) -> tuple[DataFrame, PointsSchema]:
-    """Scan → time range → tag filters → null filter → mapping, as one lazy plan."""
+    """Scan → time range → tag filters → points without absent tags → mapping, as one lazy plan."""
     column = mapping.timestamp_column or time_column
     ranged = time_range(rows, column, mapping.start, mapping.end)
-    points = to_points(ranged, schema, column, mapping.source_table)
-    points = drop_absent(tag_filter(points, mapping.tag_filters), schema)
+    kept = source_tag_filter(ranged, mapping.tag_filters)
+    points = to_points(kept, schema, column, mapping.source_table)
     return apply_mapping(points, schema, mapping)
 
 

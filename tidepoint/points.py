@@ -181,6 +181,14 @@ def normalised_field(df: DataFrame, name: str) -> Column:
     return column
 
 
+def tag_text(df: DataFrame, name: str) -> Column:
+    """A tag as text, absent when empty; only text can be empty."""
+    column = F.col(f"`{name}`")
+    if field_kind(df.schema[name].dataType) == "string":
+        return F.when(column != "", column)
+    return column.cast("string")
+
+
 def to_points(
     df: DataFrame,
     schema: PointsSchema,
@@ -191,7 +199,7 @@ def to_points(
     name = F.lit(measurement) if isinstance(measurement, str) else measurement
     time = F.lit(None).cast("bigint") if time_column is None else to_time_ns(df, time_column)
     columns = [name.alias(schema.measurement_col)]
-    columns += [F.nullif(F.col(f"`{t}`").cast("string"), F.lit("")).alias(t) for t in schema.tags]
+    columns += [tag_text(df, t).alias(t) for t in schema.tags]
     columns += [normalised_field(df, f).alias(f) for f in schema.fields]
     columns.append(time.alias(schema.time_col))
     if schema.id_col and schema.id_col not in schema.fields:
