@@ -33,7 +33,7 @@ from tidepoint.sources import discover
 _STATUS_SQL = """CASE WHEN value > 80 THEN 'failed' WHEN value > 40 THEN 'in_progress'
     WHEN value > 10 THEN 'pending' ELSE 'completed' END"""
 LOG_SQL = f"""{E_SQL}, log AS (
-    SELECT event_type AS task_id, 'u' || user_id AS source_table, 'm' || (k % 7) AS target_meas,
+    SELECT event_type AS task_id, 'u' || user_id AS source_table, 'm' || (k // 10) AS target_meas,
            event_id AS last_id, time_ns AS last_time_ns, k AS processed_rows,
            {_STATUS_SQL} AS status, ts AS created_at, ts AS updated_at, event_id AS seq
     FROM e),
@@ -58,7 +58,7 @@ def task_log(spark, sf_dir):
     return event_points(spark, sf_dir, with_id=True).select(
         F.col("event_type").alias("task_id"),
         F.concat(F.lit("u"), "user_id").alias("source_table"),
-        F.concat(F.lit("m"), (F.col("k") % 7).cast("string")).alias("target_meas"),
+        F.concat(F.lit("m"), F.expr("k div 10").cast("string")).alias("target_meas"),
         F.col("event_id").alias("last_id"),
         F.col("time_ns").alias("last_time_ns"),
         F.col("k").alias("processed_rows"),

@@ -46,20 +46,14 @@ KEYS = ["key_time_ns", "event_type", "user_id"]
 
 
 def _rfc_time():
-    return F.concat(
-        F.date_format(F.timestamp_micros(F.expr("time_ns div 1000")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-        F.lit("Z"),
-    )
+    time = F.timestamp_micros(F.expr("time_ns div 1000"))
+    return F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
 
 
 def responses_of(points):
     """Points as saved query responses of 500 value lists each."""
-    cells = F.array(
-        *[
-            c.cast("variant")
-            for c in (_rfc_time(), F.col("event_type"), F.col("user_id"), F.col("value"), F.col("k"))
-        ]
-    )
+    columns = ("event_type", "user_id", "value", "k")
+    cells = F.array(*[c.cast("variant") for c in (_rfc_time(), *map(F.col, columns))])
     chunks = chunk_batches(
         points.select("event_type", "event_id", "time_ns", cells.alias("cells")),
         500,
@@ -68,9 +62,7 @@ def responses_of(points):
     )
     series = F.struct(
         F.lit("events").alias("name"),
-        F.array(*[F.lit(c) for c in ("time", "event_type", "user_id", "value", "k")]).alias(
-            "columns"
-        ),
+        F.array(*[F.lit(c) for c in ("time", *columns)]).alias("columns"),
         F.collect_list("cells").alias("values"),
     )
     return chunks.groupBy("event_type", "batch_id").agg(

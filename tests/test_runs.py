@@ -61,7 +61,10 @@ def test_task_rows(ledger):
 
 
 def test_window_rows_stay_completed(spark, ledger):
-    columns = "task_id string, shard_group_id string, window_start bigint, window_end bigint, status string, total_processed_rows bigint"
+    columns = (
+        "task_id string, shard_group_id string, window_start bigint, window_end bigint,"
+        " status string, total_processed_rows bigint"
+    )
     save = lambda *rows: ledger.save_windows(spark.createDataFrame(list(rows), columns))
     save(("t", "1", 0, 5, COMPLETED, 10), ("t", "1", 5, 9, IN_PROGRESS, 4))
     save(("t", "1", 0, 5, IN_PROGRESS, 0))
@@ -198,7 +201,8 @@ def test_crash_between_windows_repeats_nothing(spark, ledger):
 @pytest.mark.parametrize("cut", [3, 9])
 def test_backfill_cut_anywhere_equals_one_run(spark, ledger, cut):
     points, shards = _points(spark), _shards(spark, 3)
-    table = UpsertTable(spark, scratch_path(spark, "bf"), ["key_time_ns", "host"], ["cpu"], "key_time_ns")
+    path = scratch_path(spark, "backfill")
+    table = UpsertTable(spark, path, ["key_time_ns", "host"], ["cpu"], "key_time_ns")
 
     def sink(p, s):
         table.upsert(upsert_rows(p, s, ["cpu"]))
@@ -257,7 +261,8 @@ def test_each_file_is_taken_once(spark):
 
 
 def _response(values, columns, **extra):
-    return {"results": [{"series": [{"name": "cpu", "columns": columns, "values": values, **extra}]}]}
+    series = {"name": "cpu", "columns": columns, "values": values, **extra}
+    return {"results": [{"series": [series]}]}
 
 
 def test_responses_with_inferred_roles(spark, tmp_path):

@@ -159,9 +159,9 @@ def mappings_frame(spark: SparkSession, mappings: Sequence[Mapping]) -> DataFram
 def expand_mappings(series: DataFrame, mappings: DataFrame) -> DataFrame:
     """One row per (mapping, table, series) that the mapping takes.
 
-    ``series`` has ``source_table, series_key``, each series once. The wildcard becomes an equality: each
-    series row is looked up once under its table's name and once under ``*``, so this is a
-    plain hash join and not an inequality join.
+    ``series`` has ``source_table, series_key``, each series once. The wildcard becomes an
+    equality: each series row is looked up once under its table's name and once under ``*``,
+    so this is a plain hash join and not an inequality join.
     """
     several = series.groupBy("source_table").agg(
         (F.count(F.lit(1)) > 1).alias("has_several")

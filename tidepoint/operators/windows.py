@@ -73,13 +73,12 @@ def assign_intervals(
     cell, which turns the range join into an equi-join on the cell. ``cell_ns`` is best near
     the usual interval length.
     """
-    cell = _long(cell_ns)
     first = ns_floor_div(F.col(start), cell_ns)
     last = ns_floor_div(F.col(end) - 1, cell_ns)
     listed = intervals.where(F.col(start) < F.col(end)).withColumn(
         "_cell", F.explode(F.sequence(first, last))
     )
-    keyed = points.withColumn("_cell", F.call_function("div", F.col(time) - F.pmod(F.col(time), cell), cell))
+    keyed = points.withColumn("_cell", ns_floor_div(F.col(time), cell_ns))
     inside = (F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))
     return keyed.join(listed, "_cell").where(inside).drop("_cell")
 

@@ -86,7 +86,9 @@ def run_backfill(
     """
     windows = window_plan(shards, task_id, start_ns, end_ns, width_ns)
     known = ledger.windows()
-    open_windows = without_covered(windows, known)
+    # A small table used by every step below; pinned, as shard groups found in the points
+    # would otherwise be looked up again each time.
+    open_windows = pin(without_covered(windows, known))
     for condition in tag_predicate:
         points = points.where(condition)
     assigned = points_in_windows(points, open_windows, width_ns)

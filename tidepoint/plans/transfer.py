@@ -19,7 +19,7 @@ Sink = Callable[[DataFrame, PointsSchema], None]
 def mapped_points(
     rows: DataFrame, schema: PointsSchema, mapping: Mapping, time_column: str
 ) -> tuple[DataFrame, PointsSchema]:
-    """Scan → time range → tag filters → points without absent tags → mapping, as one lazy plan."""
+    """Time range → tag filters → points without absent tags → mapping, one lazy plan."""
     column = mapping.timestamp_column or time_column
     ranged = time_range(rows, column, mapping.start, mapping.end)
     kept = source_tag_filter(ranged, mapping.tag_filters)

@@ -20,10 +20,8 @@ from tidepoint.points import PointsSchema, any_of
 
 
 def _single_line(c: Column, name: str) -> Column:
-    """A tag cannot hold a line break in this format, so one fails the job by name."""
-    return F.when(
-        c.contains("\n"), F.raise_error(F.lit(f"line break in tag {name}"))
-    ).otherwise(c)
+    """Names and tags cannot hold a line break in this format, so one fails the job."""
+    return F.when(c.contains("\n"), F.raise_error(F.lit(f"line break in {name}"))).otherwise(c)
 
 
 def line_column(points: DataFrame, schema: PointsSchema, always_time: bool = False) -> Column:
@@ -34,7 +32,8 @@ def line_column(points: DataFrame, schema: PointsSchema, always_time: bool = Fal
         F.when(
             tag_is_set(F.col(f"`{t}`")),
             F.concat(
-                F.lit(f"{escape_key_text(t)}="), escape_tag(_single_line(F.col(f"`{t}`"), t))
+                F.lit(f"{escape_key_text(t)}="),
+                escape_tag(_single_line(F.col(f"`{t}`"), f"tag {t}")),
             ),
         )
         for t in schema.tags
@@ -46,7 +45,8 @@ def line_column(points: DataFrame, schema: PointsSchema, always_time: bool = Fal
         )
         for f in schema.fields
     ]
-    head = F.concat_ws(",", escape_measurement(F.col(schema.measurement_col)), *tags)
+    measurement = _single_line(F.col(schema.measurement_col), "measurement")
+    head = F.concat_ws(",", escape_measurement(measurement), *tags)
     body = F.concat_ws(",", *fields)
     time = F.col(schema.time_col)
     if always_time:

@@ -111,10 +111,8 @@ def flat_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str])
 
 
 def slice_of(time_ns: Column, width_ns: int) -> Column:
-    """Storage slice of a time, named by its start; rows without a time share one."""
-    start = ns_to_timestamp(truncate_ns(time_ns, width_ns))
-    pattern = "yyyy-MM-dd" if width_ns % DAY_NS == 0 else "yyyy-MM-dd'T'HH-mm-ss"
-    return F.coalesce(F.date_format(start, pattern), F.lit("none"))
+    """Storage slice of a time, named by its start in ns; rows without a time share one."""
+    return F.coalesce(truncate_ns(time_ns, width_ns).cast("string"), F.lit("none"))
 
 
 class UpsertTable:
@@ -170,6 +168,21 @@ class UpsertTable:
         manifest = self._manifest()
         return self._read(manifest, manifest["slices"]) if manifest else None
 
+    def between(self, start_ns: int, end_ns: int) -> DataFrame | None:
+        """Rows with ``start <= time < end``; slices outside are not even listed."""
+        manifest = self._manifest()
+        if manifest is None or not self.slice_time:
+            raise ValueError("the table is empty or not sliced by time")
+        inside = [
+            s
+            for s in manifest["slices"]
+            if s != "none" and int(s) < end_ns and int(s) + self.slice_ns > start_ns
+        ]
+        if not inside:
+            return None
+        time = F.col(self.slice_time)
+        return self._read(manifest, inside).where((time >= start_ns) & (time < end_ns))
+
     def _read(self, manifest: dict, slices: Sequence[str]) -> DataFrame:
         paths = [f"{self.path}/data/v={manifest['slices'][s]}/slice={s}" for s in slices]
         schema = T.StructType.fromJson(manifest["schema"])
