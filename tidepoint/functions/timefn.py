@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The two text layouts of a time and the cut between epoch seconds and ns.
-RFC3339_PATTERN = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)$"
-PLAIN_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d+)?$"
+TIME_PATTERN = (
+    r"^\d{4}-\d\d-\d\d(T\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)| \d\d:\d\d:\d\d(\.\d+)?)$"
+)
 EPOCH_NS_ABOVE = 1e12
 
 
@@ -43,19 +44,29 @@ def truncate_ns(ns: Column, unit_ns: int) -> Column:
 
 
 def parse_time_ns(text: Column) -> Column:
-    """Text time to ns with all nine fraction digits; null when no layout fits."""
-    is_rfc = text.rlike(RFC3339_PATTERN)
-    is_plain = text.rlike(PLAIN_PATTERN)
-    seconds = F.concat(
-        F.substring(text, 1, 10),
-        F.lit("T"),
-        F.substring(text, 12, 8),
-        F.when(is_rfc, F.regexp_extract(text, r"(Z|[+-]\d\d:\d\d)$", 1)).otherwise("Z"),
+    """Text time to ns with all nine fraction digits; null when no layout fits.
+
+    Spark's own cast reads the time to the microsecond; digits seven to nine, which stand at
+    a fixed place, are added. One pattern settles the layout, as the cast alone takes more.
+    """
+    parsed = (
+        F.when(text.endswith("Z"), _cast_ns(text, 1))
+        .when(F.substring(text, 11, 1) == " ", _cast_ns(F.concat(text, F.lit("Z")), 1))
+        .otherwise(_cast_ns(text, 6))
     )
-    digits = F.rpad(F.substring(F.regexp_extract(text, r"\.(\d+)", 1), 1, 9), 9, "0")
-    micros = F.unix_micros(seconds.try_cast("timestamp"))
-    whole = F.try_multiply(micros, F.lit(1000).cast("bigint"))
-    return F.when(is_rfc | is_plain, F.try_add(whole, digits.try_cast("bigint")))
+    return F.when(text.rlike(TIME_PATTERN), parsed)
+
+
+def _cast_ns(text: Column, zone: int) -> Column:
+    """ns of a well-formed time that ends in ``zone`` characters of time zone."""
+    body = F.length(text) - zone
+    nine = F.when(
+        body > 29, F.concat(F.substring(text, 1, 29), F.substring(text, -zone, zone))
+    ).otherwise(text)
+    digits = F.substring(text, F.lit(27), F.least(body - 26, F.lit(3)))
+    tail = F.when(body > 26, F.rpad(digits, 3, "0").try_cast("bigint"))
+    whole = F.try_multiply(F.unix_micros(nine.try_cast("timestamp")), F.lit(1000).cast("bigint"))
+    return F.try_add(whole, F.coalesce(tail, F.lit(0).cast("bigint")))
 
 
 def epoch_number_to_ns(value: Column) -> Column:
