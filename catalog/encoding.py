@@ -17,7 +17,8 @@ from tidepoint.operators.upsert import last_wins
 from tidepoint.points import FieldMap, Mapping, PointsSchema, to_points
 from tidepoint.sinks.children import route_to_children
 from tidepoint.sinks.lines import payloads, to_lines
-from tidepoint.sinks.tables import typed_rows, upsert_rows
+from tidepoint.session import scratch_path
+from tidepoint.sinks.tables import save_typed_table, typed_rows, upsert_rows
 
 E_LINE = (
     "measurement || ',event_type=' || event_type || ',user_id=' || user_id"
@@ -210,3 +211,26 @@ def typed_super_table(spark, sf_dir):
     millis = F.unix_millis("_migration_time").alias("time_ms")
     value = F.col("value").cast("double").alias("value")
     return rows.select("event_type", "user_id", "k", value, millis)
+
+
+@query(
+    "typed_table_saved",
+    """SELECT o_orderpriority, CAST(o_custkey AS VARCHAR) AS o_custkey, o_totalprice,
+           epoch_us(o_orderdate) // 1000 AS time_ms
+    FROM orders""",
+)
+def typed_table_saved(spark, sf_dir):
+    """Orders in a catalog table that the first part creates and the second is added to."""
+    schema = PointsSchema(("o_orderpriority",), ("o_custkey", "o_totalprice"))
+    mapping = Mapping(
+        fields=(FieldMap("o_custkey", data_type="text"), FieldMap("o_totalprice", "", "double"))
+    )
+    points = to_points(table(spark, sf_dir, "orders"), schema, "o_orderdate", "orders")
+    rows = typed_rows(points, schema, mapping)
+    path = scratch_path(spark, "typed")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    dear = F.col("o_totalprice") > 250_000
+    for part in (rows.where(dear), rows.where(~dear)):
+        save_typed_table(part, name, path)
+    millis = F.unix_millis("_migration_time").alias("time_ms")
+    return spark.table(name).select("o_orderpriority", "o_custkey", "o_totalprice", millis)

@@ -12,14 +12,17 @@ from tidepoint.operators.ledger import COMPLETED, FAILED, IN_PROGRESS, PENDING,
 from tidepoint.operators.report import report_totals, status_counts, write_report
 from tidepoint.plans.backfill import remaining_items, run_backfill, window_plan, work_items
 from tidepoint.plans.transfer import resume, run_mapping
-from tidepoint.points import FieldMap, Mapping, PointsSchema, TagMap
+from tidepoint.points import FieldMap, Mapping, PointsSchema, TagMap, to_points
 from tidepoint.session import scratch_path
 from tidepoint.sinks.tables import UpsertTable, upsert_rows
 from tidepoint.sources import discover
 from tidepoint.sources.ingest import (
     infer_response_schema,
+    long_points,
     parse_responses,
+    read_long_rows,
     read_responses,
+    widen,
 )
 from tidepoint.sources.scan import read_table
 from tidepoint.streaming.incremental import sync_new_files
@@ -306,6 +309,37 @@ def test_tag_keys_keep_text_fields(spark, tmp_path):
     ] * 2
 
 
+def test_long_rows_are_widened(spark, tmp_path):
+    rows = [
+        {"_time": "2024-01-01T00:00:00Z", "_measurement": "cpu", "_field": f, "_value": v,
+         "host": "a", "quality": 3}
+        for f, v in (("load", 1.5), ("state", "ok"), ("up", True))
+    ]
+    (tmp_path / "long.json").write_text(json.dumps(rows))
+    saved = read_long_rows(spark, str(tmp_path), ["host"], ["quality"])
+    points = long_points(saved, ["host"], fields=["quality"])
+    assert {(r["_measurement"], r["quality"]) for r in points.collect()} == {("cpu", "3")}
+    wide = widen(points, ["host"], {"load": "double", "state": "string", "up": "boolean"})
+    assert [tuple(r) for r in wide.collect()] == [("cpu", "a", START, 1.5, "ok", True)]
+
+
+def test_zoneless_times_need_a_utc_session(spark):
+    frame = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS ts, 1.0D AS cpu, 'a' AS host")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError, match="use_utc"):
+            to_points(frame, SCHEMA, "ts", "cpu")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_file_formats(spark, tmp_path, fmt):
+    path = str(tmp_path / fmt)
+    _points(spark, 2, 3).write.format(fmt).save(path)
+    assert read_table(spark, path, fmt).count() == 6
+
+
 # Discovery
 
 

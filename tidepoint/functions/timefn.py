@@ -14,6 +14,7 @@ TIME_PATTERN = (
     r"^\d{4}-\d\d-\d\d(T\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)| \d\d:\d\d:\d\d(\.\d+)?)$"
 )
 EPOCH_NS_ABOVE = 1e12
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def timestamp_to_ns(ts: Column) -> Column:
@@ -80,6 +81,10 @@ def epoch_number_to_ns(value: Column) -> Column:
 def to_time_ns(df: DataFrame, name: str) -> Column:
     """ns of column ``name`` whatever its type; BIGINT is taken as ns with 0 = no time."""
     column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+        if zone not in UTC_NAMES:
+            raise ValueError(f"times without zone would be read as {zone}: call use_utc first")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return timestamp_to_ns(column)
     if isinstance(kind, T.StringType):

@@ -74,14 +74,14 @@ def _typed(points: DataFrame, name: str, type_name: str | None) -> Column:
     return column.try_cast(type_name)
 
 
-def save_typed_table(rows: DataFrame, table: str) -> None:
-    """Create the table on first use, append afterwards."""
+def save_typed_table(rows: DataFrame, table: str, path: str | None = None) -> None:
+    """Create the table on first use, at ``path`` if given, and append afterwards."""
     spark = rows.sparkSession
     if spark.catalog.tableExists(table):
         target = spark.table(table)
         rows.select(*target.columns).write.insertInto(table)
     else:
-        rows.write.saveAsTable(table)
+        (rows.write.option("path", path) if path else rows.write).saveAsTable(table)
 
 
 def upsert_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str]) -> DataFrame:

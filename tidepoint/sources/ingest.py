@@ -123,6 +123,22 @@ def parse_responses(
     return rows.select(*columns)
 
 
+def read_long_rows(
+    spark: SparkSession,
+    path: str,
+    tags: Sequence[str],
+    fields: Sequence[str] = (),
+    one_per_line: bool = False,
+) -> DataFrame:
+    """Saved long rows, each file an array of objects unless ``one_per_line``.
+
+    Values are read as text and typed by :func:`widen`.
+    """
+    names = ["_time", "_measurement", "_field", "_value", *tags, *fields]
+    schema = ", ".join(f"`{n}` string" for n in names)
+    return spark.read.schema(schema).json(path, multiLine=not one_per_line)
+
+
 def long_points(
     rows: DataFrame,
     tags: Sequence[str],
