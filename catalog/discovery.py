@@ -46,7 +46,8 @@ def _profile_sql(table_name, columns, types, id_column, time_column):
     parts = []
     for name, kind in zip(columns, types):
         role = {id_column: "id", time_column: "time"}.get(name, "value")
-        text = f"CAST(min({name}) AS VARCHAR)", f"CAST(max({name}) AS VARCHAR)"
+        zero = " + CAST(0 AS DOUBLE)" if kind == "double" else ""
+        text = tuple(f"CAST({f}({name}){zero} AS VARCHAR)" for f in ("min", "max"))
         if kind == "timestamp_ntz" and table_name == "orders":
             text = tuple(f"strftime({f}({name}), '%Y-%m-%d %H:%M:%S')" for f in ("min", "max"))
         parts.append(

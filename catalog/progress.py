@@ -12,6 +12,7 @@ from catalog.views import (
     event_points,
 )
 from tidepoint.functions.keys import series_key
+from tidepoint.functions.timefn import parse_instant
 from tidepoint.operators import ledger
 from tidepoint.operators.numbering import series_batches
 from tidepoint.operators.reconcile import (
@@ -143,6 +144,10 @@ def pending_tasks(spark, sf_dir):
     return ledger.without_completed(work, ledger.latest_tasks(log), ledger.TASK_KEYS)
 
 
+# The ledger behind pending_work: windows completed, then windows begun, then unknown ones.
+DONE, BEGUN = "2024-01-11T00:00:00", "2024-01-20T00:00:00"
+
+
 @query(
     "pending_work",
     f"""WITH {E_SQL}, s AS (
@@ -153,9 +158,9 @@ def pending_tasks(spark, sf_dir):
                                         ORDER BY series_key) - 1) // 10 AS batch_id FROM s),
     w AS (SELECT event_type AS task_id, CAST((time_ns - {ORIGIN}) // {WEEK} AS VARCHAR)
                      AS shard_group_id,
-                 time_ns // {DAY} * {DAY} AS window_start, max(value) > 200 AS done,
-                 CASE WHEN max(k) > 97 THEN 2 END AS last_batch
-          FROM e GROUP BY ALL HAVING min(value) < 1)
+                 time_ns // {DAY} * {DAY} AS window_start, max(ts) < TIMESTAMP '{DONE}' AS done,
+                 CASE WHEN event_type > 'd' THEN 2 END AS last_batch
+          FROM e GROUP BY ALL HAVING max(ts) < TIMESTAMP '{BEGUN}')
     SELECT b.* FROM b LEFT JOIN w USING (task_id, shard_group_id, window_start)
     WHERE NOT coalesce(done, false) AND batch_id > coalesce(last_batch, -1)""",
 )
@@ -176,13 +181,13 @@ def pending_work(spark, sf_dir):
     known = (
         points.groupBy(*keys)
         .agg(
-            F.when(F.max("value") > 200, ledger.COMPLETED)
+            F.when(F.max("time_ns") < parse_instant(DONE), ledger.COMPLETED)
             .otherwise(ledger.IN_PROGRESS)
             .alias("status"),
-            F.when(F.max("k") > 97, 2).alias("last_completed_batch"),
-            F.min("value").alias("_low"),
+            F.when(F.col("task_id") > "d", 2).alias("last_completed_batch"),
+            F.max("time_ns").alias("_last"),
         )
-        .where(F.col("_low") < 1)
+        .where(F.col("_last") < parse_instant(BEGUN))
     )
     return ledger.without_done_batches(items, known)
 

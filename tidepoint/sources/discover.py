@@ -60,8 +60,13 @@ def column_profile(df: DataFrame, with_distinct: bool = True) -> DataFrame:
         column = F.col(f"`{field.name}`")
         aggregates.append(F.count(column).alias(f"n_{i}"))
         if field in simple:
-            aggregates.append(F.min(column).cast("string").alias(f"lo_{i}"))
-            aggregates.append(F.max(column).cast("string").alias(f"hi_{i}"))
+            low, high = F.min(column), F.max(column)
+            if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+                # The two zeros are equal, so either may be found; both are shown as 0.0.
+                zero = F.lit(0.0).cast(field.dataType)
+                low, high = low + zero, high + zero
+            aggregates.append(low.cast("string").alias(f"lo_{i}"))
+            aggregates.append(high.cast("string").alias(f"hi_{i}"))
             if with_distinct:
                 aggregates.append(F.approx_count_distinct(column).alias(f"d_{i}"))
     one_row = df.agg(*aggregates)
