@@ -114,6 +114,7 @@ def test_empty_mapping_passes_points_on(spark):
         Mapping(fields=(FieldMap("a", "x"), FieldMap("b", "x"))),
         Mapping(tags=(TagMap("a"), TagMap("b", "a"))),
         Mapping(tags=(TagMap("a", "x"),), fields=(FieldMap("x"),)),
+        Mapping(tags=(TagMap("a"),), fields=(FieldMap("f"), FieldMap("g", "f"))),
         Mapping(window_ns=H - 1),
         Mapping(window_ns=721 * H),
     ],
@@ -123,6 +124,19 @@ def test_bad_mappings(mapping):
         mapping.validate()
 
 
+def test_odd_and_reserved_names(spark):
+    schema = PointsSchema(("a.b", "c`d"), ("e f",))
+    columns = "`a.b` string, `c``d` string, `e f` double, t bigint"
+    frame = spark.createDataFrame([("x", "y", 1.0, 5)], columns)
+    points = to_points(frame, schema, "t", "m")
+    mapping = Mapping(tags=(TagMap("c`d", "tag"), TagMap("a.b")), fields=(FieldMap("e f"),))
+    assert apply_mapping(points, schema, mapping)[0].first().asDict() == {
+        "measurement": "m", "a.b": "x", "tag": "y", "e f": 1.0, "time_ns": 5,
+    }
+    with pytest.raises(ValueError, match="reserved"):
+        apply_mapping(points, schema, Mapping(tags=(TagMap("a.b", "time_ns"),)))
+
+
 def test_limits():
     assert check_batch_size(0) == 10_000 and check_batch_size(1_000_000) == 1_000_000
     assert check_series_per_query(0) == 100 and check_window(0) == 168 * H

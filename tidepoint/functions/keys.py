@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
+
 
 def tag_is_set(c: Column) -> Column:
     return c.isNotNull() & (c != "")
@@ -15,7 +17,7 @@ def tag_is_set(c: Column) -> Column:
 def series_key(measurement: Column, tags: Sequence[str]) -> Column:
     """Build the key from tag columns; a null or empty tag is left out."""
     parts = [
-        F.when(tag_is_set(F.col(f"`{t}`")), F.concat(F.lit(f"{t}="), F.col(f"`{t}`")))
+        F.when(tag_is_set(named(t)), F.concat(F.lit(f"{t}="), named(t)))
         for t in sorted(tags)
     ]
     return F.concat_ws(",", measurement, *parts)

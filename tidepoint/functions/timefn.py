@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepoint.functions.columns import named
+
 # The two text layouts of a time and the cut between epoch seconds and ns.
 TIME_PATTERN = (
     r"^\d{4}-\d\d-\d\d(T\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)| \d\d:\d\d:\d\d(\.\d+)?)$"
@@ -80,7 +82,7 @@ def epoch_number_to_ns(value: Column) -> Column:
 
 def to_time_ns(df: DataFrame, name: str) -> Column:
     """ns of column ``name`` whatever its type; BIGINT is taken as ns with 0 = no time."""
-    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    column, kind = named(name), df.schema[name].dataType
     if isinstance(kind, (T.TimestampNTZType, T.DateType)):
         zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
         if zone not in UTC_NAMES:

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
 from tidepoint.functions.keys import tag_is_set
 from tidepoint.functions.timefn import parse_instant, time_literal
 from tidepoint.points import PointsSchema, all_of, any_of
@@ -26,16 +27,16 @@ def time_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
     if low is not None and high is not None and high <= low:
         raise ValueError(f"time range ends before it starts: {start} .. {end}")
     if low is not None:
-        df = df.where(F.col(f"`{column}`") >= time_literal(kind, low))
+        df = df.where(named(column) >= time_literal(kind, low))
     if high is not None:
-        df = df.where(F.col(f"`{column}`") < time_literal(kind, high))
+        df = df.where(named(column) < time_literal(kind, high))
     return df
 
 
 def tag_predicate(filters: MappingType[str, Sequence[str]]) -> Column:
     """Every listed tag must equal one of its values; an empty list allows all values."""
     return all_of(
-        [F.col(f"`{tag}`").isin(list(values)) for tag, values in filters.items() if values]
+        [named(tag).isin(list(values)) for tag, values in filters.items() if values]
     )
 
 
@@ -51,7 +52,7 @@ def source_tag_filter(rows: DataFrame, filters: MappingType[str, Sequence[str]])
     for tag, values in filters.items():
         if values:
             wanted = [v for v in values if v != ""]
-            rows = rows.where(F.col(f"`{tag}`").cast("string").isin(wanted))
+            rows = rows.where(named(tag).cast("string").isin(wanted))
     return rows
 
 
@@ -65,7 +66,7 @@ def series_predicate(series: Sequence[MappingType[str, str]]) -> Column:
     if not wanted:
         return F.lit(True)
     return any_of(
-        [all_of([F.col(f"`{tag}`") == value for tag, value in s.items()]) for s in wanted]
+        [all_of([named(tag) == value for tag, value in s.items()]) for s in wanted]
     )
 
 
@@ -76,9 +77,9 @@ def in_series(points: DataFrame, series: DataFrame, columns: Sequence[str]) -> D
     is below the broadcast threshold and otherwise shuffles, where adaptive execution splits
     a hot series. Null-safe equality keeps its hash keys in both cases.
     """
-    left, right = points.alias("p"), series.select(*columns).alias("s")
+    left, right = points.alias("p"), series.select(*map(named, columns)).alias("s")
     on = reduce(
-        lambda a, b: a & b, [F.col(f"p.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in columns]
+        lambda a, b: a & b, [named(c, "p").eqNullSafe(named(c, "s")) for c in columns]
     )
     return left.join(right, on, "left_semi")
 
@@ -99,19 +100,19 @@ def after_position(
     has_id = id_column is not None and last_id is not None
     if has_time:
         mark = time_literal(df.schema[time_column].dataType, parse_instant(last_time))
-        time = F.col(f"`{time_column}`")
+        time = named(time_column)
         if has_id:
-            tie = (time == mark) & (F.col(f"`{id_column}`") > F.lit(last_id))
+            tie = (time == mark) & (named(id_column) > F.lit(last_id))
             return df.where(time >= mark).where((time > mark) | tie)
         return df.where(time > mark)
     if has_id:
-        return df.where(F.col(f"`{id_column}`") > F.lit(last_id))
+        return df.where(named(id_column) > F.lit(last_id))
     return df
 
 
 def drop_absent(points: DataFrame, schema: PointsSchema) -> DataFrame:
     """Empty tags become absent. Absent fields are null already; every point stays."""
-    tags = {t: F.when(tag_is_set(F.col(f"`{t}`")), F.col(f"`{t}`")) for t in schema.tags}
+    tags = {t: F.when(tag_is_set(named(t)), named(t)) for t in schema.tags}
     return points.withColumns(tags) if tags else points
 
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
 from tidepoint.operators.upsert import last_wins
 from tidepoint.sinks.tables import UpsertTable
 
@@ -64,7 +65,7 @@ def without_completed(work: DataFrame, ledger: DataFrame, keys: Sequence[str]) -
     done = with_status(ledger, COMPLETED).select(*keys)
     left, right = work.alias("w"), done.alias("d")
     on = reduce(
-        lambda a, b: a & b, [F.col(f"w.`{k}`").eqNullSafe(F.col(f"d.`{k}`")) for k in keys]
+        lambda a, b: a & b, [named(k, "w").eqNullSafe(named(k, "d")) for k in keys]
     )
     return left.join(right, on, "left_anti")
 
@@ -78,7 +79,7 @@ def without_covered(windows: DataFrame, ledger: DataFrame) -> DataFrame:
     done = with_status(ledger, COMPLETED).select(*WINDOW_KEYS, "window_end")
     left, right = windows.alias("w"), done.alias("d")
     on = reduce(
-        lambda a, b: a & b, [F.col(f"w.{k}") == F.col(f"d.{k}") for k in WINDOW_KEYS]
+        lambda a, b: a & b, [named(k, "w") == named(k, "d") for k in WINDOW_KEYS]
     )
     return left.join(right, on & (F.col("d.window_end") >= F.col("w.window_end")), "left_anti")
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidepoint.functions.casts import cast_value
+from tidepoint.functions.columns import named
 from tidepoint.functions.keys import series_tags, tag_is_set
 from tidepoint.points import FieldMap, Mapping, PointsSchema, TagMap
 
@@ -44,7 +45,7 @@ def apply_mapping(
 
     fields = {
         f.name: cast_value(
-            F.col(f"`{f.source}`"), points.schema[f.source].dataType, f.data_type.lower()
+            named(f.source), points.schema[f.source].dataType, f.data_type.lower()
         )
         for f in mapping.fields
         if f.source and f.source in schema.fields
@@ -54,6 +55,9 @@ def apply_mapping(
         column = _tag_or_text_field(points, schema, tag.source) if tag.source else None
         if column is not None:
             tags[tag.name] = column
+    reserved = {schema.measurement_col, schema.time_col} & {*tags, *fields}
+    if reserved:
+        raise ValueError(f"mapping targets use reserved names: {sorted(reserved)}")
     result = PointsSchema(
         tuple(tags), tuple(fields), schema.measurement_col, schema.time_col, schema.id_col
     )
@@ -62,7 +66,7 @@ def apply_mapping(
     columns += [fields[f].alias(f) for f in result.fields]
     columns.append(F.col(schema.time_col))
     if schema.id_col and schema.id_col not in fields:
-        columns.append(F.col(f"`{schema.id_col}`"))
+        columns.append(named(schema.id_col))
     return points.select(*columns), result
 
 
@@ -81,9 +85,9 @@ def _renamed(points: DataFrame, schema: PointsSchema, mapping: Mapping) -> DataF
 def _tag_or_text_field(points: DataFrame, schema: PointsSchema, name: str) -> Column | None:
     sources = []
     if name in schema.tags:
-        sources.append(F.col(f"`{name}`"))
+        sources.append(named(name))
     elif name in schema.fields and isinstance(points.schema[name].dataType, T.StringType):
-        sources.append(F.col(f"`{name}`"))
+        sources.append(named(name))
     if not sources:
         return None
     return F.when(tag_is_set(sources[0]), sources[0])

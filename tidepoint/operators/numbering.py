@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
 from tidepoint.points import check_batch_size, check_series_per_query
 from tidepoint.session import pin
 
@@ -49,10 +50,10 @@ def number_rows(
     on = reduce(
         lambda a, b: a & b,
         [F.col("l._part") == F.col("r._part")]
-        + [F.col(f"l.`{g}`").eqNullSafe(F.col(f"r.`{g}`")) for g in group_by],
+        + [named(g, "l").eqNullSafe(named(g, "r")) for g in group_by],
     )
     number = (F.col("l._pos") + F.col("r._shift")).cast("bigint")
-    return left.join(right, on).select(*[F.col(f"l.`{c}`") for c in df.columns], number.alias(out))
+    return left.join(right, on).select(*[named(c, "l") for c in df.columns], number.alias(out))
 
 
 def _batch_of(row_no: str, size: int):

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
+
 
 def last_wins(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
     """One row per key, the one with the highest ``sequence``; null keys compare as equal.
@@ -17,13 +19,13 @@ def last_wins(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> Da
     """
     values = [c for c in df.columns if c not in keys]
     ranked = [*sequence, *[v for v in values if v not in sequence]]
-    newest = F.max(F.struct(*[F.col(f"`{c}`") for c in ranked])).alias("_newest")
+    newest = F.max(F.struct(*[named(c) for c in ranked])).alias("_newest")
     return (
-        df.groupBy(*[F.col(f"`{k}`") for k in keys])
+        df.groupBy(*[named(k) for k in keys])
         .agg(newest)
         .select(
             *[
-                F.col(f"`{c}`") if c in keys else F.col(f"_newest.`{c}`").alias(c)
+                named(c) if c in keys else F.col("_newest").getField(c).alias(c)
                 for c in df.columns
             ]
         )

@@ -6,13 +6,13 @@ join with the ledger, and one job moves the points of all that remain.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepoint.functions.keys import series_key
-from tidepoint.operators.filters import in_series
+from tidepoint.operators.filters import in_series, tag_filter
 from tidepoint.operators.ledger import COMPLETED, Ledger, without_covered, without_done_batches
 from tidepoint.operators.numbering import series_batches
 from tidepoint.operators.windows import assign_intervals, clipped, overlapping, split_windows
@@ -76,7 +76,7 @@ def run_backfill(
     sink: Callable[[DataFrame, PointsSchema], None],
     ledger: Ledger,
     series_per_query: int = 0,
-    tag_predicate: Sequence = (),
+    tag_filters: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Move all points of unfinished windows, then record one ledger row per window.
 
@@ -89,8 +89,7 @@ def run_backfill(
     # A small table used by every step below; pinned, as shard groups found in the points
     # would otherwise be looked up again each time.
     open_windows = pin(without_covered(windows, known))
-    for condition in tag_predicate:
-        points = points.where(condition)
+    points = tag_filter(points, tag_filters or {})
     assigned = points_in_windows(points, open_windows, width_ns)
 
     # Batch numbers hold only for the window they were given in, so its end must agree.

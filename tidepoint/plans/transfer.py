@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
 from tidepoint.functions.timefn import time_literal
 from tidepoint.operators.filters import after_position, source_tag_filter, time_range
 from tidepoint.operators.ledger import COMPLETED, FAILED, Ledger, resumable
@@ -58,7 +59,7 @@ def run_mapping(
         return 0
     try:
         if found["mark"] is not None:
-            upto = F.col(f"`{column}`") <= time_literal(rows.schema[column].dataType, found["mark"])
+            upto = named(column) <= time_literal(rows.schema[column].dataType, found["mark"])
             points, target = mapped_points(rows.where(upto), schema, mapping, time_column)
         sink(points, target)
     except Exception as error:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepoint.functions.columns import named
 from tidepoint.functions.timefn import to_time_ns
 
 # Limits and defaults of a run.
@@ -169,7 +170,7 @@ def infer_roles(df: DataFrame, time_column: str, id_column: str | None = None) -
 def normalised_field(df: DataFrame, name: str) -> Column:
     """Widen a field to the type points use for its kind."""
     kind = field_kind(df.schema[name].dataType)
-    column = F.col(f"`{name}`")
+    column = named(name)
     if kind in ("float", "decimal"):
         return column.cast("double")
     if kind == "int":
@@ -183,7 +184,7 @@ def normalised_field(df: DataFrame, name: str) -> Column:
 
 def tag_text(df: DataFrame, name: str) -> Column:
     """A tag as text, absent when empty; only text can be empty."""
-    column = F.col(f"`{name}`")
+    column = named(name)
     if field_kind(df.schema[name].dataType) == "string":
         return F.when(column != "", column)
     return column.cast("string")
@@ -203,7 +204,7 @@ def to_points(
     columns += [normalised_field(df, f).alias(f) for f in schema.fields]
     columns.append(time.alias(schema.time_col))
     if schema.id_col and schema.id_col not in schema.fields:
-        columns.append(F.col(f"`{schema.id_col}`").cast("bigint").alias(schema.id_col))
+        columns.append(named(schema.id_col).cast("bigint").alias(schema.id_col))
     return df.select(*columns)
 
 

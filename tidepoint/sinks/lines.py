@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
 from tidepoint.functions.keys import tag_is_set
 from tidepoint.functions.textfn import (
     escape_key_text,
@@ -30,10 +31,10 @@ def line_column(points: DataFrame, schema: PointsSchema, always_time: bool = Fal
         raise ValueError("a line needs at least one field")
     tags = [
         F.when(
-            tag_is_set(F.col(f"`{t}`")),
+            tag_is_set(named(t)),
             F.concat(
                 F.lit(f"{escape_key_text(t)}="),
-                escape_tag(_single_line(F.col(f"`{t}`"), f"tag {t}")),
+                escape_tag(_single_line(named(t), f"tag {t}")),
             ),
         )
         for t in schema.tags
@@ -41,7 +42,7 @@ def line_column(points: DataFrame, schema: PointsSchema, always_time: bool = Fal
     fields = [
         F.concat(
             F.lit(f"{escape_key_text(f)}="),
-            field_text(F.col(f"`{f}`"), points.schema[f].dataType),
+            field_text(named(f), points.schema[f].dataType),
         )
         for f in schema.fields
     ]
@@ -57,7 +58,7 @@ def line_column(points: DataFrame, schema: PointsSchema, always_time: bool = Fal
 
 
 def has_field(schema: PointsSchema) -> Column:
-    return any_of([F.col(f"`{f}`").isNotNull() for f in schema.fields])
+    return any_of([named(f).isNotNull() for f in schema.fields])
 
 
 def to_lines(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepoint.functions.columns import named
 from tidepoint.functions.timefn import ns_to_timestamp, truncate_ns
 from tidepoint.operators.upsert import merge_batches
 from tidepoint.points import Mapping, PointsSchema
@@ -58,7 +59,7 @@ def typed_rows(
 ) -> DataFrame:
     """Mapped points in the column types of the target; time at ms as ``_migration_time``."""
     types = {f.name: table_type(f.data_type, super_table) for f in mapping.fields}
-    columns = [F.col(f"`{t}`").cast("string").alias(t) for t in schema.tags]
+    columns = [named(t).cast("string").alias(t) for t in schema.tags]
     for name in schema.fields:
         columns.append(_typed(points, name, types.get(name)).alias(name))
     time = ns_to_timestamp(truncate_ns(F.col(schema.time_col), MS))
@@ -66,7 +67,7 @@ def typed_rows(
 
 
 def _typed(points: DataFrame, name: str, type_name: str | None) -> Column:
-    column = F.col(f"`{name}`")
+    column = named(name)
     if type_name is None:
         return column
     if type_name == "timestamp" and isinstance(points.schema[name].dataType, T.LongType):
@@ -91,9 +92,9 @@ def upsert_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str]
     extra = [s for s in sequence if s not in schema.tags and s not in fields]
     return points.select(
         key_time,
-        *[F.col(f"`{t}`") for t in schema.tags],
-        *[F.col(f"`{f}`") for f in fields],
-        *[F.col(f"`{s}`") for s in extra],
+        *[named(t) for t in schema.tags],
+        *[named(f) for f in fields],
+        *[named(s) for s in extra],
     )
 
 
@@ -105,8 +106,8 @@ def flat_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str])
     extra = [s for s in sequence if s not in schema.fields]
     return points.select(
         F.col(schema.time_col).alias("time_ns"),
-        *[F.col(f"`{f}`") for f in schema.fields],
-        *[F.col(f"`{s}`") for s in extra],
+        *[named(f) for f in schema.fields],
+        *[named(s) for s in extra],
     )
 
 

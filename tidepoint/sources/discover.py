@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepoint.functions.columns import named
 from tidepoint.functions.keys import series_key, tag_is_set
 from tidepoint.operators.filters import time_range
 from tidepoint.operators.windows import window_start_of
@@ -57,7 +58,7 @@ def column_profile(df: DataFrame, with_distinct: bool = True) -> DataFrame:
     simple = [f for f in df.schema.fields if not isinstance(f.dataType, _NESTED)]
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, field in enumerate(df.schema.fields):
-        column = F.col(f"`{field.name}`")
+        column = named(field.name)
         aggregates.append(F.count(column).alias(f"n_{i}"))
         if field in simple:
             low, high = F.min(column), F.max(column)
@@ -106,7 +107,7 @@ def repeated_ids(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def series(points: DataFrame, schema: PointsSchema) -> DataFrame:
     """Distinct series with their key; points without tags form one series by table name."""
     columns = schema.series_columns
-    distinct = points.select(*[F.col(f"`{c}`") for c in columns]).distinct()
+    distinct = points.select(*[named(c) for c in columns]).distinct()
     return distinct.withColumn(
         "series_key", series_key(F.col(schema.measurement_col), schema.tags)
     )
@@ -135,7 +136,7 @@ def tag_keys(points: DataFrame, schema: PointsSchema) -> DataFrame:
     """Tags in use per measurement, ``measurement, tag_key``."""
     used = points.groupBy(schema.measurement_col).agg(
         *[
-            F.max(F.coalesce(tag_is_set(F.col(f"`{t}`")), F.lit(False))).alias(f"t_{i}")
+            F.max(F.coalesce(tag_is_set(named(t)), F.lit(False))).alias(f"t_{i}")
             for i, t in enumerate(schema.tags)
         ]
     )

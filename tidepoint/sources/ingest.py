@@ -7,7 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidepoint.functions.columns import named
 from tidepoint.functions.timefn import parse_time_ns
 from tidepoint.points import PointsSchema, widest_kind
 
@@ -135,7 +137,7 @@ def read_long_rows(
     Values are read as text and typed by :func:`widen`.
     """
     names = ["_time", "_measurement", "_field", "_value", *tags, *fields]
-    schema = ", ".join(f"`{n}` string" for n in names)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return spark.read.schema(schema).json(path, multiLine=not one_per_line)
 
 
@@ -154,10 +156,10 @@ def long_points(
     return rows.select(
         F.col("_measurement").alias("measurement"),
         F.col("_measurement"),
-        *[F.nullif(F.col(f"`{t}`"), F.lit("")).alias(t) for t in tags],
+        *[F.nullif(named(t), F.lit("")).alias(t) for t in tags],
         F.col(field).alias("field_name"),
         F.col(value).alias("field_value"),
-        *[F.col(f"`{f}`") for f in fields],
+        *[named(f) for f in fields],
         parse_time_ns(F.col(time)).alias("time_ns"),
     )
 
@@ -184,7 +186,7 @@ def to_long(points: DataFrame, schema: PointsSchema) -> DataFrame:
     time = F.col(schema.time_col)
     return points.select(
         F.col(schema.measurement_col).alias("_measurement"),
-        *[F.col(f"`{t}`") for t in schema.tags],
+        *[named(t) for t in schema.tags],
         time.alias("time_ns"),
         F.explode(
             F.filter(
@@ -192,7 +194,7 @@ def to_long(points: DataFrame, schema: PointsSchema) -> DataFrame:
                     *[
                         F.struct(
                             F.lit(f).alias("_field"),
-                            F.col(f"`{f}`").cast("string").alias("_value"),
+                            named(f).cast("string").alias("_value"),
                         )
                         for f in schema.fields
                     ]

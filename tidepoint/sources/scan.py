@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
 from tidepoint.operators.filters import after_position, in_series, time_range
 from tidepoint.points import PointsSchema, to_points
 
@@ -89,10 +90,13 @@ def scan_super_table(
     spread over several tasks and still reads in order.
     """
     rows = time_range(df, time_column, start, end)
-    named = [F.col(f"`{c}`").alias(f"col_{i}") for i, c in enumerate(columns, 1)]
+    named = [named(c).alias(f"col_{i}") for i, c in enumerate(columns, 1)]
     rows = rows.select(
-        F.col(f"`{table_column}`").alias("tbname"), F.col(f"`{time_column}`").alias("ts"), *named
+        named(table_column).alias("tbname"), named(time_column).alias("ts"), *named
     )
-    if sort:
-        rows = rows.repartitionByRange("tbname", "ts").sortWithinPartitions("tbname", "ts")
-    return rows
+    if not sort:
+        return rows
+    # The random last key lets rows of one table and time spread over partitions too.
+    keys = ["tbname", "ts", "_salt"]
+    salted = rows.withColumn("_salt", F.rand(11))
+    return salted.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_salt")
