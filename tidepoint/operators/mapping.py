@@ -194,9 +194,9 @@ def expand_mappings(series: DataFrame, mappings: DataFrame) -> DataFrame:
     )
 
 
-def named_and_discovered(discovered: DataFrame, named: DataFrame) -> DataFrame:
+def named_and_discovered(discovered: DataFrame, wanted: DataFrame) -> DataFrame:
     """Tables found in the source together with those a mapping names, each once."""
-    return discovered.unionByName(named).distinct()
+    return discovered.unionByName(wanted).distinct()
 
 
 def mapping_to_json(mapping: Mapping) -> str:

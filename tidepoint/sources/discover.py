@@ -40,8 +40,8 @@ def time_column_of(schema: T.StructType) -> str | None:
     ]
     if typed:
         return typed[-1]
-    named = [f.name for f in schema.fields if re.search(TIME_NAME_PATTERN, f.name.lower())]
-    return named[0] if named else None
+    speaking = [f.name for f in schema.fields if re.search(TIME_NAME_PATTERN, f.name.lower())]
+    return speaking[0] if speaking else None
 
 
 def id_column_of(schema: T.StructType, primary_key: str | None = None) -> str | None:

@@ -90,9 +90,9 @@ def scan_super_table(
     spread over several tasks and still reads in order.
     """
     rows = time_range(df, time_column, start, end)
-    named = [named(c).alias(f"col_{i}") for i, c in enumerate(columns, 1)]
+    by_position = [named(c).alias(f"col_{i}") for i, c in enumerate(columns, 1)]
     rows = rows.select(
-        named(table_column).alias("tbname"), named(time_column).alias("ts"), *named
+        named(table_column).alias("tbname"), named(time_column).alias("ts"), *by_position
     )
     if not sort:
         return rows
