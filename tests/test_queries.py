@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TIDEPOINT_SF_DIR", "/root/testdata/sf0.001")
 
@@ -39,11 +39,11 @@ def _bag(columns, rows):
     )
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    frame = contract.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     found = _bag(frame.columns, frame.collect())
-    cursor = duck.execute(contract.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     wanted = _bag([d[0] for d in cursor.description], cursor.fetchall())
     assert found[0] == wanted[0]
     surplus, lack = found[1] - wanted[1], wanted[1] - found[1]
