@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepoint.llm.exact import exact_copies
+from tidepoint.llm.minhash import near_classes
 from tidepoint.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query, table
 from tidepoint.llm.rules import MEASURES, POLICIES, apply_policy, rule_ledger
 from tidepoint.llm.warc import read_archive, write_archive
@@ -37,6 +38,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@llm_query("op3_minhash")
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component of their near duplicates, on shingles of two words."""
+    return near_classes(table(spark, sf_dir, "documents"), words=2)
+
+
 @llm_query(
     "op8_rules",
     rf"""
