@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidepoint.llm.exact import exact_copies
 from tidepoint.llm.minhash import near_classes
+from tidepoint.llm.mixing import mixture
 from tidepoint.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query, table
 from tidepoint.llm.rules import MEASURES, POLICIES, apply_policy, rule_ledger
+from tidepoint.llm.secrets import secret_spans
 from tidepoint.llm.warc import read_archive, write_archive
 from tidepoint.session import scratch_path
 
@@ -17,6 +19,12 @@ __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@llm_query("op1_mixing")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as often as the mixture reads them, with their place in it."""
+    return mixture(table(spark, sf_dir, "documents"))
+
+
 @llm_query(
     "op2_warc",
     """
@@ -44,6 +52,12 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), words=2)
 
 
+@llm_query("op7_secrets")
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of all documents."""
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
 @llm_query(
     "op8_rules",
     rf"""
