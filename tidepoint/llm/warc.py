@@ -30,10 +30,10 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 ROLL_BYTES = 8 << 20
 REVISIT_BYTES = 1000
 BINS = 4096
@@ -51,43 +51,45 @@ def _file_system(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def record_types(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """Pages with ``payload, payload_bytes, payload_digest, refers_to`` (null: response).
-
-    Groups are aggregated before they move; the join back is spread by adaptive execution.
-    """
+def page_rows(pages: DataFrame) -> DataFrame:
+    """``page_id, url, payload, payload_bytes, payload_digest``."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    hashed = pages.select(
+    return pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url", payload.alias("payload")
     ).select(
         "*",
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         F.sha1("payload").alias("payload_digest"),
     )
-    large = F.col("payload_bytes") >= revisit_bytes
+
+
+def revisits(rows: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """``page_id, payload_digest, refers_to, payload_bytes`` of the rows that are revisits.
+
+    Only ids and digests move. Groups are aggregated first; the join back to their rows is
+    spread by adaptive execution.
+    """
+    narrow = rows.where(F.col("payload_bytes") >= revisit_bytes).select(
+        "page_id", "payload_bytes", "payload_digest"
+    )
     latest = (
-        hashed.where(large)
-        .groupBy("payload_bytes", "payload_digest")
-        .agg(F.max("page_id").alias("latest"), F.count("*").alias("copies"))
+        narrow.groupBy("payload_bytes", "payload_digest")
+        .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies"))
         .where("copies > 1")
         .drop("copies")
     )
-    older = F.col("latest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("latest"))
-    return (
-        hashed.join(latest, ["payload_bytes", "payload_digest"], "left")
-        .withColumn("refers_to", F.when(older, F.col("latest")))
-        .drop("latest")
-    )
+    older = ~F.col("page_id").eqNullSafe(F.col("refers_to"))
+    return narrow.join(latest, ["payload_bytes", "payload_digest"]).where(older)
 
 
-def with_shard(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
-    """Adds ``shard``: consecutive ranges of ``page_id`` of about ``shard_bytes`` each.
+def shard_column(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Column, int]:
+    """The shard of a ``page_id``, and how many there are: ranges of about ``shard_bytes``.
 
     The histogram has at most ``BINS`` rows, so its way through the driver is bounded.
     """
     low, high = records.agg(F.min("page_id"), F.max("page_id")).first()
     if low is None:
-        return records.withColumn("shard", F.lit(0)), 1
+        return F.lit(0), 1
     width = max(1, -(-(high - low + 1) // BINS))
     bin_of = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(0)).cast("int")
     counted = records.groupBy(bin_of.alias("bin")).agg(F.sum("payload_bytes").alias("n"))
@@ -98,8 +100,7 @@ def with_shard(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Data
             shard, filled = shard + 1, 0
         shards.append(shard)
         filled += sizes.get(i, 0)
-    table = F.lit(shards)
-    return records.withColumn("shard", F.element_at(table, bin_of + 1)), shard + 1
+    return F.element_at(F.lit(shards), bin_of + 1), shard + 1
 
 
 def _record_id(page_id: int | None, digest: str) -> str:
@@ -223,25 +224,42 @@ def write_archive(
 ) -> DataFrame:
     """Write ``pages`` below ``folder`` (a URI all executors reach); returns the manifest."""
     spark = pages.sparkSession
-    records, n_shards = with_shard(record_types(pages, revisit_bytes), shard_bytes)
+    rows = page_rows(pages)
+    shard, n_shards = shard_column(rows, shard_bytes)
+    empty = F.lit(None)
+    notes = revisits(rows, revisit_bytes).distinct().select(
+        shard.alias("shard"), "page_id", "payload_digest", F.lit(0).alias("kind"), "refers_to",
+        empty.cast("string").alias("url"), empty.cast("binary").alias("payload"),
+    )
+    full = rows.select(
+        shard.alias("shard"), "page_id", "payload_digest", F.lit(1).alias("kind"),
+        empty.cast("bigint").alias("refers_to"), "url", "payload",
+    )
+    # A payload moves once. A note that a page is a revisit sorts just before the page.
+    # More partitions than shards, so that few shards share a task by chance.
     dealt = (
-        records.repartition(n_shards, "shard")
-        .sortWithinPartitions("shard", "page_id", "payload_digest", "url")
-        .select("shard", "page_id", "url", "payload", "payload_digest", "refers_to")
+        full.unionByName(notes)
+        .repartition(4 * n_shards, "shard")
+        .sortWithinPartitions("shard", "page_id", "payload_digest", "kind", "url")
     )
     fs, base = _file_system(folder)
     fs.create_dir(base, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller = None
+        roller, note = None, None
         for batch in batches:
-            for shard, *page in zip(*(column.to_pylist() for column in batch.columns)):
+            columns = (column.to_pylist() for column in batch.columns)
+            for shard, page_id, digest, kind, refers_to, url, payload in zip(*columns):
+                if kind == 0:
+                    note = (page_id, digest, refers_to)
+                    continue
+                target = note[2] if note and note[:2] == (page_id, digest) else None
                 if roller is None or roller.shard != shard:
                     if roller is not None:
                         roller.close()
                         yield pa.RecordBatch.from_pylist(roller.done, _MANIFEST_ARROW)
                     roller = _Roller(folder, shard, roll_bytes)
-                roller.add(page_record(*page))
+                roller.add(page_record(page_id, url, payload, digest, target))
         if roller is not None:
             roller.close()
             yield pa.RecordBatch.from_pylist(roller.done, _MANIFEST_ARROW)
