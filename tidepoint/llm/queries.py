@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidepoint.llm.exact import exact_copies
 from tidepoint.llm.minhash import near_classes
 from tidepoint.llm.mixing import mixture
+from tidepoint.llm.packing import packed_pieces
 from tidepoint.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query, table
 from tidepoint.llm.rules import MEASURES, POLICIES, apply_policy, rule_ledger
 from tidepoint.llm.secrets import secret_spans
@@ -52,6 +53,12 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), words=2)
 
 
+@llm_query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 @llm_query("op7_secrets")
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of all documents."""

@@ -14,15 +14,15 @@ reported; an empty table gives no rows. Columns besides ``doc_id`` and ``text``
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidepoint.llm.tokens import default_vocabulary, encoding
+
 KINDS = ("assign", "access", "hex", "random")
 MIN_CHARS = 20
 MAX_RATIO = 2.4  # characters per token
@@ -44,15 +44,6 @@ _PART = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{2,}(?![a-z])|[0-9]+")
 _JOINERS = re.compile(r"[+/_=-]+")
 
 
-@lru_cache(maxsize=2)
-def _encoding(path: str, pattern: str):
-    import tiktoken
-
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-
 def is_digest(text: str) -> bool:
     return len(text) in _DIGEST_CHARS and _DIGEST.fullmatch(text) is not None
 
@@ -111,14 +102,10 @@ def secret_spans(
 
     ``vocabulary``: path of token ranks in the tiktoken format, the same on all executors.
     """
-    if vocabulary is None or pattern is None:
-        import public_tokenizers
-
-        vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
-        pattern = pattern or public_tokenizers.PATTERN
+    vocabulary, pattern = default_vocabulary(vocabulary, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(vocabulary, pattern).encode_ordinary
+        encode = encoding(vocabulary, pattern).encode_ordinary
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
