@@ -12,6 +12,7 @@ from tidepoint.llm.packing import packed_pieces
 from tidepoint.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query, table
 from tidepoint.llm.rules import MEASURES, POLICIES, apply_policy, rule_ledger
 from tidepoint.llm.secrets import secret_spans
+from tidepoint.llm.toxicity import toxic_scores, train
 from tidepoint.llm.warc import read_archive, write_archive
 from tidepoint.session import scratch_path
 
@@ -113,6 +114,13 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.select("doc_id", *MEASURES, "failed_bits", base.alias("base_failed"), "kept")
 
 
+@llm_query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of all documents, learnt outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    return toxic_scores(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 @llm_query(
     "op10_exact",
     """
