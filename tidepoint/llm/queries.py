@@ -9,6 +9,7 @@ from tidepoint.llm.exact import exact_copies
 from tidepoint.llm.minhash import near_classes
 from tidepoint.llm.mixing import mixture
 from tidepoint.llm.packing import packed_pieces
+from tidepoint.llm.passages import drop_passages
 from tidepoint.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query, table
 from tidepoint.llm.rules import MEASURES, POLICIES, apply_policy, rule_ledger
 from tidepoint.llm.secrets import secret_spans
@@ -54,6 +55,33 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), words=2)
 
 
+@llm_query(
+    "op4_passages",
+    rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+    w AS (
+        SELECT r, doc_id, i, list_slice(words, i, i + 12) AS win
+        FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)),
+    g AS (SELECT r, i FROM w QUALIFY doc_id > min(doc_id) OVER (PARTITION BY win)),
+    covered AS (SELECT DISTINCT r, i + k AS p FROM g, range(13) AS ks(k)),
+    kept AS (
+        SELECT r, string_agg(word, ' ' ORDER BY p) AS rest, count(*) AS n
+        FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM d)
+        ANTI JOIN covered USING (r, p) GROUP BY r)
+    SELECT doc_id, len(words)::BIGINT AS n_words,
+           (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+           sha256(coalesce(rest, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (r)
+    """,
+)
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 13-word passages of documents before them."""
+    cleaned = drop_passages(table(spark, sf_dir, "documents"), with_text=False)
+    return cleaned.drop("kept_text")
+
+
 @llm_query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
