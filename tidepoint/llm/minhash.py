@@ -9,11 +9,11 @@ only their smallest id goes on. Every comparison is made on the full sets of shi
 
 No bucket is expanded into its pairs. The smallest member of a bucket is its centre and is
 compared with the others. As Jaccard distance is a metric, a member within ``NEAR`` of the
-centre has all its possible partners within ``FAR`` of it, so it needs no other centre; the
-rest of the bucket gets a next centre, until nothing is left. Pairs with a centre that are
-similar enough are links; those within ``FAR`` make families, which hold every link that a
-bucket offers. In a family the members outside its largest component are then compared with
-all its members, by an inverted index in tasks of bounded size, which return links only.
+centre has all its possible partners within ``FAR`` of it. Pairs with a centre that are
+similar enough are links; those within ``FAR`` make families. The members that their centre
+does not settle are a family of their own. So every link that a bucket offers is within a
+family, whose members outside its largest component are then compared with all its members,
+by an inverted index in tasks of bounded size, which return links only.
 
 Defined cases: a null or empty text, or one of blanks, has an empty set and is its own
 component; repeated rows with one id are one document if their sets agree, else each is
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepoint.llm.components import components
@@ -163,44 +163,45 @@ def scored(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def centre_scores(
-    spark: SparkSession, members: DataFrame, texts: DataFrame, words: int, folder: str
-) -> DataFrame:
-    """Scores of bucket members with the centres that settle them: ``a, b, common, total``.
+    members: DataFrame, texts: DataFrame, words: int, folder: str
+) -> tuple[DataFrame, DataFrame]:
+    """Scores of bucket members with their centre, ``a, b, common, total``, and the members
+    ``bucket, x, n`` that their centre does not settle.
 
-    ``members``: ``bucket, x, n``. Rounds go on until each bucket has at most one member left.
+    ``members``: ``bucket, x, n``.
     """
-    schema = "a bigint, b bigint, common bigint, total bigint"
-    left, turn = members, 0
-    spark.createDataFrame([], schema).write.parquet(f"{folder}/scores/turn=0")
-    while True:
-        centres = (
-            left.groupBy("bucket")
-            .agg(F.min(F.struct("x", "n")).alias("c"), F.count("*").alias("size"))
-            .where("size > 1")
-            .select("bucket", F.col("c.x").alias("a"), F.col("c.n").alias("na"))
-        )
-        rows = (
-            left.join(centres, "bucket")
-            .where("x <> a")
-            .select("bucket", "a", "na", F.col("x").alias("b"), "n")
-        )
-        rows = pin(rows)
-        if rows.isEmpty():
-            return spark.read.schema(schema).parquet(f"{folder}/scores/turn=*")
-        known = spark.read.schema(schema).parquet(f"{folder}/scores/turn=*")
-        fresh = (
-            rows.where(_sizes_fit(F.col("n"), F.col("na"), FAR))
-            .select("a", "b")
-            .distinct()
-            .join(known, ["a", "b"], "left_anti")
-        )
-        turn += 1
-        scored(fresh, texts, words).write.parquet(f"{folder}/scores/turn={turn}")
-        known = spark.read.schema(schema).parquet(f"{folder}/scores/turn=*")
-        settled = known.where(f"100 * common >= {NEAR} * total").select("a", "b")
-        left = rows.join(settled, ["a", "b"], "left_anti").select(
-            "bucket", F.col("b").alias("x"), "n"
-        )
+    centres = members.groupBy("bucket").agg(F.min(F.struct("x", "n")).alias("c"))
+    rows = (
+        members.join(centres, "bucket")
+        .select("bucket", F.col("c.x").alias("a"), F.col("c.n").alias("na"), "x", "n")
+        .where("x <> a")
+    )
+    pairs = rows.where(_sizes_fit(F.col("n"), F.col("na"), FAR))
+    pairs = pairs.select("a", F.col("x").alias("b")).distinct()
+    scored(pairs, texts, words).write.parquet(f"{folder}/scores")
+    scores = members.sparkSession.read.parquet(f"{folder}/scores")
+    settled = scores.where(f"100 * common >= {NEAR} * total").select("a", F.col("b").alias("x"))
+    left = rows.join(settled, ["a", "x"], "left_anti").select("bucket", "x", "n")
+    return scores, left
+
+
+def left_over(left: DataFrame) -> DataFrame:
+    """The unsettled members of buckets with two or more of them as families of their own.
+
+    Many buckets have the same members left; one of them is enough. They are told by a
+    128-bit sum over the members.
+    """
+    sums = left.groupBy("bucket").agg(
+        F.count("*").alias("size"),
+        F.sum(F.xxhash64("x").cast("decimal(38,0)")).alias("s1"),
+        F.sum(F.xxhash64("x", F.lit(1)).cast("decimal(38,0)")).alias("s2"),
+    )
+    chosen = (
+        sums.where("size > 1").groupBy("size", "s1", "s2").agg(F.min("bucket").alias("bucket"))
+    )
+    return left.join(chosen.select("bucket"), "bucket", "left_semi").select(
+        F.col("bucket").alias("k"), "x", "n", F.col("x").alias("c")
+    )
 
 
 def _cross_links(words: int, threshold: int):
@@ -323,7 +324,7 @@ def near_classes(
     own.write.option("compression", "zstd").parquet(f"{folder}/texts")
     own = spark.read.parquet(f"{folder}/texts")
 
-    scores = centre_scores(spark, members, own, words, folder)
+    scores, left = centre_scores(members, own, words, folder)
     links = scores.where(f"100 * common >= {threshold} * total").select("a", "b")
     relatives = scores.where(f"100 * common >= {FAR} * total").select("a", "b")
     parts = components(links)
@@ -334,6 +335,7 @@ def near_classes(
         .join(parts.select(F.col("node").alias("x"), F.col("component").alias("c")), "x", "left")
         .select("k", "x", "n", F.coalesce("c", "x").alias("c"))
     )
+    families = families.unionByName(left_over(left))
     more = pin(family_links(families, own, words, threshold))
     if not more.isEmpty():
         parts = components(links.union(more))
