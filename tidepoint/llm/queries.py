@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepoint.llm.bytespans import drop_repeats
 from tidepoint.llm.exact import exact_copies
 from tidepoint.llm.minhash import near_classes
 from tidepoint.llm.mixing import mixture
@@ -88,6 +89,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
 
+@llm_query("op6_bytespans")
+def op6_bytespans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 100-byte strings that start earlier."""
+    return drop_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 @llm_query("op7_secrets")
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of all documents."""
