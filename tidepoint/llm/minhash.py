@@ -350,3 +350,15 @@ def near_classes(
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with all columns, with one document of each component: the smallest id.
+
+    Rows that share an id stay if one of them is kept.
+    """
+    kept = near_classes(docs, **options).where("kept").select(F.col("doc_id").alias("kept_id"))
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(columns.alias("row"), F.col("doc_id").cast("bigint").alias("id"))
+    same = F.col("id").eqNullSafe(F.col("kept_id"))
+    return rows.join(kept.distinct(), same, "left_semi").select("row.*")
