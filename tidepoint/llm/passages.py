@@ -53,8 +53,8 @@ from tidepoint.llm.words import gram_fingerprints, slices, word_fingerprints
 
 WINDOW = 13
 DIGIT = 64
-GROUP_SUFFIXES = 1_000_000
-BATCH_BYTES = 24 << 20
+GROUP_SUFFIXES = 2_000_000
+BATCH_BYTES = 16 << 20
 BLOCK_BYTES = 8 << 20
 
 _SENT = "grp bigint, ids binary, tags binary, counts binary, paths binary, places binary"
@@ -68,11 +68,11 @@ def suffixes(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]
         if len(words) < window:
             continue
         lengths = np.diff(offsets)
-        docs = np.repeat(np.arange(begin, end), lengths)
-        places = np.arange(len(words)) - np.repeat(offsets[:-1], lengths)
+        docs = np.repeat(np.arange(begin, end, dtype=np.int32), lengths)
+        places = (np.arange(len(words)) - np.repeat(offsets[:-1], lengths)).astype(np.int32)
         n = len(words) - window + 1
         whole = docs[:n] == docs[window - 1 :]
-        digits = (words >> np.uint64(58)).astype(np.int32)
+        digits = (words >> np.uint64(58)).astype(np.int16)
         code = digits[:n] * DIGIT + digits[1 : n + 1]
         yield docs[:n][whole], places[:n][whole], code[whole], gram_fingerprints(words, window)[whole]
 
@@ -118,13 +118,15 @@ def _to_groups(window: int, first: np.ndarray, parts: np.ndarray, n_blocks: int)
         if not found:
             return
         docs, places, code, path = (np.concatenate(c) for c in zip(*found))
-        order = np.argsort(path, kind="stable")
+        del found
+        order = np.argsort(path, kind="stable").astype(np.int32)
         begin = runs(path[order])
         ids = batch.ids[docs]
         # Texts are in the order of ids, and so are the leaves of a node.
         least = np.repeat(ids[order[begin]], np.diff(np.append(begin, len(order))))
         later = np.zeros(len(order), bool)
         later[order] = ids[order] > least
+        del order, least
         if later.any():
             at = np.flatnonzero(later)
             blocks = block_numbers(ids[at], n_blocks)
@@ -133,9 +135,9 @@ def _to_groups(window: int, first: np.ndarray, parts: np.ndarray, n_blocks: int)
                 yield _message(
                     -1 - block, ids[own], batch.tags[docs[own]], b"", pack(places[own])
                 )
-        at = np.flatnonzero(~later)
+        at = np.flatnonzero(~later).astype(np.int32)
         split = parts[code[at]]
-        group = first[code[at]] + spread(path[at], 1 << 62) % split
+        group = (first[code[at]] + spread(path[at], 1 << 62) % split).astype(np.int32)
         for key, part in _parts(group):
             own = at[part]
             yield _message(
@@ -144,12 +146,11 @@ def _to_groups(window: int, first: np.ndarray, parts: np.ndarray, n_blocks: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _SENT.split(", ")]
+        kinds = [pa.int64(), *[pa.binary()] * 5]
         for batch in document_batches(batches, BATCH_BYTES):
-            rows = list(settle(batch))
-            if rows:
-                kinds = [pa.int64(), *[pa.binary()] * 5]
+            for row in settle(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
+                    [pa.array([c], k) for c, k in zip(row, kinds)], names
                 )
 
     return run
