@@ -285,7 +285,7 @@ def test_responses_with_inferred_roles(spark, tmp_path):
     ]
     for i, document in enumerate(documents):
         (tmp_path / f"r{i}.json").write_text(json.dumps(document, indent=1))
-    saved = read_responses(spark, str(tmp_path))
+    saved = read_responses(spark, str(tmp_path), one_per_line=False)
     schema, types = infer_response_schema(saved)
     assert (schema.tags, types) == (("host",), {"value": "double", "up": "boolean"})
     got = {tuple(r) for r in parse_responses(saved, schema, types).collect()}
@@ -301,7 +301,7 @@ def test_responses_with_inferred_roles(spark, tmp_path):
 def test_tag_keys_keep_text_fields(spark, tmp_path):
     document = _response([["2024-01-01T00:00:00Z", "a", "fine", 3]], ["time", "host", "state", "n"])
     (tmp_path / "r.jsonl").write_text(json.dumps(document) + "\n" + json.dumps(document))
-    saved = read_responses(spark, str(tmp_path), one_per_line=True)
+    saved = read_responses(spark, str(tmp_path))
     schema, types = infer_response_schema(saved, tag_keys=["host"])
     assert (schema.tags, types) == (("host",), {"state": "string", "n": "bigint"})
     assert [tuple(r) for r in parse_responses(saved, schema, types).collect()] == [

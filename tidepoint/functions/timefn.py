@@ -49,6 +49,15 @@ def truncate_ns(ns: Column, unit_ns: int) -> Column:
 def parse_time_ns(text: Column) -> Column:
     """Text time to ns with all nine fraction digits; null when no layout fits.
 
+    ``text`` may be any expression: it is evaluated once and bound, as the parser reads it
+    in a dozen places. :func:`parse_time_column` spares the binding of a bare column.
+    """
+    return F.transform(F.array(text), parse_time_column)[0]
+
+
+def parse_time_column(text: Column) -> Column:
+    """:func:`parse_time_ns` of a bare column.
+
     Spark's own cast reads the time to the microsecond; digits seven to nine, which stand at
     a fixed place, are added. One pattern settles the layout, as the cast alone takes more.
     """
@@ -90,7 +99,7 @@ def to_time_ns(df: DataFrame, name: str) -> Column:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return timestamp_to_ns(column)
     if isinstance(kind, T.StringType):
-        return parse_time_ns(column)
+        return parse_time_column(column)
     if isinstance(kind, T.LongType):
         return F.nullif(column, F.lit(0).cast("bigint"))
     return epoch_number_to_ns(column)

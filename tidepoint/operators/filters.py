@@ -75,8 +75,11 @@ def in_series(points: DataFrame, series: DataFrame, columns: Sequence[str]) -> D
 
     A left semi join without a hint: Spark broadcasts ``series`` only while its measured size
     is below the broadcast threshold and otherwise shuffles, where adaptive execution splits
-    a hot series. Null-safe equality keeps its hash keys in both cases.
+    a hot series. Null-safe equality keeps its hash keys in both cases. Without columns there
+    is nothing to tell series apart, and every point belongs.
     """
+    if not columns:
+        return points
     left, right = points.alias("p"), series.select(*map(named, columns)).alias("s")
     on = reduce(
         lambda a, b: a & b, [named(c, "p").eqNullSafe(named(c, "s")) for c in columns]

@@ -16,6 +16,7 @@ from tidepoint.sinks.tables import UpsertTable
 # The states of a task or window.
 PENDING, IN_PROGRESS, COMPLETED, FAILED = "pending", "in_progress", "completed", "failed"
 
+# The columns of a ledger are its interface.
 TASK_KEYS = ["task_id", "source_table"]
 WINDOW_KEYS = ["task_id", "shard_group_id", "window_start"]
 TASK_SCHEMA = (
@@ -140,6 +141,7 @@ class Ledger:
         table.upsert(
             typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
         )
+        table.expire()
 
     # Tasks
 

@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepoint.functions.columns import named
+from tidepoint.functions.columns import named, spare_name
 from tidepoint.points import check_batch_size, check_series_per_query
-from tidepoint.session import pin
+from tidepoint.session import pin, small_or_pinned
 
 
 def number_rows(
@@ -23,36 +23,42 @@ def number_rows(
     partition then counts its own rows of a group and adds what the partitions before it
     hold. ``order_by`` must be total up to fully equal rows, which are spread by a random
     last key. The placement is pinned to reliable storage because counts and rows must
-    agree on it even when a lost task is run again.
+    agree on it even when a lost task is run again. The counts have a row per partition and
+    group; few of them are joined as a local relation, which leaves the pinned rows in place.
     """
-    keys = [*group_by, *order_by, "_salt"]
+    salt, part, pos, first, n, shift = (
+        spare_name(df.columns, c) for c in ("_salt", "_part", "_pos", "_first", "_n", "_shift")
+    )
+    keys = [*group_by, *order_by, salt]
     placed = (
-        df.withColumn("_salt", F.rand(11))
+        df.withColumn(salt, F.rand(11))
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .drop("_salt")
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id())
+        .drop(salt)
+        .withColumn(part, F.spark_partition_id())
+        .withColumn(pos, F.monotonically_increasing_id())
     )
     placed = pin(placed)
-    counts = placed.groupBy("_part", *group_by).agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
+    counts = placed.groupBy(part, *group_by).agg(
+        F.min(pos).alias(first), F.count(F.lit(1)).alias(n)
     )
-    before = Window.partitionBy(*group_by).orderBy("_part").rowsBetween(
+    before = Window.partitionBy(*group_by).orderBy(part).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = counts.select(
-        "_part",
-        *group_by,
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+    offsets = small_or_pinned(
+        counts.select(
+            part,
+            *group_by,
+            (F.coalesce(F.sum(n).over(before), F.lit(0)) - F.col(first) + 1).alias(shift),
+        )
     )
     left, right = placed.alias("l"), offsets.alias("r")
     on = reduce(
         lambda a, b: a & b,
-        [F.col("l._part") == F.col("r._part")]
+        [F.col(f"l.{part}") == F.col(f"r.{part}")]
         + [named(g, "l").eqNullSafe(named(g, "r")) for g in group_by],
     )
-    number = (F.col("l._pos") + F.col("r._shift")).cast("bigint")
+    number = (F.col(f"l.{pos}") + F.col(f"r.{shift}")).cast("bigint")
     return left.join(right, on).select(*[named(c, "l") for c in df.columns], number.alias(out))
 
 
@@ -69,8 +75,9 @@ def series_batches(
 ) -> DataFrame:
     """Consecutive groups of ``size`` series in key order, numbered from 0 within each group."""
     size = check_series_per_query(max(size, 0))
-    numbered = number_rows(series, group_by, [key], "_no")
-    return numbered.withColumn("batch_id", _batch_of("_no", size)).drop("_no")
+    number = spare_name(series.columns, "_no")
+    numbered = number_rows(series, group_by, [key], number)
+    return numbered.withColumn("batch_id", _batch_of(number, size)).drop(number)
 
 
 def chunk_batches(

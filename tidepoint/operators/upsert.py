@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepoint.functions.columns import named
+from tidepoint.functions.columns import named, spare_name
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
@@ -19,13 +19,14 @@ def last_wins(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> Da
     """
     values = [c for c in df.columns if c not in keys]
     ranked = [*sequence, *[v for v in values if v not in sequence]]
-    newest = F.max(F.struct(*[named(c) for c in ranked])).alias("_newest")
+    helper = spare_name(df.columns, "_newest")
+    newest = F.max(F.struct(*[named(c) for c in ranked])).alias(helper)
     return (
         df.groupBy(*[named(k) for k in keys])
         .agg(newest)
         .select(
             *[
-                named(c) if c in keys else F.col("_newest").getField(c).alias(c)
+                named(c) if c in keys else F.col(helper).getField(c).alias(c)
                 for c in df.columns
             ]
         )

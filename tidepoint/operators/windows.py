@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import spare_name
 from tidepoint.functions.timefn import ns_floor_div
+from tidepoint.session import small_or_pinned
 
 
 def _long(value: int | Column) -> Column:
@@ -71,16 +73,20 @@ def assign_intervals(
 
     Each interval is listed under every grid cell it touches and each point under its own
     cell, which turns the range join into an equi-join on the cell. ``cell_ns`` is best near
-    the usual interval length.
+    the usual interval length. The intervals are evaluated first: few of them reach the plan
+    as a local relation, whose true size lets Spark broadcast it, so the points stay in place.
     """
     first = ns_floor_div(F.col(start), cell_ns)
     last = ns_floor_div(F.col(end) - 1, cell_ns)
-    listed = intervals.where(F.col(start) < F.col(end)).withColumn(
-        "_cell", F.explode(F.sequence(first, last))
+    cell = spare_name([*points.columns, *intervals.columns], "_cell")
+    listed = small_or_pinned(
+        intervals.where(F.col(start) < F.col(end)).withColumn(
+            cell, F.explode(F.sequence(first, last))
+        )
     )
-    keyed = points.withColumn("_cell", ns_floor_div(F.col(time), cell_ns))
+    keyed = points.withColumn(cell, ns_floor_div(F.col(time), cell_ns))
     inside = (F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))
-    return keyed.join(listed, "_cell").where(inside).drop("_cell")
+    return keyed.join(listed, cell).where(inside).drop(cell)
 
 
 def window_summary(points: DataFrame, keys: Sequence[str], time: str = "time_ns") -> DataFrame:

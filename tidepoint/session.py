@@ -48,3 +48,17 @@ def pin(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+LOCAL_ROWS = 10_000
+
+
+def small_or_pinned(df: DataFrame, most: int = LOCAL_ROWS) -> DataFrame:
+    """Fix the rows of ``df``; a table of at most ``most`` rows becomes a local relation.
+
+    The planner then knows how small it is. A computed table keeps the size estimate of the
+    plan it came from, by which Spark would shuffle the other side of a join with it.
+    """
+    fixed = pin(df)
+    rows = fixed.limit(most + 1).toArrow()
+    return df.sparkSession.createDataFrame(rows, df.schema) if rows.num_rows <= most else fixed

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepoint.functions.columns import named
+from tidepoint.functions.columns import named, spare_name
 from tidepoint.functions.timefn import ns_to_timestamp, truncate_ns
 from tidepoint.operators.upsert import merge_batches
 from tidepoint.points import Mapping, PointsSchema
@@ -72,17 +73,43 @@ def _typed(points: DataFrame, name: str, type_name: str | None) -> Column:
         return column
     if type_name == "timestamp" and isinstance(points.schema[name].dataType, T.LongType):
         return ns_to_timestamp(column)
-    return column.try_cast(type_name)
+    fitted = column.try_cast(type_name)
+    lost = column.isNotNull() & fitted.isNull()
+    message = F.concat(F.lit(f"{name} does not fit {type_name}: "), column.cast("string"))
+    return F.when(lost, F.raise_error(message)).otherwise(fitted)
 
 
 def save_typed_table(rows: DataFrame, table: str, path: str | None = None) -> None:
-    """Create the table on first use, at ``path`` if given, and append afterwards."""
+    """Create the table on first use, at ``path`` if given, and append afterwards.
+
+    Columns the table does not have yet are added to it, columns the rows lack are null. A
+    column of another type is refused. Appending again repeats the rows; a target that must
+    bear repeated loads is an :class:`UpsertTable` of the same typed rows.
+    """
     spark = rows.sparkSession
-    if spark.catalog.tableExists(table):
-        target = spark.table(table)
-        rows.select(*target.columns).write.insertInto(table)
-    else:
+    if not spark.catalog.tableExists(table):
         (rows.write.option("path", path) if path else rows.write).saveAsTable(table)
+        return
+    known = {f.name: f.dataType for f in spark.table(table).schema}
+    found = {f.name: f.dataType for f in rows.schema}
+    for name in known.keys() & found.keys():
+        if known[name] != found[name]:
+            raise ValueError(
+                f"{name} is {known[name].simpleString()} in {table},"
+                f" not {found[name].simpleString()}"
+            )
+    new = [f for f in rows.schema if f.name not in known]
+    if new:
+        listed = ", ".join(
+            "`" + f.name.replace("`", "``") + "` " + f.dataType.simpleString() for f in new
+        )
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+        spark.catalog.refreshTable(table)
+    columns = [
+        named(f.name) if f.name in found else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.table(table).schema
+    ]
+    rows.select(*columns).write.insertInto(table)
 
 
 def upsert_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str]) -> DataFrame:
@@ -101,8 +128,11 @@ def upsert_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str]
 def flat_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str]) -> DataFrame:
     """Points as rows of a flat table: time and fields, no tags.
 
-    Rows are upserted on ``time_ns``, so loading the same points again adds nothing.
+    Rows are upserted on ``time_ns``, so loading the same points again adds nothing. Points
+    with tags are of several series, of which only one could stay per time; they are refused.
     """
+    if schema.tags:
+        raise ValueError(f"a flat table has no tags, so these would merge: {schema.tags}")
     extra = [s for s in sequence if s not in schema.fields]
     return points.select(
         F.col(schema.time_col).alias("time_ns"),
@@ -111,6 +141,23 @@ def flat_rows(points: DataFrame, schema: PointsSchema, sequence: Sequence[str])
     )
 
 
+WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+NUMBERS = (*WHOLE_NUMBERS, T.FloatType, T.DoubleType)
+
+
+def wider_type(name: str, one: T.DataType, two: T.DataType) -> T.DataType:
+    """The type for a column that comes in two: whole numbers widen, with fractions to double."""
+    if one == two or isinstance(two, T.NullType):
+        return one
+    if isinstance(one, T.NullType):
+        return two
+    if isinstance(one, WHOLE_NUMBERS) and isinstance(two, WHOLE_NUMBERS):
+        return max(one, two, key=lambda t: WHOLE_NUMBERS.index(type(t)))
+    if isinstance(one, NUMBERS) and isinstance(two, NUMBERS):
+        return T.DoubleType()
+    raise ValueError(f"{name} is {one.simpleString()} and cannot take {two.simpleString()}")
+
+
 def slice_of(time_ns: Column, width_ns: int) -> Column:
     """Storage slice of a time, named by its start in ns; rows without a time share one."""
     return F.coalesce(truncate_ns(time_ns, width_ns).cast("string"), F.lit("none"))
@@ -148,8 +195,9 @@ class UpsertTable:
         return [int(n.removesuffix(".json")) for n in names if n.endswith(".json")]
 
     def _manifest(self, version: int | None = None) -> dict | None:
-        """``{version, slice_ns, schema, slices: {slice: data version}}``.
+        """``{version, slice_ns, schema, slices: {slice: version}, written: {version: …}}``.
 
+        ``written`` has the schema of each data version and the name of its slice folders.
         It grows with the number of slices of the table, not with its rows.
         """
         versions = self._versions()
@@ -185,59 +233,106 @@ class UpsertTable:
         return self._read(manifest, inside).where((time >= start_ns) & (time < end_ns))
 
     def _read(self, manifest: dict, slices: Sequence[str]) -> DataFrame:
-        paths = [f"{self.path}/data/v={manifest['slices'][s]}/slice={s}" for s in slices]
+        """Slices in the types of the table now; each is read in the types it was written in."""
         schema = T.StructType.fromJson(manifest["schema"])
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def _sliced(self, rows: DataFrame) -> DataFrame:
-        if not self.slice_time:
-            return rows.withColumn("slice", F.lit("all"))
-        return rows.withColumn("slice", slice_of(F.col(self.slice_time), self.slice_ns))
-
-    def _touched(self, incoming: DataFrame) -> set[str]:
+        paths: dict[str, list[str]] = {}
+        for s in slices:
+            version = str(manifest["slices"][s])
+            written = manifest["written"][version]
+            paths.setdefault(json.dumps(written["schema"]), []).append(
+                f"{self.path}/data/v={version}/{written['folder']}={s}"
+            )
+        parts = []
+        for stored, found in paths.items():
+            own = T.StructType.fromJson(json.loads(stored))
+            have = set(own.names)
+            part = self.spark.read.schema(own).parquet(*found)
+            columns = [
+                (named(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schema
+            ]
+            parts.append(part.select(*columns))
+        return reduce(DataFrame.unionByName, parts)
+
+    def _write(self, rows: DataFrame, path: str) -> tuple[str, list[str]]:
+        """Write ``rows`` by slice; the folder name used, and the slices found written."""
+        folder = spare_name(rows.columns, "slice")
         if self.slice_time:
-            slices = self._sliced(incoming).select("slice").distinct()
-            return {row["slice"] for row in slices.collect()}
-        return set() if incoming.isEmpty() else {"all"}
+            # Adaptive execution then splits a large slice over several files and merges
+            # small ones, in place of one file per task and slice.
+            time = slice_of(F.col(self.slice_time), self.slice_ns)
+            rows = rows.withColumn(folder, time).hint("rebalance", folder)
+        else:
+            rows = rows.withColumn(folder, F.lit("all"))
+        rows.write.mode("overwrite").partitionBy(folder).parquet(path)
+        prefix = f"{folder}="
+        found = self._files.names(path)
+        return folder, [n.removeprefix(prefix) for n in found if n.startswith(prefix)]
 
     def upsert(self, incoming: DataFrame) -> int:
-        """Merge ``incoming`` and return the version that holds it."""
+        """Merge ``incoming`` and return the version that holds it.
+
+        ``incoming`` is evaluated once, into a staging folder; which slices it touches is
+        read off there, so a source that grows meanwhile loses nothing.
+        """
         manifest = self._manifest()
         version = manifest["version"] if manifest else 0
-        touched = self._touched(incoming)
+        schema = self._schema_with(manifest, incoming.schema)
+        staging = f"{self.path}/staged/v={version + 1}"
+        folder, touched = self._write(incoming, staging)
         if not touched:
+            self._files.remove(staging)
             return version
+        staged = self.spark.read.schema(incoming.schema).parquet(
+            *[f"{staging}/{folder}={s}" for s in touched]
+        )
         slices = manifest["slices"] if manifest else {}
-        affected = sorted(touched & slices.keys())
-        existing = self._read(manifest, affected) if affected else None
-        merged = merge_batches(existing, incoming, self.keys, self.sequence)
+        affected = sorted(set(touched) & slices.keys())
+        existing = None
+        if affected:
+            existing = self._read(manifest | {"schema": schema.jsonValue()}, affected)
+        own = [f for f in schema if f.name in staged.columns]
+        typed = staged.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in own])
+        merged = merge_batches(existing, typed, self.keys, self.sequence)
         version += 1
-        rows = self._sliced(merged)
-        if self.slice_time:
-            # Adaptive execution then splits a large slice over several files and merges
-            # small ones, in place of one file per task and slice.
-            rows = rows.hint("rebalance", "slice")
-        rows.write.mode("overwrite").partitionBy("slice").parquet(f"{self.path}/data/v={version}")
+        folder, _ = self._write(merged, f"{self.path}/data/v={version}")
+        slices = {**slices, **{s: version for s in touched}}
+        written = {
+            **(manifest["written"] if manifest else {}),
+            str(version): {"schema": merged.schema.jsonValue(), "folder": folder},
+        }
+        used = {str(v) for v in slices.values()}
         self._files.create(
             f"{self.path}/manifest/{version:010d}.json",
             json.dumps(
                 {
                     "version": version,
                     "slice_ns": self.slice_ns,
-                    "schema": self._schema_with(manifest, merged).jsonValue(),
-                    "slices": {**slices, **{s: version for s in sorted(touched)}},
+                    "schema": schema.jsonValue(),
+                    "slices": slices,
+                    "written": {v: w for v, w in written.items() if v in used},
                 }
             ),
         )
+        self._files.remove(staging)
         return version
 
     @staticmethod
-    def _schema_with(manifest: dict | None, merged: DataFrame) -> T.StructType:
-        """Known columns first, then new ones; a column once written is never lost."""
+    def _schema_with(manifest: dict | None, incoming: T.StructType) -> T.StructType:
+        """Known columns first, in the wider of both types, then new ones.
+
+        A column once written is never lost. Types that do not go together are refused
+        before anything is written.
+        """
         known = T.StructType.fromJson(manifest["schema"]).fields if manifest else []
+        types = {f.name: f.dataType for f in incoming}
         names = {f.name for f in known}
-        new = [f for f in merged.schema.fields if f.name not in names]
-        return T.StructType([*known, *[T.StructField(f.name, f.dataType) for f in new]])
+        kept = [
+            T.StructField(f.name, wider_type(f.name, f.dataType, types.get(f.name, f.dataType)))
+            for f in known
+        ]
+        new = [T.StructField(f.name, f.dataType) for f in incoming if f.name not in names]
+        return T.StructType([*kept, *new])
 
     def expire(self, keep: int = 10) -> None:
         """Remove manifests older than the last ``keep`` and data only those named."""

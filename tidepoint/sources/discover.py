@@ -134,6 +134,9 @@ def series_per_window(
 
 def tag_keys(points: DataFrame, schema: PointsSchema) -> DataFrame:
     """Tags in use per measurement, ``measurement, tag_key``."""
+    if not schema.tags:
+        none = F.lit(None).cast("string").alias("tag_key")
+        return points.select(F.col(schema.measurement_col), none).limit(0)
     used = points.groupBy(schema.measurement_col).agg(
         *[
             F.max(F.coalesce(tag_is_set(named(t)), F.lit(False))).alias(f"t_{i}")

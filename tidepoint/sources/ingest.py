@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepoint.functions.casts import cast_value
 from tidepoint.functions.columns import named
-from tidepoint.functions.timefn import parse_time_ns
+from tidepoint.functions.timefn import parse_time_column, parse_time_ns
 from tidepoint.points import PointsSchema, widest_kind
 
 _SERIES = (
@@ -23,11 +24,11 @@ RESPONSE_TYPE = (
 )
 
 
-def read_responses(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    """Response texts as ``response``; a file is one response unless ``one_per_line``.
+def read_responses(spark: SparkSession, path: str, one_per_line: bool = True) -> DataFrame:
+    """Response texts as ``response``, one per line, so that Spark can split a file.
 
-    One response is one page of a query, so its size is bounded by the page size; many
-    responses per file should be saved one per line, which lets Spark split the file.
+    With ``one_per_line`` off each file is one response: one page of a query, which is read
+    as one row.
     """
     return spark.read.text(path, wholetext=not one_per_line).withColumnRenamed(
         "value", "response"
@@ -105,14 +106,11 @@ def parse_responses(
 ) -> DataFrame:
     """Responses as wide points. A null or missing value is absent; bad times are absent."""
     rows = response_rows(responses)
-    cells = F.map_from_arrays(
-        F.slice(F.col("columns"), F.lit(1), F.least(F.size("columns"), F.size("row"))),
-        F.slice(F.col("row"), F.lit(1), F.least(F.size("columns"), F.size("row"))),
-    )
-    rows = rows.select("measurement", "series_tags", cells.alias("cells"))
 
     def value(name: str, type_name: str) -> Column:
-        return F.try_variant_get(F.element_at(F.col("cells"), F.lit(name)), "$", type_name)
+        # By place, the first of a repeated name; a short row has nothing at its end.
+        place = F.array_position("columns", name).cast("int") - 1
+        return F.try_variant_get(F.get("row", place), "$", type_name)
 
     columns = [F.col("measurement").alias(schema.measurement_col)]
     for tag in schema.tags:
@@ -160,25 +158,40 @@ def long_points(
         F.col(field).alias("field_name"),
         F.col(value).alias("field_value"),
         *[named(f) for f in fields],
-        parse_time_ns(F.col(time)).alias("time_ns"),
+        parse_time_column(F.col(time)).alias("time_ns"),
     )
 
 
+# The value cast that gives each column type.
+_CASTS = {"double": "float", "bigint": "int", "boolean": "bool", "string": "string"}
+
+
 def widen(
-    points: DataFrame, tags: Sequence[str], field_types: MappingType[str, str]
+    points: DataFrame,
+    tags: Sequence[str],
+    field_types: MappingType[str, str],
+    sequence: Sequence[str] = (),
 ) -> DataFrame:
     """One-field points of a series and time as one wide point, fields given by name.
 
     Naming the fields spares a pass that would look for them, and the aggregate combines
-    before its shuffle. Of repeated values the greatest is kept.
+    before its shuffle. Of repeated values the last by ``sequence`` wins, as in an upsert;
+    rows equal in it are settled by their text. Values are cast as a mapping casts them.
     """
-    fields = [
-        F.max(
-            F.when(F.col("field_name") == name, F.col("field_value").try_cast(type_name))
-        ).alias(name)
-        for name, type_name in sorted(field_types.items())
-    ]
-    return points.groupBy("measurement", *tags, "time_ns").agg(*fields)
+    text = F.col("field_value")
+    order = F.struct(*[named(s) for s in sequence], text)
+    fields = []
+    for name, type_name in sorted(field_types.items()):
+        last = F.max_by(text, F.when((F.col("field_name") == name) & text.isNotNull(), order))
+        fields.append(last.alias(name))
+    wide = points.groupBy("measurement", *tags, "time_ns").agg(*fields)
+    kind = T.StringType()
+    return wide.withColumns(
+        {
+            name: cast_value(named(name), kind, _CASTS.get(type_name, "")).cast(type_name)
+            for name, type_name in field_types.items()
+        }
+    )
 
 
 def to_long(points: DataFrame, schema: PointsSchema) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepoint.functions.columns import named
+from tidepoint.functions.columns import named, spare_name
 from tidepoint.operators.filters import after_position, in_series, time_range
 from tidepoint.points import PointsSchema, to_points
 
@@ -97,6 +97,7 @@ def scan_super_table(
     if not sort:
         return rows
     # The random last key lets rows of one table and time spread over partitions too.
-    keys = ["tbname", "ts", "_salt"]
-    salted = rows.withColumn("_salt", F.rand(11))
-    return salted.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_salt")
+    salt = spare_name(rows.columns, "_salt")
+    keys = ["tbname", "ts", salt]
+    salted = rows.withColumn(salt, F.rand(11))
+    return salted.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(salt)
