@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOXIC_ROWS = 1500
-OTHER_ROWS = 4500
+OTHER_ROWS = 3000
 BITS = 18
 PREFIXES = (3, 4, 5, 6)
 SEGMENT = 64  # tokens of a training sequence
