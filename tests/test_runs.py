@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from tidepoint.functions.timefn import parse_instant
 from tidepoint.operators.ledger import COMPLETED, FAILED, IN_PROGRESS, PENDING, Ledger
 from tidepoint.operators.report import report_totals, status_counts, write_report
-from tidepoint.plans.backfill import remaining_items, run_backfill, window_plan, work_items
-from tidepoint.plans.transfer import resume, run_mapping
+from tidepoint.plans.backfill import (
+    remaining_items,
+    run_backfill,
+    source_reader,
+    window_plan,
+    work_items,
+)
+from tidepoint.plans.transfer import resume, run_mapping, run_mappings
 from tidepoint.points import FieldMap, Mapping, PointsSchema, TagMap, to_points
 from tidepoint.session import scratch_path
 from tidepoint.sinks.tables import UpsertTable, upsert_rows
@@ -103,17 +109,87 @@ def _source(spark, n):
         F.concat(F.lit("h"), F.col("id") % 3).alias("host"),
         F.col("id").cast("double").alias("cpu"),
         F.timestamp_micros(F.lit(START // 1000) + F.col("id")).cast("timestamp_ntz").alias("ts"),
+        F.col("id").alias("row_id"),
+    )
+
+
+ID_SCHEMA = PointsSchema(("host",), ("cpu",), id_col="row_id")
+
+
+def _moved_rows(rows, schema, ledger, task="t", mapping=MAPPING):
+    got = []
+    run_mapping(rows, schema, mapping, "ts", lambda p, s: got.extend(p.collect()), ledger, task)
+    return sorted(r["load"] for r in got)
+
+
+def test_rows_without_a_time_are_moved_and_counted(spark, ledger):
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('a', 1D, timestamp_ntz'2024-01-01', 1L), ('a', 2D, NULL, 2L),"
+        " ('b', 3D, timestamp_ntz'2024-01-02', 3L) AS t(host, cpu, ts, row_id)"
+    )
+    assert _moved_rows(rows, ID_SCHEMA, ledger) == [1.0, 2.0, 3.0]
+    assert ledger.load("t", "cpu")["processed_rows"] == 3
+    later = rows.unionByName(spark.sql("SELECT 'c' AS host, 4D AS cpu, NULL AS ts, 9L AS row_id"))
+    assert _moved_rows(later, ID_SCHEMA, ledger) == [2.0, 4.0]
+
+
+def test_later_rows_with_the_time_of_the_mark(spark, ledger):
+    rows = spark.range(3).selectExpr(
+        "'a' AS host", "double(id) AS cpu", "timestamp_ntz'2024-01-01' AS ts", "id AS row_id"
     )
+    assert _moved_rows(rows.where("row_id < 2"), ID_SCHEMA, ledger) == [0.0, 1.0]
+    assert _moved_rows(rows, ID_SCHEMA, ledger) == [2.0]
+    assert _moved_rows(rows.where("row_id < 2"), SCHEMA, ledger, "u") == [0.0, 1.0]
+    assert _moved_rows(rows, SCHEMA, ledger, "u") == [0.0, 1.0, 2.0]
+
+
+def test_text_times_have_positions(spark, ledger):
+    rows = spark.range(4).selectExpr(
+        "'a' AS host", "double(id) AS cpu", "concat('2024-01-0', id + 1, 'T00:00:00Z') AS ts",
+        "id AS row_id",
+    )
+    assert _moved_rows(rows.where("row_id < 2"), ID_SCHEMA, ledger) == [0.0, 1.0]
+    assert _moved_rows(rows, ID_SCHEMA, ledger) == [2.0, 3.0]
+
+
+def test_failing_source_is_recorded_whole(spark, ledger):
+    text = "x" * 5000
+    rows = _source(spark, 3).withColumn("cpu", F.raise_error(F.lit(text)).cast("double"))
+    with pytest.raises(Exception):
+        run_mapping(rows, SCHEMA, MAPPING, "ts", lambda p, s: p.collect(), ledger, "t")
+    row = ledger.load("t", "cpu")
+    assert row["status"] == FAILED and text in row["error_message"]
+
+
+def test_names_of_a_run(spark, ledger):
+    rows = _source(spark, 6)
+    sources = {"cpu": (rows, SCHEMA, "ts"), "solo": (rows.drop("host"), PointsSchema((), ("cpu",)), "ts")}
+    mappings = [
+        Mapping(source_table="*"),
+        Mapping(source_table="cpu", subtable_pattern="{{table}}_{{value2}}", target_measurement="x"),
+        Mapping(source_table="*", tag_filters={"host": ["h1"]}, target_measurement="one"),
+    ]
+    names = Counter()
+    sink = lambda points, schema: names.update(r["measurement"] for r in points.collect())
+    moved = run_mappings(sources, mappings, sink, ledger, "list")
+    assert moved == {(0, "cpu"): 6, (0, "solo"): 6, (1, "cpu"): 6, (2, "cpu"): 2}
+    assert names == {
+        "cpu_cpu,host=h0": 2, "cpu_cpu,host=h1": 2, "cpu_cpu,host=h2": 2, "solo": 6,
+        "cpu_h0": 2, "cpu_h1": 2, "cpu_h2": 2, "one": 2,
+    }
+    assert {r["status"] for r in ledger.tasks().collect()} == {COMPLETED}
+    with pytest.raises(ValueError, match="unknown table"):
+        run_mappings(sources, [Mapping(source_table="gpu")], sink, ledger, "list")
 
 
 def test_second_run_moves_only_what_is_new(spark, ledger):
     moved = []
     sink = lambda points, schema: moved.append(points.count())
     for n in (10, 10, 25):
-        run_mapping(_source(spark, n), SCHEMA, MAPPING, "ts", sink, ledger, "t")
+        run_mapping(_source(spark, n), ID_SCHEMA, MAPPING, "ts", sink, ledger, "t")
     assert moved == [10, 15]
     row = ledger.load("t", "cpu")
-    assert (row["processed_rows"], row["status"]) == (25, COMPLETED)
+    assert (row["processed_rows"], row["status"], row["last_id"]) == (25, COMPLETED, 24)
     assert row["last_time_ns"] == START + 24_000
 
 
@@ -125,13 +201,13 @@ def test_resume_goes_on_at_the_mark(spark, ledger):
             raise RuntimeError("target is down")
         seen.append(points.count())
 
-    run_mapping(_source(spark, 30), SCHEMA, MAPPING, "ts", sink, ledger, "t")
+    run_mapping(_source(spark, 30), ID_SCHEMA, MAPPING, "ts", sink, ledger, "t")
     with pytest.raises(RuntimeError):
-        run_mapping(_source(spark, 50), SCHEMA, MAPPING, "ts", sink, ledger, "t")
+        run_mapping(_source(spark, 50), ID_SCHEMA, MAPPING, "ts", sink, ledger, "t")
     assert ledger.load("t", "cpu")["status"] == FAILED
     ledger.mark("t", "cpu", IN_PROGRESS)  # as after a killed run
     healthy = lambda points, schema: seen.append(points.count())
-    assert resume(ledger, lambda table: (_source(spark, 50), SCHEMA, "ts"), healthy) == 20
+    assert resume(ledger, lambda table: (_source(spark, 50), ID_SCHEMA, "ts"), healthy) == 20
     assert seen == [30, 20]
     row = ledger.load("t", "cpu")
     assert (row["status"], row["processed_rows"], row["error_message"]) == (COMPLETED, 50, None)
@@ -216,8 +292,9 @@ def test_backfill_cut_anywhere_equals_one_run(spark, ledger, cut):
 
     with pytest.raises(RuntimeError):
         run_backfill(points, SCHEMA, shards, "t", START, START + cut * DAY, WEEK, failing, ledger)
-    assert ledger.windows().isEmpty()
+    assert {r["status"] for r in ledger.windows().collect()} == {FAILED}
     known = run_backfill(points, SCHEMA, shards, "t", START, START + 3 * WEEK, WEEK, sink, ledger)
+    assert {r["status"] for r in known.collect()} == {COMPLETED}
     assert table.current().count() == 70
     assert {r["shard_group_id"]: r["total_processed_rows"] for r in known.collect()} == {
         "1": 35, "2": 35, "3": 0,
@@ -232,10 +309,84 @@ def test_wider_range_reopens_a_clipped_window(spark, ledger):
             _points(spark), SCHEMA, _shards(spark), "t", START, START + days * DAY, WEEK,
             lambda p, s: moved.append(p.count()), ledger,
         )
-    assert moved == [15, 0, 70]
+    assert moved == [15, 70]  # nothing is open in the second run
     assert [r["total_processed_rows"] for r in known.orderBy("window_start").collect()] == [35, 35]
 
 
+def test_waves_are_committed_one_by_one(spark, ledger):
+    """A run that dies in wave 2 of 3 goes on with wave 2."""
+    points, shards, seen = _points(spark, days=21), _shards(spark, 3), []
+
+    def failing(p, s):
+        if seen:
+            raise RuntimeError("killed")
+        seen.append(p.count())
+
+    with pytest.raises(RuntimeError):
+        run_backfill(
+            points, SCHEMA, shards, "t", START, START + 3 * WEEK, WEEK, failing, ledger,
+            wave_windows=1,
+        )
+    states = {r["window_start"]: r["status"] for r in ledger.windows().collect()}
+    assert states == {START: COMPLETED, START + WEEK: FAILED}
+    known = run_backfill(
+        points, SCHEMA, shards, "t", START, START + 3 * WEEK, 0,
+        lambda p, s: seen.append(p.count()), ledger, wave_windows=1,
+    )
+    assert seen == [35, 35, 35] and {r["status"] for r in known.collect()} == {COMPLETED}
+
+
+def test_a_wave_reads_its_own_range(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    _source(spark, 10).write.parquet(path)
+    reader = source_reader(spark.read.parquet(path), SCHEMA, "ts", "cpu")
+    plan = reader(START, START + DAY)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
+def test_batches_leave_marks(spark, ledger):
+    """5 series in batches of 2; the sink dies in the second batch and the run goes on there."""
+    seen = []
+
+    def failing(p, s):
+        if seen:
+            raise RuntimeError("killed")
+        seen.append(sorted({r["host"] for r in p.collect()}))
+
+    run = lambda sink: run_backfill(
+        _points(spark), SCHEMA, _shards(spark), "t", START, START + 2 * WEEK, WEEK, sink, ledger,
+        series_per_query=2,
+    )
+    with pytest.raises(RuntimeError):
+        run(failing)
+    rows = ledger.windows().collect()
+    assert {(r["status"], r["last_completed_batch"]) for r in rows} == {(FAILED, 0)}
+    known = run(lambda p, s: seen.append(sorted({r["host"] for r in p.collect()})))
+    assert seen == [["h0", "h1"], ["h2", "h3"], ["h4"]]
+    assert {
+        (r["status"], r["last_completed_batch"], r["total_processed_rows"]) for r in known.collect()
+    } == {(COMPLETED, 2, 35)}
+
+
+def test_small_tables_leave_points_in_place(spark):
+    """With a tiny threshold for estimates, neither joins nor numbering shuffle the points."""
+    from tidepoint.operators.numbering import number_rows
+    from tidepoint.operators.windows import assign_intervals
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50k")
+    try:
+        points = _points(spark, 50, 50)
+        spans = points.groupBy((F.col("time_ns") / WEEK).cast("int").alias("w")).agg(
+            F.min("time_ns").alias("start_ns"), F.max("time_ns").alias("end_ns")
+        )
+        for frame in (assign_intervals(points, spans, WEEK), number_rows(points, ["host"], ["time_ns"])):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 # Streaming
 
 

@@ -1,7 +1,8 @@
-"""Backfill over shard groups: shard → window → series batch as rows of one DataFrame.
+"""Backfill over shard groups: shard → window → series batch.
 
-The nested loops of a backfill become a table of work items. Finished items drop out by a
-join with the ledger, and one job moves the points of all that remain.
+The windows of all shard groups are rows of one table. Those that the ledger does not know as
+completed are taken in waves. A wave reads only its own time range, moves its points and then
+records its windows, so a run that dies repeats one wave at most.
 """
 
 from __future__ import annotations
@@ -12,14 +13,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepoint.functions.keys import series_key
-from tidepoint.operators.filters import in_series, tag_filter
-from tidepoint.operators.ledger import COMPLETED, Ledger, without_covered, without_done_batches
+from tidepoint.operators.filters import tag_filter, time_range
+from tidepoint.operators.ledger import (
+    COMPLETED,
+    FAILED,
+    IN_PROGRESS,
+    Ledger,
+    without_covered,
+    without_done_batches,
+)
 from tidepoint.operators.numbering import series_batches
 from tidepoint.operators.windows import assign_intervals, clipped, overlapping, split_windows
 from tidepoint.points import PointsSchema, check_window
 from tidepoint.session import pin
+from tidepoint.sources.scan import scan_points
 
 UNIT = ["task_id", "shard_group_id", "window_start", "window_end"]
+WAVE_WINDOWS = 16
+Reader = Callable[[int, int], DataFrame]
 
 
 def window_plan(
@@ -39,7 +50,7 @@ def window_plan(
 def points_in_windows(points: DataFrame, windows: DataFrame, width_ns: int) -> DataFrame:
     """Points with the window that holds them; points outside all windows are left out."""
     return assign_intervals(
-        points, windows, width_ns, start="window_start", end="window_end"
+        points, windows, check_window(width_ns), start="window_start", end="window_end"
     )
 
 
@@ -65,8 +76,15 @@ def remaining_items(items: DataFrame, ledger_windows: DataFrame) -> DataFrame:
     return without_done_batches(items, ledger_windows)
 
 
+def source_reader(
+    rows: DataFrame, schema: PointsSchema, time_column: str, measurement: str
+) -> Reader:
+    """Points of a time range from source rows; the range is tested on the raw column."""
+    return lambda low, high: scan_points(rows, schema, time_column, measurement, low, high)
+
+
 def run_backfill(
-    points: DataFrame,
+    points: DataFrame | Reader,
     schema: PointsSchema,
     shards: DataFrame,
     task_id: str,
@@ -77,64 +95,159 @@ def run_backfill(
     ledger: Ledger,
     series_per_query: int = 0,
     tag_filters: Mapping[str, Sequence[str]] | None = None,
+    wave_windows: int = WAVE_WINDOWS,
 ) -> DataFrame:
-    """Move all points of unfinished windows, then record one ledger row per window.
+    """Move all points of unfinished windows in waves, each followed by its ledger rows.
 
-    Windows that have nothing to move are recorded too. Series batches cut a window only
-    where a former run stopped inside one; a window without such a row needs no numbering
-    and goes by its time bounds alone.
+    ``points`` is a frame of points or a function that gives those of a time range, such as
+    :func:`source_reader`. A wave has ``wave_windows`` windows in the order of time. Its
+    points are evaluated once, into reliable storage, from which they are counted and moved,
+    so the ledger says just what the sink got. A window without points is recorded too.
+
+    With ``series_per_query`` the series of a wave's windows are moved in batches, and the
+    ledger gets the number of the last finished batch after each; a run that stops inside a
+    window goes on with the next batch. Batch numbers hold for the window they were given
+    in, as long as its series stay the same. A wave that fails is recorded as failed.
     """
     windows = window_plan(shards, task_id, start_ns, end_ns, width_ns)
-    known = ledger.windows()
-    # A small table used by every step below; pinned, as shard groups found in the points
-    # would otherwise be looked up again each time.
-    open_windows = pin(without_covered(windows, known))
-    points = tag_filter(points, tag_filters or {})
-    assigned = points_in_windows(points, open_windows, width_ns)
-
-    # Batch numbers hold only for the window they were given in, so its end must agree.
-    begun = known.where(
-        (F.col("task_id") == task_id)
-        & (F.col("status") != COMPLETED)
-        & (F.col("last_completed_batch") >= 0)
-    ).join(open_windows, UNIT, "left_semi")
-    if not begun.isEmpty():
-        units = begun.select(*UNIT)
-        partial = open_windows.join(units, UNIT, "left_semi")
-        items = remaining_items(
-            work_items(points, schema, partial, width_ns, series_per_query), begun
-        )
-        rest = in_series(
-            assigned.join(units, UNIT, "left_semi"), items, [*UNIT, *schema.series_columns]
-        )
-        assigned = assigned.join(units, UNIT, "left_anti").unionByName(rest)
+    # Only the list of open windows reaches the driver, a row per window.
+    listed = without_covered(windows, ledger.windows()).toArrow().sort_by(
+        [(c, "ascending") for c in ("window_start", "window_end", "shard_group_id")]
+    )
+    spark = shards.sparkSession
+    for first in range(0, listed.num_rows, max(1, wave_windows)):
+        part = listed.slice(first, max(1, wave_windows))
+        # A local relation, so that the join with it needs no shuffle of the points.
+        wave = spark.createDataFrame(part)
+        low = min(part.column("window_start").to_pylist())
+        high = max(part.column("window_end").to_pylist())
+        try:
+            found = points(low, high) if callable(points) else time_range(
+                points, schema.time_col, low, high
+            )
+            found = tag_filter(found, tag_filters or {})
+            assigned = _assigned(found, wave, width_ns)
+            if series_per_query:
+                _move_batches(assigned, schema, wave, series_per_query, sink, ledger)
+            else:
+                _move(assigned, schema, wave, sink, ledger)
+        except Exception:
+            _record_failure(wave, ledger)
+            raise
+    return ledger.windows().where(F.col("task_id") == task_id)
+
 
+def _assigned(points: DataFrame, wave: DataFrame, width_ns: int) -> DataFrame:
+    """The points of a wave with their windows, fixed."""
+    clash = {*UNIT, "series_key", "batch_id"} & set(points.columns)
+    if clash:
+        raise ValueError(f"names of the backfill are used by columns: {sorted(clash)}")
+    return pin(points_in_windows(points, wave, width_ns))
+
+
+def _summary(assigned: DataFrame, schema: PointsSchema, wave: DataFrame) -> DataFrame:
+    """A row per window of the wave: points moved and their latest time."""
     moved = assigned.groupBy(*UNIT).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(schema.time_col).alias("last_time_ns")
+        F.count(F.lit(1)).alias("moved"), F.max(schema.time_col).alias("last_time_ns")
     )
-    before = begun.select(*UNIT, F.col("total_processed_rows").alias("_before"))
-    rows = (
-        open_windows.join(moved, UNIT, "left")
-        .join(before, UNIT, "left")
-        .select(
-            *UNIT,
-            F.lit(None).cast("int").alias("last_completed_batch"),
-            "last_time_ns",
-            (F.coalesce("_n", F.lit(0)) + F.coalesce("_before", F.lit(0))).alias(
-                "total_processed_rows"
-            ),
-            F.lit(COMPLETED).alias("status"),
-        )
+    return wave.join(moved, UNIT, "left").withColumn("moved", F.coalesce("moved", F.lit(0)))
+
+
+def _move(
+    assigned: DataFrame, schema: PointsSchema, wave: DataFrame, sink, ledger: Ledger
+) -> None:
+    rows = _summary(assigned, schema, wave).select(
+        *UNIT,
+        F.lit(None).cast("int").alias("last_completed_batch"),
+        "last_time_ns",
+        F.col("moved").alias("total_processed_rows"),
+        F.lit(COMPLETED).alias("status"),
     )
-    # Counted before the move: what a window's row claims is part of what the sink then got.
     rows = pin(rows)
-    sink(assigned.select(*points.columns), schema)
+    sink(assigned.drop(*UNIT), schema)
     ledger.save_windows(rows)
-    return ledger.windows().where(F.col("task_id") == task_id)
+
+
+def _move_batches(
+    assigned: DataFrame,
+    schema: PointsSchema,
+    wave: DataFrame,
+    series_per_query: int,
+    sink,
+    ledger: Ledger,
+) -> None:
+    """Batch by batch over all windows of the wave, a ledger row per window after each."""
+    columns = schema.series_columns
+    series = assigned.select(*UNIT, *columns).distinct().withColumn(
+        "series_key", series_key(F.col(schema.measurement_col), schema.tags)
+    )
+    items = pin(series_batches(series, series_per_query, UNIT))
+    # A mark holds only for the window it was set in, so its end must agree.
+    marks = pin(
+        ledger.windows().where(F.col("last_completed_batch") >= 0).join(wave, UNIT, "left_semi")
+    )
+    last = items.groupBy(*UNIT).agg(F.max("batch_id").cast("int").alias("last_batch"))
+    state = wave.join(last, UNIT, "left").join(
+        marks.select(
+            *UNIT,
+            F.col("last_completed_batch").alias("mark"),
+            F.col("total_processed_rows").alias("before"),
+            F.col("last_time_ns").alias("time_before"),
+        ),
+        UNIT,
+        "left",
+    )
+    state = pin(state.fillna({"last_batch": -1, "mark": -1, "before": 0}))
+    highest = state.agg(F.max("last_batch")).first()[0]
+    numbered = pin(
+        _with_batch(assigned, items, columns)
+        .join(state.select(*UNIT, "mark"), UNIT)
+        .where("batch_id > mark")
+        .drop("mark")
+    )
+    for batch in range(-1, highest + 1):
+        here = state.where((F.lit(batch) > F.col("mark")) & (F.lit(batch) <= F.col("last_batch")))
+        idle = state.where((F.lit(batch) == -1) & (F.col("last_batch") <= F.col("mark")))
+        part = numbered.where(F.col("batch_id") == batch).drop("batch_id")
+        done = numbered.where(F.col("batch_id") <= batch)
+        units = here.unionByName(idle).select(*UNIT, "mark", "before", "last_batch", "time_before")
+        rows = pin(
+            _summary(done, schema, units).select(
+                *UNIT,
+                F.greatest(F.lit(batch), F.col("mark")).alias("last_completed_batch"),
+                F.greatest("last_time_ns", "time_before").alias("last_time_ns"),
+                (F.col("moved") + F.col("before")).alias("total_processed_rows"),
+                F.when(F.col("last_batch") <= batch, COMPLETED)
+                .when(F.col("last_batch") <= F.col("mark"), COMPLETED)
+                .otherwise(IN_PROGRESS)
+                .alias("status"),
+            )
+        )
+        if rows.isEmpty():
+            continue
+        if batch >= 0:
+            sink(part.drop(*UNIT), schema)
+        ledger.save_windows(rows)
+
+
+def _with_batch(assigned: DataFrame, items: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Points with the batch of their series; a null tag equals a null tag."""
+    left = assigned.withColumn("series_key", series_key(F.col(columns[0]), columns[1:]))
+    return left.join(items.select(*UNIT, "series_key", "batch_id"), [*UNIT, "series_key"]).drop(
+        "series_key"
+    )
+
+
+def _record_failure(wave: DataFrame, ledger: Ledger) -> None:
+    """Windows of a wave that stopped: failed, with the marks they have reached."""
+    known = ledger.windows().join(wave, UNIT, "left_semi")
+    begun = known.where(F.col("status") != COMPLETED).withColumn("status", F.lit(FAILED))
+    fresh = wave.join(known.select(*UNIT), UNIT, "left_anti").withColumn("status", F.lit(FAILED))
+    ledger.save_windows(begun.unionByName(fresh, allowMissingColumns=True))
 
 
 def run_windows(
-    points: DataFrame,
+    points: DataFrame | Reader,
     schema: PointsSchema,
     task_id: str,
     start_ns: int,
@@ -142,11 +255,12 @@ def run_windows(
     width_ns: int,
     sink: Callable[[DataFrame, PointsSchema], None],
     ledger: Ledger,
+    **options,
 ) -> DataFrame:
     """Backfill by time windows alone, for sources without shard groups."""
-    whole = points.sparkSession.createDataFrame(
+    whole = ledger.spark.createDataFrame(
         [("range", start_ns, end_ns)], "shard_group_id string, start_ns bigint, end_ns bigint"
     )
     return run_backfill(
-        points, schema, whole, task_id, start_ns, end_ns, width_ns, sink, ledger
+        points, schema, whole, task_id, start_ns, end_ns, width_ns, sink, ledger, **options
     )

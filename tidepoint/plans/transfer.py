@@ -1,31 +1,93 @@
-"""One mapping from source rows to a sink, with its ledger row."""
+"""Mappings from source rows to a sink, with their ledger rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping as MappingType, Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidepoint.functions.columns import named
-from tidepoint.functions.timefn import time_literal
+from tidepoint.functions.columns import named, spare_name
+from tidepoint.functions.keys import series_key
+from tidepoint.functions.timefn import time_literal, to_time_ns
 from tidepoint.operators.filters import after_position, source_tag_filter, time_range
 from tidepoint.operators.ledger import COMPLETED, FAILED, Ledger, resumable
-from tidepoint.operators.mapping import apply_mapping, mapping_from_json, mapping_to_json
-from tidepoint.points import Mapping, PointsSchema, to_points
+from tidepoint.operators.mapping import (
+    apply_mapping,
+    default_target,
+    fill_template,
+    mapping_from_json,
+    mapping_to_json,
+)
+from tidepoint.points import Mapping, PointsSchema, tag_text, to_points
 
 Sink = Callable[[DataFrame, PointsSchema], None]
+Source = tuple[DataFrame, PointsSchema, str]
+
+COMPARABLE = (T.LongType, T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def comparable_time(rows: DataFrame, column: str) -> tuple[DataFrame, str]:
+    """Rows with a time column that ranges and positions can be tested on.
+
+    Times and whole ns stay as they are, so that tests on them reach the reader. Text and
+    other numbers are parsed once, into a helper column.
+    """
+    if isinstance(rows.schema[column].dataType, COMPARABLE):
+        return rows, column
+    parsed = spare_name(rows.columns, "_time_ns")
+    return rows.withColumn(parsed, to_time_ns(rows, column)), parsed
+
+
+def has_several_series(rows: DataFrame, schema: PointsSchema) -> bool:
+    tags = [tag_text(rows, t).alias(t) for t in schema.tags]
+    return bool(tags) and rows.select(*tags).distinct().limit(2).count() > 1
+
+
+def with_target_name(
+    points: DataFrame, schema: PointsSchema, mapping: Mapping, table: str, several: bool
+) -> DataFrame:
+    """Points of ``table`` under the name the mapping gives them, by expression.
+
+    The name pattern tells series apart and applies only to a table that has several; next
+    comes the mapping's target, and last the default name of table and series.
+    """
+    series = series_key(F.lit(table), schema.tags)
+    if mapping.subtable_pattern and several:
+        name = fill_template(F.lit(mapping.subtable_pattern), F.lit(table), series)
+    elif mapping.target_measurement:
+        name = F.lit(mapping.target_measurement)
+    else:
+        name = default_target(F.lit(table), series)
+    return points.withColumn(schema.measurement_col, name)
 
 
 def mapped_points(
-    rows: DataFrame, schema: PointsSchema, mapping: Mapping, time_column: str
+    rows: DataFrame,
+    schema: PointsSchema,
+    mapping: Mapping,
+    time_column: str,
+    table: str | None = None,
+    several: bool | None = None,
 ) -> tuple[DataFrame, PointsSchema]:
-    """Time range → tag filters → points without absent tags → mapping, one lazy plan."""
-    column = mapping.timestamp_column or time_column
+    """Time range → tag filters → points without absent tags → mapping, one lazy plan.
+
+    ``table`` is the table that is read, needed for a wildcard mapping. ``several`` tells
+    whether it has more than one series, where a name pattern depends on it.
+    """
+    table = table or mapping.source_table
+    if table == "*":
+        raise ValueError("a wildcard mapping needs the name of the table it is run on")
+    rows, column = comparable_time(rows, mapping.timestamp_column or time_column)
     ranged = time_range(rows, column, mapping.start, mapping.end)
     kept = source_tag_filter(ranged, mapping.tag_filters)
-    points = to_points(kept, schema, column, mapping.source_table)
-    return apply_mapping(points, schema, mapping)
+    if several is None:
+        several = bool(mapping.subtable_pattern) and has_several_series(rows, schema)
+    points = to_points(kept, schema, column, table)
+    points = with_target_name(points, schema, mapping, table, several)
+    return apply_mapping(points, schema, replace(mapping, target_measurement=""))
 
 
 def run_mapping(
@@ -37,48 +99,134 @@ def run_mapping(
     ledger: Ledger,
     task_id: str,
     task_name: str = "",
+    table: str | None = None,
 ) -> int:
-    """Transfer what lies after the committed mark; returns the number of points.
+    """Transfer what lies after the committed mark; returns the number of points delivered.
 
-    The upper end of the increment is fixed before anything is written, so the mark saved
+    The mark is a time and, if the schema has an id column, the greatest id at that time. The
+    upper end of the increment is fixed before anything is written, so the mark saved
     afterwards covers just what the sink got, also when the source grows meanwhile. Marks
     are kept in ns but tested on the source's own time column.
+
+    Rows that come later with the time of the mark are told by their id. Without an id column
+    all rows of that time are delivered again, as are rows without a time, which have no
+    position: targets are idempotent. ``processed_rows`` counts deliveries.
     """
-    table = mapping.source_table
-    column = mapping.timestamp_column or time_column
+    table = table or mapping.source_table
     known = ledger.begin(
         task_id, table, task_name, mapping.target_measurement, mapping_to_json(mapping)
     )
-    mark, done = (known["last_time_ns"], known["processed_rows"]) if known else (None, 0)
-    if mark is not None:
-        rows = after_position(rows, column, last_time=mark)
-    points, target = mapped_points(rows, schema, mapping, time_column)
-    found = points.agg(F.count(F.lit(1)).alias("n"), F.max(target.time_col).alias("mark")).first()
-    if not found["n"]:
-        ledger.mark(task_id, table, COMPLETED)
-        return 0
     try:
-        if found["mark"] is not None:
-            upto = named(column) <= time_literal(rows.schema[column].dataType, found["mark"])
-            points, target = mapped_points(rows.where(upto), schema, mapping, time_column)
+        mark, last_id = (known["last_time_ns"], known["last_id"]) if known else (None, None)
+        rows, column = comparable_time(rows, mapping.timestamp_column or time_column)
+        timed = replace(mapping, timestamp_column=column)
+        several = bool(mapping.subtable_pattern) and has_several_series(rows, schema)
+        if mark is not None:
+            rows = _increment(rows, column, mark, schema.id_col, last_id)
+        points, _ = mapped_points(rows, schema, timed, column, table, several)
+        time, number = F.col(schema.time_col), _id_of(points, schema)
+        found = points.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(F.when(time.isNotNull(), F.struct(time.alias("t"), number.alias("i")))).alias("last"),
+        ).first()
+        if not found["n"]:
+            ledger.mark(task_id, table, COMPLETED)
+            return 0
+        last = found["last"] or {"t": mark, "i": last_id}
+        if last["t"] is not None:
+            rows = rows.where(_upto(rows, column, last["t"], schema.id_col, last["i"]))
+        points, target = mapped_points(rows, schema, timed, column, table, several)
         sink(points, target)
     except Exception as error:
-        ledger.mark(task_id, table, FAILED, str(error)[:1000])
+        ledger.mark(task_id, table, FAILED, str(error))
         raise
+    done = known["processed_rows"] if known else 0
     ledger.save(
         task_id,
         table,
         status=COMPLETED,
         error_message=None,
-        last_time_ns=found["mark"],
+        last_time_ns=last["t"],
+        last_id=last["i"],
         processed_rows=(done or 0) + found["n"],
     )
     return found["n"]
 
 
+def _id_of(points: DataFrame, schema: PointsSchema) -> Column:
+    if schema.id_col and schema.id_col in points.columns:
+        return named(schema.id_col).cast("bigint")
+    return F.lit(None).cast("bigint")
+
+
+def _increment(
+    rows: DataFrame, column: str, mark: int, id_column: str | None, last_id: int | None
+) -> DataFrame:
+    """Rows not covered by the mark. A null time has no position and is always part of it."""
+    literal = time_literal(rows.schema[column].dataType, mark)
+    open_ = named(column).isNull()
+    if id_column and last_id is not None:
+        tie = (named(column) == literal) & (named(id_column) > F.lit(last_id))
+        later = (named(column) > literal) | tie
+    else:
+        later = named(column) >= literal
+    # The first condition follows from the second; it is what the file reader can use.
+    return rows.where(open_ | (named(column) >= literal)).where(open_ | later)
+
+
+def _upto(
+    rows: DataFrame, column: str, last: int, id_column: str | None, last_id: int | None
+) -> Column:
+    literal = time_literal(rows.schema[column].dataType, last)
+    time = named(column)
+    if id_column and last_id is not None:
+        number = named(id_column)
+        inside = (time < literal) | (
+            (time == literal) & (number.isNull() | (number <= F.lit(last_id)))
+        )
+    else:
+        inside = time <= literal
+    return time.isNull() | inside
+
+
+def run_mappings(
+    sources: MappingType[str, Source],
+    mappings: Sequence[Mapping],
+    sink: Sink,
+    ledger: Ledger,
+    task_id: str,
+) -> dict[tuple[int, str], int]:
+    """Run a list of mappings; a wildcard stands for every table of ``sources``.
+
+    Each pair of mapping and table is one task with its own ledger row and one plan, whatever
+    the number of series; series get their names by an expression. Tasks that a former call
+    completed go on from their marks. Returns the points delivered per (mapping, table).
+    """
+    moved = {}
+    for number, mapping in enumerate(mappings):
+        mapping.validate()
+        for table in _tables(mapping, number, sources):
+            rows, schema, time_column = sources[table]
+            moved[number, table] = run_mapping(
+                rows, schema, mapping, time_column, sink, ledger, f"{task_id}/{number}",
+                table=table,
+            )
+    return moved
+
+
+def _tables(mapping: Mapping, number: int, sources: MappingType[str, Source]) -> list[str]:
+    """Tables of a mapping. A wildcard leaves out those without a tag that it filters by."""
+    if mapping.is_wildcard:
+        wanted = {tag for tag, values in mapping.tag_filters.items() if values}
+        return [t for t in sorted(sources) if wanted <= set(sources[t][1].tags)]
+    if mapping.source_table not in sources:
+        raise ValueError(f"mapping {number} names an unknown table: {mapping.source_table}")
+    return [mapping.source_table]
+
+
 def resume(
     ledger: Ledger,
-    open_source: Callable[[str], tuple[DataFrame, PointsSchema, str]],
+    open_source: Callable[[str], Source],
     sink: Sink,
 ) -> int:
     """Rerun failed and interrupted tasks from their committed marks.
@@ -92,6 +240,7 @@ def resume(
         rows, schema, time_column = open_source(task["source_table"])
         mapping = mapping_from_json(task["mapping_config"])
         total += run_mapping(
-            rows, schema, mapping, time_column, sink, ledger, task["task_id"], task["task_name"]
-        )
+            rows, schema, mapping, time_column, sink, ledger, task["task_id"],
+            task["task_name"], table=task["source_table"],
+        )
     return total
