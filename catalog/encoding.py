@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.views import E_ID_SCHEMA, E_SCHEMA, E_SQL, L_SCHEMA, L_SQL
-from catalog.views import event_points, event_rows, line_points, number_sql, table
+from catalog.views import event_points, event_rows, finished, line_points, number_sql, table
 from tidepoint.functions.timefn import (
     epoch_number_to_ns,
     ns_to_ms_text,
@@ -102,7 +102,8 @@ def line_absent(spark, sf_dir):
         SELECT event_type, {E_LINE} AS line,
                row_number() OVER (PARTITION BY event_type ORDER BY time_ns, event_id) AS row_no
         FROM e)
-    SELECT event_type, (row_no - 1) // 500 AS batch_id, count(*) AS lines,
+    SELECT event_type, (row_no - 1) // 500 AS batch_id, CAST(0 AS INTEGER) AS part_no,
+           count(*) AS lines,
            string_agg(line, chr(10) ORDER BY row_no) AS payload
     FROM n GROUP BY ALL""",
 )
@@ -216,21 +217,33 @@ def typed_super_table(spark, sf_dir):
 @query(
     "typed_table_saved",
     """SELECT o_orderpriority, CAST(o_custkey AS VARCHAR) AS o_custkey, o_totalprice,
+           CASE WHEN o_totalprice <= 250000 THEN o_orderkey END AS o_orderkey,
            epoch_us(o_orderdate) // 1000 AS time_ms
     FROM orders""",
 )
 def typed_table_saved(spark, sf_dir):
-    """Orders in a catalog table that the first part creates and the second is added to."""
-    schema = PointsSchema(("o_orderpriority",), ("o_custkey", "o_totalprice"))
+    """Orders in a catalog table that the first part creates; the second has a column more."""
+    schema = PointsSchema(("o_orderpriority",), ("o_custkey", "o_orderkey", "o_totalprice"))
     mapping = Mapping(
-        fields=(FieldMap("o_custkey", data_type="text"), FieldMap("o_totalprice", "", "double"))
+        fields=(
+            FieldMap("o_custkey", data_type="text"),
+            FieldMap("o_orderkey", data_type="int64"),
+            FieldMap("o_totalprice", "", "double"),
+        )
     )
     points = to_points(table(spark, sf_dir, "orders"), schema, "o_orderdate", "orders")
     rows = typed_rows(points, schema, mapping)
     path = scratch_path(spark, "typed")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     dear = F.col("o_totalprice") > 250_000
-    for part in (rows.where(dear), rows.where(~dear)):
+    for part in (rows.where(dear).drop("o_orderkey"), rows.where(~dear)):
         save_typed_table(part, name, path)
     millis = F.unix_millis("_migration_time").alias("time_ms")
-    return spark.table(name).select("o_orderpriority", "o_custkey", "o_totalprice", millis)
+    saved = finished(
+        spark.table(name).select(
+            "o_orderpriority", "o_custkey", "o_totalprice", "o_orderkey", millis
+        ),
+        path,
+    )
+    spark.sql(f"DROP TABLE {name}")
+    return saved

@@ -10,6 +10,7 @@ from catalog.views import (
     ORIGIN,
     WEEK,
     event_points,
+    finished,
 )
 from tidepoint.functions.keys import series_key
 from tidepoint.functions.timefn import parse_instant
@@ -131,6 +132,52 @@ def ledger_by_status(spark, sf_dir):
     return ledger.resumable(tasks).select("task_id", "source_table", "last_time_ns", "status")
 
 
+def _filled_ledger(spark, sf_dir):
+    """A ledger on disk with the current tasks, and its folder."""
+    path = scratch_path(spark, "ledger")
+    kept = ledger.Ledger(spark, path)
+    names = [part.split()[0] for part in ledger.TASK_SCHEMA.split(", ")]
+    tasks = ledger.latest_tasks(task_log(spark, sf_dir))
+    tasks = tasks.withColumn("deleted", F.lit(False))
+    kept.save_tasks(tasks.select(*[c for c in tasks.columns if c in names]))
+    return kept, path
+
+
+@query(
+    "ledger_delete",
+    f"""WITH {LOG_SQL}
+    SELECT task_id, source_table, status, processed_rows FROM task
+    WHERE NOT (task_id = 'view' OR (task_id = 'click' AND source_table = 'u1'))""",
+)
+def ledger_delete(spark, sf_dir):
+    """The ledger after all tasks of one id and one table of another are deleted."""
+    kept, path = _filled_ledger(spark, sf_dir)
+    kept.delete("view")
+    kept.delete("click", "u1")
+    rows = kept.tasks().select("task_id", "source_table", "status", "processed_rows")
+    return finished(rows, path)
+
+
+@query(
+    "ledger_reset",
+    f"""WITH {LOG_SQL}
+    SELECT 'before' AS moment, count(*) AS tasks FROM task
+    UNION ALL SELECT 'after', 0""",
+)
+def ledger_reset(spark, sf_dir):
+    """Tasks in the ledger before and after a reset."""
+    kept, path = _filled_ledger(spark, sf_dir)
+
+    def counted(moment):
+        return finished(
+            kept.tasks().agg(F.lit(moment).alias("moment"), F.count(F.lit(1)).alias("tasks"))
+        )
+
+    before = counted("before")
+    kept.reset()
+    return finished(before.union(counted("after")), path)
+
+
 @query(
     "pending_tasks",
     f"""WITH {LOG_SQL}
@@ -247,7 +294,7 @@ def report_json(spark, sf_dir):
     totals = spark.read.json(f"{path}/totals").select(
         "task_id", F.lit("total").alias("table"), "total_rows", "status"
     )
-    return entries.union(totals)
+    return finished(entries.union(totals), path)
 
 
 @query(

@@ -14,17 +14,18 @@ from catalog.views import (
     WEEK,
     event_points,
     event_rows,
+    finished,
     line_points,
     table,
 )
 from tidepoint.operators.ledger import Ledger
 from tidepoint.operators.numbering import chunk_batches
 from tidepoint.points import FieldMap, Mapping, PointsSchema, TagMap, to_points
-from tidepoint.plans.backfill import run_backfill, run_windows
-from tidepoint.plans.transfer import mapped_points, resume, run_mapping
-from tidepoint.session import scratch_path
+from tidepoint.plans.backfill import run_backfill, run_windows, source_reader
+from tidepoint.plans.transfer import mapped_points, resume, run_mapping, run_mappings
+from tidepoint.session import pin, scratch_path
 from tidepoint.sinks.lines import to_lines, write_lines
-from tidepoint.sinks.children import route_to_children, write_children
+from tidepoint.sinks.children import ChildTables, route_to_children
 from tidepoint.sinks.tables import UpsertTable, flat_rows, upsert_rows
 from tidepoint.sources.discover import shard_groups_of_points
 from tidepoint.sources.ingest import (
@@ -77,7 +78,7 @@ def json_ingest(spark, sf_dir):
     responses_of(event_points(spark, sf_dir, with_id=True)).select("response").write.text(path)
     saved = spark.read.text(path).withColumnRenamed("value", "response")
     schema, types = infer_response_schema(saved)
-    return parse_responses(saved, schema, types)
+    return finished(parse_responses(saved, schema, types), path)
 
 
 @query("json_ingest_tag_keys", POINTS_SQL)
@@ -87,7 +88,7 @@ def json_ingest_tag_keys(spark, sf_dir):
     responses_of(event_points(spark, sf_dir, with_id=True)).select("response").write.text(path)
     saved = spark.read.text(path).withColumnRenamed("value", "response")
     schema, types = infer_response_schema(saved, tag_keys=["user_id"])
-    return parse_responses(saved, schema, types)
+    return finished(parse_responses(saved, schema, types), path)
 
 
 @query(
@@ -104,8 +105,13 @@ def long_rows(spark, sf_dir):
 
 @query("widen_rows", POINTS_SQL)
 def widen_rows(spark, sf_dir):
-    points = long_points(_long_form(spark, sf_dir), ["event_type", "user_id"])
-    return widen(points, ["event_type", "user_id"], {"value": "double", "k": "bigint"})
+    """Long rows widened, each value preceded by a greater one that it replaces."""
+    rows = _long_form(spark, sf_dir).withColumn("seq", F.lit(2))
+    former = rows.withColumns({"seq": F.lit(1), "_value": F.lit("999999")})
+    points = long_points(rows.unionByName(former), ["event_type", "user_id"], fields=["seq"])
+    return widen(
+        points, ["event_type", "user_id"], {"value": "double", "k": "bigint"}, ["seq"]
+    )
 
 
 def _long_form(spark, sf_dir):
@@ -128,15 +134,15 @@ def incremental_union(spark, sf_dir):
     for increment in (F.col("ts") < middle, (F.col("ts") >= middle) | (F.col("value") > 90)):
         rows.where(increment).write.mode("append").parquet(f"{base}/in")
         sync_new_files(spark, f"{base}/in", rows.schema, _rows, target, f"{base}/progress")
-    return target.current().drop("batch_seq")
+    return finished(target.current().drop("batch_seq"), base)
 
 
 @query("backfill_run", TABLE_SQL)
 def backfill_run(spark, sf_dir):
-    """A backfill of all weeks in one job, after one of the first two weeks."""
+    """A backfill of all weeks in one wave, after one of the first two weeks."""
     base = scratch_path(spark, "backfill")
-    points = event_points(spark, sf_dir, with_id=True)
-    shards = shard_groups_of_points(points, WEEK, ORIGIN)
+    points = source_reader(event_rows(spark, sf_dir), E_ID_SCHEMA, "ts", "events")
+    shards = shard_groups_of_points(event_points(spark, sf_dir, with_id=True), WEEK, ORIGIN)
     target = UpsertTable(spark, f"{base}/table", KEYS, ["event_id"], "key_time_ns")
     ledger = Ledger(spark, f"{base}/ledger")
 
@@ -147,7 +153,7 @@ def backfill_run(spark, sf_dir):
         run_backfill(
             points, E_ID_SCHEMA, shards, "backfill", ORIGIN, end, WEEK, sink, ledger
         )
-    return target.current()
+    return finished(target.current(), base)
 
 
 @query(
@@ -179,7 +185,158 @@ def transfer_run(spark, sf_dir):
     early = rows.where(F.col("ts") < F.lit("2024-01-20T00:00:00").cast("timestamp_ntz"))
     for source in (early, rows):
         run_mapping(source, E_ID_SCHEMA, mapping, "ts", sink, ledger, "transfer")
-    return target.current()
+    return finished(target.current(), base)
+
+
+@query(
+    "resume_same_time",
+    f"""WITH {E_SQL}, d AS (
+        SELECT time_ns // {DAY} * {DAY} AS key_time_ns, event_id, event_type, value FROM e)
+    SELECT key_time_ns, event_id, event_type, value, last_id, processed_rows
+    FROM d, (SELECT count(*) AS processed_rows FROM d),
+         (SELECT max(event_id) AS last_id FROM d
+          WHERE key_time_ns = (SELECT max(key_time_ns) FROM d))""",
+)
+def resume_same_time(spark, sf_dir):
+    """Times cut to the day, so most rows share one; odd ids come in a later run."""
+    base = scratch_path(spark, "same-time")
+    rows = event_rows(spark, sf_dir).withColumn(
+        "ts", F.date_trunc("day", "ts").cast("timestamp_ntz")
+    )
+    last = rows.agg(F.max("ts")).first()[0]
+    schema = PointsSchema(("event_type",), ("value",), id_col="event_id")
+    target = UpsertTable(
+        spark, f"{base}/table", ["key_time_ns", "event_id"], ["value"], "key_time_ns", 30 * DAY
+    )
+    ledger = Ledger(spark, f"{base}/ledger")
+    mapping = Mapping(source_table="events", target_measurement="activity")
+
+    def sink(points, schema):
+        target.upsert(upsert_rows(points, schema, ["event_id"]))
+
+    # What comes later lies after the mark: the last day's rows with the higher ids.
+    middle = rows.where(F.col("ts") == last).agg(F.expr("median(event_id)")).first()[0]
+    early = rows.where((F.col("ts") < last) | (F.col("event_id") <= middle))
+    for source in (early, rows):
+        run_mapping(source, schema, mapping, "ts", sink, ledger, "same-time")
+    marks = ledger.tasks().select("last_id", "processed_rows")
+    result = target.current().select("key_time_ns", "event_id", "event_type", "value")
+    return finished(result.crossJoin(marks), base)
+
+
+@query(
+    "run_mappings",
+    f"""WITH {E_SQL}, o AS (
+        SELECT o_orderstatus, o_orderpriority, epoch_us(o_orderdate) * 1000 AS time_ns FROM orders)
+    SELECT 'all' AS measurement, 'events' AS source, count(*) AS points, max(time_ns) AS last_time_ns
+    FROM e
+    UNION ALL SELECT 'all', 'orders', count(*), max(time_ns) FROM o
+    UNION ALL SELECT 'events_' || event_type, 'events', count(*), max(time_ns) FROM e GROUP BY 1
+    UNION ALL SELECT 'open', 'orders', count(*), max(time_ns) FROM o WHERE o_orderstatus = 'O'""",
+)
+def run_mappings_query(spark, sf_dir):
+    """A wildcard, a name pattern per series and a filter, over two tables."""
+    base = scratch_path(spark, "mappings")
+    sources = {
+        "events": (event_rows(spark, sf_dir), PointsSchema(("event_type",), ("value",)), "ts"),
+        "orders": (
+            table(spark, sf_dir, "orders"),
+            PointsSchema(("o_orderstatus", "o_orderpriority"), ("o_totalprice",)),
+            "o_orderdate",
+        ),
+    }
+    mappings = [
+        Mapping(target_measurement="all"),
+        Mapping(source_table="events", subtable_pattern="{{table}}_{{value2}}"),
+        Mapping(target_measurement="open", tag_filters={"o_orderstatus": ["O"]}),
+    ]
+
+    def sink(points, schema):
+        source = "events" if "value" in schema.fields else "orders"
+        (
+            points.groupBy("measurement")
+            .agg(F.count(F.lit(1)).alias("points"), F.max("time_ns").alias("last_time_ns"))
+            .withColumn("source", F.lit(source))
+            .write.mode("append")
+            .parquet(f"{base}/moved")
+        )
+
+    run_mappings(sources, mappings, sink, Ledger(spark, f"{base}/ledger"), "list")
+    return finished(spark.read.parquet(f"{base}/moved"), base)
+
+
+@query(
+    "resume_in_window",
+    f"""WITH {E_SQL}, w AS (
+        SELECT {ORIGIN} + (time_ns - {ORIGIN}) // {2 * WEEK} * {2 * WEEK} AS window_start, *
+        FROM e WHERE time_ns < {ORIGIN + 4 * WEEK}),
+    n AS (SELECT window_start, count(DISTINCT event_type) AS kinds, count(*) AS n,
+                 max(time_ns) AS last_time_ns FROM w GROUP BY 1),
+    b AS (SELECT window_start, event_type,
+                 dense_rank() OVER (PARTITION BY window_start ORDER BY event_type) - 1 AS no FROM w)
+    SELECT n.window_start, 'failed' AS status, CAST(0 AS INTEGER) AS last_completed_batch,
+           (SELECT count(*) FROM b WHERE b.window_start = n.window_start AND no < 2)
+               AS total_processed_rows
+    FROM n
+    UNION ALL SELECT window_start, 'completed', CAST((kinds - 1) // 2 AS INTEGER), n FROM n""",
+)
+def resume_in_window(spark, sf_dir):
+    """The window ledger after a sink that stops in the second batch, and after the resume."""
+    base = scratch_path(spark, "in-window")
+    schema = PointsSchema(("event_type",), ("value",))
+    points = source_reader(event_rows(spark, sf_dir), schema, "ts", "events")
+    ledger = Ledger(spark, f"{base}/ledger")
+    calls = []
+
+    def sink(moved, schema):
+        calls.append(moved.count())
+        if len(calls) == 2:
+            raise RuntimeError("the target is down")
+
+    def run():
+        return run_windows(
+            points, schema, "in-window", ORIGIN, ORIGIN + 4 * WEEK, 2 * WEEK, sink, ledger,
+            series_per_query=2,
+        ).select("window_start", "status", "last_completed_batch", "total_processed_rows")
+
+    try:
+        run()
+    except RuntimeError:
+        stopped = pin(
+            ledger.windows().select(
+                "window_start", "status", "last_completed_batch", "total_processed_rows"
+            )
+        )
+    return finished(stopped.union(run()), base)
+
+
+@query(
+    "upsert_widened",
+    """SELECT epoch_us(o_orderdate) * 1000 AS time_ns, o_orderkey, any_value(slice) AS slice,
+              any_value(amount) AS amount
+    FROM (SELECT o_orderdate, o_orderkey, o_orderpriority AS slice,
+                 CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderkey % 7 = 0
+                      THEN o_totalprice ELSE CAST(o_custkey AS DOUBLE) END AS amount
+          FROM orders) GROUP BY 1, 2""",
+)
+def upsert_widened(spark, sf_dir):
+    """A whole-number column takes fractions later; a column is named like a storage slice."""
+    path = scratch_path(spark, "widened")
+    orders = table(spark, sf_dir, "orders").select(
+        (F.unix_micros(F.col("o_orderdate").cast("timestamp")) * 1000).alias("time_ns"),
+        "o_orderkey", F.col("o_orderpriority").alias("slice"), "o_custkey", "o_totalprice",
+        "o_orderdate",
+    )
+    target = UpsertTable(
+        spark, path, ["time_ns", "o_orderkey"], ["seq"], "time_ns", 366 * DAY
+    )
+    keys = ["time_ns", "o_orderkey", "slice"]
+    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    whole = orders.select(*keys, F.col("o_custkey").alias("amount"), F.lit(1).alias("seq"))
+    target.upsert(whole)
+    dear = orders.where(late | (F.col("o_orderkey") % 7 == 0))
+    target.upsert(dear.select(*keys, F.col("o_totalprice").alias("amount"), F.lit(2).alias("seq")))
+    return finished(target.current().drop("seq"), path)
 
 
 FLAGSHIP = Mapping(
@@ -223,10 +380,13 @@ def lines_written(spark, sf_dir):
     path = scratch_path(spark, "lines")
     points = to_points(table(spark, sf_dir, "orders"), schema, "o_orderdate", "orders")
     write_lines(to_lines(points, schema), path)
-    return spark.read.text(path).agg(
-        F.lit("lines").alias("kind"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.length("value")).alias("chars"),
+    return finished(
+        spark.read.text(path).agg(
+            F.lit("lines").alias("kind"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.length("value")).alias("chars"),
+        ),
+        path,
     )
 
 
@@ -246,7 +406,7 @@ def flat_append(spark, sf_dir):
     target = UpsertTable(spark, path, ["time_ns"], ["o_orderkey"], "time_ns", 366 * DAY)
     target.upsert(rows)
     target.upsert(rows.where(F.col("o_totalprice") > 300_000))
-    return target.current()
+    return finished(target.current(), path)
 
 
 @query(
@@ -263,20 +423,18 @@ def flat_append(spark, sf_dir):
 def windowed_run(spark, sf_dir):
     """The window ledger after a backfill in three-day windows; the last one is clipped."""
     base = scratch_path(spark, "windowed")
-    points = event_points(spark, sf_dir)
     known = run_windows(
-        points,
+        source_reader(event_rows(spark, sf_dir), E_SCHEMA, "ts", "events"),
         E_SCHEMA,
         "windowed",
         ORIGIN,
         ORIGIN + 28 * DAY + DAY // 2,
         3 * DAY,
-        lambda moved, schema: write_lines(to_lines(moved, schema), f"{base}/lines"),
+        lambda moved, schema: write_lines(to_lines(moved, schema), f"{base}/lines", "append"),
         Ledger(spark, f"{base}/ledger"),
     )
-    return known.select(
-        "task_id", "window_start", "window_end", "last_time_ns", "total_processed_rows", "status"
-    )
+    columns = ("window_start", "window_end", "last_time_ns", "total_processed_rows", "status")
+    return finished(known.select("task_id", *columns), base)
 
 
 @query(
@@ -307,7 +465,7 @@ def resume_run(spark, sf_dir):
     run_mapping(early, E_ID_SCHEMA, mapping, "ts", sink, ledger, "resumed")
     ledger.mark("resumed", "events", "in_progress")
     resume(ledger, lambda name: (table_rows(spark, sf_dir, name), E_ID_SCHEMA, "ts"), sink)
-    return target.current()
+    return finished(target.current(), base)
 
 
 def table_rows(spark, sf_dir, name):
@@ -318,16 +476,19 @@ def table_rows(spark, sf_dir, name):
     "children_written",
     f"""WITH {L_SQL}
     SELECT 'bulk_' || md5(series_key) AS child_table, l_returnflag, l_linestatus,
-           count(*) AS points, max(time_ns) AS last_time_ns
-    FROM l GROUP BY ALL""",
+           count(DISTINCT time_ns) AS points, max(time_ns) AS last_time_ns
+    FROM l GROUP BY child_table, l_returnflag, l_linestatus""",
 )
 def children_written(spark, sf_dir):
-    """Line items in one directory per series, read back."""
+    """Line items in child tables, one point per series and time, loaded twice, read back."""
     path = scratch_path(spark, "children")
-    points = line_points(spark, sf_dir)
-    write_children(route_to_children(points, L_SCHEMA, F.lit("bulk")), path)
-    return (
-        spark.read.parquet(path)
+    routed = route_to_children(line_points(spark, sf_dir), L_SCHEMA, F.lit("bulk"))
+    target = ChildTables(spark, path, L_SCHEMA, ["l_extendedprice"])
+    for _ in range(2):
+        target.upsert(routed)
+    return finished(
+        target.current()
         .groupBy("child_table", "l_returnflag", "l_linestatus")
-        .agg(F.count(F.lit(1)).alias("points"), F.max("time_ns").alias("last_time_ns"))
+        .agg(F.count(F.lit(1)).alias("points"), F.max("time_ns").alias("last_time_ns")),
+        path,
     )

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidepoint.functions.timefn import parse_instant
 from tidepoint.operators.mapping import union_points
 from tidepoint.points import PointsSchema, to_points
+from tidepoint.session import pin
+from tidepoint.sinks.files import SharedFiles
 
 DAY = 86_400 * 1_000_000_000
 WEEK = 7 * DAY
@@ -20,6 +22,15 @@ L_SCHEMA = PointsSchema(
 )
 
 
+def finished(frame: DataFrame, *folders: str) -> DataFrame:
+    """The rows of ``frame``, fixed, after which the folders they came from are removed."""
+    rows = pin(frame)
+    files = SharedFiles(frame.sparkSession)
+    for folder in folders:
+        files.remove(folder)
+    return rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -382,3 +382,41 @@ def test_pattern_needs_several_series(spark):
         (0, "two", "two,a=2", "two_2"),
         (1, "two", "two,a=2", "fixed"),
     ]
+
+
+def test_no_tags_is_no_crash(spark):
+    from tidepoint.sources.discover import tag_keys
+    from tidepoint.sources.scan import scan_series
+
+    frame = spark.createDataFrame([(1, 2.0)], "time_ns bigint, v double")
+    schema = PointsSchema((), ("v",))
+    series = spark.createDataFrame([("x",)], "host string")
+    assert scan_series(frame, schema, "time_ns", "m", series).count() == 1
+    points = frame.selectExpr("'m' AS measurement", "v", "time_ns")
+    assert tag_keys(points, schema).count() == 0
+
+
+def test_last_of_repeated_long_values_wins(spark):
+    from tidepoint.sources.ingest import widen
+
+    columns = "measurement string, host string, field_name string, field_value string, time_ns bigint, seq int"
+    rows = [("m", "a", "v", "9", 1, 1), ("m", "a", "v", "2", 1, 2), ("m", "a", "up", "bad", 1, 1)]
+    wide = widen(
+        spark.createDataFrame(rows, columns), ["host"], {"v": "double", "up": "boolean"}, ["seq"]
+    )
+    assert [(r["v"], r["up"]) for r in wide.collect()] == [(2.0, False)]
+
+
+def test_time_parser_stays_small(spark):
+    """Reading its argument once keeps the generated methods below the compiler's limit."""
+    import re
+
+    from tidepoint.functions.timefn import parse_time_ns
+
+    text = F.concat(F.col("id").cast("string"), F.lit("x"))
+    for _ in range(4):
+        text = F.regexp_replace(text, "x", "y")
+    frame = spark.range(3).select(parse_time_ns(text).alias("t"))
+    report = frame._jdf.queryExecution().debug().codegenToSeq()
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", str(report)) or ["0"]
+    assert max(map(int, sizes)) < 8000

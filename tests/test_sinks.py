@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tidepoint.points import FieldMap, Mapping, PointsSchema
 from tidepoint.session import scratch_path
-from tidepoint.sinks.children import route_to_children, write_children
+from tidepoint.sinks.children import ChildTables, route_to_children, write_children
 from tidepoint.sinks.lines import payloads, to_lines, write_lines
 from tidepoint.sinks.tables import (
     UpsertTable,
+    flat_rows,
     save_typed_table,
     table_type,
     typed_rows,
@@ -119,6 +120,61 @@ def test_typed_table_is_created_then_appended(spark):
     spark.sql("DROP TABLE typed_points")
 
 
+def test_typed_table_takes_columns_and_refuses_types(spark):
+    plain = Mapping(fields=(FieldMap("cpu", data_type="float"),))
+    frame = spark.createDataFrame([("m", "a", 1.5, 3e9, 1_500_000)], COLUMNS)
+    only_cpu = typed_rows(frame.drop("memory"), PointsSchema(("host",), ("cpu",)), plain)
+    save_typed_table(only_cpu, "typed_wider")
+    both = Mapping(fields=(FieldMap("cpu", data_type="float"), FieldMap("memory", data_type="int")))
+    rows = typed_rows(frame, SCHEMA, both)
+    save_typed_table(rows, "typed_wider")
+    got = spark.table("typed_wider")
+    assert sorted((r["memory"] or 0) for r in got.collect()) == [0, 3_000_000_000]
+    with pytest.raises(ValueError, match="memory is bigint"):
+        save_typed_table(rows.withColumn("memory", F.lit("x")), "typed_wider")
+    spark.sql("DROP TABLE typed_wider")
+    with pytest.raises(Exception, match="memory does not fit int"):
+        typed_rows(frame, SCHEMA, both, super_table=True).collect()
+    table = UpsertTable(spark, scratch_path(spark, "typed"), ["host", "_migration_time"], ["cpu"])
+    for _ in range(2):
+        table.upsert(rows)
+    assert table.current().count() == 1
+
+
+def test_flat_rows_refuse_tags(spark):
+    frame = spark.createDataFrame([("m", "a", 1.5, 2.0, 1)], COLUMNS)
+    with pytest.raises(ValueError, match="no tags"):
+        flat_rows(frame, SCHEMA, [])
+
+
+def test_payload_parts_are_bounded(spark):
+    frame = spark.createDataFrame(
+        [("m", "a", float(i), None, i) for i in range(1, 201)], COLUMNS
+    ).withColumn("memory", F.lit(None).cast("double"))
+    parts = payloads(frame, SCHEMA, 150, ["host"], ["time_ns"], max_bytes=500).collect()
+    assert max(len(r["payload"]) for r in parts) < 600 and len(parts) > 5
+    ordered = sorted(parts, key=lambda r: (r["batch_id"], r["part_no"]))
+    lines = "\n".join(r["payload"] for r in ordered).split("\n")
+    assert [int(line.rsplit(" ", 1)[1]) for line in lines] == list(range(1, 201))
+
+
+def test_child_tables_bear_repeated_loads(spark):
+    frame = spark.createDataFrame(
+        [("m", f"h{i % 40}", float(i), None, i) for i in range(400)], COLUMNS
+    )
+    routed = route_to_children(frame, SCHEMA, F.lit("m"))
+    target = ChildTables(spark, scratch_path(spark, "children"), SCHEMA, ["cpu"], buckets=4)
+    for _ in range(2):
+        target.upsert(routed)
+    assert target.current().count() == 400
+    assert target._files.names(f"{target.path}/data/v=2") and len(target._manifest()["slices"]) <= 4
+    name = routed.where("host = 'h3'").first()["child_table"]
+    assert {r["host"] for r in target.child(name).collect()} == {"h3"}
+    assert target.child(name).count() == 10
+    with pytest.raises(ValueError, match="child_table"):
+        route_to_children(routed, SCHEMA, F.lit("m"))
+
+
 def test_children_hold_one_series_each(spark):
     path = scratch_path(spark, "children")
     frame = spark.createDataFrame(
@@ -194,6 +250,48 @@ def test_crash_before_the_manifest_changes_nothing(spark, monkeypatch):
     assert got == [(1, "a", 2, 2.0), (DAY, "b", 3, 3.0)]
 
 
+def test_columns_named_like_helpers_stay(spark):
+    table = UpsertTable(spark, scratch_path(spark, "names"), ["t", "slice"], ["_newest"], "t")
+    rows = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "t bigint, slice string, _newest int")
+    table.upsert(rows)
+    table.upsert(rows)
+    assert sorted(tuple(r) for r in table.current().collect()) == [(1, "x", 1), (1, "y", 2)]
+
+
+def test_types_widen_or_are_refused(spark):
+    table = _table(spark, "types")
+    table.upsert(spark.createDataFrame([(1, "a", 1, 5)], "t bigint, k string, seq int, v bigint"))
+    more = spark.createDataFrame([(DAY, "a", 1, 0.5)], "t bigint, k string, seq bigint, v double")
+    table.upsert(more)
+    got = table.current()
+    assert dict(got.dtypes) == {"t": "bigint", "k": "string", "seq": "bigint", "v": "double"}
+    assert sorted((r["t"], r["v"]) for r in got.collect()) == [(1, 5.0), (DAY, 0.5)]
+    version = table.version()
+    wrong = spark.createDataFrame([(1, "a", 1, "x")], "t bigint, k string, seq int, v string")
+    with pytest.raises(ValueError, match="v is double"):
+        table.upsert(wrong)
+    assert table.version() == version
+
+
+def test_a_source_that_grows_is_read_once(spark, tmp_path):
+    """Every evaluation of this source gives a row more, in another slice."""
+    log = tmp_path / "calls"
+
+    def more(batches):
+        with open(log, "a") as f:
+            f.write("x")
+        n = len(log.read_text())
+        assert sum(len(b) for b in batches) == 1
+        import pandas as pd
+
+        yield pd.DataFrame({"t": [d * DAY for d in range(n)], "k": "a", "seq": 1})
+
+    table = _table(spark, "grows")
+    table.upsert(spark.range(1, numPartitions=1).mapInPandas(more, "t bigint, k string, seq int"))
+    read = table.current().count()
+    assert read == len(table._manifest()["slices"]) == len(log.read_text()) == 1
+
+
 def test_empty_upsert_and_expiry(spark):
     table = _table(spark, "expire", None)
     columns = "t bigint, k string, seq int"

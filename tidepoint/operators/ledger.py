@@ -209,6 +209,10 @@ class Ledger:
         row = tuple(values.get(name) for name in wanted.names)
         self._save(self._tasks, self.spark.createDataFrame([row], wanted), TASK_SCHEMA)
 
+    def save_tasks(self, rows: DataFrame) -> None:
+        """Save many task rows in one step."""
+        self._save(self._tasks, rows, TASK_SCHEMA)
+
     def mark(self, task_id: str, source_table: str, status: str, error: str | None = None):
         self.save(task_id, source_table, status=status, error_message=error)
 

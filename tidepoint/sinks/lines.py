@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepoint.functions.columns import named
@@ -20,6 +20,9 @@ from tidepoint.operators.numbering import chunk_batches
 from tidepoint.points import PointsSchema, any_of
 
 
+MAX_PAYLOAD_BYTES = 64 << 20
+
+
 def _single_line(c: Column, name: str) -> Column:
     """Names and tags cannot hold a line break in this format, so one fails the job."""
     return F.when(c.contains("\n"), F.raise_error(F.lit(f"line break in {name}"))).otherwise(c)
@@ -84,16 +87,25 @@ def payloads(
     group_by: Sequence[str],
     order_by: Sequence[str],
     always_time: bool = False,
+    max_bytes: int = MAX_PAYLOAD_BYTES,
 ) -> DataFrame:
     """One text per chunk of at most ``size`` lines, in order, joined by line breaks.
 
-    The collected list is bounded by ``size``, which has an upper limit, whatever the group.
+    A chunk of more than ``max_bytes`` is closed early and goes on as the next ``part_no``, so
+    a text is bounded by that and one line, however long the lines are. The sum that cuts the
+    parts needs the lines of a chunk in one partition, where the texts are then built without
+    a further shuffle.
     """
     kept = list(dict.fromkeys([*group_by, *order_by]))
     lines = to_lines(points, schema, always_time, kept)
     chunks = chunk_batches(lines, size, group_by, order_by)
+    before = Window.partitionBy(*group_by, "batch_id").orderBy("row_no")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum(F.octet_length("line") + 1).over(before), F.lit(0))
+    part = F.call_function("div", filled, F.lit(max_bytes).cast("bigint")).cast("int")
+    chunks = chunks.withColumn("part_no", part)
     ordered = F.array_sort(F.collect_list(F.struct("row_no", "line")))
-    return chunks.groupBy(*group_by, "batch_id").agg(
+    return chunks.groupBy(*group_by, "batch_id", "part_no").agg(
         F.count(F.lit(1)).alias("lines"),
         F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("payload"),
     )

@@ -254,17 +254,21 @@ class UpsertTable:
             parts.append(part.select(*columns))
         return reduce(DataFrame.unionByName, parts)
 
+    def _slice(self) -> Column:
+        if not self.slice_time:
+            return F.lit("all")
+        return slice_of(F.col(self.slice_time), self.slice_ns)
+
+    def _placed(self, rows: DataFrame, folder: str) -> DataFrame:
+        """Adaptive execution splits a large slice over several files and merges small ones,
+        in place of one file per task and slice."""
+        return rows.hint("rebalance", folder) if self.slice_time else rows
+
     def _write(self, rows: DataFrame, path: str) -> tuple[str, list[str]]:
         """Write ``rows`` by slice; the folder name used, and the slices found written."""
         folder = spare_name(rows.columns, "slice")
-        if self.slice_time:
-            # Adaptive execution then splits a large slice over several files and merges
-            # small ones, in place of one file per task and slice.
-            time = slice_of(F.col(self.slice_time), self.slice_ns)
-            rows = rows.withColumn(folder, time).hint("rebalance", folder)
-        else:
-            rows = rows.withColumn(folder, F.lit("all"))
-        rows.write.mode("overwrite").partitionBy(folder).parquet(path)
+        rows = rows.withColumn(folder, self._slice())
+        self._placed(rows, folder).write.mode("overwrite").partitionBy(folder).parquet(path)
         prefix = f"{folder}="
         found = self._files.names(path)
         return folder, [n.removeprefix(prefix) for n in found if n.startswith(prefix)]
