@@ -182,8 +182,8 @@ def _arrow(docs):
 
 def test_string_classes():
     rng = random.Random(1)
-    data = bytes(rng.choice(b"ab") for _ in range(600)) + b"\0"
-    order, number = string_classes(np.frombuffer(data, np.uint8), 10)
+    data = bytes(rng.choice(b"ab\0") for _ in range(600)) + b"\0"
+    order, number = string_classes(np.frombuffer(data, np.uint8), np.array([600]), 10)
     of = dict(zip(order.tolist(), number.tolist()))
     seen = {}
     for i in range(len(data) - 10):

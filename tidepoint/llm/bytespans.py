@@ -272,37 +272,52 @@ def _regions(length: int, gram: int, n_groups: int, n_blocks: int):
 
 
 def sort_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` bytes at least, by doubling."""
+    """Suffixes in the order of their first ``depth`` bytes at least, by doubling.
+
+    A rank is the first place of the suffixes that are alike so far. Only those that share
+    theirs are sorted further.
+    """
     n = len(text)
     padded = np.append(text, np.zeros(8, np.uint8)).astype(_U)
     key = np.zeros(n, _U)
     for i in range(8):
         key = (key << _U(8)) | padded[i : n + i]
+    order = np.argsort(key).astype(np.int32)
+    key = key[order]
+    new = np.append(True, key[1:] != key[:-1])
+    place = np.arange(n, dtype=np.int32)
+    rank = np.empty(n + 1, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, place, 0))
     known = 8
-    while True:
-        order = np.argsort(key, kind="stable" if known > 8 else "quicksort")
-        new = np.append(False, key[order[1:]] != key[order[:-1]])
-        if known >= depth:
-            return order
-        rank = np.empty(n, _U)
-        rank[order] = np.cumsum(new).astype(_U) + _U(1)
-        if rank[order[-1]] == n:
-            return order
-        ahead = np.zeros(n, _U)
-        if known < n:
-            ahead[:-known] = rank[known:]
-        key = (rank << _U(32)) | ahead
+    while known < depth:
+        shared = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(shared):
+            break
+        suffix = order[shared]
+        rank[n] = -1  # nothing follows
+        ahead = rank[np.minimum(suffix + known, n)] + 1
+        key = (rank[suffix].astype(_U) << _U(32)) | ahead.astype(_U)
+        by = np.argsort(key)
+        suffix, key = suffix[by], key[by]
+        order[shared] = suffix
+        fresh = np.append(True, key[1:] != key[:-1])
+        new[shared] = fresh
+        first = np.maximum.accumulate(np.where(fresh, np.arange(len(shared)), 0))
+        rank[suffix] = shared[first]
         known *= 2
+    return order
 
 
-def string_classes(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def string_classes(
+    text: np.ndarray, ends: np.ndarray, depth: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Sorted suffixes and the number of the interval of common prefix ``depth`` of each.
 
-    Intervals are expanded from the transform by one byte to the left at a time, all at once;
-    only suffixes whose common prefix with their neighbour is still open take part.
+    The text is of pieces, each with a zero byte at its end. Intervals are expanded from the transform
+    by one byte to the left at a time, all at once; only suffixes whose common prefix with
+    their neighbour is still open take part, and none longer than to the end of its piece.
     """
     order = sort_suffixes(text, depth)
-    n = len(text)
     transform = text[order - 1]  # the byte before each suffix; the text is a ring
     # The suffixes that begin with a byte keep the order of their rests.
     onward = np.argsort(transform, kind="stable").astype(np.int32)
@@ -310,15 +325,18 @@ def string_classes(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     new = np.append(True, first[1:] != first[:-1])
     open_ = np.flatnonzero(~new).astype(np.int32)
     left, right = onward[open_ - 1], onward[open_]
-    for _ in range(1, depth):
+    size = np.diff(ends, prepend=-1)
+    rest = np.repeat(ends, size) - np.arange(len(text))
+    rest = np.minimum(rest, depth).astype(np.uint8 if depth < 256 else np.int32)[order]
+    reach = np.maximum(rest[open_ - 1], rest[open_])
+    for known in range(1, depth):
         interval = np.cumsum(new, dtype=np.int32)
         differ = interval[left] != interval[right]
-        if differ.any():
-            new[open_[differ]] = True
-            same = ~differ
-            open_, left, right = open_[same], left[same], right[same]
-        else:  # an interval is only divided by one that was divided a round before
+        if not differ.any():  # an interval is only divided by one that was a round before
             break
+        new[open_[differ]] = True
+        stay = ~differ & (reach > known)
+        open_, left, right, reach = open_[stay], left[stay], right[stay], reach[stay]
     return order, np.cumsum(new)
 
 
@@ -363,7 +381,7 @@ def _expand(length: int, n_blocks: int):
         owner = np.repeat(np.arange(len(carrier)), strings)
         inner = np.arange(len(owner)) - np.repeat(np.cumsum(strings) - strings, strings)
         at = begin[owner] + inner  # where strings begin in the text
-        suffix, number = string_classes(text, length)
+        suffix, number = string_classes(text, begin + sizes, length)
         of_text = np.empty(len(text), np.int64)
         of_text[suffix] = number
         cls = of_text[at]
