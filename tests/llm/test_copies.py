@@ -140,7 +140,8 @@ def test_strings_match_plain(spark):
         own = "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(0, 400)))
         at = rng.randrange(100)
         docs.append((i, own + (common[at : at + rng.randrange(80, 200)] if i % 2 else "") + "é" * (i % 7)))
-    docs += [(60, "a" * 1000), (61, "ab" * 300), (62, "ab" * 300), (63, docs[1][1]), (64, "\0" * 150)]
+    docs += [(60, "a" * 1000), (61, "ab" * 300), (62, "ab" * 300), (63, docs[1][1]), (64, "\0" * 150),
+             (65, "ab\0c" * 60), (66, "zz" + "ab\0c" * 40)]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
     rows = drop_repeats(importable(spark) and frame).collect()
     got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)

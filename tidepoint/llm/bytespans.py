@@ -317,16 +317,18 @@ def string_classes(
     by one byte to the left at a time, all at once; only suffixes whose common prefix with
     their neighbour is still open take part, and none longer than to the end of its piece.
     """
-    order = sort_suffixes(text, depth)
-    transform = text[order - 1]  # the byte before each suffix; the text is a ring
-    # The suffixes that begin with a byte keep the order of their rests.
+    n = len(text)
+    order = np.append(np.int32(n), sort_suffixes(text, depth))  # the empty suffix comes first
+    symbols = np.append(text.astype(np.uint16) + np.uint16(1), np.uint16(0))
+    transform = symbols[order - 1]  # what stands before each suffix; the text is a ring
+    # The suffixes that begin with a symbol keep the order of their rests.
     onward = np.argsort(transform, kind="stable").astype(np.int32)
-    first = text[order]
+    first = symbols[order]
     new = np.append(True, first[1:] != first[:-1])
     open_ = np.flatnonzero(~new).astype(np.int32)
     left, right = onward[open_ - 1], onward[open_]
     size = np.diff(ends, prepend=-1)
-    rest = np.repeat(ends, size) - np.arange(len(text))
+    rest = np.append(np.repeat(ends, size) - np.arange(n), 0)
     rest = np.minimum(rest, depth).astype(np.uint8 if depth < 256 else np.int32)[order]
     reach = np.maximum(rest[open_ - 1], rest[open_])
     for known in range(1, depth):
@@ -337,7 +339,7 @@ def string_classes(
         new[open_[differ]] = True
         stay = ~differ & (reach > known)
         open_, left, right, reach = open_[stay], left[stay], right[stay], reach[stay]
-    return order, np.cumsum(new)
+    return order[1:], np.cumsum(new)[1:]
 
 
 def _expand(length: int, n_blocks: int):
