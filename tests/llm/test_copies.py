@@ -90,10 +90,12 @@ def test_near_copies_cases(spark):
 
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (200, 200)]
-    got = components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()
-    assert {r.node: r.component for r in got} == {
-        **{i: 0 for i in range(41)}, 100: 100, 101: 100
-    }
+    edges = importable(spark).createDataFrame(chain, "a bigint, b bigint")
+    for small in (0, 5, 1000):
+        got = components(edges, small).collect()
+        assert {r.node: r.component for r in got} == {
+            **{i: 0 for i in range(41)}, 100: 100, 101: 100
+        }
 
 
 def _passages(seed=5):
