@@ -30,6 +30,7 @@ def cast(spark, value, sql_type, to):
     return one(spark, value, sql_type, lambda c, kind: cast_value(c, kind, to))
 
 
+# Inputs and results that every implementation of these casts must agree on.
 @pytest.mark.parametrize(
     "value, sql_type, to, wanted",
     [
@@ -90,6 +91,7 @@ def test_nested_values_are_rejected():
         field_kind(T.ArrayType(T.DoubleType()))
 
 
+# Times and texts of the formats, with what they must give.
 @pytest.mark.parametrize(
     "kinds, wanted",
     [

@@ -85,6 +85,7 @@ def test_window_rows_stay_completed(spark, ledger):
 
 
 def test_report(spark, ledger):
+    # 500 rows completed, 200 failed.
     ledger.save("t", "a", target_meas="m", processed_rows=500, status=COMPLETED)
     ledger.save("t", "b", target_meas="m", processed_rows=200, status=FAILED)
     row = report_totals(ledger.tasks()).first()
@@ -229,7 +230,10 @@ def _shards(spark, count=2):
 
 
 def test_work_items_and_resume_inside_a_window(spark, ledger):
-    """2 shards of 5 series in batches of 2, batch 0 of the first shard done: 5 batches left."""
+    """2 shards of 5 series in batches of 2, batch 0 of the first shard done: 5 batches left.
+
+    Fixed values: these numbers and the batches that are left.
+    """
     windows = window_plan(_shards(spark), "t", START, START + 2 * WEEK, WEEK)
     items = work_items(_points(spark), SCHEMA, windows, WEEK, 2)
     ledger.save_windows(
