@@ -16,9 +16,9 @@ family, whose members outside its largest component are then compared with all i
 by an inverted index in tasks of bounded size, which return links only.
 
 Defined cases: a null or empty text, or one of blanks, has an empty set and is its own
-component; repeated rows with one id are one document if their sets agree, else each is
-linked by its own set and reported under the id; a null id is never linked; an empty table
-gives no rows. Other columns are not read.
+component; rows that repeat an id are one document, for whose links the text that orders
+first is read; a null id is never linked; an empty table gives no rows. Other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -320,7 +320,7 @@ def near_classes(
     members = spark.read.parquet(f"{folder}/members")
 
     ids = members.select(F.col("x").alias("doc_id")).distinct()
-    own = texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    own = texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     own.write.option("compression", "zstd").parquet(f"{folder}/texts")
     own = spark.read.parquet(f"{folder}/texts")
 
