@@ -9,7 +9,7 @@ likelihood with forward-backward marginals. A logistic function of the marginals
 other labelled documents than the field, gives the score of a document.
 
 The model is fitted on the driver from at most ``TOXIC_ROWS`` toxic and ``OTHER_ROWS`` other
-labelled documents (the first by a hash of their id) and has 2**18 weights, whatever the input.
+labelled documents (the first by a hash of their id) and has 2**20 weights, whatever the input.
 Scoring runs over whole texts of all documents in Arrow batches.
 
 Defined cases: a null or empty text has no words and gets the score of no evidence; without
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +32,13 @@ from pyspark.sql import functions as F
 
 TOXIC_ROWS = 1500
 OTHER_ROWS = 3000
-BITS = 18
+BITS = 20
 PREFIXES = (3, 4, 5, 6)
 SEGMENT = 64  # tokens of a training sequence
 STEPS = 40
 CACHE = 300_000
 PREDICT_AT = 0.7
+EXPLAINED = 0.25  # of the strongest feature's ratio in a document, below which others are chance
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGES = ".,;:!?\"'()[]{}|#*$%&<>-_/\\"
@@ -139,23 +141,64 @@ class Crf:
         return _sigmoid(self.score[0] + self.evidence(odds, offsets) @ self.score[1:])
 
 
-def token_labels(words: list[list[int]], owner: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+class Tokens:
+    """Features of the tokens of some texts, cut into training segments, in flat arrays."""
+
+    def __init__(self, texts: list[str]):
+        flat, sizes, owner, offsets = array("i"), array("b"), array("i"), [0]
+        memory: dict[str, list[int]] = {}
+        for d, text in enumerate(texts):
+            found = _WORD.findall(text)
+            for begin in range(0, len(found), SEGMENT):
+                for word in found[begin : begin + SEGMENT]:
+                    own = memory.get(word)
+                    if own is None:
+                        if len(memory) >= CACHE // 4:
+                            memory.clear()
+                        own = memory[word] = features(word)
+                    flat.extend(own)
+                    sizes.append(len(own))
+                    owner.append(d)
+                offsets.append(len(sizes))
+        self.flat, self.sizes = np.array(flat, np.int32), np.array(sizes, np.int64)
+        self.owner, self.offsets = np.array(owner, np.int32), np.array(offsets)
+
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def keep(self, segments: np.ndarray) -> np.ndarray:
+        """Drop the other segments; returns which tokens stay."""
+        lengths = np.diff(self.offsets)
+        token = np.repeat(segments, lengths)
+        self.flat = self.flat[np.repeat(token, self.sizes)]
+        self.sizes, self.owner = self.sizes[token], self.owner[token]
+        self.offsets = np.concatenate([[0], np.cumsum(lengths[segments])])
+        return token
+
+
+def token_labels(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
     """1 for tokens of toxic documents with a feature that chance does not explain."""
-    sizes = np.array([len(w) for w in words])
-    flat = np.concatenate(words) if words else np.zeros(0, np.int64)
-    docs = np.repeat(owner, sizes)
-    pairs = np.unique(docs.astype(np.int64) << BITS | flat)
-    of, feature = pairs >> BITS, pairs & ((1 << BITS) - 1)
-    n1 = np.bincount(feature, toxic[of], 1 << BITS)
-    n = np.bincount(feature, minlength=1 << BITS)
+    n, n1 = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    starts = tokens.starts()
+    edges = np.searchsorted(tokens.owner, np.arange(len(toxic) + 1))
+    places = np.append(starts, len(tokens.flat))[edges]
+    for d, (i, j) in enumerate(zip(places[:-1], places[1:])):
+        own = np.unique(tokens.flat[i:j])
+        n[own] += 1
+        n1[own] += toxic[d]
     share = toxic.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
         p = n1 / n
         ratio = n1 * np.log(p / share)
         ratio += np.where(n > n1, (n - n1) * np.log((1 - p) / (1 - share)), 0.0)
     marks = (n1 > 0) & (p >= 0.8) & (ratio > np.log(max(2, (n > 0).sum())))
-    hit = np.maximum.reduceat(marks[flat], np.concatenate([[0], np.cumsum(sizes)[:-1]]))
-    return (hit & (toxic[owner] > 0)).astype(float)
+    ratio = np.where(marks, ratio, 0.0).astype(np.float32)
+    best = np.maximum.reduceat(ratio[tokens.flat], starts)
+    # What is toxic explains the words that copies of a toxic document happen to share.
+    top = np.zeros(len(toxic), np.float32)
+    np.maximum.at(top, tokens.owner, best)
+    hit = (best > 0) & (best >= EXPLAINED * top[tokens.owner])
+    return (hit & (toxic[tokens.owner] > 0)).astype(float)
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Crf:
@@ -168,32 +211,20 @@ def fit(texts: list[str], toxic: np.ndarray) -> Crf:
     if toxic[own].min() == toxic[own].max() or toxic[~own].min() == toxic[~own].max():
         own = np.ones(len(texts), bool)
     chosen = np.flatnonzero(own)
-    memory: dict[str, list[int]] = {}
-    words, owner, offsets = [], [], [0]
-    for d, i in enumerate(chosen):
-        found = _WORD.findall(texts[i])
-        for begin in range(0, len(found), SEGMENT):
-            for word in found[begin : begin + SEGMENT]:
-                if word not in memory:
-                    memory[word] = features(word)
-                words.append(memory[word])
-                owner.append(d)
-            offsets.append(len(words))
-    owner, offsets = np.array(owner), np.array(offsets)
-    labels = token_labels(words, owner, toxic[chosen])
+    tokens = Tokens([texts[i] for i in chosen])
+    labels = token_labels(tokens, toxic[chosen]) if len(tokens.sizes) else np.zeros(0)
     if not labels.any():
         model.constant = float(toxic.mean())
         return model
-    # Segments without a toxic token are many and alike; a fixed share of them is enough.
-    starts = offsets[:-1]
-    busy = np.add.reduceat(labels, starts) > 0
-    keep = busy | (np.arange(len(starts)) % 8 == 0)
-    token = np.repeat(keep, np.diff(offsets))
-    lengths = np.diff(offsets)[keep]
-    words = [w for w, t in zip(words, token) if t]
-    labels = labels[token]
-    offsets = np.concatenate([[0], np.cumsum(lengths)])
-    _train(model, words, labels, offsets)
+    # Of segments without a toxic token, those count that have a feature of one in another
+    # word; the rest are many and alike, and a fixed share of them is enough.
+    telling = np.zeros(1 << BITS, bool)
+    telling[tokens.flat[np.repeat(labels > 0, tokens.sizes)]] = True
+    hard = np.logical_or.reduceat(telling[tokens.flat], tokens.starts())
+    heads = tokens.offsets[:-1]
+    segments = np.logical_or.reduceat(hard, heads) | (np.arange(len(heads)) % 8 == 0)
+    labels = labels[tokens.keep(segments)]
+    _train(model, tokens, labels)
     rest = np.flatnonzero(~own) if not own.all() else chosen
     odds, at = model.token_odds([texts[i] for i in rest])
     _calibrate(model, model.evidence(odds, at), toxic[rest])
@@ -201,12 +232,11 @@ def fit(texts: list[str], toxic: np.ndarray) -> Crf:
     return model
 
 
-def _train(model: Crf, words: list[list[int]], labels: np.ndarray, offsets: np.ndarray) -> None:
+def _train(model: Crf, tokens: Tokens, labels: np.ndarray) -> None:
     """Gradient ascent with per-weight step sizes on the penalised likelihood."""
-    sizes = np.array([len(w) for w in words])
-    flat = np.concatenate(words)
-    token = np.repeat(np.arange(len(words)), sizes)
-    inner = np.ones(len(words), bool)
+    flat, offsets, n = tokens.flat, tokens.offsets, len(labels)
+    token = np.repeat(np.arange(n, dtype=np.int32), tokens.sizes)
+    inner = np.ones(n, bool)
     inner[offsets[:-1]] = False
     second = np.flatnonzero(inner)
     before = labels[second - 1].astype(int)
@@ -220,7 +250,7 @@ def _train(model: Crf, words: list[list[int]], labels: np.ndarray, offsets: np.n
     power = np.full(1 << BITS, 1e-3)
     power_bias = 1e-3
     for _ in range(STEPS):
-        scores = model.bias + np.bincount(token, model.weights[flat], len(words))
+        scores = model.bias + np.bincount(token, model.weights[flat], n)
         odds = marginals(np.clip(scores, -30, 30), offsets, np.exp(model.jump))
         miss = labels - _sigmoid(odds)
         gradient = np.bincount(flat, miss[token], 1 << BITS) - 0.02 * model.weights
