@@ -2,8 +2,9 @@
 
 All steps are DataFrame functions. The first scan keeps two numbers per document, its
 length in bytes and a hash of its first characters, and counts documents per pair. Only
-documents whose pair occurs again have their whole content hashed. No text is shuffled:
-what moves are lengths, hashes and ids, and every group is aggregated before it moves.
+documents whose pair occurs again have their whole content hashed. To find the groups no text
+is shuffled: what moves are lengths, hashes and ids, and every group is aggregated before it
+moves. Only ``drop_copies`` moves whole rows, once, where the groups are too many to broadcast.
 
 Defined cases: a null text counts as the empty text; empty texts are equal to each other;
 rows that repeat both id and text are one document that counts once per row, and are all
