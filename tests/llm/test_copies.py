@@ -175,6 +175,24 @@ def test_hot_anchors_give_the_same(spark, monkeypatch):
     assert got == without_strings(docs, 100)
 
 
+def test_hot_is_decided_over_all_batches(spark, monkeypatch):
+    import tidepoint.llm.bytespans as module
+
+    monkeypatch.setattr(module, "GROUP_BYTES", 1000)
+    monkeypatch.setattr(module, "BLOCK_BYTES", 100)
+    docs = [(1, "-" * 1500 + " x"), (2, "y " + "-" * 300), (3, "z " + "-" * 130)]
+    docs += [(10 + i, f"{i} " * 30 + "=" * 140) for i in range(6)]
+    parts = [spark.createDataFrame([d], "doc_id bigint, text string") for d in docs]
+    frame = importable(spark) and parts[0]
+    for part in parts[1:]:
+        frame = frame.union(part)  # a task for each document, thus a batch
+    for hot in (50, 500):
+        monkeypatch.setattr(module, "HOT", hot)
+        rows = drop_repeats(frame).collect()
+        got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)
+        assert got == without_strings(docs, 100)
+
+
 def _arrow(docs):
     import pyarrow as pa
 

@@ -16,6 +16,8 @@ of each string in the corpus stays, every other one is removed.
 Equal regions share one copy of their text, and before regions move, each task keeps only
 its first occurrence of each; the others are removed as a whole. Regions around an anchor that
 occurs in very many places are cut into their single strings, which spread over all groups.
+An anchor's places are counted over the whole corpus, so all its regions go the same way. The
+list of such anchors reaches every task; it has at most one entry for ``HOT`` places.
 
 Defined cases: null, empty and short texts lose nothing; strings never cross documents; rows
 that share an id count as one document, and an occurrence that starts where another row with
@@ -60,13 +62,14 @@ BATCH_BYTES = 16 << 20
 BLOCK_BYTES = 8 << 20
 GROUP_ANCHORS = 500_000
 GROUP_BYTES = 3 << 20
-HOT = 20_000  # places of an anchor, each in another task's batch or document
+HOT = 20_000  # places of an anchor in the whole corpus
 
 _U = np.uint64
 _TOP = _U(2**64 - 1)
 _LOW = _U(0xFFFF)
 _SENT = "grp bigint, ids binary, tags binary, counts binary, hashes binary, places binary"
 _KNOWN = "block bigint, ids binary, tags binary, counts binary, places binary, hot binary"
+_HOT_BLOCK = -1  # of the rows that have the anchors above HOT, in place of places
 _REGIONS = (
     "grp bigint, ids binary, tags binary, counts binary, starts binary, lengths binary, "
     "content binary"
@@ -126,7 +129,8 @@ def _batch_anchors(texts: list[bytes], length: int, gram: int):
 
 def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int):
     """Anchors to their groups. Those that a batch has twice are known to repeat already:
-    they go back under -1 - block, and their group hears of them once, without a place."""
+    they go back under -1 - block, and their group hears of them once, without a place but
+    with the number of their places."""
 
     def settle(batch: Batch) -> Iterator[list]:
         docs, places, anchor = _batch_anchors(batch.texts, length, gram)
@@ -138,13 +142,11 @@ def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int):
         twice = np.zeros(len(order), bool)
         twice[order] = np.repeat(sizes > 1, sizes)
         at = np.flatnonzero(twice)
-        hot = np.zeros(len(order), bool)
-        hot[order] = np.repeat(sizes > HOT, sizes)
         for block, part in _parts(block_numbers(batch.ids[docs[at]], n_blocks)):
             own = at[part]
             yield [
                 -1 - block, *doc_headers(batch.ids[docs[own]], batch.tags[docs[own]]),
-                np.packbits(hot[own]).tobytes(), pack(places[own]),
+                b"", pack(places[own]),
             ]
         at = np.flatnonzero(~twice)
         single = np.full(0, 0, np.int64)
@@ -154,9 +156,9 @@ def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int):
                 key, *doc_headers(batch.ids[docs[own]], batch.tags[docs[own]]),
                 anchor[own].tobytes(), pack(places[own]),
             ]
-        heads = anchor[order[begin[sizes > 1]]]
+        heads, many = anchor[order[begin[sizes > 1]]], sizes[sizes > 1]
         for key, part in _parts(spread(heads, n_groups)):
-            yield [key, *doc_headers(single, single), heads[part].tobytes(), b""]
+            yield [key, *doc_headers(single, single), heads[part].tobytes(), pack(many[part])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in document_batches(batches, BATCH_BYTES):
@@ -165,46 +167,55 @@ def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int):
     return run
 
 
-def _known_anchors(n_blocks: int):
-    """Which places have an anchor that repeats, from one group; back to their blocks."""
+def _known_anchors(n_blocks: int, hot: int):
+    """Which places have an anchor that repeats, from one group; back to their blocks. And
+    the group's anchors that have more than ``hot`` places in all batches together."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         key = rows[0]["grp"]
         if key < 0:
-            out = [
-                [-1 - key, r["ids"], r["tags"], r["counts"], r["places"], r["hashes"]] for r in rows
-            ]
+            out = [[-1 - key, r["ids"], r["tags"], r["counts"], r["places"], b""] for r in rows]
             return _table(out, _KNOWN)
-        heads = [expand_headers(r["ids"], r["tags"], r["counts"]) for r in rows]
-        ids, tags = (np.concatenate(c) for c in zip(*heads))
-        places = np.concatenate([unpack(r["places"]) for r in rows])
         placed = [r for r in rows if r["ids"]]
         others = [r for r in rows if not r["ids"]]
+        none = np.zeros(0, np.int64)
+        heads = [expand_headers(r["ids"], r["tags"], r["counts"]) for r in placed]
+        ids, tags = (np.concatenate(c) for c in zip(*heads)) if placed else (none, none)
+        places = np.concatenate([unpack(r["places"]) for r in placed] or [none])
+        many = np.concatenate([unpack(r["places"]) for r in others] or [none])
+        own = np.append(np.ones(len(places), np.int64), many)  # places behind each entry
         anchor = np.concatenate(
             [np.frombuffer(r["hashes"], _U) for r in placed + others] or [np.zeros(0, _U)]
         )
         order = np.argsort(anchor, kind="stable")
-        sizes = np.diff(np.append(runs(anchor[order]), len(order)))
+        begin = runs(anchor[order])
+        sizes = np.diff(np.append(begin, len(order)))
+        totals = np.add.reduceat(own[order], begin)
         count = np.zeros(len(order), np.int64)
-        count[order] = np.repeat(sizes, sizes)
+        count[order] = np.repeat(totals, sizes)
         count = count[: len(places)]  # what has a place comes first
         gone = np.flatnonzero(count > 1)
         gone = gone[np.lexsort((places[gone], tags[gone], ids[gone]))]
         out = [
             [
-                block, *doc_headers(ids[gone[p]], tags[gone[p]]), pack(places[gone[p]]),
-                np.packbits(count[gone[p]] > HOT).tobytes(),
+                block, *doc_headers(ids[gone[p]], tags[gone[p]]), pack(places[gone[p]]), b"",
             ]
             for block, p in _parts(block_numbers(ids[gone], n_blocks))
         ]
+        above = anchor[order[begin[totals > hot]]]
+        if len(above):
+            out.append([_HOT_BLOCK, *doc_headers(none, none), b"", above.tobytes()])
         return _table(out, _KNOWN)
 
     return run
 
 
-def _regions(length: int, gram: int, n_groups: int, n_blocks: int):
-    """Regions of the repeated anchors of one block, to the groups of their anchors."""
+def _regions(length: int, gram: int, n_groups: int, n_blocks: int, above: np.ndarray):
+    """Regions of the repeated anchors of one block, to the groups of their anchors.
+
+    ``above``: the anchors with very many places, sorted.
+    """
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         rows = known.to_pylist()
@@ -213,9 +224,6 @@ def _regions(length: int, gram: int, n_groups: int, n_blocks: int):
         heads = [expand_headers(r["ids"], r["tags"], r["counts"]) for r in rows]
         ids, tags = (np.concatenate(c) for c in zip(*heads))
         places = np.concatenate([unpack(r["places"]) for r in rows])
-        hot = np.concatenate(
-            [np.unpackbits(np.frombuffer(r["hot"], np.uint8))[: len(h[0])] for r, h in zip(rows, heads)]
-        ).astype(bool)
         of = by_document(ids, tags)
         batch = Batch(
             docs.column("doc_id").to_pylist(), docs.column("text").cast(pa.binary()).to_pylist()
@@ -231,7 +239,11 @@ def _regions(length: int, gram: int, n_groups: int, n_blocks: int):
             order = at[np.argsort(places[at], kind="stable")]
             where = places[order]
             own_groups = spread(anchor[where], n_groups)
-            for p, g, many in zip(where.tolist(), own_groups.tolist(), hot[order].tolist()):
+            hot = np.zeros(len(where), bool)
+            if len(above):
+                near = np.minimum(np.searchsorted(above, anchor[where]), len(above) - 1)
+                hot = above[near] == anchor[where]
+            for p, g, many in zip(where.tolist(), own_groups.tolist(), hot.tolist()):
                 a, b = int(begin[p]), int(ends[p])
                 cuts = [(a, b)] if not many else [(i, i + length) for i in range(a, b - length + 1)]
                 for i, j in cuts:
@@ -472,10 +484,13 @@ def drop_repeats(
     (
         sent.repartition(n_anchor_groups + n_blocks, "grp")
         .groupBy("grp")
-        .applyInArrow(_known_anchors(n_blocks), _KNOWN)
+        .applyInArrow(_known_anchors(n_blocks, HOT), _KNOWN)
         .write.parquet(f"{folder}/known")
     )
     known = spark.read.parquet(f"{folder}/known")
+    lists = known.where(F.col("block") == _HOT_BLOCK).select("hot").collect()
+    above = np.sort(np.concatenate([np.zeros(0, _U), *(np.frombuffer(r.hot, _U) for r in lists)]))
+    known = known.where(F.col("block") != _HOT_BLOCK)
     # A place takes one byte at least, so this bounds the bytes of the regions from above.
     places = known.agg(F.sum(F.octet_length("places")).alias("n")).first().n or 0
     n_groups = max(1, -(-places * (length + length // 2) // 2 // GROUP_BYTES))
@@ -483,7 +498,7 @@ def drop_repeats(
     regions = (
         rows.groupBy("block")
         .cogroup(known.groupBy("block"))
-        .applyInArrow(_regions(length, gram, n_groups, n_blocks), _REGIONS)
+        .applyInArrow(_regions(length, gram, n_groups, n_blocks, above), _REGIONS)
     )
     spans = (
         regions.repartition(n_groups + n_blocks, "grp")
