@@ -13,7 +13,7 @@ from brute import (
 )
 
 from tidepoint.llm.blocks import block_column, block_numbers, pack, unpack
-from tidepoint.llm.bytespans import drop_repeats, string_classes
+from tidepoint.llm.bytespans import anchors, drop_repeats, string_classes
 from tidepoint.llm.components import components
 from tidepoint.llm.exact import drop_copies, exact_copies
 from tidepoint.llm.minhash import drop_near_copies, near_classes
@@ -193,6 +193,26 @@ def test_hot_is_decided_over_all_batches(spark, monkeypatch):
         assert got == without_strings(docs, 100)
 
 
+def test_ties_across_65536_go_to_the_left():
+    rng = random.Random(6)
+    edge = 1 << 16
+    head = "".join(rng.choice("abcdefgh ") for _ in range(edge - 46))
+    text = (head + "-" * 110 + "".join(rng.choice("abcdefgh ") for _ in range(300))).encode()
+    grams = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), 24)
+    dashes = np.flatnonzero((grams == ord("-")).all(axis=1))
+    anchor, begin = anchors(text, 100, 24)
+    # Where the run of dashes is the least of a window, the window's first whole gram counts.
+    plain, _ = anchors(b"-" * 100, 100, 24)
+    starts = begin[anchor == plain[0]]
+    inside = [int(s) for s in starts if s >= dashes[0]]
+    assert inside[:11] == list(range(dashes[0], dashes[0] + 11))
+    for cut in (0, 1, 999, edge - 200):  # the same strings, with the edge at another place
+        own, at = anchors(text[cut:], 100, 24)
+        assert list(zip(anchor[begin > edge - 150], begin[begin > edge - 150])) == [
+            (x, y + cut) for x, y in zip(own, at) if y + cut > edge - 150
+        ]
+
+
 def _arrow(docs):
     import pyarrow as pa
 

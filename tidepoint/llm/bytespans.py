@@ -114,6 +114,12 @@ def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
     ahead = np.minimum.accumulate(padded, axis=1).ravel()
     behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
+    # Windows across a multiple of 65,536: there the low bits count from the first window.
+    for edge in range(1 << 16, len(hashes), 1 << 16):
+        a, b = edge - width + 1, min(edge + width - 1, len(hashes))
+        near = (hashes[a:b] & ~_LOW) | np.arange(b - a).astype(_U)
+        near = np.lib.stride_tricks.sliding_window_view(near, width).min(axis=1)
+        least[a : a + len(near)] = hashes[a + (near & _LOW).astype(np.int64)]
     begin = runs(least)
     return least[begin] >> _U(16), begin
 
