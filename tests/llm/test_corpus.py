@@ -187,6 +187,20 @@ def test_packing_by_tokenizers(spark, documents):
     assert _check_pieces(pieces, docs) == 0
 
 
+def test_packing_finds_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end} \n{end}x", f"<|endoftext |> é{end}", f"{end[:-1]} {end}"]
+    rows = [(i, text, "a") for i, text in enumerate(texts)]
+    docs = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t, _ in rows}
+    assert docs[0] == [64, 220, 50256, 275, 1]
+    pieces = packed_pieces(case_frame(importable(spark), rows)).collect()
+    assert _check_pieces(pieces, docs) == 0
+
+
 def test_packing_groups_related():
     rng = random.Random(4)
     topics = [[rng.randrange(1000, 40_000) for _ in range(30)] for _ in range(8)]

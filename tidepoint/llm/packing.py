@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepoint.llm.tokens import default_vocabulary, encoding
+from tidepoint.llm.tokens import added_tokens, default_vocabulary, encoding
 
 WINDOW = 2048
 END_ID = 1
@@ -39,15 +39,19 @@ PIECES = (
 
 
 def tokenized(docs: DataFrame, vocabulary: str, pattern: str, end_id: int) -> DataFrame:
-    """``shard, doc_id, ids``: the ids as unsigned 16-bit integers where they fit, else 32."""
+    """``shard, doc_id, ids``: the ids as unsigned 16-bit integers where they fit, else 32.
+
+    Added tokens of the vocabulary are found inside texts, as ``tokenizers`` does.
+    """
+    added = added_tokens(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoding(vocabulary, pattern)
+        encoder = encoding(vocabulary, pattern, added)
         width = "<u2" if max(encoder.max_token_value, end_id) < 1 << 16 else "<u4"
         for batch in batches:
             packed = []
             for text in batch.column(2):
-                ids = encoder.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                ids = encoder.encode_to_numpy(text.as_py() or "", allowed_special="all")
                 packed.append(np.append(ids, end_id).astype(width).tobytes())
             wide = pa.array([width == "<u4"] * len(packed), pa.bool_())
             yield pa.RecordBatch.from_arrays(
