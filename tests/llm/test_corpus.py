@@ -265,6 +265,25 @@ def test_random_strings(word, found):
     assert spans == ([(4, 4 + len(word))] if found else [])
 
 
+def test_random_strings_of_all_kinds_are_found():
+    encode = encoding(*default_vocabulary(None, None)).encode_ordinary
+    rng = random.Random(8)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for alphabet in (lower, upper, lower + upper + "0123456789"):
+        for length in (16, 18, 20, 32, 40):
+            made = ["".join(rng.choices(alphabet, k=length)) for _ in range(200)]
+            found = sum(bool(secrets.random_spans(w, encode, secrets.MAX_RATIO)) for w in made)
+            assert found >= 190
+    halves = ["_".join("".join(rng.choices(lower, k=9)) for _ in "ab") for _ in range(200)]
+    assert sum(bool(secrets.random_spans(w, encode, secrets.MAX_RATIO)) for w in halves) >= 190
+    for word in (
+        "internationalization", "thequickbrownfoxjumpsover", "ACKNOWLEDGEMENTS", "responsibilities",
+        "4952935900253052", "2024-01-08-2024-01-15", "20240108T000000Z", "----------------",
+        "error_handling_2024", "telecommunications",
+    ):
+        assert not secrets.random_spans(word, encode, secrets.MAX_RATIO), word
+
+
 def test_secret_cases(spark):
     rows = secrets.secret_spans(case_frame(importable(spark))).collect()
     assert len(rows) == len(CASES) and all(r.spans == "" for r in rows if r.doc_id in (1, 2, 3))

@@ -4,8 +4,10 @@ The base patterns give assignments, access keys and hexadecimal runs. The method
 strings: a token vocabulary learnt from text spends few characters per token on text and
 about two on random letters and digits, whatever their length. Candidates are runs of
 ``MIN_CHARS`` or more letters, digits and ``+/_=-``; known digests (by length and alphabet) and
-identifiers (UUIDs, runs of one kind of character, words joined by separators or capitals,
-dates and numbers) are excluded before a ratio is taken.
+identifiers (UUIDs, numbers, dates, and names of several parts in which the tokenizer does find
+words) are excluded before a ratio is taken. For letters of one case the ratio is lower: of random
+ones of 16 to 40 letters 98.3 to 100 % fall below it, and of the 1,480 such words of 16 or more
+letters in 10,000 documents of made-up text 54.
 
 Positions count code points, ends are exclusive. Defined cases: a null or empty text has no
 spans; repeated rows are judged each for itself; overlapping spans of different kinds are all
@@ -24,8 +26,9 @@ from pyspark.sql import DataFrame
 from tidepoint.llm.tokens import default_vocabulary, encoding
 
 KINDS = ("assign", "access", "hex", "random")
-MIN_CHARS = 20
+MIN_CHARS = 16
 MAX_RATIO = 2.4  # characters per token
+ONE_CASE_RATIO = 2.2  # of letters of one case
 
 # The base patterns. Letters of the names stand in either ASCII case.
 _ASSIGN = re.compile(
@@ -42,30 +45,37 @@ _DIGEST_CHARS = {32, 40, 56, 64, 96, 128}
 _UUID = re.compile(r"(?i:[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12})")
 _PART = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{2,}(?![a-z])|[0-9]+")
 _JOINERS = re.compile(r"[+/_=-]+")
+_STAMP = re.compile(r"[0-9]{8}T?[0-9]{4,}Z?|[0-9]+")
 
 
 def is_digest(text: str) -> bool:
     return len(text) in _DIGEST_CHARS and _DIGEST.fullmatch(text) is not None
 
 
-def is_identifier(text: str) -> bool:
-    """UUIDs, and names: few parts for their length, each of one kind of character."""
+def is_identifier(text: str, encode, max_ratio: float) -> bool:
+    """UUIDs, numbers, dates, and names: several parts, few for their length, each of one kind
+    of character, and the letters of them words to the tokenizer."""
     if _UUID.fullmatch(text):
         return True
     bare = _JOINERS.sub("", text)
-    if not bare or bare.isdigit() or bare.isalpha() and (bare.islower() or bare.isupper()):
+    if not bare or _STAMP.fullmatch(bare):
         return True
     parts = _PART.findall(text)
-    return sum(map(len, parts)) == len(bare) and len(bare) >= 4 * len(parts)
+    if len(parts) < 2 or sum(map(len, parts)) != len(bare) or len(bare) < 4 * len(parts):
+        return False
+    words = [p for p in parts if p.isalpha()]
+    return sum(map(len, words)) >= max_ratio * sum(len(encode(w)) for w in words)
 
 
 def random_spans(text: str, encode, max_ratio: float) -> list[tuple[int, int]]:
     spans = []
     for match in _CANDIDATE.finditer(text):
         word = match[0]
-        if is_digest(word) or is_identifier(word):
+        if is_digest(word) or is_identifier(word, encode, max_ratio):
             continue
-        if len(word) < max_ratio * len(encode(word)):
+        one_case = word.isalpha() and (word.islower() or word.isupper())
+        ratio = min(max_ratio, ONE_CASE_RATIO) if one_case else max_ratio
+        if len(word) < ratio * len(encode(word)):
             spans.append(match.span())
     return spans
 
