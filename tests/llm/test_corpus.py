@@ -15,9 +15,10 @@ from brute import CASES, case_frame, empty_frame, jaccard_components, words
 import corpus_pipeline
 from tidepoint.llm import secrets
 from tidepoint.llm.mixing import find_exponent, mixed_documents, mixture, token_count
-from tidepoint.llm.packing import pack, packed_pieces
+from tidepoint.llm.packing import Index, centres_of, pack, packed_pieces, statistics
 from tidepoint.llm.queries import LLM_QUERIES
 from tidepoint.llm.registry import importable
+from tidepoint.llm.related import Statistics, sort_key
 from tidepoint.llm.rules import BITS, MEASURES, ablations, apply_policy, keep_good, measure, rule_ledger
 from tidepoint.llm.tokens import default_vocabulary, encoding
 from tidepoint.llm.toxicity import fit, marginals, toxic_scores, train
@@ -201,21 +202,98 @@ def test_packing_finds_added_tokens(spark):
     assert _check_pieces(pieces, docs) == 0
 
 
+def _bm25(pieces, seed):
+    """Scores of all pieces against one, term by term."""
+    terms = [Counter(p.tolist()) for p in pieces]
+    df = Counter(t for c in terms for t in c)
+    n, mean = len(pieces), sum(map(len, pieces)) / len(pieces)
+    scores = []
+    for piece, counts in zip(pieces, terms):
+        score = 0.0
+        for t in terms[seed]:
+            if df[t] > 1 and counts[t]:
+                idf = math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
+                norm = 1.2 * (0.25 + 0.75 * len(piece) / mean)
+                score += idf * counts[t] * 2.2 / (counts[t] + norm)
+        scores.append(score)
+    return scores
+
+
+def _local_statistics(pieces):
+    df = np.zeros(1 + max(int(p.max()) for p in pieces), np.int64)
+    for p in pieces:
+        df[np.unique(p)] += 1
+    return Statistics.of(df, len(pieces), sum(map(len, pieces)))
+
+
+def _topics(n_topics, n, words, size, seed=4):
+    rng = random.Random(seed)
+    pools = [[rng.randrange(1000, 40_000) for _ in range(words)] for _ in range(n_topics)]
+    common = list(range(200))
+    return [
+        np.array([rng.choice(common if rng.random() < 0.5 else pools[i % n_topics])
+                  for _ in range(rng.randrange(size, 2 * size))], np.uint16)
+        for i in range(n)
+    ]
+
+
+def test_packing_neighbours_are_those_of_bm25():
+    pieces = _topics(10, 90, 40, 150)
+    index = Index(pieces, _local_statistics(pieces))
+    for seed in (0, 17, 44):
+        scores = _bm25(pieces, seed)
+        near = index.neighbours(seed)
+        assert set(near) == {i for i, s in enumerate(scores) if s and i != seed}
+        assert [scores[i] for i in near] == pytest.approx(
+            sorted((s for i, s in enumerate(scores) if s and i != seed), reverse=True), rel=1e-4
+        )
+
+
+def test_packing_deals_related_pieces_together(spark):
+    importable(spark)
+    pieces = _topics(60, 900, 40, 150)
+    rows = [(i, p.tobytes(), False) for i, p in enumerate(pieces)]
+    tokens = spark.createDataFrame(rows, "doc_id bigint, ids binary, wide boolean").repartition(7)
+    (stats, n), local = statistics(tokens), _local_statistics(pieces)
+    assert n == len(pieces)
+    assert stats.mean == pytest.approx(local.mean)
+    assert stats.idf.tolist() == local.idf.tolist()
+    centres = centres_of(tokens, stats, n)
+    order = sorted(range(len(pieces)), key=lambda i: sort_key(pieces[i], stats, centres))
+    shard = {i: place // 60 for place, i in enumerate(order)}  # 15 shards
+    met = 0
+    for seed in range(0, 900, 9):
+        scores = _bm25(pieces, seed)
+        scores[seed] = 0
+        met += shard[int(np.argmax(scores))] == shard[seed]
+    assert met >= 60  # of 100; by chance 1 in 15
+
+
 def test_packing_groups_related():
-    rng = random.Random(4)
-    topics = [[rng.randrange(1000, 40_000) for _ in range(30)] for _ in range(8)]
-    documents = [np.array([rng.choice(topics[i % 8]) for _ in range(400)]) for i in range(64)]
+    pieces = _topics(8, 64, 30, 400)
     together = defaultdict(set)
-    for d, _, _, sequence, _ in pack(documents):
-        together[sequence].add(d % 8)
+    for i, _, _, sequence, _ in pack(pieces, _local_statistics(pieces), list(range(64))):
+        together[sequence].add(i % 8)
     assert sum(len(t) for t in together.values()) / len(together) < 2.5
 
 
+def test_packing_keeps_readings_apart(spark):
+    rows = [(i % 30, f"text {i % 30} of some words " * (5 + i % 30), "a") for i in range(90)]
+    rows += [(77, "the same again", "a")] * 20 + [(None, "of nobody", "b")] * 20
+    pieces = packed_pieces(case_frame(importable(spark), rows)).collect()
+    met = Counter((r.sequence_id, r.doc_id) for r in pieces if r.doc_id is not None)
+    assert max(met.values()) == 1
+    encoder = encoding(*default_vocabulary(None, None))
+    assert sum(r.length for r in pieces) == sum(
+        len(encoder.encode_ordinary(t)) + 1 for _, t, _ in rows
+    )
+
+
 def test_packing_cases(spark):
     encoder = encoding(*default_vocabulary(None, None))
     rows = [c for c in CASES if c[0] not in (5, 6)]
     docs = {d: [*encoder.encode_ordinary(t or ""), 1] for d, t, _ in rows}
-    pieces = packed_pieces(case_frame(importable(spark), rows), shard_bytes=2000).collect()
+    pieces = packed_pieces(case_frame(importable(spark), rows), shard_tokens=500).collect()
     assert _check_pieces(pieces, docs) == 0
     repeated = packed_pieces(case_frame(spark)).agg({"length": "sum"}).first()[0]
     assert repeated == sum(len(encoder.encode_ordinary(t or "")) + 1 for _, t, _ in CASES)

@@ -1,17 +1,21 @@
 """Packing documents into training sequences by lexical retrieval.
 
-Documents are tokenized once and dealt into shards of about ``SHARD_BYTES`` of text by a hash
-of their id; a shard is what one task packs, so its size does not grow with the input. Each
-shard has a BM25 inverted index over its token ids. A document longer than a window fills
-whole windows by itself. What is left, and every shorter document, is packed in the order of
-ids: the first unused one is the seed, and its best unused neighbours fill the window in the
-order of their scores. The neighbour that does not fit is cut, and its rest remains to be
-packed, so every window is full. The tokens left at the end of a shard go into sequences whose
-lengths are powers of two. No sequence needs padding.
+Documents are tokenized once. A document longer than a window fills whole windows by itself;
+what is left of it, or a shorter document, is a piece. Document frequencies, the number of
+pieces and their mean length are counted over the whole corpus (a count per token id of the
+vocabulary), so a term weighs the same everywhere.
+
+Pieces that are lexically related are dealt together: the corpus is range partitioned in an
+order by clusters and sampled terms, see ``related``, and a task cuts its range into shards of
+bounded size. Each shard has a BM25 inverted index with the weights of the whole corpus. The first unused piece is the seed of a window, all terms it shares are scored, and its
+best unused neighbours fill the window in the order of their scores. The neighbour that does
+not fit is cut, and its rest remains to be packed, so every window is full. A window never has
+two rows of one id, such as two readings of a document. What cannot fill a window at the end
+of a shard goes into sequences whose lengths are powers of two. No sequence needs padding.
 
 Defined cases: a null or empty text has only the end token; rows that repeat an id are packed
-each, in the order of their texts' ids; a null id is packed like any other and ordered first;
-an empty table gives no rows. Columns besides ``doc_id`` and ``text`` are not read.
+each; a null id is packed like any other, and rows without id may share a window; an empty
+table gives no rows. Columns besides ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -24,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepoint.llm.related import SAMPLE, Statistics, fit_centres, sort_key
 from tidepoint.llm.tokens import added_tokens, default_vocabulary, encoding
+from tidepoint.session import pin
 
 WINDOW = 2048
 END_ID = 1
-SHARD_BYTES = 4 << 20
-QUERY_TERMS = 32
-K1, B = 1.2, 0.75
+SHARD_TOKENS = 1 << 20
+SHARD_PIECES = 1 << 13
+SHARDS_IN_TASK = 4
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -39,7 +45,7 @@ PIECES = (
 
 
 def tokenized(docs: DataFrame, vocabulary: str, pattern: str, end_id: int) -> DataFrame:
-    """``shard, doc_id, ids``: the ids as unsigned 16-bit integers where they fit, else 32.
+    """``doc_id, ids, wide``: the ids as unsigned 16-bit integers where they fit, else 32.
 
     Added tokens of the vocabulary are found inside texts, as ``tokenizers`` does.
     """
@@ -50,152 +56,230 @@ def tokenized(docs: DataFrame, vocabulary: str, pattern: str, end_id: int) -> Da
         width = "<u2" if max(encoder.max_token_value, end_id) < 1 << 16 else "<u4"
         for batch in batches:
             packed = []
-            for text in batch.column(2):
+            for text in batch.column(1):
                 ids = encoder.encode_to_numpy(text.as_py() or "", allowed_special="all")
                 packed.append(np.append(ids, end_id).astype(width).tobytes())
             wide = pa.array([width == "<u4"] * len(packed), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(packed, pa.binary()), wide],
-                ["shard", "doc_id", "ids", "wide"],
+                [batch.column(0), pa.array(packed, pa.binary()), wide], ["doc_id", "ids", "wide"]
             )
 
-    return docs.mapInArrow(run, "shard bigint, doc_id bigint, ids binary, wide boolean")
+    return docs.mapInArrow(run, "doc_id bigint, ids binary, wide boolean")
+
+
+def _arrays(batch: pa.RecordBatch, ids: int, wide: int) -> Iterator[np.ndarray]:
+    for data, w in zip(batch.column(ids).to_pylist(), batch.column(wide).to_pylist()):
+        yield np.frombuffer(data, "<u4" if w else "<u2")
+
+
+def _piece(ids: np.ndarray, window: int) -> np.ndarray:
+    return ids[len(ids) // window * window :]
+
+
+def _term_counts(window: int):
+    """Pieces per term in one task; -1 counts pieces and -2 their tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
+        for batch in batches:
+            for ids in _arrays(batch, 0, 1):
+                piece = _piece(ids, window)
+                if len(piece):
+                    terms = np.unique(piece)
+                    if terms[-1] >= len(df):
+                        df = np.append(df, np.zeros(int(terms[-1]), np.int64))
+                    df[terms] += 1
+                    n, tokens = n + 1, tokens + len(piece)
+        terms = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(terms, [-1, -2])), pa.array(np.append(df[terms], [n, tokens]))],
+            ["term", "n"],
+        )
+
+    return run
+
+
+def statistics(tokens: DataFrame, window: int = WINDOW) -> tuple[Statistics, int]:
+    """Weights over all pieces and their number. What is collected: two numbers, and one per
+    token id, so never more than the vocabulary."""
+    counted = tokens.select("ids", "wide").mapInArrow(_term_counts(window), "term bigint, n bigint")
+    rows = dict(counted.groupBy("term").agg(F.sum("n")).collect())
+    n, total = rows.pop(-1, 0), rows.pop(-2, 0)
+    df = np.zeros(max(rows, default=0) + 1, np.int64)
+    df[list(rows)] = list(rows.values())
+    return Statistics.of(df, n, total), n
+
+
+def centres_of(tokens: DataFrame, stats: Statistics, n: int, window: int = WINDOW) -> np.ndarray:
+    """Centres fitted on distinct pieces whose hash falls in a share of about ``SAMPLE`` of ``n``."""
+    width = F.when(F.col("wide"), 4).otherwise(2) * window
+    length = F.octet_length("ids")
+    tail = F.expr("substring(ids, whole + 1, length - whole)")
+    pieces = (
+        tokens.select("ids", "wide", length.alias("length"), (length - length % width).alias("whole"))
+        .where("length > whole")
+        .select(tail.alias("piece"), "wide")
+        .withColumn("hash", F.xxhash64("piece"))
+        .where(F.pmod("hash", F.lit(max(1, n))) < SAMPLE)
+        .groupBy("hash")
+        .agg(F.first("piece").alias("piece"), F.first("wide").alias("wide"))
+        .limit(2 * SAMPLE)
+    )
+    rows = sorted(pieces.collect(), key=lambda r: r.hash)
+    return fit_centres([np.frombuffer(r.piece, "<u4" if r.wide else "<u2") for r in rows], stats)
+
+
+def _with_keys(window: int, stats: Statistics, centres: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [sort_key(_piece(ids, window), stats, centres) for ids in _arrays(batch, 1, 2)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), *batch.columns], ["key", *batch.schema.names]
+            )
+
+    return run
 
 
 class Index:
     """BM25 over the token ids of the pieces of one shard."""
 
-    def __init__(self, pieces: list[np.ndarray]):
+    def __init__(self, pieces: list[np.ndarray], stats: Statistics):
         terms, counts = zip(*(np.unique(p, return_counts=True) for p in pieces))
         sizes = np.array([len(t) for t in terms])
         docs = np.repeat(np.arange(len(pieces)), sizes)
         terms, counts = np.concatenate(terms), np.concatenate(counts).astype(np.float32)
         lengths = np.array([len(p) for p in pieces], np.float32)
+        weights = stats.weights(terms, counts, lengths[docs])
         order = np.argsort(terms, kind="stable")
-        self.terms, first, df = np.unique(terms[order], return_index=True, return_counts=True)
-        self.first, self.df = first, df
-        self.idf = np.log1p((len(pieces) - df + 0.5) / (df + 0.5)).astype(np.float32)
-        self.docs = docs[order]
-        norm = K1 * (1 - B + B * lengths[docs] / lengths.mean())
-        at = np.searchsorted(self.terms, terms)
-        weights = self.idf[at] * counts * (K1 + 1) / (counts + norm)
-        self.weights = weights[order]
-        self.begin = np.concatenate([[0], np.cumsum(sizes)])
-        self.of_doc, self.doc_weights = at, weights
+        _, first, local = np.unique(terms[order], return_index=True, return_counts=True)
+        self.last = first + local
+        self.first, self.docs, self.weights = first, docs[order], weights[order]
+        number = np.empty(len(terms), np.int64)
+        number[order] = np.repeat(np.arange(len(first)), local)
+        self.of_doc, self.begin = number, np.concatenate([[0], np.cumsum(sizes)])
         self.used = np.zeros(len(pieces), bool)
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused pieces that share a query term with the seed, best first.
-
-        The query is the seed's terms that weigh most in it; those in no other piece are
-        passed over.
-        """
-        own = slice(self.begin[seed], self.begin[seed + 1])
-        terms, weights = self.of_doc[own], self.doc_weights[own]
-        shared = self.df[terms] > 1
-        terms, weights = terms[shared], weights[shared]
-        terms = terms[np.argsort(-weights, kind="stable")[:QUERY_TERMS]]
-        spans = [slice(self.first[t], self.first[t] + self.df[t]) for t in terms]
+        """Unused pieces that share a term with the seed, best first; all its terms count."""
+        terms = self.of_doc[self.begin[seed] : self.begin[seed + 1]]
+        first, last = self.first[terms], self.last[terms]
+        spans = [slice(a, b) for a, b in zip(first.tolist(), last.tolist()) if b - a > 1]
         if not spans:
             return np.zeros(0, np.int64)
         found = np.concatenate([self.docs[s] for s in spans])
         scores = np.bincount(found, np.concatenate([self.weights[s] for s in spans]))
+        scores[self.used[: len(scores)]] = 0
+        scores[seed : seed + 1] = 0
         hits = np.flatnonzero(scores)
-        hits = hits[~self.used[hits]]
-        return hits[np.lexsort((hits, -scores[hits]))]
-
-
-def pack(documents: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
-    """Pieces ``(document, start, length, sequence, offset)`` of one shard."""
-    pieces, rest, sequence = [], [], 0
-    for d, ids in enumerate(documents):
-        start = 0
-        while len(ids) - start >= window:
-            pieces.append((d, start, window, sequence, 0))
-            start, sequence = start + window, sequence + 1
-        if start < len(ids):
-            rest.append([d, start])
-    if not rest:
-        return pieces
-    index = Index([documents[d][start:] for d, start in rest])
-    open_pieces: list[tuple[int, int]] = []  # of the window that is being filled
-    filled = 0
-
-    def take(i: int) -> None:
-        """Put what fits of piece ``i`` into the window."""
-        nonlocal filled
-        d, start = rest[i]
-        length = min(len(documents[d]) - start, window - filled)
-        open_pieces.append((d, start, length))
-        filled += length
-        rest[i][1] = start + length
-        index.used[i] = rest[i][1] == len(documents[d])
-
-    for seed in range(len(rest)):
-        while not index.used[seed]:
-            if filled == 0:
-                take(seed)
-                near = index.neighbours(seed) if filled < window else ()
-                for i in near:
-                    if filled == window:
-                        break
-                    if i != seed:
-                        take(i)
-            else:  # the seed before had too few neighbours
-                take(seed)
+        return hits[np.argsort(-scores[hits], kind="stable")]
+
+
+def pack(
+    pieces: list[np.ndarray],
+    stats: Statistics,
+    owners: list[int | None],
+    window: int = WINDOW,
+) -> list[tuple[int, int, int, int, int]]:
+    """Cuts ``(piece, start, length, sequence, offset)`` of pieces shorter than a window.
+
+    ``owners``: the id each piece belongs to.
+    """
+    index = Index(pieces, stats)
+    names: dict[int | None, int] = {}
+    owner = np.array(
+        [-1 - i if o is None else names.setdefault(o, len(names)) for i, o in enumerate(owners)]
+    )
+    begin = [0] * len(pieces)
+    out: list[tuple[int, int, int, int, int]] = []
+    sequence = first = 0
+    while True:
+        while first < len(pieces) and index.used[first]:
+            first += 1
+        if first == len(pieces):
+            return out
+        cuts: list[tuple[int, int, int]] = []
+        filled, inside = 0, set()
+        seed = first
+        while True:
+            for i in (seed, *index.neighbours(seed)):
+                if owner[i] in inside:
+                    continue
+                length = min(len(pieces[i]) - begin[i], window - filled)
+                cuts.append((i, begin[i], length))
+                begin[i] += length
+                filled += length
+                index.used[i] = begin[i] == len(pieces[i])
+                inside.add(owner[i])
+                if filled == window:
+                    break
             if filled == window:
-                offset = 0
-                for d, start, length in open_pieces:
-                    pieces.append((d, start, length, sequence, offset))
-                    offset += length
-                open_pieces, filled, sequence = [], 0, sequence + 1
-    while open_pieces:
-        size = 1 << (filled.bit_length() - 1)
-        offset = 0
-        while offset < size:
-            d, start, length = open_pieces.pop(0)
-            own = min(length, size - offset)
-            pieces.append((d, start, own, sequence, offset))
-            if own < length:
-                open_pieces.insert(0, (d, start + own, length - own))
-            offset += own
-        filled, sequence = filled - size, sequence + 1
-    return pieces
-
-
-def _packer(window: int):
-    def packed(shard: int, rows: list[tuple[int | None, np.ndarray]]) -> pa.RecordBatch:
-        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].tobytes()))
-        documents = [ids for _, ids in rows]
-        out = [
-            (
-                rows[d][0],
-                start,
-                length,
-                zlib.crc32(documents[d][start : start + length].astype("<u4").tobytes()),
-                len(documents[d]),
-                (shard << 32) + sequence,
-                offset,
-                shard,
-            )
-            for d, start, length, sequence, offset in pack(documents, window)
-        ]
-        names = [part.split()[0] for part in PIECES.split(", ")]
-        columns = [pa.array(c, pa.int64()) for c in zip(*out)]
-        return pa.RecordBatch.from_arrays(columns, names)
+                break
+            free = ~index.used[first:]
+            others = np.flatnonzero(free & ~np.isin(owner[first:], list(inside)))
+            if not len(others):
+                break
+            seed = first + int(others[0])
+        # A full window, or what can only go into powers of two.
+        while cuts:
+            size = 1 << (filled.bit_length() - 1) if filled < window else window
+            offset = 0
+            while offset < size:
+                i, start, length = cuts.pop(0)
+                own = min(length, size - offset)
+                out.append((i, start, own, sequence, offset))
+                if own < length:
+                    cuts.insert(0, (i, start + own, length - own))
+                offset += own
+            filled, sequence = filled - size, sequence + 1
+
+
+def _packer(window: int, stats: Statistics, shard_tokens: int):
+    names = [part.split()[0] for part in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, rows = None, []
+        held: list[tuple[int | None, int, np.ndarray, int]] = []
+        tokens = sequence = shard = part = 0
+        out: list[tuple] = []
+
+        def add(doc_id, start, ids, doc_tokens, sequence, offset) -> None:
+            crc = zlib.crc32(ids.astype("<u4").tobytes())
+            number = (part << 20) + shard
+            place = (part << 40) + sequence
+            out.append((doc_id, start, len(ids), crc, doc_tokens, place, offset, number))
+
+        def settle() -> None:
+            nonlocal held, tokens, sequence, shard
+            cuts = pack([h[2] for h in held], stats, [h[0] for h in held], window)
+            for i, start, length, at, offset in cuts:
+                doc_id, before, piece, doc_tokens = held[i]
+                own = piece[start : start + length]
+                add(doc_id, before + start, own, doc_tokens, sequence + at, offset)
+            sequence += 1 + max(c[3] for c in cuts)
+            held, tokens, shard = [], 0, shard + 1
+
+        def batch_of() -> pa.RecordBatch:
+            columns = [pa.array(c, pa.int64()) for c in zip(*out)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, names)
+
         for batch in batches:
-            columns = (batch.column(i).to_pylist() for i in range(4))
-            for shard, doc_id, ids, wide in zip(*columns):
-                if shard != current and rows:
-                    yield packed(current, rows)
-                    rows = []
-                current = shard
-                rows.append((doc_id, np.frombuffer(ids, "<u4" if wide else "<u2")))
-        if rows:
-            yield packed(current, rows)
+            ids_of = batch.column(0).to_pylist()
+            for doc_id, at, ids in zip(ids_of, batch.column(1).to_pylist(), _arrays(batch, 2, 3)):
+                part, whole = at, len(ids) // window * window
+                for start in range(0, whole, window):
+                    add(doc_id, start, ids[start : start + window], len(ids), sequence, 0)
+                    sequence += 1
+                if whole < len(ids):
+                    held.append((doc_id, whole, ids[whole:], len(ids)))
+                    tokens += len(ids) - whole
+                if tokens >= shard_tokens or len(held) >= SHARD_PIECES:
+                    settle()
+                if len(out) >= SHARD_PIECES:
+                    yield batch_of()
+        if held:
+            settle()
+        if out:
+            yield batch_of()
 
     return run
 
@@ -206,20 +290,27 @@ def packed_pieces(
     end_id: int = END_ID,
     vocabulary: str | None = None,
     pattern: str | None = None,
-    shard_bytes: int = SHARD_BYTES,
+    shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
     """A row per piece, see ``PIECES``. ``sequence_id`` is unique over all shards.
 
     ``vocabulary``: path of token ranks in the tiktoken format, the same on all executors.
     """
     vocabulary, pattern = default_vocabulary(vocabulary, pattern)
-    size = docs.agg(F.sum(F.octet_length("text") + 1).alias("n")).first().n or 0
-    n_shards = max(1, -(-size // shard_bytes))
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("bigint")
-    rows = docs.select(shard.alias("shard"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    dealt = tokenized(rows, vocabulary, pattern, end_id)
-    return (
-        dealt.repartition(n_shards, "shard")
-        .sortWithinPartitions("shard")
-        .mapInArrow(_packer(window), PIECES)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    tokens = pin(tokenized(rows, vocabulary, pattern, end_id))
+    stats, n = statistics(tokens, window)
+    centres = centres_of(tokens, stats, n, window)
+    keyed = tokens.mapInArrow(
+        _with_keys(window, stats, centres), "key binary, doc_id bigint, ids binary, wide boolean"
+    )
+    size = tokens.agg(F.sum(F.octet_length("ids")).alias("n")).first().n or 0
+    tasks = max(1, -(-size // (2 * shard_tokens * SHARDS_IN_TASK)))
+    # The row's place in storage parts rows that are equal in all else.
+    placed = keyed.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(
+        tasks, "key", "doc_id", "row"
     )
+    ordered = placed.sortWithinPartitions("key", "doc_id", "row")
+    return ordered.select(
+        "doc_id", F.spark_partition_id().cast("bigint").alias("part"), "ids", "wide"
+    ).mapInArrow(_packer(window, stats, shard_tokens), PIECES)
