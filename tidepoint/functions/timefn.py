@@ -20,7 +20,8 @@ UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def timestamp_to_ns(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp")) * F.lit(1000).cast("bigint")
+    """Null for a time that 64 bits of ns do not reach, before 1677 or after 2262."""
+    return F.try_multiply(F.unix_micros(ts.cast("timestamp")), F.lit(1000).cast("bigint"))
 
 
 def ns_to_timestamp(ns: Column) -> Column:
@@ -105,6 +106,24 @@ def to_time_ns(df: DataFrame, name: str) -> Column:
     return epoch_number_to_ns(column)
 
 
+def time_faults(df: DataFrame, name: str) -> DataFrame:
+    """One row: ``rows``, those ``without_time``, and those ``out_of_range``: a time is given
+    but is no ns, because it is too far or, as text, has no known layout."""
+    column = named(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        given = column.isNotNull() & (column != "")
+    elif isinstance(df.schema[name].dataType, T.LongType):
+        given = time_is_set(column)
+    else:
+        given = column.isNotNull()
+    unusable = given & to_time_ns(df, name).isNull()
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~given).alias("without_time"),
+        F.count_if(unusable).alias("out_of_range"),
+    )
+
+
 def parse_instant(value: str | datetime | date | int) -> int:
     """Driver-side: an RFC3339 text, datetime or ns integer to ns."""
     if isinstance(value, bool):

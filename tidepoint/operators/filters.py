@@ -21,16 +21,23 @@ def time_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
     The raw column is compared with a literal of its own type, so the range reaches the
     file reader and prunes row groups.
     """
+    for condition in time_conditions(df, column, start, end):
+        df = df.where(condition)
+    return df
+
+
+def time_conditions(df: DataFrame, column: str, start=None, end=None) -> list[Column]:
     kind = df.schema[column].dataType
     low = None if start is None else parse_instant(start)
     high = None if end is None else parse_instant(end)
     if low is not None and high is not None and high <= low:
         raise ValueError(f"time range ends before it starts: {start} .. {end}")
+    conditions = []
     if low is not None:
-        df = df.where(named(column) >= time_literal(kind, low))
+        conditions.append(named(column) >= time_literal(kind, low))
     if high is not None:
-        df = df.where(named(column) < time_literal(kind, high))
-    return df
+        conditions.append(named(column) < time_literal(kind, high))
+    return conditions
 
 
 def tag_predicate(filters: MappingType[str, Sequence[str]]) -> Column:
@@ -49,13 +56,19 @@ def source_tag_filter(rows: DataFrame, filters: MappingType[str, Sequence[str]])
 
     There a text tag is still the raw column, so the filter reaches the file reader.
     """
-    for tag, values in filters.items():
-        if values:
-            wanted = [v for v in values if v != ""]
-            rows = rows.where(named(tag).cast("string").isin(wanted))
+    for condition in source_tag_conditions(filters):
+        rows = rows.where(condition)
     return rows
 
 
+def source_tag_conditions(filters: MappingType[str, Sequence[str]]) -> list[Column]:
+    return [
+        named(tag).cast("string").isin([v for v in values if v != ""])
+        for tag, values in filters.items()
+        if values
+    ]
+
+
 def series_predicate(series: Sequence[MappingType[str, str]]) -> Column:
     """An OR of ANDs for a short list of series given as tag maps.
 

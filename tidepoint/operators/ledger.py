@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepoint.functions.columns import named
 from tidepoint.operators.upsert import last_wins
-from tidepoint.sinks.tables import UpsertTable
+from tidepoint.sinks.log import LogTable
 
 # The states of a task or window.
 PENDING, IN_PROGRESS, COMPLETED, FAILED = "pending", "in_progress", "completed", "failed"
@@ -30,6 +30,11 @@ WINDOW_SCHEMA = (
     " last_completed_batch int, last_time_ns bigint, total_processed_rows bigint,"
     " status string, created_at timestamp, updated_at timestamp, deleted boolean, seq bigint"
 )
+BATCH_KEYS = ["task_id", "epoch_id"]
+BATCH_SCHEMA = (
+    "task_id string, epoch_id bigint, processed_rows bigint, last_time_ns bigint,"
+    " status string, updated_at timestamp, deleted boolean, seq bigint"
+)
 
 
 # Queries over a ledger, in log form (many versions of a row) or current form.
@@ -100,8 +105,12 @@ def without_done_batches(items: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
+def _live(rows: DataFrame) -> DataFrame:
+    return rows.where(~F.coalesce("deleted", F.lit(False)))
+
+
 class Ledger:
-    """Task and window progress in two small upsert tables below ``path``.
+    """Progress of tasks, windows and stream batches in append-only logs below ``path``.
 
     Callers write data first and the ledger after it, so a crash repeats work and never
     skips it; targets are idempotent, so repeating is harmless.
@@ -109,48 +118,31 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
+        self._begun: dict[tuple[str, str], dict | None] = {}
         path = path.rstrip("/")
-        self._tasks = UpsertTable(spark, f"{path}/ledger_tasks", TASK_KEYS, ["seq"])
-        self._windows = UpsertTable(spark, f"{path}/ledger_windows", WINDOW_KEYS, ["seq"])
+        self._tasks = LogTable(spark, f"{path}/ledger_tasks", TASK_SCHEMA, TASK_KEYS)
+        self._windows = LogTable(spark, f"{path}/ledger_windows", WINDOW_SCHEMA, WINDOW_KEYS)
+        self._batches = LogTable(spark, f"{path}/ledger_batches", BATCH_SCHEMA, BATCH_KEYS)
 
     def tasks(self) -> DataFrame:
-        return self._live(self._tasks, TASK_SCHEMA)
+        return _live(self._tasks.current())
 
     def windows(self) -> DataFrame:
-        return self._live(self._windows, WINDOW_SCHEMA)
-
-    def _live(self, table: UpsertTable, schema: str) -> DataFrame:
-        rows = table.current()
-        if rows is None:
-            rows = self.spark.createDataFrame([], schema)
-        return rows.where(~F.coalesce("deleted", F.lit(False)))
-
-    def _save(self, table: UpsertTable, rows: DataFrame, schema: str) -> None:
-        names = [part.split()[0] for part in schema.split(", ")]
-        seq = table.version() + 1
-        typed = rows.withColumns(
-            {
-                "updated_at": F.lit(datetime.now(timezone.utc)),
-                "seq": F.lit(seq).cast("bigint"),
-            }
-        )
-        for name in names:
-            if name not in typed.columns:
-                typed = typed.withColumn(name, F.lit(None))
-        wanted = self.spark.createDataFrame([], schema).schema
-        table.upsert(
-            typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
-        )
-        table.expire()
+        return _live(self._windows.current())
+
+    def batches(self) -> DataFrame:
+        """A row per task and epoch of a stream; a replayed epoch replaces its row."""
+        return _live(self._batches.current())
+
+    @staticmethod
+    def _save(table: LogTable, rows: DataFrame) -> None:
+        table.append(rows.withColumn("updated_at", F.lit(datetime.now(timezone.utc))))
 
     # Tasks
 
     def load(self, task_id: str, source_table: str) -> Row | None:
-        return (
-            self.tasks()
-            .where((F.col("task_id") == task_id) & (F.col("source_table") == source_table))
-            .first()
-        )
+        own = (F.col("task_id") == task_id) & (F.col("source_table") == source_table)
+        return _live(self._tasks.current(own)).first()
 
     def create(
         self,
@@ -185,6 +177,7 @@ class Ledger:
     ) -> Row | None:
         """Mark a task in progress, adding it if unknown; returns what was known before."""
         known = self.load(task_id, source_table)
+        self._begun[task_id, source_table] = None
         changes = {"status": IN_PROGRESS, "error_message": None}
         if known is None:
             changes.update(
@@ -193,25 +186,35 @@ class Ledger:
                 mapping_config=mapping_config,
                 processed_rows=0,
             )
-        self._write_task(task_id, source_table, known, changes)
+        self._begun[task_id, source_table] = self._write_task(
+            task_id, source_table, known.asDict() if known else None, changes
+        )
         return known
 
     def save(self, task_id: str, source_table: str, **changes) -> None:
         """Insert a task row or change the named columns of the present one."""
-        self._write_task(task_id, source_table, self.load(task_id, source_table), changes)
+        known = self.load(task_id, source_table)
+        self._write_task(task_id, source_table, known.asDict() if known else None, changes)
+
+    def finish(self, task_id: str, source_table: str, **changes) -> None:
+        """Change the row that ``begin`` wrote, without reading it again."""
+        known = self._begun.pop((task_id, source_table), None)
+        if known is None:
+            self.save(task_id, source_table, **changes)
+        else:
+            self._write_task(task_id, source_table, known, changes)
 
     def _write_task(
-        self, task_id: str, source_table: str, known: Row | None, changes: dict
-    ) -> None:
-        values = known.asDict() if known else {"created_at": datetime.now(timezone.utc)}
+        self, task_id: str, source_table: str, known: dict | None, changes: dict
+    ) -> dict:
+        values = dict(known) if known else {"created_at": datetime.now(timezone.utc)}
         values.update(task_id=task_id, source_table=source_table, deleted=False, **changes)
-        wanted = self.spark.createDataFrame([], TASK_SCHEMA).schema
-        row = tuple(values.get(name) for name in wanted.names)
-        self._save(self._tasks, self.spark.createDataFrame([row], wanted), TASK_SCHEMA)
+        self._tasks.append_values([values | {"updated_at": datetime.now(timezone.utc)}])
+        return values
 
     def save_tasks(self, rows: DataFrame) -> None:
         """Save many task rows in one step."""
-        self._save(self._tasks, rows, TASK_SCHEMA)
+        self._save(self._tasks, rows)
 
     def mark(self, task_id: str, source_table: str, status: str, error: str | None = None):
         self.save(task_id, source_table, status=status, error_message=error)
@@ -223,15 +226,15 @@ class Ledger:
         gone = self.tasks().where(F.col("task_id") == task_id)
         if source_table is not None:
             gone = gone.where(F.col("source_table") == source_table)
-        self._drop(self._tasks, gone, TASK_SCHEMA)
+        self._drop(self._tasks, gone)
 
     def reset(self) -> None:
-        """Forget all tasks and windows."""
-        self._drop(self._tasks, self.tasks(), TASK_SCHEMA)
-        self._drop(self._windows, self.windows(), WINDOW_SCHEMA)
+        """Forget all tasks, windows and batches."""
+        for table in (self._tasks, self._windows, self._batches):
+            self._drop(table, _live(table.current()))
 
-    def _drop(self, table: UpsertTable, gone: DataFrame, schema: str) -> None:
-        self._save(table, gone.withColumn("deleted", F.lit(True)), schema)
+    def _drop(self, table: LogTable, gone: DataFrame) -> None:
+        self._save(table, gone.withColumn("deleted", F.lit(True)))
 
     def mark_interrupted(self) -> None:
         """In-progress tasks of a dead run become failed and keep their position."""
@@ -241,9 +244,20 @@ class Ledger:
             stuck.withColumns(
                 {"status": F.lit(FAILED), "error_message": F.lit("interrupted")}
             ),
-            TASK_SCHEMA,
         )
 
+    # Stream batches
+
+    def save_batch(
+        self, task_id: str, epoch_id: int, processed_rows: int, last_time_ns: int | None
+    ) -> None:
+        row = {
+            "task_id": task_id, "epoch_id": epoch_id, "processed_rows": processed_rows,
+            "last_time_ns": last_time_ns, "status": COMPLETED, "deleted": False,
+            "updated_at": datetime.now(timezone.utc),
+        }
+        self._batches.append_values([row])
+
     # Windows
 
     def save_windows(self, rows: DataFrame) -> None:
@@ -255,7 +269,14 @@ class Ledger:
         fresh = fresh.withColumn("deleted", F.lit(False))
         if "created_at" not in fresh.columns:
             fresh = fresh.withColumn("created_at", F.lit(datetime.now(timezone.utc)))
-        self._save(self._windows, fresh, WINDOW_SCHEMA)
+        self._save(self._windows, fresh)
+
+    def save_window_values(self, rows: Sequence[dict]) -> None:
+        """Rows of windows that a run has in hand and that no other run completes."""
+        now = datetime.now(timezone.utc)
+        self._windows.append_values(
+            [{"created_at": now, "updated_at": now, "deleted": False, **row} for row in rows]
+        )
 
     def latest_window(self, task_id: str, shard_group_id: str) -> Row | None:
         own = self.windows().where(

@@ -13,19 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepoint.functions.keys import series_key
+from tidepoint.operators.coverage import uncovered_ranges
 from tidepoint.operators.filters import tag_filter, time_range
 from tidepoint.operators.ledger import (
     COMPLETED,
     FAILED,
     IN_PROGRESS,
     Ledger,
-    without_covered,
+    with_status,
     without_done_batches,
 )
 from tidepoint.operators.numbering import series_batches
 from tidepoint.operators.windows import assign_intervals, clipped, overlapping, split_windows
 from tidepoint.points import PointsSchema, check_window
-from tidepoint.session import pin
+from tidepoint.session import pin, scratch_path
+from tidepoint.sinks.files import SharedFiles
 from tidepoint.sources.scan import scan_points
 
 UNIT = ["task_id", "shard_group_id", "window_start", "window_end"]
@@ -47,6 +49,39 @@ def window_plan(
     )
 
 
+def open_windows(windows: DataFrame, known: DataFrame, start_ns: int, end_ns: int) -> DataFrame:
+    """What is left of planned windows: the time that no completed window covers.
+
+    Windows are compared by the time they cover, so a run with another width moves nothing
+    again. A known window inside the range that stopped between batches stays as it is, as its
+    marks hold for that window alone; the rest is cut from ``windows``. A window that a shorter
+    run had clipped, and that nothing else covers, opens again as a whole: its ledger row is
+    replaced, so the points that are moved again are counted once.
+    """
+    keys = ["task_id", "shard_group_id"]
+    units = windows.select(*keys).distinct()
+    known = known.join(units, keys, "left_semi")
+    begun = known.where(
+        (F.col("status") != COMPLETED)
+        & (F.col("last_completed_batch") >= 0)
+        & (F.col("window_start") >= start_ns)
+        & (F.col("window_end") <= end_ns)
+    ).select(*UNIT)
+    done = with_status(known, COMPLETED).select(*UNIT)
+    ends = {"start": "window_start", "end": "window_end"}
+    left = uncovered_ranges(windows, done.unionByName(begun), keys, **ends)
+    clipped_ = done.join(windows.withColumnRenamed("window_end", "end_ns"), [*keys, "window_start"])
+    clipped_ = clipped_.where("window_end < end_ns").select(
+        *keys, "window_start", F.col("window_end").alias("start_ns"), "end_ns"
+    )
+    rest = left.join(clipped_, [*keys, "start_ns", "end_ns"], "left").select(
+        *keys,
+        F.coalesce("window_start", "start_ns").alias("window_start"),
+        F.col("end_ns").alias("window_end"),
+    )
+    return rest.unionByName(begun)
+
+
 def points_in_windows(points: DataFrame, windows: DataFrame, width_ns: int) -> DataFrame:
     """Points with the window that holds them; points outside all windows are left out."""
     return assign_intervals(
@@ -99,7 +134,8 @@ def run_backfill(
 ) -> DataFrame:
     """Move all points of unfinished windows in waves, each followed by its ledger rows.
 
-    ``points`` is a frame of points or a function that gives those of a time range, such as
+    Time that completed windows cover, of whatever width, is not moved again. ``points`` is a
+    frame of points or a function that gives those of a time range, such as
     :func:`source_reader`. A wave has ``wave_windows`` windows in the order of time. Its
     points are evaluated once, into reliable storage, from which they are counted and moved,
     so the ledger says just what the sink got. A window without points is recorded too.
@@ -111,7 +147,7 @@ def run_backfill(
     """
     windows = window_plan(shards, task_id, start_ns, end_ns, width_ns)
     # Only the list of open windows reaches the driver, a row per window.
-    listed = without_covered(windows, ledger.windows()).toArrow().sort_by(
+    listed = open_windows(windows, ledger.windows(), start_ns, end_ns).toArrow().sort_by(
         [(c, "ascending") for c in ("window_start", "window_end", "shard_group_id")]
     )
     spark = shards.sparkSession
@@ -186,48 +222,73 @@ def _move_batches(
     marks = pin(
         ledger.windows().where(F.col("last_completed_batch") >= 0).join(wave, UNIT, "left_semi")
     )
-    last = items.groupBy(*UNIT).agg(F.max("batch_id").cast("int").alias("last_batch"))
-    state = wave.join(last, UNIT, "left").join(
-        marks.select(
-            *UNIT,
-            F.col("last_completed_batch").alias("mark"),
-            F.col("total_processed_rows").alias("before"),
-            F.col("last_time_ns").alias("time_before"),
-        ),
-        UNIT,
-        "left",
-    )
-    state = pin(state.fillna({"last_batch": -1, "mark": -1, "before": 0}))
-    highest = state.agg(F.max("last_batch")).first()[0]
-    numbered = pin(
-        _with_batch(assigned, items, columns)
-        .join(state.select(*UNIT, "mark"), UNIT)
-        .where("batch_id > mark")
-        .drop("mark")
-    )
-    for batch in range(-1, highest + 1):
-        here = state.where((F.lit(batch) > F.col("mark")) & (F.lit(batch) <= F.col("last_batch")))
-        idle = state.where((F.lit(batch) == -1) & (F.col("last_batch") <= F.col("mark")))
-        part = numbered.where(F.col("batch_id") == batch).drop("batch_id")
-        done = numbered.where(F.col("batch_id") <= batch)
-        units = here.unionByName(idle).select(*UNIT, "mark", "before", "last_batch", "time_before")
-        rows = pin(
-            _summary(done, schema, units).select(
+    state = {
+        tuple(r[c] for c in UNIT): r
+        for r in wave.join(items.groupBy(*UNIT).agg(F.max("batch_id").alias("last")), UNIT, "left")
+        .join(
+            marks.select(
                 *UNIT,
-                F.greatest(F.lit(batch), F.col("mark")).alias("last_completed_batch"),
-                F.greatest("last_time_ns", "time_before").alias("last_time_ns"),
-                (F.col("moved") + F.col("before")).alias("total_processed_rows"),
-                F.when(F.col("last_batch") <= batch, COMPLETED)
-                .when(F.col("last_batch") <= F.col("mark"), COMPLETED)
-                .otherwise(IN_PROGRESS)
-                .alias("status"),
-            )
+                F.col("last_completed_batch").alias("mark"),
+                F.col("total_processed_rows").alias("before"),
+                F.col("last_time_ns").alias("time_before"),
+            ),
+            UNIT,
+            "left",
         )
-        if rows.isEmpty():
-            continue
-        if batch >= 0:
-            sink(part.drop(*UNIT), schema)
-        ledger.save_windows(rows)
+        .collect()
+    }
+    reached = marks.select(*UNIT, F.col("last_completed_batch").alias("_mark"))
+    numbered = (
+        _with_batch(assigned, items, columns)
+        .join(reached, UNIT, "left")
+        .where(F.col("batch_id") > F.coalesce("_mark", F.lit(-1)))
+        .drop("_mark")
+    )
+    # Laid out by batch, so that each batch reads its own rows; counted once, by batch.
+    folder = scratch_path(wave.sparkSession, "batches")
+    numbered.write.partitionBy("batch_id").parquet(folder)
+    reader = wave.sparkSession.read.schema(numbered.drop("batch_id").schema)
+    stored = wave.sparkSession.read.schema(numbered.schema).parquet(folder)
+    moved: dict[int, dict[tuple, tuple[int, int | None]]] = {}
+    for r in (
+        stored.groupBy(*UNIT, "batch_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(schema.time_col).alias("t"))
+        .collect()
+    ):
+        moved.setdefault(r["batch_id"], {})[tuple(r[c] for c in UNIT)] = (r["n"], r["t"])
+    try:
+        _batches(reader, folder, state, moved, schema, sink, ledger)
+    finally:
+        SharedFiles(wave.sparkSession).remove(folder)
+
+
+def _batches(reader, folder: str, state, moved, schema: PointsSchema, sink, ledger) -> None:
+    """Sink and ledger batch by batch; sums so far are kept here, a row per window."""
+    sums = {u: [r["before"] or 0, r["time_before"]] for u, r in state.items()}
+
+    def row(unit: tuple, batch: int, done: bool) -> dict:
+        n, last = sums[unit]
+        return dict(zip(UNIT, unit)) | {
+            "last_completed_batch": batch, "last_time_ns": last, "total_processed_rows": n,
+            "status": COMPLETED if done else IN_PROGRESS,
+        }
+
+    def ends(unit: tuple) -> tuple[int, int]:
+        """Last batch and mark of a window, -1 for none."""
+        r = state[unit]
+        return tuple(-1 if r[c] is None else int(r[c]) for c in ("last", "mark"))
+
+    idle = [row(u, ends(u)[1], True) for u in state if ends(u)[0] <= ends(u)[1]]
+    if idle:
+        ledger.save_window_values(idle)
+    for batch in sorted(moved):
+        for unit, (n, last) in moved[batch].items():
+            sums[unit][0] += n
+            times = [t for t in (sums[unit][1], last) if t is not None]
+            sums[unit][1] = max(times, default=None)
+        sink(reader.parquet(f"{folder}/batch_id={batch}").drop(*UNIT), schema)
+        here = [u for u in state if ends(u)[1] < batch <= ends(u)[0]]
+        ledger.save_window_values([row(u, batch, ends(u)[0] <= batch) for u in here])
 
 
 def _with_batch(assigned: DataFrame, items: DataFrame, columns: Sequence[str]) -> DataFrame:

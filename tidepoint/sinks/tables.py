@@ -163,6 +163,10 @@ def slice_of(time_ns: Column, width_ns: int) -> Column:
     return F.coalesce(truncate_ns(time_ns, width_ns).cast("string"), F.lit("none"))
 
 
+# Versions a reader may still be on; older ones are removed after an upsert. 0 keeps all.
+KEEP_VERSIONS = 10
+
+
 class UpsertTable:
     """A Parquet table with insert-or-update on a key.
 
@@ -184,7 +188,9 @@ class UpsertTable:
         sequence: Sequence[str],
         slice_time: str | None = None,
         slice_ns: int = DAY_NS,
+        keep_versions: int = KEEP_VERSIONS,
     ):
+        self.keep_versions = keep_versions
         self.slice_ns = slice_ns if slice_time else 0
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.sequence, self.slice_time = list(keys), list(sequence), slice_time
@@ -197,8 +203,8 @@ class UpsertTable:
     def _manifest(self, version: int | None = None) -> dict | None:
         """``{version, slice_ns, schema, slices: {slice: version}, written: {version: …}}``.
 
-        ``written`` has the schema of each data version and the name of its slice folders.
-        It grows with the number of slices of the table, not with its rows.
+        ``written`` has the schema of each data version, the name of its slice folders, and
+        the same of those slices that were merged with rows they held. It grows with the number of slices of the table, not with its rows.
         """
         versions = self._versions()
         if not versions:
@@ -237,10 +243,12 @@ class UpsertTable:
         schema = T.StructType.fromJson(manifest["schema"])
         paths: dict[str, list[str]] = {}
         for s in slices:
-            version = str(manifest["slices"][s])
-            written = manifest["written"][version]
+            version = manifest["slices"][s]
+            place, written = f"v={version}", manifest["written"][str(version)]
+            if s in written["merged"]:
+                place, written = f"v={version}/merged", written["merged"][s]
             paths.setdefault(json.dumps(written["schema"]), []).append(
-                f"{self.path}/data/v={version}/{written['folder']}={s}"
+                f"{self.path}/data/{place}/{written['folder']}={s}"
             )
         parts = []
         for stored, found in paths.items():
@@ -276,35 +284,37 @@ class UpsertTable:
     def upsert(self, incoming: DataFrame) -> int:
         """Merge ``incoming`` and return the version that holds it.
 
-        ``incoming`` is evaluated once, into a staging folder; which slices it touches is
-        read off there, so a source that grows meanwhile loses nothing.
+        ``incoming`` is evaluated once, written with one row per key. Which slices it touches
+        is read off there, so a source that grows meanwhile loses nothing. A slice that is new
+        to the table stays as it was written; only those that hold rows already are merged
+        with them and written again.
         """
         manifest = self._manifest()
-        version = manifest["version"] if manifest else 0
+        version = (manifest["version"] if manifest else 0) + 1
         schema = self._schema_with(manifest, incoming.schema)
-        staging = f"{self.path}/staged/v={version + 1}"
-        folder, touched = self._write(incoming, staging)
+        own = [f for f in schema if f.name in incoming.columns]
+        typed = incoming.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in own])
+        fresh = merge_batches(None, typed, self.keys, self.sequence)
+        place = f"{self.path}/data/v={version}"
+        folder, touched = self._write(fresh, place)
         if not touched:
-            self._files.remove(staging)
-            return version
-        staged = self.spark.read.schema(incoming.schema).parquet(
-            *[f"{staging}/{folder}={s}" for s in touched]
-        )
+            self._files.remove(place)
+            return version - 1
         slices = manifest["slices"] if manifest else {}
+        written = dict(manifest["written"]) if manifest else {}
+        own_slices = {"schema": fresh.schema.jsonValue(), "folder": folder, "merged": {}}
         affected = sorted(set(touched) & slices.keys())
-        existing = None
         if affected:
             existing = self._read(manifest | {"schema": schema.jsonValue()}, affected)
-        own = [f for f in schema if f.name in staged.columns]
-        typed = staged.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in own])
-        merged = merge_batches(existing, typed, self.keys, self.sequence)
-        version += 1
-        folder, _ = self._write(merged, f"{self.path}/data/v={version}")
+            added = self.spark.read.schema(fresh.schema).parquet(
+                *[f"{place}/{folder}={s}" for s in affected]
+            )
+            merged = merge_batches(existing, added, self.keys, self.sequence)
+            both, _ = self._write(merged, f"{place}/merged")
+            as_merged = {"schema": merged.schema.jsonValue(), "folder": both}
+            own_slices["merged"] = {s: as_merged for s in affected}
         slices = {**slices, **{s: version for s in touched}}
-        written = {
-            **(manifest["written"] if manifest else {}),
-            str(version): {"schema": merged.schema.jsonValue(), "folder": folder},
-        }
+        written[str(version)] = own_slices
         used = {str(v) for v in slices.values()}
         self._files.create(
             f"{self.path}/manifest/{version:010d}.json",
@@ -318,7 +328,8 @@ class UpsertTable:
                 }
             ),
         )
-        self._files.remove(staging)
+        if self.keep_versions:
+            self.expire(self.keep_versions)
         return version
 
     @staticmethod
@@ -342,9 +353,12 @@ class UpsertTable:
         """Remove manifests older than the last ``keep`` and data only those named."""
         versions = sorted(self._versions())
         kept = versions[-max(keep, 1) :]
+        if kept == versions:
+            return
         used = {v for version in kept for v in self._manifest(version)["slices"].values()}
-        for version in versions:
-            if version not in kept:
-                self._files.remove(f"{self.path}/manifest/{version:010d}.json")
-            if version not in used:
-                self._files.remove(f"{self.path}/data/v={version}")
+        for version in versions[: -len(kept)]:
+            self._files.remove(f"{self.path}/manifest/{version:010d}.json")
+        for name in self._files.names(f"{self.path}/data"):
+            number = int(name.removeprefix("v="))
+            if number not in used and number <= versions[-1]:
+                self._files.remove(f"{self.path}/data/{name}")
