@@ -29,6 +29,7 @@ def query(name: str, sql: str | None = None):
 from tidepoint.session import use_utc  # noqa: E402
 
 from catalog import (  # noqa: E402,F401
+    checks,
     discovery,
     encoding,
     mapping,

@@ -219,9 +219,10 @@ def resume_same_time(spark, sf_dir):
     early = rows.where((F.col("ts") < last) | (F.col("event_id") <= middle))
     for source in (early, rows):
         run_mapping(source, schema, mapping, "ts", sink, ledger, "same-time")
-    marks = ledger.tasks().select("last_id", "processed_rows")
+    task = ledger.load("same-time", "events")
     result = target.current().select("key_time_ns", "event_id", "event_type", "value")
-    return finished(result.crossJoin(marks), base)
+    marks = {n: F.lit(task[n]).cast("bigint") for n in ("last_id", "processed_rows")}
+    return finished(result.withColumns(marks), base)
 
 
 @query(
@@ -265,11 +266,17 @@ def run_mappings_query(spark, sf_dir):
     return finished(spark.read.parquet(f"{base}/moved"), base)
 
 
+def whole_windows(spark, sf_dir, width):
+    """The end of the last window that holds an event."""
+    last = event_points(spark, sf_dir).agg(F.max("time_ns")).first()[0]
+    return ORIGIN + (last - ORIGIN) // width * width + width
+
+
 @query(
     "resume_in_window",
     f"""WITH {E_SQL}, w AS (
         SELECT {ORIGIN} + (time_ns - {ORIGIN}) // {2 * WEEK} * {2 * WEEK} AS window_start, *
-        FROM e WHERE time_ns < {ORIGIN + 4 * WEEK}),
+        FROM e),
     n AS (SELECT window_start, count(DISTINCT event_type) AS kinds, count(*) AS n,
                  max(time_ns) AS last_time_ns FROM w GROUP BY 1),
     b AS (SELECT window_start, event_type,
@@ -286,6 +293,7 @@ def resume_in_window(spark, sf_dir):
     schema = PointsSchema(("event_type",), ("value",))
     points = source_reader(event_rows(spark, sf_dir), schema, "ts", "events")
     ledger = Ledger(spark, f"{base}/ledger")
+    end = whole_windows(spark, sf_dir, 2 * WEEK)
     calls = []
 
     def sink(moved, schema):
@@ -295,8 +303,7 @@ def resume_in_window(spark, sf_dir):
 
     def run():
         return run_windows(
-            points, schema, "in-window", ORIGIN, ORIGIN + 4 * WEEK, 2 * WEEK, sink, ledger,
-            series_per_query=2,
+            points, schema, "in-window", ORIGIN, end, 2 * WEEK, sink, ledger, series_per_query=2
         ).select("window_start", "status", "last_completed_batch", "total_processed_rows")
 
     try:
@@ -414,21 +421,22 @@ def flat_append(spark, sf_dir):
     f"""WITH {E_SQL}, w AS (
         SELECT {ORIGIN} + (time_ns - {ORIGIN}) // {3 * DAY} * {3 * DAY} AS window_start,
                count(*) AS total_processed_rows, max(time_ns) AS last_time_ns
-        FROM e WHERE ts < TIMESTAMP '2024-01-29 12:00:00' GROUP BY 1)
+        FROM e GROUP BY 1)
     SELECT 'windowed' AS task_id, window_start,
-           least(window_start + {3 * DAY}, {ORIGIN + 28 * DAY + DAY // 2}) AS window_end,
+           least(window_start + {3 * DAY}, (SELECT max(last_time_ns) + 1 FROM w)) AS window_end,
            last_time_ns, total_processed_rows, 'completed' AS status
     FROM w""",
 )
 def windowed_run(spark, sf_dir):
     """The window ledger after a backfill in three-day windows; the last one is clipped."""
     base = scratch_path(spark, "windowed")
+    last = event_points(spark, sf_dir).agg(F.max("time_ns")).first()[0]
     known = run_windows(
         source_reader(event_rows(spark, sf_dir), E_SCHEMA, "ts", "events"),
         E_SCHEMA,
         "windowed",
         ORIGIN,
-        ORIGIN + 28 * DAY + DAY // 2,
+        last + 1,
         3 * DAY,
         lambda moved, schema: write_lines(to_lines(moved, schema), f"{base}/lines", "append"),
         Ledger(spark, f"{base}/ledger"),

@@ -11,6 +11,8 @@ from tidepoint.functions.columns import spare_name
 from tidepoint.functions.timefn import ns_floor_div
 from tidepoint.session import small_or_pinned
 
+QUANTILE_ACCURACY = 100_000
+
 
 def _long(value: int | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("bigint")
@@ -94,3 +96,38 @@ def window_summary(points: DataFrame, keys: Sequence[str], time: str = "time_ns"
     return points.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("points"), F.max(time).alias("last_time_ns")
     )
+
+
+def balanced_windows(
+    points: DataFrame, parts: int, time: str = "time_ns", accuracy: int = QUANTILE_ACCURACY
+) -> DataFrame:
+    """At most ``parts`` half-open windows that hold like numbers of points.
+
+    ``window_no, window_start, window_end``. Bounds are quantiles of the times, in whole
+    microseconds, by a mergeable sketch, one aggregate whatever the number of points; a bound
+    is off by at most one in ``accuracy`` of all points. Times that very many points share make fewer windows. Points
+    without a time are in none.
+    """
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    found = points.where(F.col(time).isNotNull()).agg(
+        F.min(time).alias("low"),
+        (F.max(time) + 1).alias("high"),
+        (
+            # The sketch works on doubles, which hold microseconds exactly but not ns.
+            F.percentile_approx(ns_floor_div(F.col(time), 1000), shares, F.lit(accuracy))
+            if parts > 1
+            else F.lit(None).cast("array<bigint>")
+        ).alias("cuts"),
+    )
+    inner = F.transform(
+        F.coalesce("cuts", F.array().cast("array<bigint>")),
+        lambda cut: F.greatest(cut * 1000, F.col("low")),
+    )
+    bounds = F.array_sort(F.array_distinct(F.concat(F.array("low"), inner, F.array("high"))))
+    listed = found.where("low is not null").select(bounds.alias("b"))
+    numbers = F.sequence(F.lit(0), F.size("b") - 2)
+    return listed.select("b", F.explode(numbers).alias("window_no")).select(
+        "window_no",
+        F.get("b", F.col("window_no")).alias("window_start"),
+        F.get("b", F.col("window_no") + 1).alias("window_end"),
+    )

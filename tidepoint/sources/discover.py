@@ -14,6 +14,7 @@ from tidepoint.functions.keys import series_key, tag_is_set
 from tidepoint.operators.filters import time_range
 from tidepoint.operators.windows import window_start_of
 from tidepoint.points import PointsSchema
+from tidepoint.sinks.tables import UpsertTable
 
 # Names that mark a time column when no column has a time type.
 TIME_NAME_PATTERN = "timestamp|time|date"
@@ -54,41 +55,92 @@ def column_profile(df: DataFrame, with_distinct: bool = True) -> DataFrame:
     All columns are profiled by one aggregate in one pass; the single result row is then
     turned into one row per column.
     """
-    time_column, id_column = time_column_of(df.schema), id_column_of(df.schema)
-    simple = [f for f in df.schema.fields if not isinstance(f.dataType, _NESTED)]
+    state = df.agg(*profile_aggregates(df.schema, with_distinct, sketch=False))
+    return profile_lines(state, df.schema, with_distinct, sketch=False)
+
+
+def profile_aggregates(schema: T.StructType, with_distinct: bool, sketch: bool) -> list[Column]:
+    """What a profile needs to know of some rows; with ``sketch``, in a form that merges."""
     aggregates = [F.count(F.lit(1)).alias("rows")]
-    for i, field in enumerate(df.schema.fields):
+    for i, field in enumerate(schema.fields):
         column = named(field.name)
         aggregates.append(F.count(column).alias(f"n_{i}"))
-        if field in simple:
+        if not isinstance(field.dataType, _NESTED):
             low, high = F.min(column), F.max(column)
             if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
                 # The two zeros are equal, so either may be found; both are shown as 0.0.
                 zero = F.lit(0.0).cast(field.dataType)
                 low, high = low + zero, high + zero
-            aggregates.append(low.cast("string").alias(f"lo_{i}"))
-            aggregates.append(high.cast("string").alias(f"hi_{i}"))
+            aggregates += [low.alias(f"lo_{i}"), high.alias(f"hi_{i}")]
             if with_distinct:
-                aggregates.append(F.approx_count_distinct(column).alias(f"d_{i}"))
-    one_row = df.agg(*aggregates)
+                aggregates.append(
+                    F.hll_sketch_agg(column.cast("string")).alias(f"d_{i}")
+                    if sketch
+                    else F.approx_count_distinct(column).alias(f"d_{i}")
+                )
+    return aggregates
+
+
+def profile_lines(
+    state: DataFrame, schema: T.StructType, with_distinct: bool, sketch: bool
+) -> DataFrame:
+    """One row per column from the one row of a profile's state."""
+    time_column, id_column = time_column_of(schema), id_column_of(schema)
     lines = []
-    for i, field in enumerate(df.schema.fields):
-        flat = field in simple
+    for i, field in enumerate(schema.fields):
+        flat = not isinstance(field.dataType, _NESTED)
         role = {id_column: "id", time_column: "time"}.get(field.name, "value")
         cells = [
             F.lit(field.name).alias("name"),
             F.lit(field.dataType.simpleString()).alias("type"),
             F.col("rows"),
             (F.col("rows") - F.col(f"n_{i}")).alias("nulls"),
-            (F.col(f"lo_{i}") if flat else F.lit(None).cast("string")).alias("min"),
-            (F.col(f"hi_{i}") if flat else F.lit(None).cast("string")).alias("max"),
+            F.col(f"lo_{i}" if flat else "_none").cast("string").alias("min"),
+            F.col(f"hi_{i}" if flat else "_none").cast("string").alias("max"),
             F.lit(role).alias("role"),
         ]
         if with_distinct:
-            distinct = F.col(f"d_{i}") if flat else F.lit(None).cast("bigint")
+            distinct = F.lit(None).cast("bigint")
+            if flat:
+                distinct = F.hll_sketch_estimate(f"d_{i}") if sketch else F.col(f"d_{i}")
             cells.append(distinct.alias("approx_distinct"))
         lines.append(F.struct(*cells))
-    return one_row.select(F.explode(F.array(*lines)).alias("c")).select("c.*")
+    named_state = state.withColumn("_none", F.lit(None).cast("string"))
+    return named_state.select(F.explode(F.array(*lines)).alias("c")).select("c.*")
+
+
+class StoredProfile:
+    """Profiles kept per window, so that a table that grows is never read again.
+
+    Each window has one row: counts, least and greatest values and a distinct-count sketch of
+    every column. The profile of the table merges those rows; a window that is profiled again
+    replaces its row. Columns and types stay as they are.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.schema = schema
+        self._states = UpsertTable(spark, path, ["window_start"], ["_seq"])
+
+    def update(self, rows: DataFrame, window: Column) -> None:
+        """Profile all windows that ``rows`` holds; a window must come as a whole."""
+        seq = F.lit(self._states.version() + 1).cast("bigint")
+        states = rows.groupBy(window.alias("window_start")).agg(
+            *profile_aggregates(self.schema, with_distinct=True, sketch=True)
+        )
+        self._states.upsert(states.withColumn("_seq", seq))
+
+    def profile(self) -> DataFrame | None:
+        """As :func:`column_profile` of all windows together."""
+        states = self._states.current()
+        if states is None:
+            return None
+        merged = [F.sum("rows").alias("rows")]
+        for i, field in enumerate(self.schema.fields):
+            merged.append(F.sum(f"n_{i}").alias(f"n_{i}"))
+            if not isinstance(field.dataType, _NESTED):
+                merged += [F.min(f"lo_{i}").alias(f"lo_{i}"), F.max(f"hi_{i}").alias(f"hi_{i}")]
+                merged.append(F.hll_union_agg(f"d_{i}").alias(f"d_{i}"))
+        return profile_lines(states.agg(*merged), self.schema, with_distinct=True, sketch=True)
 
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
