@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepoint.functions.columns import named
 from tidepoint.llm.components import components
 from tidepoint.llm.words import mix, slices, word_fingerprints
 from tidepoint.session import pin, scratch_path
@@ -358,7 +359,7 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     Rows that share an id stay if one of them is kept.
     """
     kept = near_classes(docs, **options).where("kept").select(F.col("doc_id").alias("kept_id"))
-    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = F.struct(*[named(c) for c in docs.columns])
     rows = docs.select(columns.alias("row"), F.col("doc_id").cast("bigint").alias("id"))
     same = F.col("id").eqNullSafe(F.col("kept_id"))
     return rows.join(kept.distinct(), same, "left_semi").select("row.*")

@@ -11,8 +11,8 @@ is read in epochs. An epoch is a permutation of its blocks (documents dealt by a
 blocks of about ``BLOCK_TOKENS``), a new one each time, and of the documents in each block. The
 last, partial epoch is cut where the budget is used up; the document at the cut still belongs
 to it. Sums down to the cut go by ranges of the permutation, then blocks, then documents, so
-no task orders a whole source. ``slot`` orders the mixture: sorted by it, all sources run
-through side by side in proportion to their weights.
+no task orders a whole source. ``slot`` orders the blocks: sorted by it, all sources run
+through side by side in proportion to their weights; ``place`` orders the documents of a block.
 
 Tokens are runs of characters other than space and 9 to 13. Defined cases: null or empty texts
 have no tokens, use no budget and are part of every full epoch; a source of only such texts is
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidepoint.functions.columns import named
 from tidepoint.session import pin
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -219,7 +220,11 @@ def _emitted(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
 
 def mixture(docs: DataFrame, seed: int = 0, **options) -> DataFrame:
     """A row per reading of a document:
-    ``doc_id, source, n_tokens, weight, epochs, epoch, block, slot``."""
+    ``doc_id, source, n_tokens, weight, epochs, epoch, block, slot, place``.
+
+    The mixture is read in the order of ``slot, source, block, place, doc_id``: ``slot`` places
+    the block among all others, ``place`` the document in its block.
+    """
     narrow = pin(docs.select("doc_id", "source", token_count().alias("tokens")))
     plan = source_plan(narrow, seed=seed, **options)
     return _emitted(narrow, plan, seed).select(
@@ -231,6 +236,7 @@ def mixture(docs: DataFrame, seed: int = 0, **options) -> DataFrame:
         "epoch",
         "block",
         "slot",
+        F.col("v").alias("place"),
     )
 
 
@@ -239,7 +245,7 @@ def mixed_documents(docs: DataFrame, seed: int = 0, **options) -> DataFrame:
     narrow = pin(docs.select("doc_id", "source", token_count().alias("tokens")))
     plan = source_plan(narrow, seed=seed, **options)
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[named(c) for c in docs.columns]).alias("row"),
         F.col("doc_id").alias("doc_id"),
         F.col("source").alias("source"),
     )

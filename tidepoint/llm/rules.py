@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepoint.functions.columns import named
+
 MEASURES = (
     "n_words",
     "word_chars",
@@ -144,7 +146,7 @@ def ablations(ledger: DataFrame, policy: str = "v1") -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = "v1") -> DataFrame:
     """The documents that the policy keeps, with all their columns, in one pass."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns = [named(c) for c in docs.columns]
     carried = docs.select(F.struct(*columns).alias("row"), F.col("text").alias("text"))
     schema = T.StructType([carried.schema["row"]])
     for name in MEASURES:

@@ -4,12 +4,14 @@ Training needs labelled tokens, but labels mark documents. A token counts as tox
 document does and one of its features (the word, its prefixes) occurs in toxic documents far
 more often than chance allows among as many features; the test is a likelihood ratio against
 the logarithm of their number. The field has two states; its emission weights are hashed
-features of the word, and its transitions are learnt with them, by gradient ascent on the
-likelihood with forward-backward marginals. A logistic function of the marginals, fitted on
+features of the word. Emissions and transitions are learnt together, by gradient ascent on the
+likelihood, from the marginals of states and of pairs of states that forward-backward gives. A logistic function of the marginals, fitted on
 other labelled documents than the field, gives the score of a document.
 
-The model is fitted on the driver from at most ``TOXIC_ROWS`` toxic and ``OTHER_ROWS`` other
-labelled documents (the first by a hash of their id) and has 2**20 weights, whatever the input.
+The model is fitted on the driver from a bounded sample: at most ``TOXIC_ROWS`` toxic and
+``OTHER_ROWS`` other labelled documents, the first by a hash of their id whose texts fit in
+``TOXIC_BYTES`` and ``OTHER_BYTES``. Of training segments without a toxic token and without a
+feature of one, one in ``EASY_SHARE`` is used. The model has 2**20 weights, whatever the input.
 Scoring runs over whole texts of all documents in Arrow batches.
 
 Defined cases: a null or empty text has no words and gets the score of no evidence; without
@@ -30,13 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepoint.session import pin
+
 TOXIC_ROWS = 1500
 OTHER_ROWS = 3000
+TOXIC_BYTES = 16 << 20
+OTHER_BYTES = 32 << 20
+EASY_SHARE = 8
 BITS = 20
 PREFIXES = (3, 4, 5, 6)
 SEGMENT = 64  # tokens of a training sequence
 STEPS = 40
 CACHE = 300_000
+PAIRS = 1 << 18  # pairs of states held at a time in training
 PREDICT_AT = 0.7
 EXPLAINED = 0.25  # of the strongest feature's ratio in a document, below which others are chance
 
@@ -64,6 +72,14 @@ def marginals(scores: np.ndarray, offsets: np.ndarray, jump: np.ndarray) -> np.n
     sequence begins; ``jump``: 2x2 factors, from row to column. Messages are kept as log odds.
     All sequences advance together, the longest first, so a step works on a slice.
     """
+    forward, backward = messages(scores, offsets, jump)
+    return forward + backward
+
+
+def messages(
+    scores: np.ndarray, offsets: np.ndarray, jump: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of each token's state from its own score and those before, and from after."""
     lengths = np.diff(offsets)
     order = np.argsort(-lengths, kind="stable")
     begin, lengths = offsets[:-1][order], lengths[order]
@@ -84,7 +100,20 @@ def marginals(scores: np.ndarray, offsets: np.ndarray, jump: np.ndarray) -> np.n
         ahead = np.clip(scores[at + 1] + last[:k], -60, 60)
         last[:k] = _log_ratio(ahead, jump[1], jump[0])
         backward[at] = last[:k]
-    return forward + backward
+    return forward, backward
+
+
+def pair_marginals(
+    scores: np.ndarray, forward: np.ndarray, backward: np.ndarray, jump: np.ndarray, second: np.ndarray
+) -> np.ndarray:
+    """Probability of each pair of states of ``second`` tokens and those before: ``n, 2, 2``."""
+    left = forward[second - 1]
+    right = np.clip(scores[second] + backward[second], -60, 60)
+    logs = np.log(jump) + left[:, None, None] * np.array([[0, 0], [1, 1]])
+    logs = logs + right[:, None, None] * np.array([[0, 1], [0, 1]])
+    logs -= logs.max(axis=(1, 2), keepdims=True)
+    weights = np.exp(logs)
+    return weights / weights.sum(axis=(1, 2), keepdims=True)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -222,7 +251,9 @@ def fit(texts: list[str], toxic: np.ndarray) -> Crf:
     telling[tokens.flat[np.repeat(labels > 0, tokens.sizes)]] = True
     hard = np.logical_or.reduceat(telling[tokens.flat], tokens.starts())
     heads = tokens.offsets[:-1]
-    segments = np.logical_or.reduceat(hard, heads) | (np.arange(len(heads)) % 8 == 0)
+    segments = np.logical_or.reduceat(hard, heads) | (
+        np.arange(len(heads)) % EASY_SHARE == 0
+    )
     labels = labels[tokens.keep(segments)]
     _train(model, tokens, labels)
     rest = np.flatnonzero(~own) if not own.all() else chosen
@@ -243,16 +274,21 @@ def _train(model: Crf, tokens: Tokens, labels: np.ndarray) -> None:
     after = labels[second].astype(int)
     seen = np.zeros((2, 2))
     np.add.at(seen, (before, after), 1.0)
-    # Transitions have a closed form given the labels; smoothed, relative to the clean state.
+    # A start from the labels' own frequencies; the factor of two clean states stays one.
     rows = (seen + 1) / (seen + 1).sum(axis=1, keepdims=True)
     model.jump = np.log(rows)
     model.jump -= model.jump[0, 0]
     power = np.full(1 << BITS, 1e-3)
-    power_bias = 1e-3
+    power_bias, power_jump = 1e-3, np.full((2, 2), 1e-3)
     for _ in range(STEPS):
-        scores = model.bias + np.bincount(token, model.weights[flat], n)
-        odds = marginals(np.clip(scores, -30, 30), offsets, np.exp(model.jump))
-        miss = labels - _sigmoid(odds)
+        scores = np.clip(model.bias + np.bincount(token, model.weights[flat], n), -30, 30)
+        factors = np.exp(model.jump)
+        forward, backward = messages(scores, offsets, factors)
+        miss = labels - _sigmoid(forward + backward)
+        lean = jump_gradient(seen, scores, forward, backward, factors, second) - 0.02 * model.jump
+        lean[0, 0] = 0.0
+        power_jump += lean**2
+        model.jump = np.clip(model.jump + 0.1 * lean / np.sqrt(power_jump), -20, 20)
         gradient = np.bincount(flat, miss[token], 1 << BITS) - 0.02 * model.weights
         power += gradient**2
         model.weights += 0.7 * gradient / np.sqrt(power)
@@ -260,6 +296,21 @@ def _train(model: Crf, tokens: Tokens, labels: np.ndarray) -> None:
         model.bias += 0.2 * miss.sum() / np.sqrt(power_bias)
 
 
+def jump_gradient(
+    seen: np.ndarray,
+    scores: np.ndarray,
+    forward: np.ndarray,
+    backward: np.ndarray,
+    factors: np.ndarray,
+    second: np.ndarray,
+) -> np.ndarray:
+    """Pairs of states as labelled less as expected: the slope of the log likelihood."""
+    expected = np.zeros((2, 2))
+    for part in np.array_split(second, max(1, len(second) // PAIRS + 1)):
+        expected += pair_marginals(scores, forward, backward, factors, part).sum(axis=0)
+    return seen - expected
+
+
 def _calibrate(model: Crf, evidence: np.ndarray, toxic: np.ndarray) -> None:
     """Logistic regression by Newton steps, lightly penalised."""
     rows = np.column_stack([np.ones(len(evidence)), evidence])
@@ -272,9 +323,14 @@ def _calibrate(model: Crf, evidence: np.ndarray, toxic: np.ndarray) -> None:
 
 
 def training_rows(
-    docs: DataFrame, labels: DataFrame, toxic_rows: int, other_rows: int
+    docs: DataFrame,
+    labels: DataFrame,
+    toxic_rows: int,
+    other_rows: int,
+    toxic_bytes: int = TOXIC_BYTES,
+    other_bytes: int = OTHER_BYTES,
 ) -> tuple[list[str], np.ndarray]:
-    """A bounded sample of labelled texts, outside the held-out third."""
+    """A sample of labelled texts, bounded in rows and bytes, outside the held-out third."""
     train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
     known = (
         labels.where(train & F.col("toxic").isNotNull())
@@ -282,10 +338,21 @@ def training_rows(
         .agg(F.max("toxic").alias("toxic"))
     )
     texts, marks = [], []
-    for value, limit in ((1, toxic_rows), (0, other_rows)):
+    limits = ((1, toxic_rows, toxic_bytes), (0, other_rows, other_bytes))
+    for value, limit, most in limits:
         first = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id")
-        first = first.limit(limit).select(F.col("doc_id").alias("id"))
-        rows = docs.select("doc_id", "text").join(F.broadcast(first), F.col("doc_id") == F.col("id"))
+        first = pin(first.limit(limit).select(F.col("doc_id").alias("id")))
+        here = F.col("doc_id") == F.col("id")
+        # Sizes first, a row per document of the sample, so that the texts fetched are bounded.
+        sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
+        sizes = sizes.join(F.broadcast(first), here).groupBy("doc_id").agg(F.sum("n").alias("n"))
+        chosen, left = [], most
+        for row in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+            if row.n <= left:
+                chosen.append((row.doc_id,))
+                left -= row.n
+        ids = docs.sparkSession.createDataFrame(chosen, first.schema)
+        rows = docs.select("doc_id", "text").join(F.broadcast(ids), here)
         rows = sorted((r.doc_id, r.text or "") for r in rows.select("doc_id", "text").collect())
         rows.sort(key=lambda r: zlib.crc32(str(r[0]).encode()))
         texts += [text for _, text in rows]

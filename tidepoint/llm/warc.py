@@ -1,7 +1,8 @@
 """Web archives: a deterministic sharded writer and a reader.
 
-The writer cuts the key range into shards of about ``shard_bytes`` by an exact histogram of
-the keys, so that the same table gives the same files whatever its partitioning. Each shard
+The writer cuts the keys, in order, into shards of about ``shard_bytes`` by exact running sums
+of payload bytes, so that the same table gives the same files whatever its partitioning, and
+a shard is no larger where keys are far apart, repeat or are null. Each shard
 is sorted by key and written by one task, which closes a file when its compressed size
 reaches ``roll_bytes``. Headers, record ids and digests are made anew from the payload.
 Tasks write under temporary names and report them; when all tasks have reported, a second
@@ -22,21 +23,26 @@ table gives an archive without files.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepoint.session import pin
+
 SHARD_BYTES = 16 << 20
 ROLL_BYTES = 8 << 20
 REVISIT_BYTES = 1000
-BINS = 4096
+MAX_SHARDS = 100_000  # bounds sent to every task, some 50 bytes each
 CRAWL_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -82,25 +88,81 @@ def revisits(rows: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     return narrow.join(latest, ["payload_bytes", "payload_digest"]).where(older)
 
 
-def shard_column(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Column, int]:
-    """The shard of a ``page_id``, and how many there are: ranges of about ``shard_bytes``.
+def _by_key() -> tuple[Column, ...]:
+    return F.col("page_id").asc_nulls_first(), F.col("payload_digest").asc()
+
+
+def shard_bounds(
+    rows: DataFrame, shard_bytes: int = SHARD_BYTES, most: int = MAX_SHARDS
+) -> list[tuple[int | None, str]]:
+    """The first key, ``page_id`` and digest, of every shard, in order.
 
-    The histogram has at most ``BINS`` rows, so its way through the driver is bounded.
+    Bytes are summed in the order of the keys over range partitioned rows without payloads:
+    each task sums its own, a sum per task is collected, and a second pass reports the keys at
+    which a shard begins. So a shard holds about ``shard_bytes`` whatever the keys are, and the
+    bounds do not depend on the partitioning. There are at most ``most`` shards; above that
+    many times ``shard_bytes`` they become larger.
     """
-    low, high = records.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return F.lit(0), 1
-    width = max(1, -(-(high - low + 1) // BINS))
-    bin_of = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(0)).cast("int")
-    counted = records.groupBy(bin_of.alias("bin")).agg(F.sum("payload_bytes").alias("n"))
-    sizes = {row.bin: row.n for row in counted.collect()}
-    shards, shard, filled = [], 0, 0
-    for i in range(BINS + 1):
-        if filled >= shard_bytes:
-            shard, filled = shard + 1, 0
-        shards.append(shard)
-        filled += sizes.get(i, 0)
-    return F.element_at(F.lit(shards), bin_of + 1), shard + 1
+    narrow = rows.select("page_id", "payload_digest", (F.col("payload_bytes") + 1).alias("n"))
+    # A random last key parts rows that are equal in all else.
+    placed = pin(
+        narrow.withColumn("salt", F.rand(7))
+        .repartitionByRange(*_by_key(), "salt")
+        .sortWithinPartitions(*_by_key())
+        .select("page_id", "payload_digest", "n", F.spark_partition_id().alias("part"))
+    )
+    sums = dict(placed.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    total, before = 0, {}
+    for part in sorted(sums):
+        before[part], total = total, total + sums[part]
+    size = max(shard_bytes, -(-total // most))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = None
+        for batch in batches:
+            sizes = batch.column(2).to_numpy()
+            if at is None:
+                at = before[batch.column(3)[0].as_py()]
+            begins = at + np.cumsum(sizes) - sizes
+            at = int(begins[-1] + sizes[-1])
+            # A shard begins at the first row that begins in its range of bytes; the least of
+            # the keys that tasks and batches report is that row's.
+            heads = begins // size
+            new = np.append(True, heads[1:] != heads[:-1])
+            kept = batch.filter(pa.array(new))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(heads[new]), kept.column(0), kept.column(1)],
+                ["shard", "page_id", "payload_digest"],
+            )
+
+    found = placed.mapInArrow(run, "shard bigint, page_id bigint, payload_digest string")
+    least = F.min(F.struct("page_id", "payload_digest")).alias("key")
+    bounds = found.groupBy("shard").agg(least).orderBy("shard").collect()
+    return [(r.key.page_id, r.key.payload_digest) for r in bounds]
+
+
+def shard_column(bounds: list[tuple[int | None, str]]) -> Column:
+    """The shard of a row: that of the last bound not above its ``page_id`` and digest."""
+    low = -(1 << 63)
+    nulls = sum(page_id is None for page_id, _ in bounds)
+    ids = np.array([low if p is None else p for p, _ in bounds], np.int64)
+    digests = [d for _, d in bounds]
+
+    @F.pandas_udf("int")
+    def place(page_id: pd.Series, known: pd.Series, digest: pd.Series) -> pd.Series:
+        out = np.zeros(len(page_id), np.int64)
+        values = page_id.to_numpy(np.int64)
+        some = known.to_numpy(bool)
+        first = np.where(some, nulls + np.searchsorted(ids[nulls:], values, "left"), 0)
+        last = np.where(some, nulls + np.searchsorted(ids[nulls:], values, "right"), nulls)
+        out[:] = last - 1
+        for i in np.flatnonzero(last > first):  # a shard begins inside the rows of this id
+            out[i] = bisect.bisect_right(digests, digest.iloc[i], first[i], last[i]) - 1
+        return pd.Series(np.maximum(out, 0).astype(np.int32))
+
+    return place(
+        F.coalesce("page_id", F.lit(0)), F.col("page_id").isNotNull(), F.col("payload_digest")
+    )
 
 
 def _record_id(page_id: int | None, digest: str) -> str:
@@ -155,7 +217,7 @@ class _Roller:
 
     def _open(self) -> None:
         name = f"pages-{self.shard:06d}-{self.seq:05d}.warc.gz"
-        self.temp = f"_temporary-{uuid.uuid4().hex}-{name}"
+        self.temp = f"_temporary/{uuid.uuid4().hex}-{name}"
         self.out = self.fs.open_output_stream(f"{self.base}/{self.temp}", compression=None)
         self.name, self.size, self.records, self.hash = name, 0, 0, hashlib.sha256()
         fields = f"software: tidepoint\r\nformat: WARC File Format 1.1\r\nisPartOf: {name}\r\n"
@@ -225,7 +287,8 @@ def write_archive(
     """Write ``pages`` below ``folder`` (a URI all executors reach); returns the manifest."""
     spark = pages.sparkSession
     rows = page_rows(pages)
-    shard, n_shards = shard_column(rows, shard_bytes)
+    bounds = shard_bounds(rows, shard_bytes)
+    shard, n_shards = shard_column(bounds), max(1, len(bounds))
     empty = F.lit(None)
     notes = revisits(rows, revisit_bytes).distinct().select(
         shard.alias("shard"), "page_id", "payload_digest", F.lit(0).alias("kind"), "refers_to",
@@ -236,14 +299,13 @@ def write_archive(
         empty.cast("bigint").alias("refers_to"), "url", "payload",
     )
     # A payload moves once. A note that a page is a revisit sorts just before the page.
-    # More partitions than shards, so that few shards share a task by chance.
     dealt = (
         full.unionByName(notes)
-        .repartition(4 * n_shards, "shard")
+        .repartitionById(n_shards, F.col("shard"))  # a task for each shard
         .sortWithinPartitions("shard", "page_id", "payload_digest", "kind", "url")
     )
     fs, base = _file_system(folder)
-    fs.create_dir(base, recursive=True)
+    fs.create_dir(f"{base}/_temporary", recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, note = None, None
@@ -279,9 +341,7 @@ def write_archive(
     listed = spark.read.schema(MANIFEST).json(reported)
     named = listed.mapInArrow(rename, MANIFEST).drop("temp")
     named.write.mode("overwrite").json(f"{folder}/manifest")
-    for info in fs.get_file_info(pafs.FileSelector(base)):
-        if info.base_name.startswith("_temporary-"):
-            fs.delete_file(info.path)
+    fs.delete_dir(f"{base}/_temporary")
     return read_manifest(spark, folder)
 
 
