@@ -1,8 +1,11 @@
 """Exact and near copies, repeated passages and strings, against plain versions."""
 
+import os
 import random
+import sys
 from collections import Counter
 
+import pytest
 from brute import (
     CASES,
     case_frame,
@@ -18,7 +21,7 @@ from tidepoint.llm.components import components
 from tidepoint.llm.exact import drop_copies, exact_copies
 from tidepoint.llm.minhash import drop_near_copies, near_classes
 from tidepoint.llm.passages import drop_passages, prefix_groups
-from tidepoint.llm.registry import importable
+from tidepoint.llm.registry import ROOT, importable
 
 import numpy as np
 
@@ -193,6 +196,81 @@ def test_hot_is_decided_over_all_batches(spark, monkeypatch):
         assert got == without_strings(docs, 100)
 
 
+def _trains_as_runs(text, length=100, gram=24):
+    from tidepoint.llm.bytespans import Trains
+
+    t = Trains.of(text, length, gram)
+    return [
+        (a, f + s * i, s)
+        for a, f, s, c in zip(*(x.tolist() for x in t))
+        for i in range(c)
+    ]
+
+
+@pytest.mark.parametrize("size", [1 << 16, 1 << 17])
+def test_trains_are_the_runs(monkeypatch, size):
+    import tidepoint.llm.bytespans as module
+
+    rng = random.Random(8)
+    noise = "".join(rng.choice("abcde fgh") for _ in range(90_000))
+    texts = [noise, "-" * 200_000, noise + "=" * 120_000 + noise[:50_000], "ab" * 70_000 + noise,
+             "-" * 100, "x" * 99, "", noise[:65_600] + "-" * 300 + noise, "abc-" * 40_000]
+    monkeypatch.setattr(module, "SLICE", size)
+    for text in (t.encode() for t in texts):
+        anchor, begin = anchors(text, 100, 24)
+        step = np.diff(np.append(begin, max(0, len(text) - 99)))
+        assert _trains_as_runs(text) == list(zip(anchor.tolist(), begin.tolist(), step.tolist()))
+
+
+def test_long_runs_lose_all_but_the_first_string(spark):
+    docs = [(1, "-" * 5000 + "end"), (2, "x" + "-" * 3000), (3, "ab" * 2000), (4, "b" + "ab" * 300),
+            (5, "-" * 99), (6, "abc" * 500 + "-" * 150 + "abc" * 100)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = drop_repeats(importable(spark) and frame).collect()
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)
+    assert got == without_strings(docs, 100)
+
+
+def test_a_run_of_16_mb_within_1_gb():
+    """All steps of one document, under a limit of the process's memory."""
+    import subprocess
+
+    code = """
+import resource
+import pyarrow as pa
+import tidepoint.llm.bytespans as b
+import numpy as np
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text = b"-" * (16 << 20)
+docs = pa.table([pa.array([1], pa.int64()), pa.array([text], pa.binary())], ["doc_id", "text"])
+sent = [r for x in b._send_anchors(100, 24, 1, 1)(iter(docs.to_batches())) for r in x.to_pylist()]
+def table(rows, schema):
+    names = b._names(schema)
+    return pa.Table.from_pylist([{n: r[n] for n in names} for r in rows],
+        pa.schema([(n, pa.int64() if i == 0 else pa.binary()) for i, n in enumerate(names)]))
+groups = {}
+for r in sent:
+    groups.setdefault(r["grp"], []).append(r)
+known = [r for g in groups.values() for r in b._known_anchors(1, 1 << 40)(table(g, b._SENT)).to_pylist()]
+known = table([r for r in known if r["block"] != b._HOT_BLOCK], b._KNOWN)
+regions = b._regions(100, 24, 1, 1, np.zeros(0, np.uint64))(docs, known).to_pylist()
+groups = {}
+for r in regions:
+    groups.setdefault(r["grp"], []).append(r)
+spans = [r for g in groups.values() for r in b._expand(100, 1)(table(g, b._REGIONS)).to_pylist()]
+got = b._answer(False)(docs, table(spans, b._SPANS)).to_pylist()[0]
+assert got["n_spans"] == 1
+print(got["n_removed"], resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", code], capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ROOT}
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    removed, peak = map(int, done.stdout.split())
+    # The second string starts at byte 1, so only the first byte stays.
+    assert removed == (16 << 20) - 1 and peak < 1024
+
+
 def test_ties_across_65536_go_to_the_left():
     rng = random.Random(6)
     edge = 1 << 16

@@ -13,6 +13,8 @@ n + 1 at most. So common prefixes are found in the order of their length, and th
 stops at ``length``. What is then still in one interval is one string. The first occurrence
 of each string in the corpus stays, every other one is removed.
 
+Neighbouring regions of one text that are equal, as in a stretch of one repeated byte, are a
+train of a few numbers, so a run of many megabytes takes no more room than its bytes.
 Equal regions share one copy of their text, and before regions move, each task keeps only
 its first occurrence of each; the others are removed as a whole. Regions around an anchor that
 occurs in very many places are cut into their single strings, which spread over all groups.
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +65,7 @@ BATCH_BYTES = 16 << 20
 BLOCK_BYTES = 8 << 20
 GROUP_ANCHORS = 500_000
 GROUP_BYTES = 3 << 20
+SLICE = 1 << 20  # strings of a text that are worked on at a time; a multiple of 65,536
 HOT = 20_000  # places of an anchor in the whole corpus
 
 _U = np.uint64
@@ -96,8 +100,13 @@ def _parts(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[order[a]]), order[a:b]
 
 
-def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """The anchor of each run of strings that share it, and where the runs begin."""
+def anchors(
+    text: bytes, length: int, gram: int, whole: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor of each run of strings that share it, and where the runs begin.
+
+    ``whole``: with the low bits of the anchor's place below the bits of its hash.
+    """
     n = len(text) - length + 1
     if n <= 0:
         return np.zeros(0, _U), np.zeros(0, np.int64)
@@ -121,16 +130,81 @@ def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
         near = np.lib.stride_tricks.sliding_window_view(near, width).min(axis=1)
         least[a : a + len(near)] = hashes[a + (near & _LOW).astype(np.int64)]
     begin = runs(least)
-    return least[begin] >> _U(16), begin
+    return (least[begin] if whole else least[begin] >> _U(16)), begin
+
+
+class Trains(NamedTuple):
+    """Neighbouring runs of one text with equal anchors and equal lengths, as arrays.
+
+    Train ``i`` has ``count[i]`` runs, which begin at ``first[i]`` and each ``step[i]`` further;
+    a run's region is its ``step`` strings. A stretch of one repeated byte is a single train,
+    however long.
+    """
+
+    anchor: np.ndarray
+    first: np.ndarray
+    step: np.ndarray
+    count: np.ndarray
+
+    @classmethod
+    def of(cls, text: bytes, length: int, gram: int) -> Trains:
+        """Long texts are worked on in slices, which begin at multiples of 65,536."""
+        n = len(text) - length + 1
+        parts, last = [], None
+        for begin in range(0, max(n, 0), SLICE):
+            anchor, at = anchors(text[begin : begin + SLICE + length - 1], length, gram, whole=True)
+            joins = last is not None and anchor[0] == last
+            last = anchor[-1]
+            parts.append(cls._trains(anchor >> _U(16), at + begin, min(begin + SLICE, n), joins))
+        if not parts:
+            none = np.zeros(0, np.int64)
+            return cls(np.zeros(0, _U), none, none, none)
+        return cls._joined(parts)
+
+    @classmethod
+    def _trains(cls, anchor, first, end: int, joins: bool):
+        """Trains of one slice, and whether its first run goes on from the slice before."""
+        step = np.diff(np.append(first, end))
+        new = np.append(True, (anchor[1:] != anchor[:-1]) | (step[1:] != step[:-1]))
+        head = np.flatnonzero(new)
+        count = np.diff(np.append(head, len(anchor)))
+        return anchor[head], first[head], step[head], count, joins
+
+    @classmethod
+    def _joined(cls, parts) -> Trains:
+        """Slices put together: a run across an edge is one run."""
+        rows: list[list[np.ndarray]] = []
+        for anchor, first, step, count, joins in parts:
+            columns = [anchor, first, step, count]
+            if joins:
+                before = [c[-1] for c in rows[-1]]
+                rest = before[3] - 1  # runs of the last train but its last
+                own = before[1] + rest * before[2]  # where the joined run begins
+                size = before[2] + step[0]
+                rows[-1] = [c[:-1] for c in rows[-1]]  # may be empty, and stays behind the next
+                if rest:
+                    rows.append([np.array([v]) for v in (before[0], before[1], before[2], rest)])
+                rows.append([np.array([v]) for v in (before[0], own, size, 1)])
+                if count[0] > 1:
+                    more = (anchor[0], first[0] + step[0], step[0], count[0] - 1)
+                    rows.append([np.array([v]) for v in more])
+                columns = [c[1:] for c in columns]
+            if len(columns[0]):
+                rows.append(columns)
+        joined = [np.concatenate(c) for c in zip(*rows)]
+        kinds = (_U, np.int64, np.int64, np.int64)
+        return cls(*(c.astype(k) for c, k in zip(joined, kinds)))
 
 
 def _batch_anchors(texts: list[bytes], length: int, gram: int):
-    """``document, place, anchor`` of all runs; the place is the run's number in its text."""
-    found = [anchors(t, length, gram)[0] for t in texts]
-    sizes = np.array([len(f) for f in found], np.int64)
+    """``document, place, anchor, count`` of all trains; the place is the train's number in its
+    text, the count that of its runs."""
+    found = [Trains.of(t, length, gram) for t in texts]
+    sizes = np.array([len(f.anchor) for f in found], np.int64)
     docs = np.repeat(np.arange(len(texts)), sizes)
     places = np.arange(len(docs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return docs, places, np.concatenate(found) if found else np.zeros(0, _U)
+    anchor = np.concatenate([np.zeros(0, _U), *(f.anchor for f in found)])
+    return docs, places, anchor, np.concatenate([np.zeros(0, np.int64), *(f.count for f in found)])
 
 
 def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int):
@@ -139,14 +213,14 @@ def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int):
     with the number of their places."""
 
     def settle(batch: Batch) -> Iterator[list]:
-        docs, places, anchor = _batch_anchors(batch.texts, length, gram)
+        docs, places, anchor, count = _batch_anchors(batch.texts, length, gram)
         if not len(docs):
             return
         order = np.argsort(anchor, kind="stable")
         begin = runs(anchor[order])
-        sizes = np.diff(np.append(begin, len(order)))
+        sizes = np.add.reduceat(count[order], begin)
         twice = np.zeros(len(order), bool)
-        twice[order] = np.repeat(sizes > 1, sizes)
+        twice[order] = np.repeat(sizes > 1, np.diff(np.append(begin, len(order))))
         at = np.flatnonzero(twice)
         for block, part in _parts(block_numbers(batch.ids[docs[at]], n_blocks)):
             own = at[part]
@@ -217,6 +291,16 @@ def _known_anchors(n_blocks: int, hot: int):
     return run
 
 
+def _periodic(text: bytes, begin: int, step: int, count: int, length: int) -> bool:
+    """Whether the regions of a train are all equal: their stretch repeats itself by its step."""
+    end = begin + step * count + length - 1
+    view = np.frombuffer(text, np.uint8)
+    return all(
+        (view[i : min(i + SLICE, end - step)] == view[i + step : min(i + SLICE, end - step) + step]).all()
+        for i in range(begin, end - step, SLICE)
+    )
+
+
 def _regions(length: int, gram: int, n_groups: int, n_blocks: int, above: np.ndarray):
     """Regions of the repeated anchors of one block, to the groups of their anchors.
 
@@ -240,18 +324,30 @@ def _regions(length: int, gram: int, n_groups: int, n_blocks: int, above: np.nda
             at = of.get((int(batch.ids[d]), int(batch.tags[d])))
             if at is None:
                 continue
-            anchor, begin = anchors(text, length, gram)
-            ends = np.append(begin[1:], len(text) - length + 1) + length - 1
+            trains = Trains.of(text, length, gram)
             order = at[np.argsort(places[at], kind="stable")]
             where = places[order]
-            own_groups = spread(anchor[where], n_groups)
+            own_groups = spread(trains.anchor[where], n_groups)
             hot = np.zeros(len(where), bool)
             if len(above):
-                near = np.minimum(np.searchsorted(above, anchor[where]), len(above) - 1)
-                hot = above[near] == anchor[where]
+                near = np.minimum(np.searchsorted(above, trains.anchor[where]), len(above) - 1)
+                hot = above[near] == trains.anchor[where]
             for p, g, many in zip(where.tolist(), own_groups.tolist(), hot.tolist()):
-                a, b = int(begin[p]), int(ends[p])
-                cuts = [(a, b)] if not many else [(i, i + length) for i in range(a, b - length + 1)]
+                begin, step, count = (int(c[p]) for c in trains[1:])
+                starts_here = range(begin, begin + step * count, step)
+                if count > 1 and _periodic(text, begin, step, count, length):
+                    # Every region is the first one again: one span removes all the others.
+                    doubles.append((d, begin + step, step * (count - 1) + length - 1))
+                    starts_here = starts_here[:1]
+                cuts = (
+                    cut
+                    for a in starts_here
+                    for cut in (
+                        ((i, i + length) for i in range(a, a + step))
+                        if many
+                        else ((a, a + step + length - 1),)
+                    )
+                )
                 for i, j in cuts:
                     piece = text[i:j]
                     to = xxhash.xxh64_intdigest(piece) % n_groups if many else g
@@ -459,13 +555,14 @@ def _answer(with_text: bool):
             removed = n_spans = 0
             kept = text
             if at is not None:
-                edge = np.zeros(len(text) + 1, np.int64)
-                np.add.at(edge, starts[at], 1)
-                np.add.at(edge, starts[at] + sizes[at], -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                removed = int(gone.sum())
-                n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                by = np.argsort(starts[at], kind="stable")
+                begin = starts[at][by]
+                end = np.maximum.accumulate(begin + sizes[at][by])
+                first = np.flatnonzero(np.append(True, begin[1:] > end[:-1]))
+                begin, end = begin[first], end[np.append(first[1:], len(end)) - 1]
+                removed, n_spans = int((end - begin).sum()), len(begin)
+                stays = zip([0, *end.tolist()], [*begin.tolist(), len(text)])
+                kept = b"".join([text[a:b] for a, b in stays])
             own = None if doc_id == NULL_ID else int(doc_id)
             digest = hashlib.sha256(kept).hexdigest()
             out.append((own, len(text), removed, n_spans, digest, kept if with_text else None))
