@@ -22,12 +22,15 @@ _U = np.uint64
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Integers as offsets from their least, in the fewest whole bytes of 1, 2, 4 or 8."""
+    """Integers as offsets from their least, in the fewest whole bytes of 1, 2, 4 or 8; equal
+    ones as their number."""
     values = np.asarray(values)
     if not len(values):
         return b""
     low = int(values.min())
     spread = int(values.max()) - low
+    if not spread:
+        return bytes([0]) + np.int64(low).tobytes() + np.int64(len(values)).tobytes()
     width = next(w for w in (1, 2, 4, 8) if spread < 1 << (8 * w))
     with np.errstate(over="ignore"):
         offsets = (values.astype(np.int64) - np.int64(low)).view(_U).astype(f"<u{width}")
@@ -38,6 +41,8 @@ def unpack(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, np.int64)
     low = np.frombuffer(data, np.int64, 1, 1)[0]
+    if not data[0]:
+        return np.full(int(np.frombuffer(data, np.int64, 1, 9)[0]), low)
     with np.errstate(over="ignore"):
         return np.frombuffer(data, f"<u{data[0]}", offset=9).astype(_U).view(np.int64) + low
 
@@ -73,31 +78,43 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text") + 1).alias("n")).first().n or 0
 
 
+def ids_repeat(docs: DataFrame) -> bool:
+    """Whether an id stands for several rows, which then need tags to be told apart."""
+    counted = docs.groupBy(id_column().alias("id")).count()
+    return not counted.where("count > 1").isEmpty()
+
+
 class Batch:
-    """Texts of some documents in the order of their ids."""
+    """Texts of some documents in the order of their ids.
+
+    ``tagged``: rows of one id are told apart by 64-bit hashes of their texts; else, where no
+    id repeats, all tags are 0 and take no room.
+    """
 
-    def __init__(self, ids: list[int | None], texts: list[bytes | None]):
+    def __init__(self, ids: list[int | None], texts: list[bytes | None], tagged: bool = True):
         order = sorted(range(len(ids)), key=lambda i: NULL_ID if ids[i] is None else ids[i])
         self.ids = np.array([NULL_ID if ids[i] is None else ids[i] for i in order], np.int64)
         self.texts = [texts[i] or b"" for i in order]
-        # Tells rows apart that share an id but not a text.
-        self.tags = np.array([xxhash.xxh32_intdigest(t) & 0xFFFF for t in self.texts], np.int64)
+        tags = [xxhash.xxh64_intdigest(t) if tagged else 0 for t in self.texts]
+        self.tags = np.array(tags, _U).view(np.int64)
 
 
-def document_batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Batch]:
+def document_batches(
+    batches: Iterator[pa.RecordBatch], limit: int, tagged: bool = True
+) -> Iterator[Batch]:
     """Batches of about ``limit`` bytes from ``doc_id, text``; at least one document each."""
     ids, texts, size = [], [], 0
     for batch in batches:
         own = batch.column(1).cast(pa.binary()).to_pylist()
         for doc_id, text in zip(batch.column(0).to_pylist(), own):
             if ids and size + len(text or b"") > limit:
-                yield Batch(ids, texts)
+                yield Batch(ids, texts, tagged)
                 ids, texts, size = [], [], 0
             ids.append(doc_id)
             texts.append(text)
             size += len(text or b"")
     if ids:
-        yield Batch(ids, texts)
+        yield Batch(ids, texts, tagged)
 
 
 def runs(sorted_values: np.ndarray) -> np.ndarray:

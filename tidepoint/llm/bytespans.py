@@ -50,6 +50,7 @@ from tidepoint.llm.blocks import (
     doc_headers,
     document_batches,
     expand_headers,
+    ids_repeat,
     pack,
     runs,
     spread,
@@ -207,7 +208,7 @@ def _batch_anchors(texts: list[bytes], length: int, gram: int):
     return docs, places, anchor, np.concatenate([np.zeros(0, np.int64), *(f.count for f in found)])
 
 
-def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int):
+def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int, tagged: bool = True):
     """Anchors to their groups. Those that a batch has twice are known to repeat already:
     they go back under -1 - block, and their group hears of them once, without a place but
     with the number of their places."""
@@ -241,7 +242,7 @@ def _send_anchors(length: int, gram: int, n_groups: int, n_blocks: int):
             yield [key, *doc_headers(single, single), heads[part].tobytes(), pack(many[part])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in document_batches(batches, BATCH_BYTES):
+        for batch in document_batches(batches, BATCH_BYTES, tagged):
             yield from _table(list(settle(batch)), _SENT).to_batches()
 
     return run
@@ -301,7 +302,9 @@ def _periodic(text: bytes, begin: int, step: int, count: int, length: int) -> bo
     )
 
 
-def _regions(length: int, gram: int, n_groups: int, n_blocks: int, above: np.ndarray):
+def _regions(
+    length: int, gram: int, n_groups: int, n_blocks: int, above: np.ndarray, tagged: bool = True
+):
     """Regions of the repeated anchors of one block, to the groups of their anchors.
 
     ``above``: the anchors with very many places, sorted.
@@ -316,7 +319,9 @@ def _regions(length: int, gram: int, n_groups: int, n_blocks: int, above: np.nda
         places = np.concatenate([unpack(r["places"]) for r in rows])
         of = by_document(ids, tags)
         batch = Batch(
-            docs.column("doc_id").to_pylist(), docs.column("text").cast(pa.binary()).to_pylist()
+            docs.column("doc_id").to_pylist(),
+            docs.column("text").cast(pa.binary()).to_pylist(),
+            tagged,
         )
         group, doc, starts, content, doubles = [], [], [], [], []
         seen: dict[bytes, tuple[int, int, int]] = {}
@@ -537,7 +542,7 @@ def _expand(length: int, n_blocks: int):
     return run
 
 
-def _answer(with_text: bool):
+def _answer(with_text: bool, tagged: bool = True):
     def run(docs: pa.Table, spans: pa.Table) -> pa.Table:
         rows = spans.to_pylist()
         heads = [expand_headers(r["ids"], r["tags"], r["counts"]) for r in rows]
@@ -547,7 +552,9 @@ def _answer(with_text: bool):
         sizes = np.concatenate([unpack(r["lengths"]) for r in rows]) if rows else empty
         of = by_document(ids, tags)
         batch = Batch(
-            docs.column("doc_id").to_pylist(), docs.column("text").cast(pa.binary()).to_pylist()
+            docs.column("doc_id").to_pylist(),
+            docs.column("text").cast(pa.binary()).to_pylist(),
+            tagged,
         )
         out = []
         for doc_id, tag, text in zip(batch.ids, batch.tags, batch.texts):
@@ -579,10 +586,10 @@ def drop_repeats(
     """A row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept``."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    size = text_bytes(docs)
+    size, tagged = text_bytes(docs), ids_repeat(docs)
     n_blocks = max(1, -(-size // BLOCK_BYTES))
     n_anchor_groups = max(1, -(-size // (GROUP_ANCHORS * (length - gram) // 2)))
-    sent = texts.mapInArrow(_send_anchors(length, gram, n_anchor_groups, n_blocks), _SENT)
+    sent = texts.mapInArrow(_send_anchors(length, gram, n_anchor_groups, n_blocks, tagged), _SENT)
     folder = scratch_path(spark, "bytespans")
     (
         sent.repartition(n_anchor_groups + n_blocks, "grp")
@@ -601,7 +608,7 @@ def drop_repeats(
     regions = (
         rows.groupBy("block")
         .cogroup(known.groupBy("block"))
-        .applyInArrow(_regions(length, gram, n_groups, n_blocks, above), _REGIONS)
+        .applyInArrow(_regions(length, gram, n_groups, n_blocks, above, tagged), _REGIONS)
     )
     spans = (
         regions.repartition(n_groups + n_blocks, "grp")
@@ -612,7 +619,7 @@ def drop_repeats(
         rows.groupBy("block")
         .cogroup(spans.groupBy("block"))
         .applyInArrow(
-            _answer(with_text),
+            _answer(with_text, tagged),
             "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
             "kept_sha256 string, kept binary",
         )

@@ -43,6 +43,7 @@ from tidepoint.llm.blocks import (
     doc_headers,
     document_batches,
     expand_headers,
+    ids_repeat,
     pack,
     runs,
     spread,
@@ -110,7 +111,7 @@ def _message(key: int, ids, tags, *columns: np.ndarray) -> list:
     return [key, *doc_headers(ids, tags), *columns]
 
 
-def _to_groups(window: int, first: np.ndarray, parts: np.ndarray, n_blocks: int):
+def _to_groups(window: int, first: np.ndarray, parts: np.ndarray, n_blocks: int, tagged: bool):
     """Suffixes to their groups, as ``_SENT``; what a batch settles itself, under -1 - block."""
 
     def settle(batch: Batch) -> Iterator[list]:
@@ -147,7 +148,7 @@ def _to_groups(window: int, first: np.ndarray, parts: np.ndarray, n_blocks: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _SENT.split(", ")]
         kinds = [pa.int64(), *[pa.binary()] * 5]
-        for batch in document_batches(batches, BATCH_BYTES):
+        for batch in document_batches(batches, BATCH_BYTES, tagged):
             for row in settle(batch):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c], k) for c, k in zip(row, kinds)], names
@@ -196,7 +197,7 @@ def _trees(n_blocks: int):
     return run
 
 
-def _answer(window: int, with_text: bool):
+def _answer(window: int, with_text: bool, tagged: bool):
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
         rows = marks.to_pylist()
         heads = [expand_headers(r["ids"], r["tags"], r["counts"]) for r in rows]
@@ -205,7 +206,9 @@ def _answer(window: int, with_text: bool):
         places = np.concatenate([unpack(r["places"]) for r in rows]) if rows else empty
         of = by_document(ids, tags)
         batch = Batch(
-            docs.column("doc_id").to_pylist(), docs.column("text").cast(pa.binary()).to_pylist()
+            docs.column("doc_id").to_pylist(),
+            docs.column("text").cast(pa.binary()).to_pylist(),
+            tagged,
         )
         out = []
         for doc_id, tag, text in zip(batch.ids, batch.tags, batch.texts):
@@ -246,8 +249,9 @@ def drop_passages(
         counts[row.code] = row.n
     first, parts, n_groups = prefix_groups(counts, group_suffixes)
     n_blocks = max(1, -(-text_bytes(docs) // BLOCK_BYTES))
+    tagged = ids_repeat(docs)
 
-    sent = texts.mapInArrow(_to_groups(window, first, parts, n_blocks), _SENT)
+    sent = texts.mapInArrow(_to_groups(window, first, parts, n_blocks, tagged), _SENT)
     marks = (
         sent.repartition(n_groups + n_blocks, "grp")
         .groupBy("grp")
@@ -258,7 +262,7 @@ def drop_passages(
         rows.groupBy("block")
         .cogroup(marks.groupBy("block"))
         .applyInArrow(
-            _answer(window, with_text),
+            _answer(window, with_text, tagged),
             "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
             "kept_text string",
         )
