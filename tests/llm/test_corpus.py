@@ -14,14 +14,24 @@ from brute import CASES, case_frame, empty_frame, jaccard_components, words
 
 import corpus_pipeline
 from tidepoint.llm import secrets
+from tidepoint.llm.exact import drop_copies
+from tidepoint.llm.minhash import drop_near_copies
 from tidepoint.llm.mixing import find_exponent, mixed_documents, mixture, token_count
 from tidepoint.llm.packing import Index, centres_of, pack, packed_pieces, statistics
 from tidepoint.llm.queries import LLM_QUERIES
 from tidepoint.llm.registry import importable
-from tidepoint.llm.related import Statistics, sort_key
+from tidepoint.llm.related import Statistics, sort_keys
 from tidepoint.llm.rules import BITS, MEASURES, ablations, apply_policy, keep_good, measure, rule_ledger
 from tidepoint.llm.tokens import default_vocabulary, encoding
-from tidepoint.llm.toxicity import fit, marginals, toxic_scores, train
+from tidepoint.llm.toxicity import (
+    fit,
+    jump_gradient,
+    marginals,
+    messages,
+    toxic_scores,
+    train,
+    training_rows,
+)
 from tidepoint.llm.warc import parse_record, read_archive, write_archive
 from tidepoint.session import scratch_path
 
@@ -138,6 +148,40 @@ def test_archive_round_trip(spark):
         assert head["warc-type"] == "warcinfo"
 
 
+def _shards_of(spark, ids, html, **options):
+    rows = [(i, f"http://a/{n}", html(n)) for n, i in enumerate(ids)]
+    frame = importable(spark).createDataFrame(rows, "page_id bigint, url string, html string")
+    folder = scratch_path(spark, "warc-test")
+    manifest = write_archive(frame.repartition(5), folder, **options).collect()
+    assert sum(m.records for m in manifest) == len(ids)
+    assert Counter(r.page_id for r in read_archive(spark, folder).collect()) == Counter(ids)
+    records = Counter()
+    for m in manifest:
+        records[m.shard] += m.records
+    return records
+
+
+@pytest.mark.parametrize(
+    "ids",
+    [
+        [*range(1000), 1 << 60],
+        [-(1 << 63), *range(1000), (1 << 63) - 1],
+        [None] * 1000,
+        [5] * 700 + [None] * 300,
+        [i * i * i for i in range(1000)],
+    ],
+)
+def test_shards_are_even_whatever_the_keys(spark, ids):
+    records = _shards_of(spark, ids, lambda n: f"page {n:>95}", shard_bytes=5000)
+    assert 18 <= len(records) <= 24 and max(records.values()) <= 60
+
+
+def test_more_shards_than_before(spark, monkeypatch):
+    assert len(_shards_of(spark, range(300), lambda n: f"page {n:>95}", shard_bytes=1)) == 300
+    monkeypatch.setattr("tidepoint.llm.warc.shard_bounds.__defaults__", (1, 10))
+    assert len(_shards_of(spark, range(300), lambda n: f"page {n:>95}", shard_bytes=1)) == 10
+
+
 def test_archive_of_nothing(spark):
     frame = importable(spark).createDataFrame([], "page_id bigint, url string, html string")
     folder = scratch_path(spark, "warc-test")
@@ -259,7 +303,9 @@ def test_packing_deals_related_pieces_together(spark):
     assert stats.mean == pytest.approx(local.mean)
     assert stats.idf.tolist() == local.idf.tolist()
     centres = centres_of(tokens, stats, n)
-    order = sorted(range(len(pieces)), key=lambda i: sort_key(pieces[i], stats, centres))
+    keys = sort_keys([*pieces, pieces[0][:0]], stats, centres)
+    assert keys[:9] == [sort_keys([p], stats, centres)[0] for p in pieces[:9]]
+    order = sorted(range(len(pieces)), key=keys.__getitem__)
     shard = {i: place // 60 for place, i in enumerate(order)}  # 15 shards
     met = 0
     for seed in range(0, 900, 9):
@@ -467,6 +513,69 @@ def test_toxicity_cases(spark):
 # The pipeline
 
 
+def test_jump_gradient_is_the_slope_of_the_likelihood():
+    """Against sums over all labellings of two sequences."""
+    import itertools
+
+    rng = np.random.default_rng(3)
+    lengths, labels = [4, 3], np.array([0, 1, 1, 0, 1, 0, 0])
+    offsets, scores = np.array([0, 4, 7]), rng.normal(size=7)
+    jump = rng.normal(size=(2, 2))
+
+    def likelihood(jump):
+        total = 0.0
+        for a, n in zip(offsets, lengths):
+            def weight(states, a=a):
+                own = sum(s * scores[a + i] for i, s in enumerate(states))
+                return own + sum(jump[x, y] for x, y in itertools.pairwise(states))
+            every = [weight(s) for s in itertools.product((0, 1), repeat=n)]
+            total += weight(labels[a : a + n]) - np.log(np.sum(np.exp(every)))
+        return total
+
+    second = np.array([1, 2, 3, 5, 6])
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (labels[second - 1], labels[second]), 1.0)
+    forward, backward = messages(scores, offsets, np.exp(jump))
+    slope = jump_gradient(seen, scores, forward, backward, np.exp(jump), second)
+    for x, y in itertools.product((0, 1), repeat=2):
+        step = np.zeros((2, 2))
+        step[x, y] = 1e-5
+        measured = (likelihood(jump + step) - likelihood(jump - step)) / 2e-5
+        assert slope[x, y] == pytest.approx(measured, abs=1e-6)
+
+
+def test_training_texts_are_bounded_in_bytes(spark):
+    rows = [(i, "word " * (400 if i % 10 == 0 else 4), "s") for i in range(300)]
+    labels = importable(spark).createDataFrame(
+        [(i, i % 2) for i in range(300)], "doc_id bigint, toxic int"
+    )
+    texts, marks = training_rows(case_frame(spark, rows), labels, 100, 100, 1000, 600)
+    sizes = [sum(len(t) for t, m in zip(texts, marks) if m == v) for v in (1, 0)]
+    assert 500 < sizes[0] <= 1000 and 300 < sizes[1] <= 600
+
+
+def test_odd_column_names(spark):
+    frame = importable(spark).createDataFrame(
+        [(i, "some words of a text that is long enough " * 3 + str(i), "s", 1, 2) for i in range(9)],
+        "doc_id bigint, text string, source string, `a``b` int, `c.d` int",
+    )
+    for stage in (drop_copies, mixed_documents, drop_near_copies, keep_good):
+        assert stage(frame).columns == frame.columns
+        stage(frame).collect()
+
+
+def test_places_order_the_mixture(spark):
+    rows = [(i, "t " * (1 + i % 7), "ab"[i % 3 == 0]) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixture(frame, block_tokens=100).collect()
+    order = [(r.slot, r.source, r.block, r.place, r.doc_id) for r in got]
+    assert len(set(order)) == len(got)
+    by_epoch = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.slot, r.source, r.block, r.place, r.doc_id)):
+        by_epoch[r.source, r.epoch].append(r.doc_id)
+    assert all(ids != sorted(ids) for ids in by_epoch.values() if len(ids) > 5)
+
+
 def test_pipeline_stages(spark, documents):
     kept = [(r.doc_id, r.text, r.source) for r in documents.collect()]
     frame = documents

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepoint.llm.related import SAMPLE, Statistics, fit_centres, sort_key
+from tidepoint.llm.related import SAMPLE, Statistics, TermTable, fit_centres, sort_keys
 from tidepoint.llm.tokens import added_tokens, default_vocabulary, encoding
 from tidepoint.session import pin
 
@@ -37,6 +37,8 @@ END_ID = 1
 SHARD_TOKENS = 1 << 20
 SHARD_PIECES = 1 << 13
 SHARDS_IN_TASK = 4
+PART_TOKENS = 1 << 18
+COMPACT = 8
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -76,20 +78,29 @@ def _piece(ids: np.ndarray, window: int) -> np.ndarray:
     return ids[len(ids) // window * window :]
 
 
+def _parts(pieces: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Lists of pieces of about ``PART_TOKENS`` together."""
+    held, size = [], 0
+    for piece in pieces:
+        held.append(piece)
+        size += len(piece)
+        if size >= PART_TOKENS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _term_counts(window: int):
     """Pieces per term in one task; -1 counts pieces and -2 their tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
-        for batch in batches:
-            for ids in _arrays(batch, 0, 1):
-                piece = _piece(ids, window)
-                if len(piece):
-                    terms = np.unique(piece)
-                    if terms[-1] >= len(df):
-                        df = np.append(df, np.zeros(int(terms[-1]), np.int64))
-                    df[terms] += 1
-                    n, tokens = n + 1, tokens + len(piece)
+        for pieces in _parts((_piece(i, window) for b in batches for i in _arrays(b, 0, 1))):
+            own = np.bincount(TermTable.of(pieces).terms, minlength=len(df))
+            df = own + np.append(df, np.zeros(len(own) - len(df), np.int64))
+            n += sum(len(p) > 0 for p in pieces)
+            tokens += sum(map(len, pieces))
         terms = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(terms, [-1, -2])), pa.array(np.append(df[terms], [n, tokens]))],
@@ -132,7 +143,8 @@ def centres_of(tokens: DataFrame, stats: Statistics, n: int, window: int = WINDO
 def _with_keys(window: int, stats: Statistics, centres: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [sort_key(_piece(ids, window), stats, centres) for ids in _arrays(batch, 1, 2)]
+            pieces = (_piece(ids, window) for ids in _arrays(batch, 1, 2))
+            keys = [k for part in _parts(pieces) for k in sort_keys(part, stats, centres)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.binary()), *batch.columns], ["key", *batch.schema.names]
             )
@@ -144,26 +156,36 @@ class Index:
     """BM25 over the token ids of the pieces of one shard."""
 
     def __init__(self, pieces: list[np.ndarray], stats: Statistics):
-        terms, counts = zip(*(np.unique(p, return_counts=True) for p in pieces))
-        sizes = np.array([len(t) for t in terms])
-        docs = np.repeat(np.arange(len(pieces)), sizes)
-        terms, counts = np.concatenate(terms), np.concatenate(counts).astype(np.float32)
-        lengths = np.array([len(p) for p in pieces], np.float32)
-        weights = stats.weights(terms, counts, lengths[docs])
-        order = np.argsort(terms, kind="stable")
-        _, first, local = np.unique(terms[order], return_index=True, return_counts=True)
-        self.last = first + local
-        self.first, self.docs, self.weights = first, docs[order], weights[order]
-        number = np.empty(len(terms), np.int64)
-        number[order] = np.repeat(np.arange(len(first)), local)
-        self.of_doc, self.begin = number, np.concatenate([[0], np.cumsum(sizes)])
+        table = TermTable.of(pieces)
+        lengths = np.fromiter(map(len, pieces), np.float32, len(pieces))
+        weights = stats.weights(table.terms, table.counts, lengths[table.pieces])
+        order = np.argsort(table.terms, kind="stable")
+        _, self.number = np.unique(table.terms, return_inverse=True)
+        self.begin = table.begin
         self.used = np.zeros(len(pieces), bool)
+        self._hold(self.number[order], table.pieces[order], weights[order])
+
+    def _hold(self, terms: np.ndarray, docs: np.ndarray, weights: np.ndarray) -> None:
+        """Postings, sorted by term."""
+        self.terms, self.docs, self.weights = terms, docs, weights
+        ends = np.cumsum(np.bincount(terms, minlength=int(self.number.max(initial=-1)) + 1))
+        self.first, self.last = np.append(0, ends[:-1]), ends
+        self.held = int((~self.used).sum())
+
+    def _compact(self) -> None:
+        """Let go of the postings of used pieces, once they are one in ``COMPACT``."""
+        free = int((~self.used).sum())
+        if self.held - free > self.held // COMPACT:
+            kept = ~self.used[self.docs]
+            self._hold(self.terms[kept], self.docs[kept], self.weights[kept])
 
     def neighbours(self, seed: int) -> np.ndarray:
         """Unused pieces that share a term with the seed, best first; all its terms count."""
-        terms = self.of_doc[self.begin[seed] : self.begin[seed + 1]]
+        self._compact()
+        terms = self.number[self.begin[seed] : self.begin[seed + 1]]
         first, last = self.first[terms], self.last[terms]
-        spans = [slice(a, b) for a, b in zip(first.tolist(), last.tolist()) if b - a > 1]
+        shared = last > first
+        spans = list(map(slice, first[shared].tolist(), last[shared].tolist()))
         if not spans:
             return np.zeros(0, np.int64)
         found = np.concatenate([self.docs[s] for s in spans])

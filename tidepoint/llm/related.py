@@ -43,35 +43,66 @@ class Statistics(NamedTuple):
         return self.idf[terms] * counts * np.float32(K1 + 1) / (counts + norm)
 
 
+class TermTable(NamedTuple):
+    """Distinct terms of some pieces: per entry its piece, term and count, and where each
+    piece begins."""
+
+    pieces: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
+    begin: np.ndarray
+
+    @classmethod
+    def of(cls, pieces: list[np.ndarray]) -> TermTable:
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        flat = np.concatenate([*pieces, np.zeros(0, np.uint16)]).astype(np.uint64)
+        flat |= np.repeat(np.arange(len(pieces), dtype=np.uint64), lengths) << np.uint64(32)
+        flat.sort()
+        first = np.flatnonzero(np.append(len(flat) > 0, flat[1:] != flat[:-1])[: len(flat)])
+        counts = np.diff(np.append(first, len(flat))).astype(np.float32)
+        own = (flat[first] >> np.uint64(32)).astype(np.int64)
+        terms = (flat[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        return cls(own, terms, counts, np.searchsorted(own, np.arange(len(pieces) + 1)))
+
+
 @lru_cache(maxsize=1)
 def _draws(terms: int) -> np.ndarray:
     return np.random.default_rng(SEED).exponential(size=(COORDINATES, terms)).astype(np.float32)
 
 
 @lru_cache(maxsize=1)
-def _signs(terms: int) -> np.ndarray:
-    signs = np.random.default_rng(SEED + 1).integers(0, 2, (terms, DIMENSIONS), np.int8)
-    return (2 * signs - 1).astype(np.float32)
+def _sketch(terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """The dimension that each term counts in, and its sign."""
+    rng = np.random.default_rng(SEED + 1)
+    return rng.integers(0, DIMENSIONS, terms), 2.0 * rng.integers(0, 2, terms) - 1
 
 
-def weighted_terms(piece: np.ndarray, stats: Statistics) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct terms of a piece that weigh something, and their weights."""
-    terms, counts = np.unique(piece, return_counts=True)
-    weights = stats.weights(terms, counts.astype(np.float32), np.float32(len(piece)))
-    return terms[weights > 0], weights[weights > 0]
+def _weighted(pieces: list[np.ndarray], stats: Statistics) -> tuple[TermTable, np.ndarray]:
+    """Terms that weigh something, and their weights."""
+    table = TermTable.of(pieces)
+    lengths = np.fromiter(map(len, pieces), np.float32, len(pieces))
+    weights = stats.weights(table.terms, table.counts, lengths[table.pieces])
+    heavy = weights > 0
+    own = table.pieces[heavy]
+    begin = np.searchsorted(own, np.arange(len(pieces) + 1))
+    return TermTable(own, table.terms[heavy], table.counts[heavy], begin), weights[heavy]
 
 
-def projection(terms: np.ndarray, weights: np.ndarray, stats: Statistics) -> np.ndarray:
-    vector = weights @ _signs(len(stats.idf))[terms]
-    return vector / max(float(np.linalg.norm(vector)), 1e-9)
+def projections(table: TermTable, weights: np.ndarray, stats: Statistics) -> np.ndarray:
+    """One vector of length one per piece, its terms' weights counted with their signs."""
+    n = len(table.begin) - 1
+    dimension, sign = _sketch(len(stats.idf))
+    cells = table.pieces * DIMENSIONS + dimension[table.terms]
+    summed = np.bincount(cells, weights * sign[table.terms], minlength=n * DIMENSIONS)
+    vectors = summed.reshape(n, DIMENSIONS).astype(np.float32)
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
 
 
 def fit_centres(pieces: list[np.ndarray], stats: Statistics) -> np.ndarray:
     """Centres of clusters by cosine, in the order of a path through them."""
-    rows = [projection(*weighted_terms(p, stats), stats) for p in pieces]
-    if not rows:
+    if not pieces:
         return np.zeros((1, DIMENSIONS), np.float32)
-    vectors = np.array(rows, np.float32)
+    vectors = projections(*_weighted(pieces, stats), stats)
     picked = np.random.default_rng(SEED).permutation(len(vectors))[:CLUSTERS]
     centres = vectors[picked].copy()
     for _ in range(STEPS):
@@ -89,11 +120,30 @@ def fit_centres(pieces: list[np.ndarray], stats: Statistics) -> np.ndarray:
     return centres[path]
 
 
-def sort_key(piece: np.ndarray, stats: Statistics, centres: np.ndarray) -> bytes:
-    """Cluster, sampled terms and hash of a piece, as bytes that sort."""
-    terms, weights = weighted_terms(piece, stats)
-    cluster, picked = 0, np.zeros(COORDINATES, ">u4")
-    if len(terms):
-        cluster = int((centres @ projection(terms, weights, stats)).argmax())
-        picked[:] = terms[np.argmin(_draws(len(stats.idf))[:, terms] / weights, axis=1)] + 1
-    return cluster.to_bytes(2, "big") + picked.tobytes() + xxhash.xxh64_digest(piece.tobytes())
+def _samples(table: TermTable, weights: np.ndarray, stats: Statistics) -> np.ndarray:
+    """Per piece the terms with the least draw for their weight, plus one; 0 without terms."""
+    n = len(table.begin) - 1
+    picked = np.zeros((n, COORDINATES), ">u4")
+    filled = np.flatnonzero(np.diff(table.begin))
+    for c, draws in enumerate(_draws(len(stats.idf))) if len(filled) else ():
+        race = draws[table.terms] / weights
+        least = np.zeros(n, race.dtype)
+        least[filled] = np.minimum.reduceat(race, table.begin[filled])
+        won = np.flatnonzero(race == least[table.pieces])
+        picked[table.pieces[won][::-1], c] = table.terms[won][::-1] + 1
+    return picked
+
+
+def sort_keys(
+    pieces: list[np.ndarray], stats: Statistics, centres: np.ndarray
+) -> list[bytes]:
+    """Cluster, sampled terms and hash of each piece, as bytes that sort."""
+    table, weights = _weighted(pieces, stats)
+    clusters = (projections(table, weights, stats) @ centres.T).argmax(axis=1)
+    clusters[np.diff(table.begin) == 0] = 0
+    return [
+        cluster.tobytes() + picked.tobytes() + xxhash.xxh64_digest(piece.tobytes())
+        for cluster, picked, piece in zip(
+            clusters.astype(">u2"), _samples(table, weights, stats), pieces
+        )
+    ]
