@@ -160,6 +160,8 @@ class Trains(NamedTuple):
         if not parts:
             none = np.zeros(0, np.int64)
             return cls(np.zeros(0, _U), none, none, none)
+        if len(parts) == 1:
+            return cls(*parts[0][:4])
         return cls._joined(parts)
 
     @classmethod
@@ -338,21 +340,17 @@ def _regions(
                 near = np.minimum(np.searchsorted(above, trains.anchor[where]), len(above) - 1)
                 hot = above[near] == trains.anchor[where]
             for p, g, many in zip(where.tolist(), own_groups.tolist(), hot.tolist()):
-                begin, step, count = (int(c[p]) for c in trains[1:])
+                begin, step, count = trains.first[p], trains.step[p], trains.count[p]
+                begin, step, count = int(begin), int(step), int(count)
                 starts_here = range(begin, begin + step * count, step)
                 if count > 1 and _periodic(text, begin, step, count, length):
                     # Every region is the first one again: one span removes all the others.
                     doubles.append((d, begin + step, step * (count - 1) + length - 1))
                     starts_here = starts_here[:1]
-                cuts = (
-                    cut
-                    for a in starts_here
-                    for cut in (
-                        ((i, i + length) for i in range(a, a + step))
-                        if many
-                        else ((a, a + step + length - 1),)
-                    )
-                )
+                if many:
+                    cuts = [(i, i + length) for a in starts_here for i in range(a, a + step)]
+                else:
+                    cuts = [(a, a + step + length - 1) for a in starts_here]
                 for i, j in cuts:
                     piece = text[i:j]
                     to = xxhash.xxh64_intdigest(piece) % n_groups if many else g
