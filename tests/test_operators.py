@@ -4,6 +4,7 @@ import random
 from collections import Counter
 from itertools import groupby
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from tidepoint.operators.mapping import (
 from tidepoint.operators.numbering import chunk_batches, number_rows, series_batches
 from tidepoint.operators.reconcile import differences, reconcile
 from tidepoint.operators.upsert import last_wins
+from tidepoint.operators.sweep import range_bounds, sweep_intervals
 from tidepoint.operators.windows import (
     assign_intervals,
     clipped,
@@ -278,6 +280,58 @@ def test_intervals_against_brute_force(spark):
     assert sorted(rows(got)) == sorted(wanted)
 
 
+@pytest.mark.parametrize("range_rows", [30, 200_000])
+def test_sweep_against_brute_force(spark, range_rows):
+    """Long and short intervals, a third of the points at one time, gaps, copies and nulls."""
+    rng = random.Random(5)
+    points = [(i, rng.randrange(-500, 1500)) for i in range(700)]
+    points += [(i, 700) for i in range(700, 1100)] + [(3, 700)] * 2 + [(9, None)]
+    spans = [(j, s := rng.randrange(-600, 3000), s + rng.randrange(0, 60)) for j in range(300)]
+    spans += [(j, rng.randrange(-600, 0), rng.randrange(1000, 9000)) for j in range(40)]
+    spans += [(50, 700, 701)] * 3 + [(51, 700, 700), (52, 9, 3), (53, None, 5), (54, 5, None)]
+    got = sweep_intervals(
+        spark.createDataFrame(points, "r int, time_ns bigint"),
+        spark.createDataFrame(spans, "p int, start_ns bigint, end_ns bigint"),
+        range_rows=range_rows,
+    )
+    assert got.columns == ["r", "time_ns", "p", "start_ns", "end_ns"]
+    wanted = Counter(
+        (i, t, j, s, e)
+        for i, t in points
+        for j, s, e in spans
+        if None not in (t, s, e) and s <= t < e
+    )
+    assert Counter(rows(got)) == wanted
+
+
+def test_sweep_copies_an_interval_per_range_it_covers(spark):
+    """No explode per grid cell, and no copies for ranges without points."""
+    points = spark.range(2000).select("id", (F.col("id") * 10**12).alias("time_ns"))
+    spans = spark.createDataFrame([(1, 0, 2 * 10**15)], "j int, start_ns bigint, end_ns bigint")
+    got = sweep_intervals(points, spans, range_rows=100)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+    assert got.count() == 2000
+    empty = spans.limit(0)
+    assert sweep_intervals(points, empty).isEmpty()
+    assert sweep_intervals(points.limit(0), spans).isEmpty()
+    assert sweep_intervals(points.limit(0), empty).columns == [*points.columns, *spans.columns]
+    with pytest.raises(ValueError, match="share"):
+        sweep_intervals(points, spans.withColumnRenamed("j", "ID"))
+
+
+def test_ranges_isolate_a_time_that_many_rows_share(spark):
+    """Times a few ns apart near the end of 64 bits, half of them equal."""
+    base = 9 * 10**18
+    times = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, base + 777).otherwise(base + F.col("id")).alias("t")
+    )
+    bounds = range_bounds(times, 100)
+    held = Counter(int(np.searchsorted(bounds, t, "right")) for (t,) in rows(times))
+    wide = {r: n for r, n in held.items() if bounds[r] - bounds[r - 1] > 1}
+    assert max(wide.values()) <= 200 and len(bounds) < 80
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_numbering_against_brute_force(spark, parts):
     """One group holds most rows, one is null, a third of the rows are copies."""
