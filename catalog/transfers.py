@@ -18,6 +18,7 @@ from catalog.views import (
     line_points,
     table,
 )
+from tidepoint.functions.timefn import parse_instant
 from tidepoint.operators.ledger import Ledger
 from tidepoint.operators.numbering import chunk_batches
 from tidepoint.points import FieldMap, Mapping, PointsSchema, TagMap, to_points
@@ -35,6 +36,7 @@ from tidepoint.sources.ingest import (
     to_long,
     widen,
 )
+from tidepoint.sources.pages import read_pages, save_pages, stream_pages
 from tidepoint.streaming.incremental import sync_new_files
 
 POINTS_SQL = (
@@ -44,6 +46,8 @@ TABLE_SQL = f"""WITH {E_SQL}
     SELECT epoch_us(ts) // 1000 * 1000000 AS key_time_ns, event_type, user_id, k, value, event_id
     FROM e"""
 KEYS = ["key_time_ns", "event_type", "user_id"]
+PAGES_START = parse_instant("2024-01-08T00:00:00Z")
+PAGES_END = parse_instant("2024-01-22T12:30:00Z")
 
 
 def _rfc_time():
@@ -67,7 +71,9 @@ def responses_of(points):
         F.collect_list("cells").alias("values"),
     )
     return chunks.groupBy("event_type", "batch_id").agg(
-        F.to_json(F.struct(F.array(series).alias("results"))).alias("response")
+        F.to_json(F.struct(F.array(series).alias("results"))).alias("response"),
+        F.min("time_ns").alias("first_ns"),
+        F.max("time_ns").alias("last_ns"),
     )
 
 
@@ -91,6 +97,42 @@ def json_ingest_tag_keys(spark, sf_dir):
     return finished(parse_responses(saved, schema, types), path)
 
 
+E_TYPES = {"value": "double", "k": "bigint"}
+
+
+@query(
+    "pages_in_range",
+    POINTS_SQL
+    + f" WHERE time_ns >= {PAGES_START} AND time_ns < {PAGES_END}",
+)
+def pages_in_range(spark, sf_dir):
+    """A time range of saved pages, of which only those that share time with it are read."""
+    path = scratch_path(spark, "pages")
+    save_pages(responses_of(event_points(spark, sf_dir, with_id=True)), path)
+    pages = read_pages(spark, path, PAGES_START, PAGES_END)
+    points = parse_responses(pages.select("response"), E_SCHEMA, E_TYPES)
+    return finished(points.where(F.col("time_ns").between(PAGES_START, PAGES_END - 1)), path)
+
+
+@query("streamed_pages", POINTS_SQL)
+def streamed_pages(spark, sf_dir):
+    """Pages saved in two goes and read as a stream after each: every page arrives once."""
+    path, out, marks = (scratch_path(spark, f"pages-{n}") for n in ("in", "out", "marks"))
+    pages = responses_of(event_points(spark, sf_dir, with_id=True))
+    early = F.col("first_ns") < F.lit(PAGES_START).cast("bigint")
+    for some in (pages.where(early), pages.where(~early)):
+        save_pages(some, path)
+        points = parse_responses(stream_pages(spark, path).select("response"), E_SCHEMA, E_TYPES)
+        run = (
+            points.writeStream.format("parquet")
+            .option("checkpointLocation", marks)
+            .trigger(availableNow=True)
+            .start(out)
+        )
+        run.awaitTermination()
+    return finished(spark.read.parquet(out), path, out, marks)
+
+
 @query(
     "long_rows",
     f"""WITH {E_SQL}
