@@ -20,7 +20,15 @@ from tidepoint.llm.bytespans import anchors, drop_repeats, string_classes
 from tidepoint.llm.components import components
 from tidepoint.llm.exact import drop_copies, exact_copies
 from tidepoint.llm.minhash import drop_near_copies, near_classes
-from tidepoint.llm.passages import drop_passages, prefix_groups
+from tidepoint.llm.passages import (
+    anchored_suffixes,
+    common_prefixes,
+    drop_passages,
+    prefix_groups,
+    repeated_windows,
+    sorted_suffixes,
+    word_numbers,
+)
 from tidepoint.llm.registry import ROOT, importable
 
 import numpy as np
@@ -116,12 +124,68 @@ def _passages(seed=5):
 def test_passages_match_plain(spark):
     docs = _passages()
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
-    for limit in (40, 2_000_000):
-        rows = drop_passages(importable(spark) and frame, group_suffixes=limit).collect()
+    for limit, hot in ((40, 20_000), (2_000_000, 20_000), (40, 3), (2_000_000, 0)):
+        options = {"group_suffixes": limit, "hot": hot}
+        rows = drop_passages(importable(spark) and frame, **options).collect()
         got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in rows)
         assert got == without_passages(docs, 13)
 
 
+def test_windows_that_differ_in_a_word_are_never_equal():
+    """Whatever hashes bring pieces together, the tree compares words."""
+    rng = random.Random(8)
+    words = [b"a", b"aa", b"b", b"\xff", b"a\x00"]
+    for _ in range(200):
+        pieces = {
+            b" ".join(rng.choices(words, k=rng.randrange(4, 9))) for _ in range(rng.randrange(1, 12))
+        }
+        pieces = list(pieces)
+        low = np.array([rng.randrange(-3, 3) for _ in pieces])
+        of, place = repeated_windows(pieces, low, 4)
+        split = [p.split(b" ") for p in pieces]
+        least = {}
+        for p, own in enumerate(split):
+            for i in range(len(own) - 3):
+                key = tuple(own[i : i + 4])
+                least[key] = min(least.get(key, 9), low[p])
+        assert list(zip(of.tolist(), place.tolist())) == [
+            (p, i)
+            for p, own in enumerate(split)
+            for i in range(len(own) - 3)
+            if low[p] > least[tuple(own[i : i + 4])]
+        ]
+
+
+def test_suffixes_in_lexical_order_with_common_prefixes():
+    rng = random.Random(9)
+    words = [rng.choice([b"x", b"xy", b"z"]) for _ in range(300)]
+    text = word_numbers(words)
+    order = sorted_suffixes(text, 300)
+    assert [words[i:] for i in order] == sorted(words[i:] for i in range(300))
+    shared = common_prefixes(text, order, 13)
+    for k in range(1, 300):
+        a, b = words[order[k - 1] :], words[order[k] :]
+        same = next((i for i, (u, v) in enumerate(zip(a, b)) if u != v), min(len(a), len(b)))
+        assert shared[k] == min(same, 13)
+
+
+def test_anchored_regions_cover_every_window_once():
+    rng = random.Random(10)
+    texts = [b" ".join(rng.choices([b"a", b"b", b"c", b"d"], k=k)) for k in (0, 12, 13, 60, 500)]
+    found = anchored_suffixes(texts, 13)
+    seen = Counter(
+        (d, s + i)
+        for d, s, n in zip(found.doc.tolist(), found.start.tolist(), found.windows.tolist())
+        for i in range(n)
+    )
+    assert seen == Counter((d, i) for d, k in enumerate((0, 12, 13, 60, 500)) for i in range(k - 12))
+    for d, text in enumerate(texts):  # and the same when a text is looked at alone
+        alone = anchored_suffixes([text], 13)
+        mine = found.doc == d
+        for a, b in zip(alone[1:], found[1:]):
+            assert (a == b[mine]).all()
+
+
 def test_passages_cases(spark):
     rows = drop_passages(case_frame(importable(spark) and spark)).collect()
     plain = [(-(2**63) if d is None else d, t) for d, t, _ in CASES]

@@ -1,20 +1,28 @@
 """Repeated passages of words, by suffix trees partitioned by prefix.
 
-Every position of every text begins a suffix. Suffixes are dealt into groups by their first
-words, and a group is what one task holds. Prefixes are as long as they must be: the words'
-six-bit digits of the first two words are counted over all documents; neighbouring light
-prefixes share a group, which amounts to a shorter prefix; a prefix with more suffixes than a
-group may have is lengthened to the whole window, by which its suffixes are divided further.
-
-In a group, suffixes are leaves in the order of their path down to the depth of the window, so
-a run of equal paths is what hangs below one internal node that deep: a repeat. Runs in
-neighbouring positions together are the maximal repeats. Paths are compared by 64-bit
-fingerprints of the window's words. A node's smallest document keeps its words, those of the
-other leaves go.
-
-Before suffixes move, each task settles the repeats among its own documents and sends on only
-the leaves of the smallest document, so a passage that a third of all documents share arrives
-once per task.
+Of the suffixes of a text only those that begin at anchors are dealt: the anchor of a window is
+the place of the least hash among its grams of ``GRAM`` words, the first of equal ones. Equal
+windows have their anchors at the same place in them, so the suffixes from there share their
+first words and meet. The windows of one anchor are its region, at most 22 words for windows
+of 13.
+
+Suffixes are dealt into groups by their first words, and a group is what one task holds.
+Prefixes are as long as they must be. The six-bit digits of the first two words are counted
+over all documents; neighbouring light prefixes share a group, which amounts to a shorter
+prefix; a prefix with more suffixes than a group may have is lengthened to the gram, and one
+with more than ``HOT`` places to the whole window. Groups first hear of hashes only. What
+occurs once in the corpus is never looked at again; of the rest, the regions' words follow.
+
+In a group, the regions' words are numbered in their lexical order, and the suffixes of all
+regions are sorted by doubling. Common prefixes of neighbours, compared word by word, give the
+intervals of the tree; those at least a window deep are its internal nodes that stand for
+repeats. Neighbouring windows below such nodes together are the maximal repeats. A node's
+smallest document keeps its words, those of the other leaves go. Hashes only bring suffixes
+together: windows that differ in a word are never taken for equal.
+
+Before regions move, each task settles those that are equal in its own documents and sends on
+only the ones of the smallest document, so a passage that a third of all documents share
+arrives once per task.
 
 Words are runs of characters other than space and 9 to 13. Defined cases: null, empty and
 short texts lose nothing; a repeat inside one document is kept; rows that share an id never
@@ -28,9 +36,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from itertools import compress
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,32 +62,75 @@ from tidepoint.llm.blocks import (
     text_bytes,
     unpack,
 )
+from tidepoint.llm.bytespans import _HOT_BLOCK, _KNOWN, _SENT, _known_anchors, _parts, _table
 from tidepoint.llm.words import gram_fingerprints, slices, word_fingerprints
+from tidepoint.session import scratch_path
 
 WINDOW = 13
+GRAM = 4
 DIGIT = 64
-GROUP_SUFFIXES = 2_000_000
+GROUP_SUFFIXES = 300_000
 BATCH_BYTES = 16 << 20
 BLOCK_BYTES = 8 << 20
+HOT = 20_000  # places of an anchor in the whole corpus
 
-_SENT = "grp bigint, ids binary, tags binary, counts binary, paths binary, places binary"
-_MARKS = "block bigint, ids binary, tags binary, counts binary, places binary"
+_U = np.uint64
+_REGIONS = (
+    "grp bigint, ids binary, tags binary, counts binary, places binary, windows binary, "
+    "content binary"
+)
+_MARKS = "block bigint, ids binary, tags binary, counts binary, places binary, lengths binary"
+
+
+class Suffixes(NamedTuple):
+    """Suffixes from anchors, in the order of their texts, as arrays."""
+
+    doc: np.ndarray  # number of the text
+    number: np.ndarray  # of the suffix in its text
+    start: np.ndarray  # word at which its region begins
+    windows: np.ndarray  # in its region
+    code: np.ndarray  # digits of its first two words
+    anchor: np.ndarray  # hash of its first ``GRAM`` words
 
 
-def suffixes(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """``document, place, code, path`` of the suffixes at least a window long, part by part."""
+def anchored_suffixes(texts: list[bytes], window: int) -> Suffixes:
+    gram = min(GRAM, window)
+    parts = []
     for begin, end in slices(texts):
         words, offsets = word_fingerprints(texts[begin:end])
-        if len(words) < window:
-            continue
-        lengths = np.diff(offsets)
-        docs = np.repeat(np.arange(begin, end, dtype=np.int32), lengths)
-        places = (np.arange(len(words)) - np.repeat(offsets[:-1], lengths)).astype(np.int32)
         n = len(words) - window + 1
-        whole = docs[:n] == docs[window - 1 :]
-        digits = (words >> np.uint64(58)).astype(np.int16)
-        code = digits[:n] * DIGIT + digits[1 : n + 1]
-        yield docs[:n][whole], places[:n][whole], code[whole], gram_fingerprints(words, window)[whole]
+        if n <= 0:
+            continue
+        docs = np.repeat(np.arange(end - begin, dtype=np.int32), np.diff(offsets))
+        grams = gram_fingerprints(words, gram)
+        least, at = grams[:n].copy(), np.zeros(n, np.int8)
+        for k in range(1, window - gram + 1):
+            less = grams[k : n + k] < least
+            np.copyto(least, grams[k : n + k], where=less)
+            at[less] = k
+        spot = np.flatnonzero(docs[:n] == docs[window - 1 :])
+        if not len(spot):
+            continue
+        place = spot + at[spot]
+        head = runs(place)
+        first, place = spot[head], place[head]
+        doc = docs[first]
+        number = np.arange(len(doc))
+        of_doc = runs(doc)
+        number -= np.repeat(of_doc, np.diff(np.append(of_doc, len(doc))))
+        digits = np.append((words >> _U(58)).astype(np.int16), np.int16(0))
+        parts.append((
+            doc + begin,
+            number,
+            first - offsets[doc],
+            np.diff(np.append(head, len(spot))),
+            digits[place] * DIGIT + digits[place + 1],
+            least[first],
+        ))
+    kinds = (np.int64, np.int64, np.int64, np.int64, np.int64, _U)
+    if not parts:
+        return Suffixes(*(np.zeros(0, k) for k in kinds))
+    return Suffixes(*(np.concatenate(c).astype(k) for c, k in zip(zip(*parts), kinds)))
 
 
 def prefix_groups(counts: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -99,111 +154,240 @@ def _count(window: int):
         total = np.zeros(DIGIT * DIGIT, np.int64)
         for batch in batches:
             texts = [t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]
-            for _, _, code, _ in suffixes(texts, window):
-                total += np.bincount(code, minlength=len(total))
+            total += np.bincount(anchored_suffixes(texts, window).code, minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["code", "n"])
 
     return run
 
 
-def _message(key: int, ids, tags, *columns: np.ndarray) -> list:
-    return [key, *doc_headers(ids, tags), *columns]
+class Groups(NamedTuple):
+    """Where prefixes go: first group and number of groups of each two words' digits."""
+
+    first: np.ndarray
+    parts: np.ndarray
+    total: int
 
+    def of(self, code: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+        return self.first[code] + spread(anchor, 1 << 62) % self.parts[code]
 
-def _to_groups(window: int, first: np.ndarray, parts: np.ndarray, n_blocks: int, tagged: bool):
-    """Suffixes to their groups, as ``_SENT``; what a batch settles itself, under -1 - block."""
+
+def _send_hashes(window: int, groups: Groups, n_blocks: int, tagged: bool):
+    """Anchors to their groups. Those that a batch has twice are known to repeat already:
+    they go back under -1 - block, and their group hears of them once, without a place but
+    with the number of their places."""
 
     def settle(batch: Batch) -> Iterator[list]:
-        found = list(suffixes(batch.texts, window))
-        if not found:
+        found = anchored_suffixes(batch.texts, window)
+        if not len(found.doc):
             return
-        docs, places, code, path = (np.concatenate(c) for c in zip(*found))
-        del found
-        order = np.argsort(path, kind="stable").astype(np.int32)
-        begin = runs(path[order])
-        ids = batch.ids[docs]
-        # Texts are in the order of ids, and so are the leaves of a node.
-        least = np.repeat(ids[order[begin]], np.diff(np.append(begin, len(order))))
-        later = np.zeros(len(order), bool)
-        later[order] = ids[order] > least
-        del order, least
-        if later.any():
-            at = np.flatnonzero(later)
-            blocks = block_numbers(ids[at], n_blocks)
-            for block, part in _parts(blocks):
-                own = at[part]
-                yield _message(
-                    -1 - block, ids[own], batch.tags[docs[own]], b"", pack(places[own])
-                )
-        at = np.flatnonzero(~later).astype(np.int32)
-        split = parts[code[at]]
-        group = (first[code[at]] + spread(path[at], 1 << 62) % split).astype(np.int32)
-        for key, part in _parts(group):
-            own = at[part]
-            yield _message(
-                key, ids[own], batch.tags[docs[own]], path[own].tobytes(), pack(places[own])
-            )
+        group = groups.of(found.code, found.anchor)
+        order = np.argsort(found.anchor, kind="stable")
+        begin = runs(found.anchor[order])
+        sizes = np.diff(np.append(begin, len(order)))
+        twice = np.zeros(len(order), bool)
+        twice[order] = np.repeat(sizes > 1, sizes)
+
+        def message(key: int, own: np.ndarray, hashes: bytes) -> list:
+            doc = found.doc[own]
+            heads = doc_headers(batch.ids[doc], batch.tags[doc])
+            return [key, *heads, hashes, pack(found.number[own])]
+
+        at = np.flatnonzero(twice)
+        for block, part in _parts(block_numbers(batch.ids[found.doc[at]], n_blocks)):
+            yield message(-1 - block, at[part], b"")
+        at = np.flatnonzero(~twice)
+        for key, part in _parts(group[at]):
+            yield message(key, at[part], found.anchor[at[part]].tobytes())
+        heads, many = order[begin[sizes > 1]], sizes[sizes > 1]
+        none = doc_headers(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for key, part in _parts(group[heads]):
+            yield [key, *none, found.anchor[heads[part]].tobytes(), pack(many[part])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in _SENT.split(", ")]
-        kinds = [pa.int64(), *[pa.binary()] * 5]
         for batch in document_batches(batches, BATCH_BYTES, tagged):
-            for row in settle(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c], k) for c, k in zip(row, kinds)], names
-                )
+            yield from _table(list(settle(batch)), _SENT).to_batches()
 
     return run
 
 
-def _parts(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Indices of the entries of each key, in their order."""
-    order = np.argsort(keys, kind="stable")
-    begin = runs(keys[order])
-    for a, b in zip(begin, np.append(begin[1:], len(order))):
-        yield int(keys[order[a]]), order[a:b]
+def _regions(window: int, groups: Groups, n_blocks: int, above: np.ndarray, tagged: bool):
+    """Regions of the repeated anchors of one block, to the groups of their prefixes.
+
+    ``above``: the anchors with very many places, sorted.
+    """
+
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        rows = known.to_pylist()
+        if not rows or not len(docs):
+            return _table([], _REGIONS)
+        heads = [expand_headers(r["ids"], r["tags"], r["counts"]) for r in rows]
+        ids, tags = (np.concatenate(c) for c in zip(*heads))
+        numbers = np.concatenate([unpack(r["places"]) for r in rows])
+        of = by_document(ids, tags)
+        batch = Batch(
+            docs.column("doc_id").to_pylist(),
+            docs.column("text").cast(pa.binary()).to_pylist(),
+            tagged,
+        )
+        group, doc, starts, windows, content, doubles = [], [], [], [], [], []
+        seen: dict[bytes, int] = {}
+        for d, text in enumerate(batch.texts):
+            own_id = int(batch.ids[d])
+            at = of.get((own_id, int(batch.tags[d])))
+            if at is None:
+                continue
+            found = anchored_suffixes([text], window)
+            where = np.unique(numbers[at])
+            hot = np.isin(found.anchor[where], above)
+            own_groups = groups.of(found.code[where], found.anchor[where])
+            columns = (found.start[where], found.windows[where], own_groups, hot)
+            words = text.split()
+            for start, n, g, many in zip(*(c.tolist() for c in columns)):
+                for i, m in [(start + k, 1) for k in range(n)] if many else [(start, n)]:
+                    piece = b" ".join(words[i : i + m + window - 1])
+                    # Documents come by id, so the first one seen is the smallest.
+                    if own_id > seen.setdefault(xxhash.xxh128_digest(piece), own_id):
+                        doubles.append((d, i, m + window - 1))
+                        continue
+                    group.append(xxhash.xxh64_intdigest(piece) % groups.total if many else g)
+                    doc.append(d)
+                    starts.append(i)
+                    windows.append(m)
+                    content.append(piece)
+        group, doc, starts, windows = (np.array(x, np.int64) for x in (group, doc, starts, windows))
+        packer = zstandard.ZstdCompressor(1)
+        out = []
+        for key, p in _parts(group):
+            out.append([
+                key, *doc_headers(batch.ids[doc[p]], batch.tags[doc[p]]), pack(starts[p]),
+                pack(windows[p]), packer.compress(b"\n".join([content[i] for i in p])),
+            ])
+        if doubles:
+            doc, starts, lengths = (np.array(c, np.int64) for c in zip(*doubles))
+            for block, p in _parts(block_numbers(batch.ids[doc], n_blocks)):
+                out.append([
+                    -1 - block, *doc_headers(batch.ids[doc[p]], batch.tags[doc[p]]),
+                    pack(starts[p]), pack(lengths[p]), b"",
+                ])
+        return _table(out, _REGIONS)
+
+    return run
 
 
-def _trees(n_blocks: int):
-    """Nodes of one group that more than one document hangs below; marks, as ``_MARKS``."""
+def word_numbers(words: list[bytes]) -> np.ndarray:
+    """Numbers from 1 that order as the words do; equal for equal words only."""
+    coded = pa.array(words, pa.binary()).dictionary_encode()
+    by = pc.sort_indices(coded.dictionary).to_numpy()
+    number = np.empty(len(by), np.int64)
+    number[by] = np.arange(1, len(by) + 1)
+    return number[coded.indices.to_numpy()]
+
+
+def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
+    """Places of a text of numbers in the order of what follows, ``depth`` numbers at least."""
+    rank, known = text, 1
+    while known < depth:
+        ahead = np.append(rank[known:], np.zeros(min(known, len(rank)), rank.dtype))
+        rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)[1] + 1
+        known *= 2
+    return np.argsort(rank, kind="stable")
+
+
+def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+    """How many numbers each suffix shares with the one before it in order, up to ``depth``;
+    none for the first. Zeros end a text and equal nothing."""
+    shared = np.zeros(len(order), np.int64)
+    pair = np.arange(1, len(order))
+    for known in range(depth):
+        a, b = order[pair - 1] + known, order[pair] + known
+        inside = np.maximum(a, b) < len(text)
+        pair, a, b = pair[inside], a[inside], b[inside]
+        pair = pair[(text[a] == text[b]) & (text[a] > 0)]
+        shared[pair] += 1
+    return shared
+
+
+def repeated_windows(pieces: list[bytes], low: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """``piece, place`` of the windows that also stand in a piece of a smaller ``low``.
+
+    The pieces' words are one text with a zero after each piece. Deep intervals of the sorted
+    suffixes are the internal nodes of their tree; the least ``low`` of a node stays.
+    """
+    sizes = np.array([p.count(b" ") + 1 for p in pieces], np.int64)
+    ends = np.cumsum(sizes + 1) - 1
+    text = np.zeros(int(ends[-1]) + 1, np.int64)
+    inner = np.ones(len(text), bool)
+    inner[ends] = False
+    text[inner] = word_numbers(b" ".join(pieces).split(b" "))
+    owner = np.repeat(np.arange(len(pieces)), sizes + 1)
+    order = sorted_suffixes(text, window)
+    deep = common_prefixes(text, order, window) >= window
+    # A node of the tree: suffixes of which all but the first share a window with the one before.
+    begin = np.flatnonzero(~deep)
+    least = np.minimum.reduceat(low[owner[order]], begin)
+    least = np.repeat(least, np.diff(np.append(begin, len(order))))
+    gone = np.sort(order[low[owner[order]] > least])
+    return owner[gone], gone - (ends - sizes)[owner[gone]]
+
+
+def _trees(window: int, n_blocks: int):
+    """Words to remove, from the regions of one group; back to their blocks, as ``_MARKS``."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         key = rows[0]["grp"]
         if key < 0:  # settled before
-            return table.select(["grp", "ids", "tags", "counts", "places"]).set_column(
-                0, "block", pa.array([-1 - key] * len(rows), pa.int64())
-            ).rename_columns(["block", "ids", "tags", "counts", "places"])
+            columns = ("ids", "tags", "counts", "places", "windows")
+            return _table([[-1 - key, *(r[c] for c in columns)] for r in rows], _MARKS)
         heads = [expand_headers(r["ids"], r["tags"], r["counts"]) for r in rows]
         ids, tags = (np.concatenate(c) for c in zip(*heads))
-        path = np.concatenate([np.frombuffer(r["paths"], np.uint64) for r in rows])
-        places = np.concatenate([unpack(r["places"]) for r in rows])
-        order = np.argsort(path, kind="stable")
-        begin = runs(path[order])
-        least = np.minimum.reduceat(ids[order], begin)
-        least = np.repeat(least, np.diff(np.append(begin, len(order))))
-        gone = order[ids[order] > least]
-        gone = gone[np.lexsort((places[gone], tags[gone], ids[gone]))]
+        starts = np.concatenate([unpack(r["places"]) for r in rows])
+        windows = np.concatenate([unpack(r["windows"]) for r in rows])
+        unpacker = zstandard.ZstdDecompressor()
+        content = b"\n".join(unpacker.decompress(r["content"]) for r in rows).split(b"\n")
+        number: dict[bytes, int] = {}
+        piece = np.array([number.setdefault(c, len(number)) for c in content], np.int64)
+        del content
+        low = np.full(len(number), np.iinfo(np.int64).max)
+        np.minimum.at(low, piece, ids)
+        of, place = repeated_windows(list(number), low, window)
+        # Regions equal to one of a smaller document go as a whole; of the smallest document's
+        # go the neighbouring windows that a smaller one has elsewhere.
+        whole = np.flatnonzero(ids > low[piece])
+        own = np.flatnonzero(ids == low[piece])
+        head = np.flatnonzero(
+            np.append(True, (of[1:] != of[:-1]) | (place[1:] != place[:-1] + 1)) if len(of) else []
+        )
+        tail = np.append(head, len(of))[1:] - 1
+        span_of, span_at = of[head], place[head]
+        span_size = place[tail] - place[head] + window
+        first = np.searchsorted(span_of, piece[own], "left")
+        count = np.searchsorted(span_of, piece[own], "right") - first
+        leaf = np.repeat(own, count)
+        span = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        doc = np.concatenate([whole, leaf])
+        begin = np.concatenate([starts[whole], starts[leaf] + span_at[span]])
+        size = np.concatenate([windows[whole] + window - 1, span_size[span]])
+        by = np.lexsort((begin, tags[doc], ids[doc]))
+        doc, begin, size = doc[by], begin[by], size[by]
         out = [
-            _message(block, ids[gone[p]], tags[gone[p]], pack(places[gone[p]]))
-            for block, p in _parts(block_numbers(ids[gone], n_blocks))
+            [block, *doc_headers(ids[doc[p]], tags[doc[p]]), pack(begin[p]), pack(size[p])]
+            for block, p in _parts(block_numbers(ids[doc], n_blocks))
         ]
-        kinds = [pa.int64(), *[pa.binary()] * 4]
-        names = [c.split()[0] for c in _MARKS.split(", ")]
-        columns = list(zip(*out)) or [()] * 5
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        return _table(out, _MARKS)
 
     return run
 
 
-def _answer(window: int, with_text: bool, tagged: bool):
+def _answer(with_text: bool, tagged: bool):
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
         rows = marks.to_pylist()
         heads = [expand_headers(r["ids"], r["tags"], r["counts"]) for r in rows]
         empty = np.zeros(0, np.int64)
         ids, tags = (np.concatenate(c) for c in zip(*heads)) if rows else (empty, empty)
         places = np.concatenate([unpack(r["places"]) for r in rows]) if rows else empty
+        lengths = np.concatenate([unpack(r["lengths"]) for r in rows]) if rows else empty
         of = by_document(ids, tags)
         batch = Batch(
             docs.column("doc_id").to_pylist(),
@@ -218,7 +402,7 @@ def _answer(window: int, with_text: bool, tagged: bool):
             if at is not None:
                 edge = np.zeros(len(words) + 1, np.int64)
                 np.add.at(edge, places[at], 1)
-                np.add.at(edge, places[at] + window, -1)
+                np.add.at(edge, places[at] + lengths[at], -1)
                 stays = np.cumsum(edge[:-1]) == 0
                 removed = len(words) - int(stays.sum())
                 kept = list(compress(words, stays.tolist()))
@@ -240,29 +424,48 @@ def drop_passages(
     window: int = WINDOW,
     with_text: bool = True,
     group_suffixes: int = GROUP_SUFFIXES,
+    hot: int = HOT,
 ) -> DataFrame:
     """A row per document: ``doc_id, n_words, n_removed, kept_sha256, kept_text``."""
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     counted = texts.select("text").mapInArrow(_count(window), "code bigint, n bigint")
     counts = np.zeros(DIGIT * DIGIT, np.int64)
     for row in counted.groupBy("code").agg(F.sum("n").alias("n")).collect():
         counts[row.code] = row.n
-    first, parts, n_groups = prefix_groups(counts, group_suffixes)
+    groups = Groups(*prefix_groups(counts, group_suffixes))
     n_blocks = max(1, -(-text_bytes(docs) // BLOCK_BYTES))
     tagged = ids_repeat(docs)
 
-    sent = texts.mapInArrow(_to_groups(window, first, parts, n_blocks, tagged), _SENT)
-    marks = (
-        sent.repartition(n_groups + n_blocks, "grp")
+    sent = texts.mapInArrow(_send_hashes(window, groups, n_blocks, tagged), _SENT)
+    folder = scratch_path(spark, "passages")
+    (
+        sent.repartition(groups.total + n_blocks, "grp")
         .groupBy("grp")
-        .applyInArrow(_trees(n_blocks), _MARKS)
+        .applyInArrow(_known_anchors(n_blocks, hot), _KNOWN)
+        .write.parquet(f"{folder}/known")
     )
+    known = spark.read.parquet(f"{folder}/known")
+    # At most one anchor for every ``hot`` places.
+    lists = known.where(F.col("block") == _HOT_BLOCK).select("hot").collect()
+    above = np.sort(np.concatenate([np.zeros(0, _U), *(np.frombuffer(r.hot, _U) for r in lists)]))
+    known = known.where(F.col("block") != _HOT_BLOCK)
     rows = texts.withColumn("block", block_column(n_blocks))
+    regions = (
+        rows.groupBy("block")
+        .cogroup(known.groupBy("block"))
+        .applyInArrow(_regions(window, groups, n_blocks, above, tagged), _REGIONS)
+    )
+    marks = (
+        regions.repartition(groups.total + n_blocks, "grp")
+        .groupBy("grp")
+        .applyInArrow(_trees(window, n_blocks), _MARKS)
+    )
     return (
         rows.groupBy("block")
         .cogroup(marks.groupBy("block"))
         .applyInArrow(
-            _answer(window, with_text, tagged),
+            _answer(with_text, tagged),
             "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
             "kept_text string",
         )
