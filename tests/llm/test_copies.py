@@ -15,6 +15,7 @@ from brute import (
     without_strings,
 )
 
+from tidepoint.llm import minhash
 from tidepoint.llm.blocks import block_column, block_numbers, pack, unpack
 from tidepoint.llm.bytespans import anchors, drop_repeats, string_classes
 from tidepoint.llm.components import components
@@ -86,6 +87,56 @@ def test_near_copies_match_all_pairs(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def _of_one_template(n):
+    """Documents that share two thirds to nine tenths of their words, in groups of copies."""
+    rng = random.Random(n)
+    template = [f"t{i}" for i in range(90)]
+    docs = []
+    while len(docs) < n:
+        own = [f"d{len(docs)}w{i}" for i in range(rng.choice((8, 14, 25, 45)))]
+        for _ in range(rng.choice((1, 1, 2, 4))):
+            near = [w if rng.random() > 0.04 else w + "x" for w in template + own]
+            docs.append((len(docs), " ".join(near)))
+    return docs[:n]
+
+
+def _family(spark, docs):
+    sets = spark.createDataFrame(
+        [(1, d, len(set(zip(t.split(), t.split()[1:]))), d) for d, t in docs],
+        "k bigint, x bigint, n bigint, c bigint",
+    )
+    return sets, spark.createDataFrame(docs, "doc_id bigint, text string")
+
+
+def test_families_dealt_by_tokens_lose_no_link(spark, monkeypatch):
+    importable(spark)
+    docs = _of_one_template(120)
+    expected = jaccard_components(docs, 2)
+    assert len({c for _, c in expected.values()}) < 100
+    families, texts = _family(spark, docs)
+    for limit, share in ((1_000_000, 64), (1_500, 4), (600, 64)):
+        monkeypatch.setattr(minhash, "BLOCK_SHINGLES", limit)
+        monkeypatch.setattr(minhash, "FREQUENT", share)
+        links = [tuple(r) for r in minhash.family_links(families, texts, 2, 80).collect()]
+        own = components(spark.createDataFrame(links, "a bigint, b bigint"))
+        found = {r.node: r.component for r in own.collect()}
+        assert {d: found.get(d, d) for d, _ in docs} == {d: c for d, (_, c) in expected.items()}
+
+
+def test_family_copies_grow_with_its_members(spark, monkeypatch):
+    importable(spark)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 500)
+    monkeypatch.setattr(minhash, "FREQUENT", 2)
+    copies = []
+    for n in (100, 400):
+        docs = [
+            (i, " ".join([f"t{k}" for k in range(70)] + [f"d{i // 2}w{k}" for k in range(40)]))
+            for i in range(n)
+        ]
+        copies.append(minhash.dealt_families(*_family(spark, docs), 2, 80).count())
+    assert 0 < copies[1] < 5 * copies[0]
+
+
 def test_near_copies_cases(spark):
     frame = case_frame(importable(spark) and spark)
     rows = near_classes(frame, words=2).collect()

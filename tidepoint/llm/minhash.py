@@ -12,8 +12,10 @@ compared with the others. As Jaccard distance is a metric, a member within ``NEA
 centre has all its possible partners within ``FAR`` of it. Pairs with a centre that are
 similar enough are links; those within ``FAR`` make families. The members that their centre
 does not settle are a family of their own. So every link that a bucket offers is within a
-family, whose members outside its largest component are then compared with all its members,
-by an inverted index in tasks of bounded size, which return links only.
+family, whose members outside its largest component are then compared with those members that
+share one of their rarest shingles, as every similar pair does, by an inverted index in tasks
+of bounded size, which return links only. Large families are dealt by their rare shingles: what
+occurs once, or with no document that seeks a link, is sent nowhere.
 
 Defined cases: a null or empty text, or one of blanks, has an empty set and is its own
 component; rows that repeat an id are one document, for whose links the text that orders
@@ -42,6 +44,7 @@ THRESHOLD = 80  # per cent
 NEAR = 50  # per cent of similarity to a centre that settles a member
 FAR = 30  # at least 20 less, as THRESHOLD allows a distance of 20
 BLOCK_SHINGLES = 1_000_000  # of the members that one task compares with another block
+FREQUENT = 64  # a token that one in so many members of a large family has comes late in order
 
 _U = np.uint64
 _V = np.uint32
@@ -205,8 +208,23 @@ def left_over(left: DataFrame) -> DataFrame:
     )
 
 
+def prefix_sizes(n, threshold: int):
+    """Tokens that a set of ``n`` is looked up by and is listed under.
+
+    In any one order of all tokens, the first token that two similar sets share is among the
+    first ones listed of the smaller set and the first ones looked up of the larger set.
+    """
+    looked_up = n - -(-threshold * n // 100) + 1
+    listed = n - -(-2 * threshold * n // (100 + threshold)) + 1
+    return looked_up, listed
+
+
 def _cross_links(words: int, threshold: int):
-    """Links between the strays of a block and members of another component."""
+    """Links between the strays of a block and members of another component.
+
+    Only members that share one of the rarest tokens of the block with a stray, as
+    ``prefix_sizes`` has it, are compared with it, on the full sets.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("x").to_numpy()
@@ -214,74 +232,232 @@ def _cross_links(words: int, threshold: int):
         stray = table.column("stray").to_numpy(zero_copy_only=False)
         sets = list(shingle_sets(_texts(table.column("text")), words))
         sizes = np.array([len(s) for s in sets])
-        others = np.flatnonzero(~stray)
-        tokens = np.concatenate([sets[i] for i in others] or [np.zeros(0, _U)])
-        owner = np.repeat(np.arange(len(others)), sizes[others])
-        order = np.argsort(tokens, kind="stable")
-        tokens, owner = tokens[order], owner[order]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        values, tokens, counts = np.unique(
+            np.concatenate(sets), return_inverse=True, return_counts=True
+        )
+        rank = np.empty(len(values), np.int64)
+        rank[np.argsort(counts, kind="stable")] = np.arange(len(values))
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        tokens = rank[tokens]
+        tokens = tokens[np.lexsort((tokens, owner))]
+        place = np.arange(len(tokens)) - bounds[owner]
+        looked_up, listed = prefix_sizes(sizes, threshold)
+
+        at = np.flatnonzero(~stray[owner] & (place < looked_up[owner]))
+        at = at[np.argsort(tokens[at], kind="stable")]
+        keys, holder, in_list = tokens[at], owner[at], (place < listed[owner])[at]
+        marked = np.zeros(len(values), bool)
         a, b = [], []
         for i in np.flatnonzero(stray):
-            low = np.searchsorted(tokens, sets[i], "left")
-            count = np.searchsorted(tokens, sets[i], "right") - low
-            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-            common = np.bincount(owner[at], minlength=len(others))
-            total = sizes[i] + sizes[others] - common
-            hit = (100 * common >= threshold * total) & (parts[others] != parts[i])
-            _, firsts = np.unique(parts[others][hit], return_index=True)
-            for other in others[hit][firsts]:
-                a.append(ids[i])
-                b.append(ids[other])
+            own = tokens[bounds[i] : bounds[i + 1]]
+            first = own[: looked_up[i]]
+            low = np.searchsorted(keys, first, "left")
+            count = np.searchsorted(keys, first, "right") - low
+            hits = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            of_list = np.repeat(np.arange(len(first)) < listed[i], count)
+            other = holder[hits]
+            n, m = sizes[i], sizes[other]
+            fits = (in_list[hits] & (m <= n)) | (of_list & (m >= n))
+            fits &= (100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
+            other = np.unique(other[fits & (parts[other] != parts[i])])
+            if not len(other):
+                continue
+            marked[own] = True
+            m = sizes[other]
+            ends = np.cumsum(m)
+            spots = np.repeat(bounds[other] - ends + m, m) + np.arange(ends[-1])
+            common = np.add.reduceat(marked[tokens[spots]], ends - m, dtype=np.int64)
+            marked[own] = False
+            other = other[100 * common >= threshold * (n + m - common)]
+            _, firsts = np.unique(parts[other], return_index=True)
+            a.extend([ids[i]] * len(firsts))
+            b.extend(ids[other[firsts]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def family_links(
+def _frequent(words: int, share: int):
+    """``k, token, rows``: the tokens that one in ``share`` members of a chunk has, or more.
+
+    A chunk of fewer members gives none, so there are at most ``BLOCK_SHINGLES`` of them.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        sets = list(shingle_sets(_texts(table.column("text")), words))
+        tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
+        often = (counts * share >= len(sets)) & (len(sets) >= share)
+        k = table.column("k")[0].as_py()
+        return pa.table(
+            {
+                "k": pa.array([k] * int(often.sum()), pa.int64()),
+                "token": pa.array(tokens[often].view(np.int64)),
+                "rows": pa.array(counts[often].astype(np.int64)),
+            }
+        )
+
+    return run
+
+
+_POSTINGS = "k bigint, token bigint, x bigint, n bigint, c bigint, stray boolean, listed boolean"
+
+
+def _rarest(words: int, threshold: int):
+    """``_POSTINGS``: the members of a chunk of a family by the tokens they are looked up by.
+
+    Tokens are in the order of their hashes, then the frequent ones in the order given.
+    """
+
+    def run(table: pa.Table, often: pa.Table) -> pa.Table:
+        names = ["k", "x", "n", "c", "stray"]
+        if not table.num_rows:
+            empty = {c: table.column(c) for c in names}
+            return pa.table(
+                empty | {"token": pa.array([], pa.int64()), "listed": pa.array([], pa.bool_())}
+            ).select(["k", "token", "x", "n", "c", "stray", "listed"])
+        last = np.array(
+            often.column("tokens")[0].as_py() if often.num_rows else [], np.int64
+        ).view(_U)
+        by_value = np.argsort(last)
+        tokens, lists, lengths = [], [], []
+        for own in shingle_sets(_texts(table.column("text")), words):
+            rank = np.zeros(len(own), np.int64)
+            if len(last):
+                at = np.minimum(np.searchsorted(last[by_value], own), len(last) - 1)
+                found = last[by_value[at]] == own
+                rank[found] = 1 + by_value[at[found]]
+            looked_up, listed = prefix_sizes(len(own), threshold)
+            tokens.append(own[np.argsort(rank, kind="stable")[:looked_up]])
+            lists.append(np.arange(looked_up) < listed)
+            lengths.append(looked_up)
+        rows = table.select(names).take(np.repeat(np.arange(table.num_rows), lengths))
+        columns = {c: rows.column(c) for c in names}
+        columns["token"] = pa.array(np.concatenate(tokens).view(np.int64))
+        columns["listed"] = pa.array(np.concatenate(lists))
+        return pa.table({c: columns[c] for c in ("k", "token", "x", "n", "c", "stray", "listed")})
+
+    return run
+
+
+def _blocks(size: Column) -> Column:
+    return F.ceil(size / BLOCK_SHINGLES).cast("int")
+
+
+def token_blocks(rows: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
+    """``k, b, x, n, c, stray``: large families dealt by the rarest tokens of their members.
+
+    ``rows``: ``k, x, n, c, stray, n_members, members``. A member goes only where it shares a
+    rare token with others, a stray among them, so its copies do not grow with its family.
+    """
+    chunk = F.pmod(F.xxhash64("x"), F.col("n_members")).cast("int")
+    chunks = rows.withColumn("i", chunk).join(texts.withColumnRenamed("doc_id", "x"), "x")
+    often = (
+        chunks.select("k", "i", "text")
+        .groupBy("k", "i")
+        .applyInArrow(_frequent(words, FREQUENT), "k bigint, token bigint, rows bigint")
+        .groupBy("k", "token")
+        .agg(F.sum("rows").alias("rows"))
+        .join(rows.groupBy("k").agg(F.max("members").alias("members")), "k")
+        .where(F.col("rows") * FREQUENT >= F.col("members"))
+        .groupBy("k")
+        .agg(F.array_sort(F.collect_list(F.struct("rows", "token")))["token"].alias("tokens"))
+    )
+    targets = rows.groupBy("k").agg(F.max("n_members").alias("n_members")).join(often, "k")
+    each = F.explode(F.sequence(F.lit(0), F.col("n_members") - 1))
+    targets = targets.select("k", "tokens", each).toDF("k", "tokens", "i")
+    postings = pin(
+        chunks.select("k", "i", "x", "n", "c", "stray", "text")
+        .groupBy("k", "i")
+        .cogroup(targets.groupBy("k", "i"))
+        .applyInArrow(_rarest(words, threshold), _POSTINGS)
+    )
+    useful = (
+        postings.groupBy("k", "token")
+        .agg(F.count("*").alias("rows"), F.max("stray").alias("s"), F.max("listed").alias("l"))
+        .where("rows > 1 and s and l")
+        .select("k", "token")
+    )
+    met = pin(postings.join(useful, ["k", "token"], "left_semi"))
+    counts = met.groupBy("k").agg(_blocks(F.sum("n")).alias("n_blocks"))
+    block = F.pmod(F.xxhash64("token"), F.col("n_blocks")).cast("int")
+    return met.join(counts, "k").select("k", block.alias("b"), "x", "n", "c", "stray").distinct()
+
+
+def dealt_families(
     families: DataFrame, texts: DataFrame, words: int, threshold: int
 ) -> DataFrame:
-    """``families``: ``k, x, n, c``. Links from members outside a family's main component.
+    """``k, b, i, j, x, c, stray``: members of families, and strays among them, by task.
 
-    A family of any size is cut into blocks of bounded size; each block of strays meets each
-    block of members in a task of its own.
+    ``families``: ``k, x, n, c``. A family that fits into few blocks of bounded size goes by
+    blocks of strays and of members, each with each. Where that would copy more shingles than
+    dealing by tokens, it goes by tokens; a token that very many share is cut likewise.
     """
-    parts = families.groupBy("k", "c").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    looked_up = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
+    parts = families.groupBy("k", "c").agg(
+        F.count("*").alias("rows"), F.sum("n").alias("n"), F.sum(F.col("n") * looked_up).alias("t")
+    )
     stats = (
         parts.groupBy("k")
         .agg(
             F.max_by("c", F.struct("rows", "c")).alias("main"),
             F.max(F.struct("rows", "c", "n"))["n"].alias("main_n"),
             F.sum("n").alias("total_n"),
+            F.sum("t").alias("token_copies"),
+            F.sum("rows").alias("members"),
             F.count("*").alias("n_parts"),
         )
         .where("n_parts > 1")
+        .withColumn("stray_n", F.col("total_n") - F.col("main_n"))
+        .withColumn("n_members", _blocks(F.col("total_n")))
+        .withColumn("n_strays", _blocks(F.col("stray_n")))
     )
-
-    def blocks(size: Column) -> Column:
-        return F.ceil(size / BLOCK_SHINGLES).cast("int")
-
+    copies = F.col("n_strays") * F.col("total_n") + F.col("n_members") * F.col("stray_n")
     rows = pin(
         families.join(stats, "k").select(
             "k",
             "x",
+            "n",
             "c",
             (F.col("c") != F.col("main")).alias("stray"),
-            blocks(F.col("total_n")).alias("n_members"),
-            blocks(F.col("total_n") - F.col("main_n")).alias("n_strays"),
+            "n_members",
+            "members",
+            ((F.col("n_members") > 1) & (copies > F.col("token_copies"))).alias("by_token"),
+        )
+    )
+    large = rows.where("by_token")
+    groups = rows.where("not by_token").select("k", F.lit(0).alias("b"), "x", "n", "c", "stray")
+    if not large.isEmpty():
+        groups = pin(groups.unionByName(token_blocks(large, texts, words, threshold)))
+    sizes = (
+        groups.groupBy("k", "b")
+        .agg(
+            _blocks(F.sum("n")).alias("n_members"),
+            _blocks(F.sum(F.when(F.col("stray"), F.col("n")))).alias("n_strays"),
         )
+        .where("n_strays > 0")
     )
+    placed = pin(groups.join(sizes, ["k", "b"]))
     member_block = F.pmod(F.xxhash64("x"), F.col("n_members")).cast("int")
     stray_block = F.pmod(F.xxhash64("x", F.lit(1)), F.col("n_strays")).cast("int")
-    as_member = rows.select(
-        "k", "x", "c", F.lit(False).alias("stray"), member_block.alias("j"),
+    as_member = placed.select(
+        "k", "b", "x", "c", F.lit(False).alias("stray"), member_block.alias("j"),
         F.explode(F.sequence(F.lit(0), F.col("n_strays") - 1)).alias("i"),
     )
-    as_stray = rows.where("stray").select(
-        "k", "x", "c", "stray", stray_block.alias("i"),
+    as_stray = placed.where("stray").select(
+        "k", "b", "x", "c", "stray", stray_block.alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("n_members") - 1)).alias("j"),
     )
-    dealt = as_member.unionByName(as_stray).join(texts.withColumnRenamed("doc_id", "x"), "x")
-    dealt = dealt.select("k", "i", "j", "x", "c", "stray", "text")
-    return dealt.groupBy("k", "i", "j").applyInArrow(
+    return as_member.unionByName(as_stray).select("k", "b", "i", "j", "x", "c", "stray")
+
+
+def family_links(
+    families: DataFrame, texts: DataFrame, words: int, threshold: int
+) -> DataFrame:
+    """``families``: ``k, x, n, c``. Links from members outside a family's main component."""
+    dealt = dealt_families(families, texts, words, threshold)
+    dealt = dealt.join(texts.withColumnRenamed("doc_id", "x"), "x")
+    return dealt.groupBy("k", "b", "i", "j").applyInArrow(
         _cross_links(words, threshold), "a bigint, b bigint"
     )
 
