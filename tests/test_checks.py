@@ -14,7 +14,7 @@ from tidepoint.operators.fingerprint import (
 )
 from tidepoint.operators.ledger import Ledger
 from tidepoint.operators.reconcile import reconcile
-from tidepoint.operators.windows import balanced_windows
+from tidepoint.operators.windows import balanced_windows, times_at_ranks
 from tidepoint.plans.backfill import run_windows
 from tidepoint.plans.verify import verify_windows
 from tidepoint.points import PointsSchema
@@ -167,6 +167,22 @@ def test_windows_are_balanced(spark, events):
     assert balanced_windows(events.limit(0), 4).count() == 0
 
 
+@pytest.mark.parametrize("spread", [50, 10**4, 9 * 10**18])
+def test_bounds_are_exact_whatever_the_sketch(spark, spread):
+    """Times a few ns apart, far apart, and shared by very many points."""
+    rng = random.Random(spread)
+    times = [rng.randrange(-spread, spread) for _ in range(3000)] + [7] * 900 + [spread // 2] * 400
+    frame = spark.createDataFrame([(t,) for t in times], "t bigint").repartition(4)
+    times.sort()
+    for parts in (1, 3, 12):
+        cuts = {times[-(-i * len(times) // parts) - 1] for i in range(1, parts)}
+        wanted = sorted({times[0], *cuts, times[-1] + 1})
+        for accuracy, gathered in ((100_000, 100_000), (5, 0), (5, 500)):
+            assert times_at_ranks(frame, parts, accuracy, gathered) == wanted
+        windows = balanced_windows(frame, parts, "t", 5).orderBy("window_no").collect()
+        assert [r.window_start for r in windows] + [windows[-1].window_end] == wanted
+
+
 def test_profiles_merge_without_a_reread(spark):
     rows = spark.read.parquet(f"{SF_DIR}/events.parquet").withColumn("list", F.array("event_id"))
     stored = StoredProfile(spark, scratch_path(spark, "profile"), rows.schema)

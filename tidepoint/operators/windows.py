@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
+from functools import reduce
+from itertools import pairwise
+from operator import or_
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepoint.functions.columns import spare_name
 from tidepoint.functions.timefn import ns_floor_div
+from tidepoint.operators.sweep import located
 from tidepoint.session import small_or_pinned
 
 QUANTILE_ACCURACY = 100_000
+GATHERED_ROWS = 100_000
 
 
 def _long(value: int | Column) -> Column:
@@ -98,36 +105,88 @@ def window_summary(points: DataFrame, keys: Sequence[str], time: str = "time_ns"
     )
 
 
+def _more_bounds(
+    times: DataFrame, brackets: dict[tuple[int, int], list[float]], accuracy: int
+) -> list[int]:
+    """Bounds around the times at the given shares of the rows of each bracket, by sketches."""
+    t, proposed = F.col("t"), []
+    for (low, end), shares in brackets.items():
+        # The sketch works on doubles: offsets where they hold them, else whole cells of 1,024 ns.
+        value = t - _long(low) if end - low <= 2**53 else F.shiftright(t, 10)
+        inside = F.when((t >= _long(low)) & (t < _long(end)), value)
+        spread = sorted({min(max(s + d / accuracy, 0.0), 1.0) for s in shares for d in (-2, 0, 2)})
+        proposed.append(
+            F.percentile_approx(inside, F.array(*map(F.lit, spread)), F.lit(accuracy))
+        )
+    bounds = set()
+    for (low, end), cuts in zip(brackets, times.agg(*proposed).first(), strict=True):
+        narrow = end - low <= 2**53
+        for cut in set(cuts):
+            cell = (low + cut, low + cut + 1) if narrow else (cut << 10, (cut + 1) << 10)
+            bounds.update(b for b in cell if low < b < end)
+    return sorted(bounds)
+
+
+def times_at_ranks(
+    times: DataFrame, parts: int, accuracy: int = QUANTILE_ACCURACY, gathered: int = GATHERED_ROWS
+) -> list[int]:
+    """The least time, the first times by which ``i / parts`` of all rows are seen, one after the last.
+
+    ``times``: one column ``t`` without nulls, read several times. Sketches only propose bounds;
+    rows below a bound are counted, and a bracket between two bounds is narrowed until it is a
+    single time or few rows are left, whose times are counted one by one. So the result is exact
+    whatever the sketch, and the driver gets a number per bound and at most ``gathered`` times.
+    """
+    ends = times.agg(F.min("t"), F.max("t"), F.count("t")).first()
+    if ends[0] is None:
+        return []
+    below = {ends[0]: 0, ends[1] + 1: ends[2]}
+    ranks = np.array([-(-i * ends[2] // parts) for i in range(1, parts)], np.int64)
+    while True:
+        bounds = np.array(sorted(below), np.int64)
+        rows = np.array([below[b] for b in bounds.tolist()], np.int64)
+        at = np.searchsorted(rows, ranks, "left")
+        wanted = {}
+        for j, rank in zip(at.tolist(), ranks.tolist(), strict=True):
+            low, end = int(bounds[j - 1]), int(bounds[j])
+            if end - low > 1:
+                share = (rank - below[low]) / (below[end] - below[low])
+                wanted.setdefault((low, end), []).append(share)
+        if not wanted:
+            return sorted({ends[0], *bounds[at - 1].tolist(), ends[1] + 1})
+        if sum(below[end] - below[low] for low, end in wanted) <= gathered:
+            t = F.col("t")
+            inside = [(t >= _long(low)) & (t < _long(end)) for low, end in wanted]
+            counted = times.where(reduce(or_, inside)).groupBy("t").count().collect()
+            upto = {low: below[low] for low, _ in wanted}
+            starts = sorted(upto)
+            for time, count in sorted(counted):
+                low = starts[bisect_right(starts, time) - 1]
+                below[time] = upto[low]
+                upto[low] += count
+                below[time + 1] = upto[low]
+            continue
+        finer = np.array(sorted({*bounds.tolist(), *_more_bounds(times, wanted, accuracy)}), np.int64)
+        counts = np.zeros(len(finer), np.int64)
+        for r, count in times.groupBy(located(finer)("t").alias("r")).count().collect():
+            counts[r] = count
+        below = dict(zip(finer.tolist(), [0, *np.cumsum(counts)[:-1].tolist()], strict=True))
+
+
 def balanced_windows(
     points: DataFrame, parts: int, time: str = "time_ns", accuracy: int = QUANTILE_ACCURACY
 ) -> DataFrame:
     """At most ``parts`` half-open windows that hold like numbers of points.
 
-    ``window_no, window_start, window_end``. Bounds are quantiles of the times, in whole
-    microseconds, by a mergeable sketch, one aggregate whatever the number of points; a bound
-    is off by at most one in ``accuracy`` of all points. Times that very many points share make fewer windows. Points
-    without a time are in none.
+    ``window_no, window_start, window_end``. Bounds are the exact quantiles of the times: a
+    window begins at the first time by which its share of all points is seen. They are found by
+    a few aggregates over the points, which are read several times and must be the same each
+    time; ``accuracy`` is that of the sketches and changes no result. Times that very many
+    points share make fewer windows. Points without a time are in none.
     """
-    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    found = points.where(F.col(time).isNotNull()).agg(
-        F.min(time).alias("low"),
-        (F.max(time) + 1).alias("high"),
-        (
-            # The sketch works on doubles, which hold microseconds exactly but not ns.
-            F.percentile_approx(ns_floor_div(F.col(time), 1000), shares, F.lit(accuracy))
-            if parts > 1
-            else F.lit(None).cast("array<bigint>")
-        ).alias("cuts"),
-    )
-    inner = F.transform(
-        F.coalesce("cuts", F.array().cast("array<bigint>")),
-        lambda cut: F.greatest(cut * 1000, F.col("low")),
-    )
-    bounds = F.array_sort(F.array_distinct(F.concat(F.array("low"), inner, F.array("high"))))
-    listed = found.where("low is not null").select(bounds.alias("b"))
-    numbers = F.sequence(F.lit(0), F.size("b") - 2)
-    return listed.select("b", F.explode(numbers).alias("window_no")).select(
-        "window_no",
-        F.get("b", F.col("window_no")).alias("window_start"),
-        F.get("b", F.col("window_no") + 1).alias("window_end"),
+    t = F.col(time).cast("bigint").alias("t")
+    bounds = times_at_ranks(points.select(t).where("t is not null"), parts, accuracy)
+    windows = [(i, *ends) for i, ends in enumerate(pairwise(bounds))]
+    return points.sparkSession.createDataFrame(
+        windows, "window_no int, window_start bigint, window_end bigint"
     )
