@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from functools import wraps
 from itertools import groupby
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepoint.functions.timefn import parse_instant
+from tidepoint.operators import sweep
 from tidepoint.operators.filters import (
     after_position,
     drop_absent,
@@ -320,6 +322,49 @@ def test_sweep_copies_an_interval_per_range_it_covers(spark):
         sweep_intervals(points, spans.withColumnRenamed("j", "ID"))
 
 
+def test_pairs_are_joined_in_tasks_of_like_numbers(spark, monkeypatch):
+    """No pair passes through Python, and ranges with many pairs are dealt over several tasks."""
+    monkeypatch.setattr(sweep, "TASK_PAIRS", 5_000)
+    rng = random.Random(8)
+    points = [(i, rng.randrange(10**6)) for i in range(600)] + [(i, 700) for i in range(600, 900)]
+    spans = [(j, s := rng.randrange(10**6), s + rng.randrange(3 * 10**5)) for j in range(500)]
+    spans += [(j, 600 + j % 90, 800) for j in range(500, 700)]
+    # As many intervals as one fine range can hold, at a single time and around it.
+    spans += [(j, 700, 701) for j in range(700, 900)]
+    got = sweep_intervals(
+        spark.createDataFrame(points, "r int, time_ns bigint"),
+        spark.createDataFrame(spans, "p int, start_ns bigint, end_ns bigint"),
+    )
+    assert "InArrow" not in got._jdf.queryExecution().optimizedPlan().toString()
+    wanted = Counter((i, t, j, s, e) for i, t in points for j, s, e in spans if s <= t < e)
+    assert Counter(rows(got)) == wanted and wanted.total() > 100_000
+    tasks = got.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in tasks) < 30_000
+
+
+def test_a_time_that_many_points_share_is_not_swept(spark, monkeypatch):
+    """Coarse ranges: the points of a single time are never gathered in one task."""
+    sweep_of = sweep._sweep
+
+    def watched(*names):
+        run = sweep_of(*names)
+
+        @wraps(run)
+        def checked(batches):
+            batches = list(batches)
+            assert sum(b.num_rows for b in batches) < 5_000
+            return run(iter(batches))
+
+        return checked
+
+    monkeypatch.setattr(sweep, "_sweep", watched)
+    time = F.when(F.col("id") < 9_000, 4_000).otherwise(F.col("id"))
+    points = spark.range(12_000).select("id", time.alias("time_ns"))
+    spans = [(1, 3_000, 9_500), (2, 4_000, 4_001)]
+    spans = spark.createDataFrame(spans, "j int, start_ns bigint, end_ns bigint")
+    assert sweep_intervals(points, spans, range_rows=1_200).count() == 9_500 + 9_000
+
+
 def test_ranges_isolate_a_time_that_many_rows_share(spark):
     """Times a few ns apart near the end of 64 bits, half of them equal."""
     base = 9 * 10**18
