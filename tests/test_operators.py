@@ -342,6 +342,42 @@ def test_pairs_are_joined_in_tasks_of_like_numbers(spark, monkeypatch):
     assert max(r["count"] for r in tasks) < 30_000
 
 
+def _shuffled(plan):
+    """Rows written by each shuffle below ``plan``."""
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    found = []
+    if plan.nodeName() == "Exchange":
+        found.append(plan.metrics().apply("shuffleRecordsWritten").value())
+    if "QueryStage" in plan.nodeName():
+        found += _shuffled(plan.plan())
+    children = plan.children()
+    return found + [n for i in range(children.size()) for n in _shuffled(children.apply(i))]
+
+
+def test_shuffles_and_files_of_overlapping_intervals_are_small(spark, tmp_path, monkeypatch):
+    """Few intervals are sent more than once, and pairs are written in an order that packs."""
+    monkeypatch.setattr(sweep, "TASK_PAIRS", 100_000)
+    rng = random.Random(9)
+    times = rng.sample(range(10**9), 4_000)
+    points = spark.createDataFrame(list(enumerate(times)), "r int, time_ns bigint")
+    starts = enumerate(rng.sample(times, 4_000))
+    spans = [(j, s, s + 3 * 10**7 + rng.randrange(10**7)) for j, s in starts]
+    got = sweep_intervals(
+        points, spark.createDataFrame(spans, "p int, start_ns bigint, end_ns bigint"), range_rows=50
+    )
+    made = rows(got)
+    held = np.sort(times)
+    ends = [np.searchsorted(held, [s, e]) for _, s, e in spans]
+    assert len(made) == len(set(made)) == sum(int(b - a) for a, b in ends) > 500_000
+    assert all(s <= t < e for _, t, _, s, e in made)
+    shuffled = _shuffled(got._jdf.queryExecution().executedPlan())
+    assert len(shuffled) == 2 and sum(shuffled) < 4_000 + 1.5 * 4_000
+    got.write.parquet(str(tmp_path / "pairs"))
+    size = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    assert size < 1.2 * len(made)
+
+
 def test_a_time_that_many_points_share_is_not_swept(spark, monkeypatch):
     """Coarse ranges: the points of a single time are never gathered in one task."""
     sweep_of = sweep._sweep
